@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, langid, rans, secrets, token_counts, warc
+from . import exact_dedup, langid, rans, secrets, substring, superminhash, token_counts, warc
 from .common import table
 
 
@@ -28,10 +28,18 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_dedup(table(spark, sf_dir, "documents"), size=13).drop("kept")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), limit=512)
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_groups(table(spark, sf_dir, "documents"), k=3, num=85, den=100)
+
+
 def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(table(spark, sf_dir, "pages"), least=100)
 
@@ -41,6 +49,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op3_exact_dedup, op4_language_id, op7_token_counts, op9_warc_index, op10_token_files)
+    f.__name__: f for f in (op1_secret_scan, op3_exact_dedup, op4_language_id, op6_substring_dedup, op7_token_counts, op8_near_dedup, op9_warc_index, op10_token_files)
 }
 ORACLES: dict[str, str] = {"op3_exact_dedup": exact_dedup.ORACLE, "op9_warc_index": warc.ORACLE}
