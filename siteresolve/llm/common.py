@@ -37,6 +37,14 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_BYTES = 32 << 20
+
+
+def size_checked(df: DataFrame, row_bytes: int) -> DataFrame:
+    """``df`` marked for a broadcast join if its counted rows, of ``row_bytes`` each, fit in BROADCAST_BYTES; else as it is, for a shuffled one."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
 def open_fs(uri: str):
     """pyarrow file system and the path in it, for a URI or a plain local path."""
     from pyarrow import fs

@@ -79,12 +79,6 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
-    """``docs`` without the rows that repeat another row's text. Ids that stay are few columns wide; texts move once."""
-    dropped = exact_groups(docs, id_col, text_col, keep).filter(~F.col("kept")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(dropped, docs[id_col] == dropped["__gone"], "left_anti")
-
-
 ORACLE = """
 SELECT doc_id,
        max(doc_id) OVER w AS keep_id,

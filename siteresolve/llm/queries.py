@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, langid, rans, secrets, substring, superminhash, token_counts, warc
+from . import decontam, exact_dedup, langid, rans, secrets, sp_dropout, substring, superminhash, token_counts, warc
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="max")
 
@@ -28,6 +32,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp_dropout.encode_documents(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_dedup(table(spark, sf_dir, "documents"), size=13).drop("kept")
 
@@ -49,6 +57,17 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op3_exact_dedup, op4_language_id, op6_substring_dedup, op7_token_counts, op8_near_dedup, op9_warc_index, op10_token_files)
+    f.__name__: f for f in (
+        op1_secret_scan,
+        op2_decontamination,
+        op3_exact_dedup,
+        op4_language_id,
+        op5_sentencepiece,
+        op6_substring_dedup,
+        op7_token_counts,
+        op8_near_dedup,
+        op9_warc_index,
+        op10_token_files,
+    )
 }
 ORACLES: dict[str, str] = {"op3_exact_dedup": exact_dedup.ORACLE, "op9_warc_index": warc.ORACLE}

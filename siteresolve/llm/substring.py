@@ -31,12 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, partitions
+from .common import BROADCAST_BYTES, durable, partitions
 from .words import text_parts, window_hashes, word_hashes
 
 PERIOD = 7
 COVER = (0, 1, 3)
-BROADCAST_BYTES = 32 << 20
 _HITS = pa.schema([("doc", pa.int64()), ("alt", pa.int32()), ("at", pa.int32())])
 
 

@@ -35,9 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, size_checked
 from .components import UnionFind, components
-from .substring import BROADCAST_BYTES
 from .words import mixed, text_parts, window_hashes, word_hashes
 
 BANDS, ROWS = 40, 8
@@ -203,9 +202,8 @@ def _across(table: pa.Table, k: int, num: int, den: int) -> pa.Table:
 
 def _texts_of(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``nodes`` (id, set_a, ...) with a text each; a small list of nodes is broadcast, a long one joined by shuffle."""
-    n = nodes.count()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
-    return texts.join(F.broadcast(nodes) if n * 48 <= BROADCAST_BYTES else nodes, "id")
+    return texts.join(size_checked(nodes, 48), "id")
 
 
 def near_groups(docs: DataFrame, k: int = 3, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -15,6 +15,10 @@ import pyarrow as pa
 PART_BYTES = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Separators that leave letters, digits and everything beyond ASCII.
+PUNCTUATION = np.ones(256, bool)
+PUNCTUATION[128:] = False
+PUNCTUATION[[*b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"]] = False
 _BASE = 0x9E3779B97F4A7C15 | 1
 _GAMMA = np.uint64(0xD1342543DE82EF95)
 
@@ -60,12 +64,12 @@ def text_parts(column: pa.Array, most: int = PART_BYTES) -> Iterator[tuple[int,
         a = b
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = False, separators: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word in order, and the number of words of each row. ``lower``: A-Z as a-z."""
     n = len(raw)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
-    visible = ~_SPACE[raw]
+    visible = ~separators[raw]
     first = np.zeros(n + 1, bool)
     first[offsets] = True
     begins = visible.copy()
