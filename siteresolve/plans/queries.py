@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import EXCLUDED_DOMAINS
 from ..functions import geo, text, urls
-from ..operators import balance, candidates, finalize, patterns, providers, review, scoring
+from ..operators import balance, candidates, finalize, pages, patterns, providers, review, scoring
 from .adapters import load, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -492,3 +492,34 @@ def j13_unfilled(spark, d):
 def a20_a21_domain_feedback(spark, d):
     rows = load(spark, d, "candidates").select(urls.domain(F.col("url")).alias("domain"), F.when((F.col("source") == "brave") & (F.col("score") > 90), "accept").when(F.col("source") != "brave", "reject").alias("decision"))
     return review.domain_feedback(rows, EXCLUDED_DOMAINS)
+
+
+# ---- pages ----------------------------------------------------------------------------------
+
+
+def _sites(spark, d):
+    """Home pages per host (the first page of each), and one candidate per host named after it."""
+    seen = load(spark, d, "pages").withColumn("host", urls.host_part(F.col("url")))
+    homes = seen.groupBy("host").agg(F.min_by("html", "page_id").alias("html"), F.min("page_id").alias("pos")).withColumn("url", F.concat(F.lit("https://"), "host", F.lit("/")))
+    flags = pages.page_flags(pages.read_pages(homes))
+    found = homes.select(F.col("host").alias("provider_id"), "pos", "url", urls.base_label(F.col("host")).alias("provider_name"), F.array(F.lit("Germany")).alias("provider_locations"))
+    return found, flags
+
+
+@query()
+def g1_g2_g3_read_pages(spark, d):
+    read = pages.read_pages(load(spark, d, "pages"))
+    return read.select("url", "title", "meta", "h1", "nav", F.length("text").alias("text_chars"), F.size("links").alias("n_links"), F.size("organizations").alias("n_organizations"), F.array_join("logos", " ").alias("logos"))
+
+
+@query()
+def g4_page_flags(spark, d):
+    return pages.page_flags(pages.read_pages(load(spark, d, "pages"))).drop("said").withColumn("trades", F.array_join("trades", "; "))
+
+
+@query()
+def g5_g8_g9_site_scores(spark, d):
+    found, flags = _sites(spark, d)
+    sites = pages.inspect_sites(found, flags, ["/about", "/contact", "/services"])
+    rows = found.withColumns({"title": F.lit(""), "snippet": F.lit(""), "source": F.lit("brave"), "query": F.lit(""), "rank": F.lit(1)})
+    return pages.full_score(scoring.score_candidates(rows), sites).select("provider_id", "url", "domain", "score", F.array_join("reasons", "; ").alias("reasons"))
