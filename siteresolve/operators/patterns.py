@@ -69,3 +69,32 @@ def release_simulation(rows: DataFrame, patterns: DataFrame, key: str) -> DataFr
     found = matches(rows, patterns, key, first_only=False).join(rows.select(key, "correct"), key)
     one = found.groupBy("pattern").agg(F.count(F.lit(1)).alias("released_rows"), F.count_if("correct").alias("correct_released"))
     return one.withColumns({"wrong_released": F.col("released_rows") - F.col("correct_released"), "release_precision": ratio(F.col("correct_released"), F.col("released_rows"))})
+
+
+def actionable_set(rows: DataFrame, patterns: DataFrame, most_wrong: int = 0) -> DataFrame:
+    """Greedy cover: patterns with the fewest wrong and most right rows first, each kept if it adds right rows and the wrong ones stay within ``most_wrong``.
+
+    ``rows``: features, correct; ``patterns``: a short list of pattern, features. Rows of equal features are released by the same patterns, so they are counted first and the walk,
+    which is sequential by nature, sees patterns x distinct feature sets.
+    """
+    sets = rows.select(F.array_sort(F.array_distinct("features")).alias("features"), F.col("correct").cast("long").alias("c")).groupBy("features").agg(F.sum("c").alias("right"), F.sum(1 - F.col("c")).alias("wrong"))
+    sets = sets.withColumn("id", F.array_join("features", AND))
+    found = matches(sets, patterns.select("pattern", "features", F.lit(0).alias("pattern_pos")), "id", first_only=False).join(sets.select("id", "right", "wrong"), "id")
+
+    def walk(pdf):
+        import pandas as pd
+
+        total = pdf.groupby("pattern")[["right", "wrong"]].sum().reset_index()
+        total = total.assign(size=total["pattern"].str.split(AND).str.len()).sort_values(["wrong", "right", "size", "pattern"], ascending=[True, False, True, True])
+        by_pattern = {p: g for p, g in pdf.groupby("pattern")}
+        covered: set = set()
+        wrong, picked = 0, []
+        for p in total["pattern"]:
+            new = by_pattern[p][~by_pattern[p]["id"].isin(covered)]
+            if new["right"].sum() and wrong + new["wrong"].sum() <= most_wrong:
+                covered |= set(new["id"])
+                wrong += int(new["wrong"].sum())
+                picked.append((p, len(picked) + 1, int(new["right"].sum()), wrong))
+        return pd.DataFrame(picked, columns=["pattern", "place", "new_correct", "wrong_so_far"])
+
+    return found.groupBy().applyInPandas(walk, "pattern string, place long, new_correct long, wrong_so_far long")

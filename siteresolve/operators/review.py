@@ -64,3 +64,36 @@ def domain_feedback(decisions: DataFrame, known: list[str]) -> DataFrame:
     """Per domain its accepted and rejected rows, and whether it may be excluded from now on: rejected twice or more, never accepted, not excluded yet."""
     one = decisions.filter(blank(F.col("domain")) != "").groupBy("domain").agg(F.count_if(F.col("decision").isin("accept", "replace")).alias("accepted"), F.count_if(F.col("decision") == "reject").alias("rejected"))
     return one.withColumn("exclude", (F.col("rejected") >= 2) & (F.col("accepted") == 0) & ~F.col("domain").isin(known))
+
+
+def balanced_sample(rows: DataFrame, order: list, most: int, per_reason: int, per_pattern: int = 0) -> DataFrame:
+    """A greedy sample in priority order under three caps; a second walk fills up past the pattern cap. Needs review_reason, pattern_match and a unique row_id.
+
+    What one reason and pattern can give is a prefix of its own order of at most ``per_reason`` rows, so that prefix is cut by a window first; the greedy walk then sees at most
+    reasons x patterns x cap rows, in one task.
+    """
+    most_each = min(per_reason or most, most)
+    w = Window.partitionBy("review_reason", "pattern_match").orderBy(*order)
+    few = rows.withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= most_each).drop("__n")
+    places = few.withColumn("__place", F.row_number().over(Window.orderBy(*order)))
+
+    def walk(pdf):
+        pdf = pdf.sort_values("__place")
+        taken: dict[int, None] = {}
+        by_reason: dict[str, int] = {}
+        by_pattern: dict[str, int] = {}
+        for respect_pattern in (True, False):
+            for k, reason, pattern in zip(pdf["__place"], pdf["review_reason"], pdf["pattern_match"]):
+                full = per_reason and by_reason.get(reason, 0) >= per_reason
+                capped = respect_pattern and per_pattern and pattern and by_pattern.get(pattern, 0) >= per_pattern
+                if len(taken) >= most or k in taken or full or capped:
+                    continue
+                taken[k] = None
+                by_reason[reason] = by_reason.get(reason, 0) + 1
+                by_pattern[pattern] = by_pattern.get(pattern, 0) + 1
+        order_of = {k: n + 1 for n, k in enumerate(taken)}
+        out = pdf[pdf["__place"].isin(list(taken))].assign(sample_pos=lambda d: d["__place"].map(order_of))
+        return out.drop(columns=["__place"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", sample_pos long"
+    return places.groupBy().applyInPandas(walk, schema)

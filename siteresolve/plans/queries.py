@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import EXCLUDED_DOMAINS
 from ..functions import geo, text, urls
-from ..operators import balance, candidates, finalize, pages, patterns, providers, review, scoring
+from ..operators import balance, candidates, finalize, pages, patterns, providers, review, scoring, secondpass
 from .adapters import load, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -523,3 +523,72 @@ def g5_g8_g9_site_scores(spark, d):
     sites = pages.inspect_sites(found, flags, ["/about", "/contact", "/services"])
     rows = found.withColumns({"title": F.lit(""), "snippet": F.lit(""), "source": F.lit("brave"), "query": F.lit(""), "rank": F.lit(1)})
     return pages.full_score(scoring.score_candidates(rows), sites).select("provider_id", "url", "domain", "score", F.array_join("reasons", "; ").alias("reasons"))
+
+
+# ---- second pass and verification -----------------------------------------------------------
+
+
+def _planned(spark, d):
+    best = load(spark, d, "candidates").filter("not reject").groupBy("provider_id").agg(F.max_by(F.struct("url", "source", "score"), F.struct("score", (-F.col("pos")).alias("p"))).alias("b"))
+    rows = load(spark, d, "results").select("provider_id", "status", "confidence").join(_providers(spark, d), "provider_id").join(best, "provider_id", "left")
+    rows = rows.select("*", F.col("b.url").alias("candidate_1_url"), F.col("b.source").alias("candidate_1_source"), F.col("b.score").alias("candidate_1_score")).drop("b")
+    return secondpass.plan(rows.filter("status <> 'matched'"))
+
+
+@query(
+    """WITH b AS (SELECT provider_id, max_by(struct_pack(src := source, s := score), struct_pack(a := score, b := -pos)) AS b FROM {candidates} WHERE NOT reject GROUP BY 1), r AS (SELECT r.status, coalesce(b.b.src, '') AS src, coalesce(b.b.s, 0) AS s FROM (SELECT * FROM {results}) r LEFT JOIN b ON r.provider_id = b.provider_id WHERE r.status <> 'matched')
+    SELECT CASE WHEN status = 'needs_review' THEN 'A_verify_top_candidate' WHEN status = 'not_found' THEN 'D_registry_social_then_manual' WHEN src = 'domain_guess' OR s >= 35 THEN 'B_verify_or_expand_domain_guess' ELSE 'C_broaden_search' END AS strategy_tier, status, count(*) AS rows FROM r GROUP BY 1, 2"""
+)
+def c9_c10_plan_summary(spark, d):
+    return secondpass.plan_summary(_planned(spark, d))
+
+
+@query()
+def c9_plan(spark, d):
+    return _planned(spark, d).select("provider_id", "strategy_tier", "top_candidate_domain", *[f"query_{k}" for k in range(1, 9)])
+
+
+@query(
+    f"""WITH {_FINAL}, t AS (SELECT *, coalesce(TRY_CAST(nullif(confidence, '') AS INT), 0) AS c, provider_id IN (SELECT provider_id FROM {{candidates}} WHERE NOT reject) AS known FROM final_rows)
+    SELECT provider_id, CASE WHEN official_url = '' AND known THEN 'recall_unresolved_top_candidate' WHEN official_url = '' THEN 'recall_unresolved_manual_search' WHEN status = 'manual_accepted' AND c < 70 THEN 'precision_second_pass_accepted_lt70' WHEN status = 'manual_accepted' AND c < 85 THEN 'precision_second_pass_accepted_70_84' WHEN status = 'manual_accepted' THEN 'precision_second_pass_accepted_85_plus'
+      WHEN c < 83 THEN 'precision_low_confidence_auto_match' ELSE 'spot_check_non_matched_status' END AS review_reason FROM t WHERE official_url = '' OR CASE WHEN status = 'manual_accepted' THEN c < 85 WHEN status <> 'matched' THEN TRUE ELSE c < 83 END"""
+)
+def r3_review_task(spark, d):
+    second = load(spark, d, "candidates").filter("not reject").select("provider_id", F.lit("").alias("provider_name"), F.lit("").alias("official_url"), F.col("url").alias("previous_top_candidate_url"), F.lit("").alias("evidence_summary"), F.lit("").alias("accepted_for_final"), "pos")
+    return secondpass.review_task(_final(spark, d), second).select("provider_id", "review_reason")
+
+
+@query()
+def g17_page_roles(spark, d):
+    rows = secondpass.page_roles(pages.read_pages(load(spark, d, "pages")))
+    return rows.select("url", F.array_join("roles", "; ").alias("roles"), F.array_join("risks", "; ").alias("risks"))
+
+
+@query(
+    """WITH w AS (SELECT provider_id, pos, score, score - 20 AS rs, CASE pos % 4 WHEN 0 THEN 'recall_unresolved_top_candidate' WHEN 1 THEN 'precision_low_confidence_auto_match' ELSE '' END AS reason, source = 'brave' AS replaceable, reject AS counter FROM {candidates})
+    SELECT provider_id, pos, CASE WHEN reason <> '' THEN 'unsure' WHEN score >= 70 AND NOT counter THEN 'accept' WHEN replaceable THEN 'replace' WHEN score <= 20 AND counter THEN 'reject' ELSE 'unsure' END AS decision,
+    CASE WHEN reason LIKE 'recall%' OR (replaceable AND reason <> '') THEN greatest(0, least(69, greatest(score, rs))) WHEN reason <> '' AND counter THEN greatest(0, least(69, score)) WHEN reason <> '' THEN least(69, score) WHEN score >= 70 AND NOT counter THEN least(100, score)
+      WHEN replaceable THEN greatest(70, least(95, CASE WHEN rs = 0 THEN 70 ELSE rs END)) WHEN score <= 20 AND counter THEN least(90, greatest(50, 100 - score)) ELSE greatest(0, least(69, score)) END AS confidence FROM w"""
+)
+def g21_verification_decision(spark, d):
+    rows = load(spark, d, "candidates").withColumns(
+        {
+            "reason": F.when(F.col("pos") % 4 == 0, "recall_unresolved_top_candidate").when(F.col("pos") % 4 == 1, "precision_low_confidence_auto_match").otherwise(""),
+            "replacement": F.when(F.col("source") == "brave", F.lit("https://r.com")).otherwise(""),
+            "counters": F.when(F.col("reject"), F.array(F.lit("candidate_not_independent_official_site"))).otherwise(F.array().cast("array<string>")),
+        }
+    )
+    made = secondpass.verification_decision(F.col("score"), F.array().cast("array<string>"), F.col("counters"), F.col("replacement"), F.col("score") - 20, F.col("reason"))
+    return rows.withColumn("x", made).select("provider_id", "pos", "x.decision", "x.confidence")
+
+
+@query()
+def r8_balanced_sample(spark, d):
+    rows = load(spark, d, "work").select("review_reason", F.concat(F.lit("p"), F.col("seq") % 5).alias("pattern_match"), "seq", "score")
+    return review.balanced_sample(rows, [F.desc("score"), F.col("seq")], 60, 15, 10)
+
+
+@query()
+def p9_actionable_set(spark, d):
+    rows = _evidence(spark, d)
+    return patterns.actionable_set(rows, patterns.safe(patterns.mine(rows, size=2), 5))
