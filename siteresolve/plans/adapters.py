@@ -63,6 +63,13 @@ ADAPTERS: dict[str, str] = {
                CASE WHEN l_quantity >= 40 THEN 'quantity>=40' WHEN l_quantity >= 20 THEN 'quantity>=20' END AS f3, CASE WHEN l_discount >= 0.08 THEN 'has:discount' ELSE 'missing:discount' END AS f4,
                CASE WHEN l_returnflag = 'N' AND l_quantity >= 40 THEN TRUE ELSE l_tax <= 0.04 END AS correct
         FROM {lineitem}""",
+    # regression cases per customer, from orders
+    "cases": """
+        SELECT CAST(o_custkey AS STRING) AS provider_id, o_orderkey AS pos,
+               CASE o_orderkey % 4 WHEN 0 THEN 'precision_blocking_fixture' WHEN 1 THEN 'precision_positive_fixture' WHEN 2 THEN 'recall_blocking_fixture' ELSE 'recall_positive_fixture' END AS case_type,
+               CASE WHEN o_orderstatus = 'F' THEN 'https://fixed' || (o_orderkey % 3) || '.com' WHEN o_orderkey % 2 = 1 THEN 'https://www.' || lower(replace(c_name, '#', '-')) || '.com/Shop/' ELSE '' END AS expected_url,
+               CASE WHEN o_orderstatus = 'P' THEN 'http://' || lower(replace(c_name, '#', '-')) || '.com/Shop' ELSE 'https://other.org' END AS candidate_url, '' AS official_url
+        FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
     # review work: events are filled rows, the type is the lane
     "work": """
         SELECT CAST(user_id AS STRING) AS provider_id, event_type AS review_reason, event_id AS seq, CAST(floor(value) AS INT) AS score,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import EXCLUDED_DOMAINS
 from ..functions import geo, text, urls
-from ..operators import balance, candidates, finalize, pages, patterns, providers, review, scoring, secondpass
+from ..operators import balance, candidates, finalize, pages, patterns, providers, regression, review, scoring, secondpass
 from .adapters import load, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -592,3 +592,57 @@ def r8_balanced_sample(spark, d):
 def p9_actionable_set(spark, d):
     rows = _evidence(spark, d)
     return patterns.actionable_set(rows, patterns.safe(patterns.mine(rows, size=2), 5))
+
+
+# ---- regression, policies -------------------------------------------------------------------
+
+_KEY = "CASE WHEN {u} = '' THEN '' ELSE regexp_replace(regexp_replace(regexp_replace({u}, '^https?://', ''), '^www[.]', ''), '/+$', '') END"
+_GATE = f"""k AS (SELECT c.*, r.official_url AS seen, {_KEY.replace("{u}", "r.official_url")} AS s, {_KEY.replace("{u}", "c.expected_url")} AS e, {_KEY.replace("{u}", "c.candidate_url")} AS b FROM (SELECT * FROM {{cases}}) c LEFT JOIN (SELECT * FROM {{results}}) r ON c.provider_id = r.provider_id),
+    gated AS (SELECT provider_id, pos, case_type, CASE WHEN seen IS NULL THEN 'provider_missing_from_candidate_output' WHEN case_type LIKE '%blocking%' AND seen <> '' AND s = b THEN 'blocked_candidate_was_auto_accepted' WHEN case_type LIKE '%blocking%' AND e <> '' AND seen <> '' AND s <> e THEN 'candidate_changed_away_from_blocked_url'
+      WHEN case_type LIKE '%positive%' AND seen = '' THEN 'positive_fixture_over_rejected' WHEN case_type LIKE '%positive%' AND e <> '' AND seen <> '' AND s <> e THEN 'positive_fixture_changed_to_different_site' ELSE '' END AS failure_reason FROM k),
+    results_of AS (SELECT *, CASE WHEN failure_reason = 'provider_missing_from_candidate_output' THEN 'unverified' WHEN failure_reason IN ('', 'candidate_changed_away_from_blocked_url') THEN 'pass' ELSE 'fail' END AS gate_result FROM gated)"""
+
+
+@query(f"WITH {_GATE} SELECT provider_id, pos, gate_result, failure_reason FROM results_of")
+def p13_regression_gate(spark, d):
+    return regression.gate(load(spark, d, "cases"), load(spark, d, "results")).select("provider_id", "pos", "gate_result", "failure_reason")
+
+
+@query(
+    f"""WITH {_GATE} SELECT count(*) AS cases, count(*) FILTER (gate_result = 'pass') AS passed, count(*) FILTER (gate_result = 'fail') AS failed, count(*) FILTER (gate_result = 'unverified') AS unverified,
+    CASE WHEN count(*) FILTER (gate_result = 'fail') > 0 THEN 'failed' WHEN count(*) FILTER (gate_result = 'unverified') > 0 THEN 'unverified' ELSE 'passed' END AS gate_status FROM results_of"""
+)
+def p13_gate_summary(spark, d):
+    return regression.gate_summary(regression.gate(load(spark, d, "cases"), load(spark, d, "results")))
+
+
+@query()
+def j14_apply_cases(spark, d):
+    out = regression.apply_cases(_final(spark, d), load(spark, d, "cases"))
+    return out.select("provider_id", "official_url", "official_domain", "status", "decision_source", "notes", F.array_join("changes", "; ").alias("changes"))
+
+
+@query(
+    f"""WITH {_FINAL}, h AS (SELECT DISTINCT provider_id FROM {{work}} WHERE review_reason IN ('error', 'view') AND score > 60)
+    SELECT f.provider_id, CASE WHEN h.provider_id IS NOT NULL AND official_url <> '' THEN '' ELSE official_url END AS official_url, CASE WHEN h.provider_id IS NOT NULL AND official_url <> '' THEN 'needs_review' ELSE status END AS status FROM final_rows f LEFT JOIN h ON f.provider_id = h.provider_id"""
+)
+def p11_hold_lanes(spark, d):
+    return regression.hold_lanes(_final(spark, d), load(spark, d, "work").filter("score > 60"), ["error", "view"]).select("provider_id", "official_url", "status")
+
+
+@query(
+    f"""WITH {_FINAL}, w AS (SELECT provider_id, bool_or(review_reason = 'error' AND score > 60) AS late, 'www.found' || provider_id || '.com' AS u FROM {{work}} GROUP BY 1)
+    SELECT f.provider_id, CASE WHEN official_url = '' AND late THEN 'https://' || u ELSE official_url END AS official_url, CASE WHEN official_url = '' AND late THEN 'calibrated_released' ELSE status END AS status FROM final_rows f LEFT JOIN w ON f.provider_id = w.provider_id"""
+)
+def p10_release_by_pattern(spark, d):
+    work = load(spark, d, "work").withColumn("feature", F.when((F.col("review_reason") == "error") & (F.col("score") > 60), "has:late_error").otherwise("missing:late_error"))
+    evidence = work.groupBy(F.col("provider_id").alias("row_id")).agg(F.collect_set("feature").alias("features")).withColumns({"candidate_url": F.concat(F.lit("www.found"), "row_id", F.lit(".com")), "review_reason": F.lit("recall_unresolved_top_candidate")})
+    listed = spark.createDataFrame([("has:late_error", 0, ["has:late_error"])], "pattern string, pattern_pos int, features array<string>")
+    return regression.release_by_pattern(_final(spark, d), evidence, listed, EXCLUDED_DOMAINS).select("provider_id", "official_url", "status")
+
+
+@query(
+    "WITH sweep AS (" + ORACLES["a8_threshold_sweep"] + "), b AS (SELECT threshold, overall_accuracy, (SELECT overall_accuracy FROM sweep WHERE threshold = 75) AS current_accuracy FROM sweep ORDER BY overall_accuracy DESC, abs(threshold - 75), threshold LIMIT 1) SELECT threshold AS recommended_threshold, overall_accuracy, current_accuracy, round(overall_accuracy - current_accuracy, 4) AS accuracy_change FROM b"
+)
+def a27_threshold_choice(spark, d):
+    return regression.threshold_choice(balance.threshold_sweep(_details(spark, d), [0, 45, 60, 75, 85, 95]), 75)
