@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import EXCLUDED_DOMAINS
 from ..functions import geo, text, urls
-from ..operators import balance, candidates, finalize, pages, patterns, providers, regression, review, scoring, secondpass
+from ..operators import balance, calibration, candidates, finalize, pages, patterns, providers, regression, review, scoring, secondpass
 from .adapters import load, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -646,3 +646,65 @@ def p10_release_by_pattern(spark, d):
 )
 def a27_threshold_choice(spark, d):
     return regression.threshold_choice(balance.threshold_sweep(_details(spark, d), [0, 45, 60, 75, 85, 95]), 75)
+
+
+# ---- calibration ----------------------------------------------------------------------------
+
+
+@query(
+    """WITH w AS (SELECT 'p' || (seq % 40) AS pattern, CASE WHEN seq % 13 = 0 THEN 'issue' ELSE '' END AS issue, manual_decision AS d, CASE WHEN manual_decision = 'accept' THEN 1 WHEN manual_decision = 'reject' AND seq % 40 > 20 THEN 2 ELSE 0 END AS o FROM {work}),
+    g AS (SELECT pattern, count(*) AS rows, count(*) FILTER (issue = '' AND d <> '') AS labeled_rows, count(*) FILTER (issue = '' AND o = 1) AS supporting_rows, count(*) FILTER (issue = '' AND o = 2) AS blocking_rows FROM w GROUP BY 1),
+    z AS (SELECT *, supporting_rows + blocking_rows AS n, 1.2815515655446004 AS z FROM g)
+    SELECT pattern, 'recall' AS pattern_scope, rows, labeled_rows, n AS decisive_rows, supporting_rows, blocking_rows, round(supporting_rows / nullif(n, 0), 4) AS support_rate,
+      CASE WHEN n > 0 THEN round(greatest(0, (supporting_rows / n + z*z/(2*n) - z * sqrt((supporting_rows / n) * (1 - supporting_rows / n) / n + z*z/(4*n*n))) / (1 + z*z/n)), 4) END AS support_rate_wilson_lower_80,
+      CASE WHEN n > 0 THEN round(least(1, (blocking_rows / n + z*z/(2*n) + z * sqrt((blocking_rows / n) * (1 - blocking_rows / n) / n + z*z/(4*n*n))) / (1 + z*z/n)), 4) END AS blocking_rate_wilson_upper_80,
+      CASE WHEN blocking_rows > 0 THEN 'reject_pattern' WHEN supporting_rows >= 5 THEN 'candidate_for_rule' WHEN supporting_rows > 0 THEN 'needs_more_labels' ELSE 'unlabeled' END AS recommendation FROM z"""
+)
+def a17_pattern_recommendations(spark, d):
+    rows = load(spark, d, "work").select(
+        F.concat(F.lit("p"), F.col("seq") % 40).alias("pattern_match"),
+        F.lit("recall").alias("pattern_scope"),
+        F.col("seq").alias("pos"),
+        F.when(F.col("seq") % 13 == 0, "issue").otherwise("").alias("decision_quality_issue"),
+        F.col("manual_decision").alias("normalized_decision"),
+        F.when(F.col("manual_decision") == "accept", "candidate_correct").when((F.col("manual_decision") == "reject") & (F.col("seq") % 40 > 20), "candidate_incorrect").otherwise("").alias("calibration_outcome"),
+    )
+    return calibration.pattern_recommendations(rows)
+
+
+@query(
+    f"""WITH {_DETAILS}, t AS (SELECT d.*, t.t, coalesce(TRY_CAST(confidence AS INT), 0) >= t.t AS released, expected_kind = 'official' AND output_domain = expected_domain AS ok FROM details d, (SELECT unnest([0, 30, 45, 50, 60, 70, 75, 80, 85]) AS t) t WHERE output_domain <> '')
+    SELECT t AS evidence_threshold, count(*) AS recall_rows, count(*) FILTER (expected_kind = 'official') AS expected_official_rows, count(*) FILTER (released) AS release_rows, count(*) FILTER (released AND ok) AS correct_recovery_rows, count(*) FILTER (released AND NOT ok) AS wrong_release_rows, count(*) FILTER (NOT released AND ok) AS held_correct_recovery_rows,
+      round(count(*) FILTER (released AND ok) / nullif(count(*) FILTER (released), 0), 4) AS release_precision, round(count(*) FILTER (released AND ok) / nullif(count(*) FILTER (expected_kind = 'official'), 0), 4) AS official_recovery_rate FROM t GROUP BY 1"""
+)
+def a13_recall_releases(spark, d):
+    rows = _details(spark, d).select("expected_kind", "expected_domain", F.col("output_domain").alias("candidate_domain"), text.whole_number(F.col("output_confidence")).alias("candidate_score"))
+    return calibration.recall_releases(rows)
+
+
+@query(
+    """WITH l AS (SELECT review_reason, count(*) AS rows, count(*) FILTER (manual_decision <> '' AND score > 150) AS decisive_rows FROM {work} GROUP BY 1)
+    SELECT review_reason, rows, decisive_rows, CASE review_reason WHEN 'error' THEN 'high' WHEN 'view' THEN 'medium' WHEN 'click' THEN 'medium' ELSE 'normal' END AS priority, least(rows, CASE WHEN review_reason IN ('view', 'click') THEN 3 ELSE 5 END) AS target_decisive_rows,
+      greatest(0, least(rows, CASE WHEN review_reason IN ('view', 'click') THEN 3 ELSE 5 END) - decisive_rows) AS decisive_rows_needed, CASE review_reason WHEN 'view' THEN 'spot_check_candidate' WHEN 'click' THEN 'keep_review_lane' ELSE 'needs_more_labels' END AS recommendation FROM l"""
+)
+def a30_label_targets(spark, d):
+    lanes = load(spark, d, "work").groupBy("review_reason").agg(F.count(F.lit(1)).alias("rows"), F.count_if((F.col("manual_decision") != "") & (F.col("score") > 150)).alias("decisive_rows")).withColumn("recommendation", F.lit(""))
+    return calibration.label_targets(lanes, ["error"], ["view"], ["click"])
+
+
+@query(
+    """SELECT seq, CASE WHEN manual_decision = '' THEN 'unlabeled' WHEN seq % 2 = 0 THEN CASE WHEN manual_decision = 'accept' THEN 'holdout_blocked' ELSE 'holdout_supported' END WHEN manual_decision = 'accept' THEN 'release_supported' ELSE 'release_blocked' END AS outcome FROM {work}"""
+)
+def a19_policy_outcome(spark, d):
+    action = F.when(F.col("seq") % 2 == 0, "Holdout").otherwise("release")
+    return load(spark, d, "work").select("seq", calibration.policy_outcome(F.col("manual_decision"), action, F.col("manual_url"), F.lit("")).alias("outcome"))
+
+
+@query(
+    """WITH t AS (SELECT pos, concat_ws('; ', CASE WHEN pos % 5 = 0 THEN 'wrong_candidate_no_replacement' END, CASE WHEN pos % 5 = 0 THEN 'confirmed_no_official' END, CASE WHEN pos % 5 = 1 THEN 'candidate_unreachable' END, CASE WHEN pos % 5 = 2 THEN 'wrong_company' END, CASE WHEN source = 'brave' THEN 'insufficient_evidence' END) AS tags FROM {candidates}) SELECT tags, count(*) AS n FROM t GROUP BY 1"""
+)
+def t22_note_tags(spark, d):
+    c = load(spark, d, "candidates")
+    notes = F.when(F.col("pos") % 5 == 0, "No official site").when(F.col("pos") % 5 == 1, "打不开").when(F.col("pos") % 5 == 2, "同名").otherwise("")
+    tags = calibration.note_tags(notes, F.col("url"), F.lit(""), F.when(F.col("source") == "brave", "unsure").otherwise(""), F.lit(None).cast("string"))
+    return c.select(F.array_join(tags, "; ").alias("tags")).groupBy("tags").agg(F.count(F.lit(1)).alias("n"))
