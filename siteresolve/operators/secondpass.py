@@ -161,3 +161,40 @@ def verification_decision(score: Column, facts: Column, counters: Column, replac
         .when((score <= 20) & contradicted, row("reject", none, F.least(F.lit(90), F.greatest(F.lit(50), 100 - score)), ""))
         .otherwise(row("unsure", none, held(score), "insufficient_or_conflicting_evidence"))
     )
+
+
+# What makes an address too risky to accept without a person.
+RISKY_DOMAINS = ["hugedomains.com", "atom.com", "all.biz", "inc.com", "itch.io", "indiamart.com", "recaptcha.cloud"]
+RISKY_HOST_PARTS = ["zendesk.", "hubspotpagebuilder.", "myshopify.com", "app.", "apps.", "staging.", "develop.", "onboarding.", "refund."]
+RISKY_PATH_PARTS = ["domain_profile", "/name/", "suspendedpage", "/login", "/password", "/signin", "/sign-in"]
+
+
+def risky_address(url: Column) -> Column:
+    """Parked or platform domains, application hosts, and log-in or profile paths (also in the query)."""
+    after = F.lower(F.regexp_extract(blank(url), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*://)?[^/?#]*([^#]*)", 1))
+    host = urls.domain(url)
+    return urls.excluded(host, RISKY_DOMAINS) & (host != "") | _contains_any(host, RISKY_HOST_PARTS) | _contains_any(after, RISKY_PATH_PARTS)
+
+
+def strong_identity(evidence: Column) -> Column:
+    """Whether an evidence summary names the company on the page or its own domain, together with its services."""
+    has = lambda *w: _contains_any(evidence, list(w))
+    page = has("page_contains_exact_provider_name", "page_contains_provider_name_tokens", "page_fuzzy_provider_name_match")
+    named = page | has("search_result_contains_exact_name", "domain_exact_provider_slug")
+    services = has("page_contains_amazon_service_keywords", "page_contains_some_service_keywords", "page_mentions_amazon_spn", "search_snippet_contains_amazon_service_keywords")
+    return ~has("identity_cap_", "page_industry_mismatch:") & named & services & (page | has("domain_exact_provider_slug", "listing_logo_visual_match"))
+
+
+def visual_lane(final: DataFrame, excluded_domains: list[str], below: int = MATCHED_CUTOFF) -> DataFrame:
+    """Final rows that need a look at the page itself, with visual_reason. Needs candidate_url (the second pass's best) beside the final columns."""
+    c = lambda n: blank(F.col(n))
+    evidence, name = F.lower(c("evidence_summary")), F.lower(c("provider_name"))
+    accepted = (c("official_url") != "") & c("status").isin("matched", "manual_accepted")
+    candidate = F.coalesce(F.nullif(c("official_url"), F.lit("")), c("candidate_url"))
+    reason = (
+        F.when(accepted & _contains_any(evidence, ["identity_cap_", "page_industry_mismatch:"]), "precision_identity_constraint")
+        .when(accepted & (ambiguous_name(F.col("provider_name")) | _contains_any(name, ["consult", "seller"])), "precision_same_name_risk")
+        .when(accepted & (whole_number(F.col("confidence").cast("string")) < below), "precision_low_confidence_accept")
+        .when(~accepted & (candidate != "") & ~urls.excluded(candidate, excluded_domains), "recall_unresolved_candidate")
+    )
+    return final.withColumn("visual_reason", reason).filter(F.col("visual_reason").isNotNull())

@@ -708,3 +708,21 @@ def t22_note_tags(spark, d):
     notes = F.when(F.col("pos") % 5 == 0, "No official site").when(F.col("pos") % 5 == 1, "打不开").when(F.col("pos") % 5 == 2, "同名").otherwise("")
     tags = calibration.note_tags(notes, F.col("url"), F.lit(""), F.when(F.col("source") == "brave", "unsure").otherwise(""), F.lit(None).cast("string"))
     return c.select(F.array_join(tags, "; ").alias("tags")).groupBy("tags").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    f"""WITH {_FINAL}, c AS (SELECT provider_id, max_by(url, struct_pack(a := score, b := -pos)) AS u FROM {{candidates}} GROUP BY 1), t AS (SELECT f.*, coalesce(nullif(official_url, ''), c.u, '') AS cand, official_url <> '' AND status IN ('matched', 'manual_accepted') AS ok, coalesce(TRY_CAST(nullif(confidence, '') AS INT), 0) AS n FROM final_rows f LEFT JOIN c ON f.provider_id = c.provider_id),
+    r AS (SELECT provider_id, CASE WHEN ok THEN 'precision_same_name_risk' WHEN cand <> '' AND cand NOT LIKE '%facebook.com%' AND cand NOT LIKE '%linkedin.com%' THEN 'recall_unresolved_candidate' END AS visual_reason FROM t) SELECT * FROM r WHERE visual_reason IS NOT NULL"""
+)
+def r5_visual_lane(spark, d):
+    best = load(spark, d, "candidates").groupBy("provider_id").agg(F.max_by("url", F.struct("score", (-F.col("pos")).alias("p"))).alias("candidate_url"))
+    named = load(spark, d, "results").select("provider_id", F.regexp_replace("provider_name", "#.*$", "").alias("provider_name"))
+    rows = _final(spark, d).drop("provider_name").join(named, "provider_id").join(best, "provider_id", "left")
+    return secondpass.visual_lane(rows, EXCLUDED_DOMAINS).select("provider_id", "visual_reason")
+
+
+@query(
+    r"""SELECT page_id, regexp_matches(regexp_extract(lower(url), '^https?://([^/?#]*)', 1), '(zendesk[.]|hubspotpagebuilder[.]|myshopify[.]com|app[.]|apps[.]|staging[.]|develop[.]|onboarding[.]|refund[.])') OR regexp_matches(lower(url), '^https?://[^/?#]*[^#]*(domain_profile|/name/|suspendedpage|/login|/password|/signin|/sign-in)') AS risky FROM {pages}"""
+)
+def g14_risky_address(spark, d):
+    return load(spark, d, "pages").select("page_id", secondpass.risky_address(F.col("url")).alias("risky"))
