@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import EXCLUDED_DOMAINS
 from ..functions import geo, text, urls
-from ..operators import balance, calibration, candidates, finalize, pages, patterns, providers, regression, review, scoring, secondpass
+from ..operators import balance, calibration, candidates, finalize, pages, patterns, providers, regression, review, scoring, secondpass, seeds
 from .adapters import load, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -726,3 +726,29 @@ def r5_visual_lane(spark, d):
 )
 def g14_risky_address(spark, d):
     return load(spark, d, "pages").select("page_id", secondpass.risky_address(F.col("url")).alias("risky"))
+
+
+@query(
+    """WITH p AS (SELECT provider_id, regexp_replace(lower(provider_name), '[^a-z0-9]+', '', 'g') AS s, string_split(trim(regexp_replace(lower(provider_name), '[^a-z0-9]+', ' ', 'g')), ' ') AS w, CASE location WHEN 'Germany' THEN ['de'] WHEN 'United Kingdom' THEN ['co.uk', 'uk'] WHEN 'Ukraine' THEN ['co.uk', 'uk'] WHEN 'France' THEN ['fr'] WHEN 'Poland' THEN ['pl'] ELSE CAST([] AS VARCHAR[]) END AS t FROM {providers}),
+    v AS (SELECT provider_id, list_concat(t, list_filter(['com', 'co', 'io', 'net'], lambda x: NOT list_contains(t, x))) AS t, CASE WHEN s = w[1] || w[2] THEN [s] ELSE [s, w[1] || w[2]] END AS l FROM p)
+    SELECT provider_id, count(*) AS n FROM (SELECT provider_id, unnest(l) AS s, t FROM v), unnest(t) AS u(x) GROUP BY 1"""
+)
+def c11_domain_variants(spark, d):
+    return seeds.domain_variants(_providers(spark, d), EXCLUDED_DOMAINS).groupBy("provider_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query()
+def c12_semantic_queries(spark, d):
+    made = seeds.semantic_queries(F.col("provider_name"), F.col("location"), F.col("segment"))
+    return load(spark, d, "providers").select("provider_id", F.posexplode(made).alias("query_pos", "query"))
+
+
+@query(
+    """WITH b AS (SELECT provider_id, max_by(struct_pack(u := url, s := score, r := reject), struct_pack(a := score, b := -pos)) AS b, count(DISTINCT source) FILTER (source IN ('brave', 'serper') AND url LIKE 'http://site%') AS k FROM {candidates} GROUP BY 1)
+    SELECT provider_id, NOT b.r AND b.s >= 75 AND (b.s >= 85 OR (SELECT count(DISTINCT source) FROM {candidates} WHERE candidates.provider_id = b.provider_id AND source <> 'domain_guess' AND regexp_replace(regexp_replace(lower(url), '^https?://(www[.])?', ''), '/.*$', '') = regexp_replace(regexp_replace(lower(b.b.u), '^https?://(www[.])?', ''), '/.*$', '')) >= 2) AS accepted FROM b"""
+)
+def g13_accepted(spark, d):
+    found = load(spark, d, "candidates").withColumn("reasons", F.array(F.lit("top_search_result")))
+    best = found.groupBy("provider_id").agg(F.max_by(F.struct("url", "score"), F.struct("score", (-F.col("pos")).alias("p"))).alias("b"), F.collect_list(F.struct("url", "source", "reasons", "reject")).alias("candidates"))
+    rows = best.select("provider_id", "candidates", F.col("b.url").alias("official_url"), F.col("b.score").alias("confidence"), F.when(F.col("b.score") >= 75, "matched").when(F.col("b.score") >= 45, "needs_review").otherwise("low_confidence").alias("status"), F.lit("").alias("evidence_summary"))
+    return seeds.accepted(rows, EXCLUDED_DOMAINS).select("provider_id", "accepted")
