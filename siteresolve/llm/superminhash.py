@@ -42,6 +42,7 @@ from .words import mixed, text_parts, window_hashes, word_hashes
 BANDS, ROWS = 40, 8
 BLOCK = 100
 PIVOTS = 16
+SALTS = 32
 SIGN_BYTES = 1 << 18
 _ODD = 0x9E3779B97F4A7C15
 _STEP = np.uint64(_ODD)
@@ -212,7 +213,10 @@ def near_groups(docs: DataFrame, k: int = 3, num: int = 85, den: int = 100, id_c
     # equal sets, then nodes for each distinct set; rows that share an id are tied by it
     sets = rows.filter("n > 0 and id is not null")
     firsts = sets.groupBy("set_a", "set_b").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"))
-    same = durable(sets.join(firsts.filter("copies > 1").drop("copies"), ["set_a", "set_b"]).select(F.col("id").alias("a"), F.col("first").alias("b")).filter("a <> b").distinct(), "copies")
+    # the copies of one set are told its first row by salted keys, so that a large group meets in SALTS tasks and not in one
+    told = firsts.filter("copies > 1").select("set_a", "set_b", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = sets.select("id", "set_a", "set_b", F.pmod(F.xxhash64("id", F.lit(9)), F.lit(SALTS)).cast("int").alias("salt"))
+    same = durable(salted.join(told, ["set_a", "set_b", "salt"]).select(F.col("id").alias("a"), F.col("first").alias("b")).filter("a <> b").distinct(), "copies")
     nodes = sets.select("id", "bands").join(same.select(F.col("a").alias("id")), "id", "left_anti")
     buckets = nodes.select("id", F.explode("bands").alias("bucket"))
     least = buckets.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").select("bucket", "first")
