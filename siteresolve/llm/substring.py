@@ -12,9 +12,11 @@ s < 7 at which both i + s and j + s are cover positions, so equal windows share
    windows' hashes move; in the same kind of stream every holder but the smallest id is told.
 3. Each document cuts the words its told windows cover.
 
-No step groups a document's or hash's rows in memory: streams hold one batch and one pending row
-per partition. Runs and cuts are a few bytes a document; they meet the texts in a broadcast join
-only while they measure at most BROADCAST_BYTES, and else in a shuffled join.
+A document sends each hash once, with its first position; what comes back is first positions, and
+the document finds the hash's other positions itself. So a line repeated a thousand times in one
+document is one row. No step groups a document's or hash's rows in memory: streams hold one batch
+and one pending row per partition. Positions that come back are runs of a few bytes; texts and runs
+meet in a shuffled join, whose large partitions Spark may split.
 
 Null text has no words. Rows with a null id are neither sources nor changed. Rows with equal ids
 are copies of one document id (their windows don't remove each other's). Words come back unchanged
@@ -25,14 +27,15 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, durable, partitions
-from .words import text_parts, window_hashes, word_hashes
+from .common import durable, partitions
+from .words import mixed, text_parts, window_hashes, word_hashes
 
 PERIOD = 7
 COVER = (0, 1, 3)
@@ -126,17 +129,38 @@ def _run_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(a, pa.int32()), pa.array(r, pa.binary())], ["doc", "alt", "runs"])
 
 
-def _told(hashes: DataFrame, others_only: bool, reach: int, name: str) -> DataFrame:
-    """hash, doc, alt, at -> durable doc, alt, runs."""
+def _told(hashes: DataFrame, others_only: bool, name: str) -> DataFrame:
+    """hash, doc, alt, at -> durable doc, alt, runs (of first positions)."""
     n = partitions(hashes.sparkSession)
     hits = hashes.repartition(n, "h").sortWithinPartitions("h", "doc").mapInArrow(lambda b: _shared(b, others_only), "doc long, alt int, at int")
-    runs = hits.repartition(n, "doc", "alt").sortWithinPartitions("doc", "alt", "at").mapInArrow(lambda b: _runs(b, reach), "doc long, alt int, runs binary")
+    runs = hits.repartition(n, "doc", "alt").sortWithinPartitions("doc", "alt", "at").mapInArrow(lambda b: _runs(b, 1), "doc long, alt int, runs binary")
     return durable(runs, name)
 
 
-def _with_runs(texts: DataFrame, runs: DataFrame) -> DataFrame:
-    size = runs.agg(F.sum(F.octet_length("runs") + 32)).first()[0] or 0
-    return texts.join(F.broadcast(runs) if size <= BROADCAST_BYTES else runs, ["doc", "alt"], "left")
+def _key(h: np.ndarray, row: np.ndarray) -> np.ndarray:
+    return mixed(h + mixed(row.astype(np.uint64)))
+
+
+def _once(h: np.ndarray, row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each hash once per row, at its first position."""
+    first = np.sort(np.unique(_key(h, row), return_index=True)[1])
+    return h[first], row[first], at[first]
+
+
+def _all_places(h: np.ndarray, row: np.ndarray, place: np.ndarray, runs: list[bytes | None], start: np.ndarray, n_words: int) -> np.ndarray:
+    """Which of the hashes, at word ``place``, equal one at a position that ``runs`` names in the same row."""
+    told = np.zeros(n_words + 1, bool)
+    for k, own in enumerate(runs):
+        if own:
+            for x, y in np.frombuffer(own, "<i4").reshape(-1, 2).tolist():
+                told[start[k] + x : start[k] + y] = True
+    key = _key(h, row)
+    return np.isin(key, key[told[place]])
+
+
+def _rows(batch: pa.RecordBatch, a: int, h: np.ndarray, row: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    doc, alt = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(doc[row + a]), pa.array(alt[row + a]), pa.array(at.astype(np.int32))], ["h", "doc", "alt", "at"])
 
 
 def substring_dedup(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -147,52 +171,62 @@ def substring_dedup(docs: DataFrame, size: int = 13, id_col: str = "doc_id", tex
     texts = _keyed(docs, id_col, text_col)
     matched = texts.filter(F.col("doc").isNotNull())
 
+    def cover_anchors(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        h, row, at = window_hashes(words, counts, width)
+        take = np.isin(at % PERIOD, COVER) & (counts[row] >= size)
+        return h[take], row[take], at[take]
+
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, alt = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for a, b, raw, offs in text_parts(batch.column(2)):
-                words, counts = word_hashes(raw, offs)
-                h, row, at = window_hashes(words, counts, width)
-                take = np.isin(at % PERIOD, COVER) & (counts[row] >= size)
-                h, row, at = h[take].view(np.int64), row[take] + a, at[take]
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(doc[row]), pa.array(alt[row]), pa.array(at.astype(np.int32))], ["h", "doc", "alt", "at"])
+            for a, _, raw, offs in text_parts(batch.column(2)):
+                yield _rows(batch, a, *_once(*cover_anchors(*word_hashes(raw, offs))))
 
     def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, alt, runs = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(3).to_pylist()
+            runs = batch.column(3).to_pylist()
             for a, b, raw, offs in text_parts(batch.column(2)):
                 words, counts = word_hashes(raw, offs)
+                start = np.cumsum(counts) - counts
+                h, row, at = cover_anchors(words, counts)
+                shared = np.zeros(len(words) + PERIOD + 1, np.int64)
+                shared[(start[row] + at)[_all_places(h, row, start[row] + at, runs[a:b], start, len(words))] + 1] = 1
+                upto = np.cumsum(shared)
                 h, row, at = window_hashes(words, counts, size)
-                begin = np.searchsorted(row, np.arange(b - a))
-                take = np.zeros(len(h), bool)
-                for k in range(b - a):
-                    for x, y in np.frombuffer(runs[a + k], "<i4").reshape(-1, 2).tolist():
-                        # anchors from x to y - 1; windows that contain one of them
-                        lo, hi = max(0, x - PERIOD + 1), min(y - 1, int(counts[k]) - size)
-                        if hi >= lo:
-                            take[begin[k] + lo : begin[k] + hi + 1] = True
-                h, row, at = h[take].view(np.int64), row[take] + a, at[take]
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(doc[row]), pa.array(alt[row]), pa.array(at.astype(np.int32))], ["h", "doc", "alt", "at"])
+                place = start[row] + at
+                take = upto[place + PERIOD] > upto[place]
+                yield _rows(batch, a, *_once(h[take], row[take], at[take]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            runs, texts_of = batch.column(3).to_pylist(), batch.column(2).to_pylist()
             n, gone, kept = [], [], []
-            for text, runs in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                words = (text or "").encode().split()
-                n.append(len(words))
-                if runs:
-                    for x, y in reversed(np.frombuffer(runs, "<i4").reshape(-1, 2).tolist()):
-                        del words[x:y]
-                gone.append(n[-1] - len(words))
-                kept.append(b" ".join(words))
+            for a, b, raw, offs in text_parts(batch.column(2)):
+                covered = None
+                if any(runs[a:b]):
+                    words, counts = word_hashes(raw, offs)
+                    start = np.cumsum(counts) - counts
+                    h, row, at = window_hashes(words, counts, size)
+                    place = start[row] + at
+                    place = place[_all_places(h, row, place, runs[a:b], start, len(words))]
+                    change = np.zeros(len(words) + 1, np.int64)
+                    np.add.at(change, place, 1)
+                    np.add.at(change, place + size, -1)
+                    covered = np.cumsum(change) > 0
+                for k in range(a, b):
+                    own = (texts_of[k] or "").encode().split()
+                    n.append(len(own))
+                    if runs[k]:
+                        own = list(compress(own, (~covered[start[k - a] : start[k - a] + len(own)]).tolist()))
+                    gone.append(n[-1] - len(own))
+                    kept.append(b" ".join(own))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()), pa.array([x.decode() for x in kept], pa.string())],
                 ["id", "n_words", "n_removed", "kept_sha256", "kept"],
             )
 
     rows = "h long, doc long, alt int, at int"
-    found = _told(matched.mapInArrow(anchors, rows), False, 1, "anchors")
-    windows = _with_runs(matched, found).filter("runs is not null").select("doc", "alt", "text", "runs").mapInArrow(extended, rows)
-    cuts = _told(windows, True, size, "cuts")
-    out = _with_runs(texts, cuts).select("doc", "alt", "text", "runs").mapInArrow(cut, "id long, n_words long, n_removed long, kept_sha256 string, kept string")
+    found = _told(matched.mapInArrow(anchors, rows), False, "anchors")
+    windows = matched.join(found, ["doc", "alt"]).select("doc", "alt", "text", "runs").mapInArrow(extended, rows)
+    cuts = _told(windows, True, "cuts")
+    out = texts.join(cuts, ["doc", "alt"], "left").select("doc", "alt", "text", "runs").mapInArrow(cut, "id long, n_words long, n_removed long, kept_sha256 string, kept string")
     return out.withColumnRenamed("id", id_col)
