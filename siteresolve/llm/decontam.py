@@ -71,9 +71,9 @@ class Passages:
         self.row = np.repeat(np.arange(len(counts)), per_row)
         self.slot = np.arange(self.n) - np.repeat(first, per_row)
         at, place = terms.find(words)
+        self.at, self.place = at, place  # all words that are terms, in order
         start = np.cumsum(counts) - counts
-        row = np.searchsorted(start, at, "right") - 1
-        row = row if not len(at) else np.repeat(np.arange(len(counts)), counts)[at]
+        row = np.repeat(np.arange(len(counts)), counts)[at]
         slot = (at - start[row]) // STRIDE
         inside = slot < per_row[row]
         before = slot > 0
@@ -109,6 +109,9 @@ class Items:
         last = [t.rstrip(" \n.!?").replace("\n", " ") for t in texts]
         self.answers = [w[-ANSWER_WORDS:] for w in self._words([max(x.rpartition(". ")[2], x.rpartition("? ")[2], key=lambda y: -len(y)) for x in last])]
         self.vocabulary = np.unique(np.concatenate(self.words)) if rows else np.zeros(0, np.uint64)
+        self.terms = [np.searchsorted(self.vocabulary, w) for w in self.words]
+        self.masks = [bit_places(t) for t in self.terms]
+        self.answer_masks = [bit_places(np.searchsorted(self.vocabulary, a)) for a in self.answers]
 
     @staticmethod
     def _words(texts: list[str]) -> list[np.ndarray]:
@@ -126,17 +129,23 @@ class Items:
         return out
 
 
-def lcs(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence, a bit per element of ``a``."""
+def bit_places(a: np.ndarray) -> tuple[int, dict[int, int]]:
+    """Length of a sequence, and for each value a number with a bit for each of its places."""
     places: dict[int, int] = {}
     for k, x in enumerate(a.tolist()):
         places[x] = places.get(x, 0) | 1 << k
-    whole = s = (1 << len(a)) - 1
-    for x in b.tolist():
+    return len(a), places
+
+
+def lcs(a: tuple[int, dict[int, int]], b: list[int]) -> int:
+    """Length of the longest common subsequence of a sequence, given as its bit_places, and another: a bit per element of the first."""
+    n, places = a
+    whole = s = (1 << n) - 1
+    for x in b:
         if m := places.get(x):
             u = s & m
             s = (s + u | s - u) & whole
-    return len(a) - s.bit_count()
+    return n - s.bit_count()
 
 
 def frequencies(docs: DataFrame, vocabulary: np.ndarray, text_col: str) -> tuple[int, np.ndarray]:
@@ -232,16 +241,23 @@ def _search(docs: DataFrame, rows: list[tuple[int, str]], id_col: str, text_col:
                 cosine = (z @ targets) / np.where(size > 0, size, 1)[:, None]
                 start = np.cumsum(counts) - counts
                 best: dict[tuple[int, int], tuple] = {}
+                present = np.zeros(len(items.vocabulary), bool)
                 for k, i in zip(*np.nonzero(cosine >= least_cosine)):
-                    row, slot, item = int(p.row[own[k]]), int(p.slot[own[k]]), items.words[i]
-                    lo = max(0, slot * STRIDE - len(item))
-                    hi = min(int(counts[row]), (slot + 2) * STRIDE + len(item))
-                    part = words[start[row] + lo : start[row] + hi]
-                    share = lcs(item, part) / len(item)
+                    row, slot, n = int(p.row[own[k]]), int(p.slot[own[k]]), len(items.words[i])
+                    lo = max(0, slot * STRIDE - n)
+                    hi = min(int(counts[row]), (slot + 2) * STRIDE + n)
+                    # words that aren't terms match nothing in an item
+                    part = p.place[slice(*np.searchsorted(p.at, (start[row] + lo, start[row] + hi)))]
+                    present[part] = True
+                    most = present[items.terms[i]].sum()  # no subsequence is longer
+                    present[part] = False
+                    if most < answered * n:
+                        continue
+                    said_here = part.tolist()
+                    share = lcs(items.masks[i], said_here) / n
                     if share < answered:
                         continue
-                    answer = items.answers[i]
-                    said = len(answer) > 0 and lcs(answer, part) == len(answer)
+                    said = items.answer_masks[i][0] > 0 and lcs(items.answer_masks[i], said_here) == items.answer_masks[i][0]
                     if share >= alone or said:
                         key = (row, int(i))
                         best[key] = max(best.get(key, (-1.0,)), (share, float(cosine[k, i]), said, slot * STRIDE))

@@ -138,7 +138,7 @@ def test_lcs(a, b):
     for i in range(len(a)):
         for j in range(len(b)):
             t[i + 1][j + 1] = t[i][j] + 1 if a[i] == b[j] else max(t[i][j + 1], t[i + 1][j])
-    assert decontam.lcs(np.array(a, np.uint64), np.array(b, np.uint64)) == t[-1][-1]
+    assert decontam.lcs(decontam.bit_places(np.array(a, np.int64)), b) == t[-1][-1]
 
 
 # ---- 3: exact dedup -------------------------------------------------------------------------

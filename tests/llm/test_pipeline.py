@@ -44,7 +44,7 @@ def test_pipeline_equals_plain_stages(spark):
     kept = {i for i, _, _, k in brute_near(left, 5, 80, 100) if k}
     left = [(i, t) for i, t in left if i in kept]
     words = decontam.Items(items).words
-    held = lambda t: any(decontam.lcs(w, decontam.Items([(0, t)]).words[0]) >= 0.8 * len(w) for w in words)
+    held = lambda t: any(decontam.lcs(decontam.bit_places(w), decontam.Items([(0, t)]).words[0].tolist()) >= 0.8 * len(w) for w in words)
     left = {i for i, t in left if not held(t)}
 
     got = corpus_pipeline.run(spark, d).collect()
