@@ -29,7 +29,7 @@ def profiles(locations: Column) -> Column:
         F.when(
             # a name inside the text counts wherever it stands, as "uk" does in "ukraine"
             F.exists(_array([_plain(n) for n in names]), lambda n: said.contains(n)),
-            F.struct(F.lit(code).alias("code"), _array(names).alias("names"), _array(tlds).alias("tlds"), _array(official).alias("official"), _array(service).alias("service")),
+            F.struct(F.lit(code).alias("code"), _array(names).alias("names"), _array([_plain(n) for n in names]).alias("plain"), _array(tlds).alias("tlds"), _array(official).alias("official"), _array(service).alias("service")),
         )
         for code, names, tlds, official, service in COUNTRIES
     ]
@@ -46,6 +46,13 @@ def text_markers(locations: Column) -> Column:
     return F.array_distinct(F.filter(F.concat(F.flatten(F.transform(profiles(locations), lambda p: p["names"])), given), lambda x: x != ""))
 
 
+def plain_markers(locations: Column) -> Column:
+    """The markers in normalized form, without blank ones. The profiles' names are literals that were normalized beforehand."""
+    given = F.coalesce(locations, F.array().cast("array<string>"))
+    named = F.flatten(F.transform(profiles(locations), lambda p: p["plain"]))
+    return F.array_distinct(F.filter(F.concat(named, F.transform(given, lambda x: text.normalized(x))), lambda x: x != ""))
+
+
 def domain_signal(name: Column, locations: Column) -> Column:
     """match, conflict or neutral: the domain's country against the locations' countries."""
     end = urls.suffix(name)

@@ -214,7 +214,7 @@ def page_reasons(is_home: Column) -> Column:
     )
     places = F.coalesce("provider_locations", F.array().cast("array<string>"))
     named = F.get(F.filter(places, lambda p: (text.normalized(p) != "") & said.contains(text.normalized(p))), F.lit(0))
-    country = F.exists(geo.text_markers(places), lambda m: (text.normalized(m) != "") & said.contains(text.normalized(m)))
+    country = F.exists(geo.plain_markers(places), lambda m: said.contains(m))
     return F.concat(
         F.array_compact(
             F.array(

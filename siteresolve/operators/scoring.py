@@ -58,7 +58,7 @@ def score_candidates(candidates: DataFrame) -> DataFrame:
             "in_said": F.filter("words", lambda t: F.col("said").contains(t)),
             "services": F.size(F.filter(_plain(SERVICE_KEYWORDS), lambda k: F.col("said").contains(k))),
             "signal": geo.domain_signal(F.col("domain"), F.col("provider_locations")),
-            "markers": F.filter(F.transform(geo.text_markers(F.col("provider_locations")), lambda m: text.normalized(m)), lambda m: m != ""),
+            "markers": geo.plain_markers(F.col("provider_locations")),
             "searched": F.col("rank").isNotNull() & (F.col("rank") > 0),
         }
     )
