@@ -15,9 +15,11 @@ items, since only they add to a cosine with an item.
    is itself a subsequence of that part. Word order and most words must thus agree, but words may be
    put in, left out or replaced.
 
-Terms in more than COMMON of all passages don't take part in candidate search (they do in the
-subsequence), unless an item has no other. Items are searched in blocks of about BLOCK_BYTES of
-text, so what goes to the tasks is bounded whatever the benchmark's size.
+All terms that stand in some passage take part in candidate search, by the smoothed IDF
+1 + log((n + 1) / (df + 1)): an altered item's kept words count even where they are in most passages,
+and words of no passage, which can't add to a cosine, take nothing from it. Terms in more than COMMON
+of all passages are multiplied as dense columns, the others one by one. Items are searched in blocks
+of about BLOCK_BYTES of text, so what goes to the tasks is bounded whatever the benchmark's size.
 
 Null or empty texts have no passages; items without words match nothing; a document shorter than a
 passage is one passage. Repeated documents are all reported. Results: a row per (document, item).
@@ -41,6 +43,7 @@ COMMON = 0.01
 SLICE = 256
 ANSWER_WORDS = 8
 BLOCK_BYTES = 4 << 20
+LONGEST_BOUNDED = 256
 LEAST_COSINE = 0.3
 
 
@@ -82,15 +85,44 @@ class Passages:
         key, self.count = np.unique(key, return_counts=True)
         self.passage, self.term = key // d, key % d
 
-    def times(self, weights: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def weighted(self, weights: np.ndarray, often: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """TF-IDF matrix A: its columns of the terms at ``often``, and passage, term and value of its other entries that aren't 0."""
+        often = np.zeros(0, np.int64) if often is None else often
+        column = np.full(len(weights), -1)
+        column[often] = np.arange(len(often))
+        value, at = (weights[self.term] * (1 + np.log(self.count))).astype(np.float32), column[self.term]
+        dense = np.zeros((self.n, len(often)), np.float32)
+        many = at >= 0
+        dense[self.passage[many], at[many]] = value[many]
+        few = ~many & (value > 0)
+        return dense, self.passage[few], self.term[few], value[few]
+
+    def times(self, weights: np.ndarray, matrix: np.ndarray, often: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Passages with a term of some weight, and their rows of A @ matrix."""
-        w = weights[self.term]
-        use = w > 0
-        passage, term, value = self.passage[use], self.term[use], (w * (1 + np.log(self.count)))[use].astype(np.float32)
-        if not len(passage):
-            return passage, np.zeros((0, matrix.shape[1]), np.float32)
-        begin = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
-        return passage[begin], np.add.reduceat(matrix[term] * value[:, None], begin, axis=0)
+        dense, passage, term, value = self.weighted(weights, often)
+        rows = dense @ matrix[often] if dense.shape[1] else np.zeros((self.n, matrix.shape[1]), np.float32)
+        if len(passage):
+            begin = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
+            rows[passage[begin]] += np.add.reduceat(matrix[term] * value[:, None], begin, axis=0)
+        own = np.unique(self.passage[weights[self.term] > 0])
+        return own, rows[own]
+
+    def shared(self, places: np.ndarray, often: np.ndarray, length: int) -> np.ndarray:
+        """Upper bounds, by passage and item, of the item's words (``places``: term x item) that stand in the passage widened by ``length`` words."""
+        dense, passage, term, _ = self.weighted(np.ones(len(places), np.float32), often)
+        here = (dense > 0).astype(np.float32)
+        few = np.zeros((self.n, places.shape[1]), np.float32)
+        if len(passage):
+            begin = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
+            few[passage[begin]] = np.add.reduceat(places[term], begin, axis=0)
+        near, most = here.copy(), few.copy()
+        for k in range(1, min(-(-length // STRIDE), self.n - 1) + 1):
+            same = (self.row[k:] == self.row[:-k]).astype(np.float32)[:, None]
+            np.maximum(near[k:], here[:-k] * same, out=near[k:])
+            np.maximum(near[:-k], here[k:] * same, out=near[:-k])
+            most[k:] += few[:-k] * same
+            most[:-k] += few[k:] * same
+        return most + near @ places[often]
 
 
 def parts(column: pa.Array, terms: Terms) -> Iterator[tuple[int, np.ndarray, np.ndarray, Passages]]:
@@ -170,17 +202,11 @@ def frequencies(docs: DataFrame, vocabulary: np.ndarray, text_col: str) -> tuple
     return n, out
 
 
-def term_weights(n: int, df: np.ndarray, items: Items) -> np.ndarray:
-    idf = np.log((n + 1) / (df + 1)).astype(np.float32) + 0.01
-    rare = df <= COMMON * n
-    for w in items.words:
-        place = np.searchsorted(items.vocabulary, w)
-        if len(place) and not rare[place].any():
-            rare[place] = True
-    return np.where(rare, idf, np.float32(0))
+def term_weights(n: int, df: np.ndarray) -> np.ndarray:
+    return np.where(df > 0, 1 + np.log((n + 1) / (df + 1)), 0).astype(np.float32)
 
 
-def latent_basis(docs: DataFrame, items: Items, weights: np.ndarray, text_col: str, rank: int = RANK, seed: int = 5) -> np.ndarray:
+def latent_basis(docs: DataFrame, items: Items, weights: np.ndarray, text_col: str, rank: int = RANK, seed: int = 5, often: np.ndarray | None = None) -> np.ndarray:
     """V (D x rank): approximate right singular vectors of the passages' TF-IDF matrix, items included as rows."""
     d = len(items.vocabulary)
     rank = min(rank, d)
@@ -190,16 +216,18 @@ def latent_basis(docs: DataFrame, items: Items, weights: np.ndarray, text_col: s
         terms, total = Terms(items.vocabulary), np.zeros((d, rank), np.float32)
         for batch in batches:
             for _, _, _, p in parts(batch.column(0), terms):
-                own, y = p.times(weights, draw)
-                if not len(own):
+                own, some = p.times(weights, draw, often)
+                y = np.zeros((p.n, rank), np.float32)
+                y[own] = some
+                dense, passage, term, value = p.weighted(weights, often)
+                if dense.shape[1]:
+                    total[often] += dense.T @ y
+                if not len(term):
                     continue
-                value = (weights[p.term] * (1 + np.log(p.count))).astype(np.float32)
-                use = np.flatnonzero(value > 0)
-                use = use[np.argsort(p.term[use], kind="stable")]
-                term = p.term[use]
+                order = np.argsort(term, kind="stable")
+                term = term[order]
                 begin = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
-                rows = y[np.searchsorted(own, p.passage[use])]
-                total[term[begin]] += np.add.reduceat(rows * value[use, None], begin, axis=0)
+                total[term[begin]] += np.add.reduceat(y[passage[order]] * value[order, None], begin, axis=0)
         for k in range(0, d, SLICE):
             if (piece := total[k : k + SLICE]).any():
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([piece.tobytes()], pa.binary())], ["at", "sums"])
@@ -223,26 +251,34 @@ def latent_basis(docs: DataFrame, items: Items, weights: np.ndarray, text_col: s
 def _search(docs: DataFrame, rows: list[tuple[int, str]], id_col: str, text_col: str, alone: float, answered: float, least_cosine: float) -> DataFrame:
     items = Items(rows)
     n, df = frequencies(docs, items.vocabulary, text_col)
-    weights = term_weights(n, df, items)
-    basis = latent_basis(docs, items, weights, text_col)
+    weights, often = term_weights(n, df), np.flatnonzero(df > COMMON * n)
+    basis = latent_basis(docs, items, weights, text_col, often=often)
     targets = items.vectors(weights) @ basis
     norms = np.linalg.norm(targets, axis=1)
     targets = (targets / np.where(norms > 0, norms, 1)[:, None]).T.copy()
-    sent = docs.sparkSession.sparkContext.broadcast((items, weights, basis, targets))
+    longest = max(map(len, items.words))
+    places = np.zeros((len(items.vocabulary), len(items.words)), np.float32)
+    for k, t in enumerate(items.terms):
+        np.add.at(places[:, k], t, 1)
+    least = np.array([answered * len(w) for w in items.words], np.float32) - 0.001
+    sent = docs.sparkSession.sparkContext.broadcast((items, weights, often, basis, targets, places, least))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, weights, basis, targets = sent.value
+        items, weights, often, basis, targets, places, least = sent.value
         terms = Terms(items.vocabulary)
         for batch in batches:
             doc_ids, out = batch.column(0), []
             for a, words, counts, p in parts(batch.column(1), terms):
-                own, z = p.times(weights, basis)
+                own, z = p.times(weights, basis, often)
                 size = np.linalg.norm(z, axis=1)
                 cosine = (z @ targets) / np.where(size > 0, size, 1)[:, None]
+                likely = cosine >= least_cosine
+                if longest <= LONGEST_BOUNDED:  # pairs without enough words in common are left out at once
+                    likely &= p.shared(places, often, longest)[own] >= least
                 start = np.cumsum(counts) - counts
                 best: dict[tuple[int, int], tuple] = {}
                 present = np.zeros(len(items.vocabulary), bool)
-                for k, i in zip(*np.nonzero(cosine >= least_cosine)):
+                for k, i in zip(*np.nonzero(likely)):
                     row, slot, n = int(p.row[own[k]]), int(p.slot[own[k]]), len(items.words[i])
                     lo = max(0, slot * STRIDE - n)
                     hi = min(int(counts[row]), (slot + 2) * STRIDE + n)

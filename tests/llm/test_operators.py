@@ -109,6 +109,24 @@ def test_leaks_and_paraphrases(spark):
     assert decontam.leaks(docs(spark, rows), spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("every, length", [(3, 300), (1, 20), (50, 300)])
+def test_leaks_find_paraphrases_in_many_or_few_documents(spark, every, length):
+    """One altered form of an item, whose replaced words are rare or absent, in a third of long documents, in all short ones, and in few."""
+    rng = random.Random(4)
+    items = [(k, " ".join(f"i{k}x{j}" for j in range(40))) for k in range(3)]
+    form = [x if j % 8 else f"new{j}" for j, x in enumerate(items[0][1].split())]
+    rows, planted = [], set()
+    for k in range(300):
+        w = [f"w{rng.randint(0, 2000)}" for _ in range(length)]
+        if k % every == 0:
+            w[7:7] = form
+            planted.add((k, 0))
+        rows.append((k, " ".join(w)))
+    rows.append((900, items[0][1]))
+    found = decontam.leaks(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == planted | {(900, 0)}
+
+
 def test_latent_candidates_reach_exact_cosines(spark):
     """Recall of the latent candidate search against brute-force cosines over all passages."""
     rng = random.Random(5)
