@@ -5,18 +5,19 @@ text is one space plus itself, cut before every space that follows another chara
 has a space inside it, so no merge crosses such a cut - and between Latin letters and other
 characters, if the model has no piece with both. In each part, an agenda holds the adjacent pairs
 whose joined piece exists, best rank first, leftmost first. A pair that is popped is skipped if a
-keyed hash says so: BLAKE2b with the seed as key, over the variant and the part's text, mixed with
-the pair's place. So the segmentation is the same on every run and machine, and another seed (an
-epoch) or another variant gives another one. With ``variants`` above 1 a document takes the variant
-that a hash of its id names, so one word is cut in several ways in one run; each variant costs about
-half of the first one's time again. Skipping nothing (``dropout`` 0) gives the library's own ids.
+keyed hash says so: BLAKE2b with the seed as key, over the variant and the document's id, mixed with
+the part's place in the document and the pair's place in the part. So the segmentation is the same
+on every run and machine, every occurrence of a word draws its own skips, and another seed (an
+epoch) or another variant gives other ones. With ``variants`` above 1 a document also takes the
+variant that a hash of its id names. Skipping nothing (``dropout`` 0) gives the library's own ids.
 
 A character without a piece becomes its UTF-8 bytes' pieces, and so does U+2581 (the model's own
 mark for a space), which the library would turn into a space. Decoding joins the pieces' bytes and
 takes off the first space, so every text comes back as it was.
 
-Null and empty texts have no pieces, and an empty decoded text. Repeated rows get equal ids. Parts
-met before are kept in a bounded table per worker; very long parts aren't kept.
+Null and empty texts have no pieces, and an empty decoded text. Repeated rows (id and text) get equal
+ids. What dropout doesn't change - a part's symbols and its first agenda; all ids, if nothing is
+skipped - is kept in a bounded table per worker; very long parts aren't kept.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 DROPOUT = 0.1
 SEED = 17
 VARIANTS = 1
-KEPT_PARTS = 900_000
+KEPT_PARTS = 200_000
 LONGEST_KEPT = 64
 _PARTS = re.compile(r" +[^ ]*|[^ ]+")
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -75,35 +76,42 @@ def pieces(path: str) -> tuple[dict[str, tuple[int, int]], list[int], list[bytes
 
 
 class Encoder:
-    """Encodes and decodes. Parts met before are kept by variant, and their runs by ~variant, in two generations: when the newer is full it becomes the older, and parts used since stay."""
+    """Encodes and decodes. The runs' beginnings are kept in two generations: when the newer is full it becomes the older, and those used since stay."""
 
     def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED, kept: int = KEPT_PARTS):
         self.by_piece, self.by_byte, self.raw, self.apart = pieces(path)
         self.limit, self.key, self.kept = int(dropout * (1 << 64)), f"merge-dropout {seed}".encode(), kept // 2
-        self.newer: dict[int, dict[str, bytes]] = {}
-        self.older: dict[int, dict[str, bytes]] = {}
+        self.newer: dict[str, tuple | list] = {}
+        self.older: dict[str, tuple | list] = {}
 
-    def run(self, text: str, variant: int, newer: dict[str, bytes], older: dict[str, bytes]) -> bytes:
-        got = newer.get(text)
+    def begin(self, text: str) -> tuple[list, list[int], list[int]]:
+        """Of a run: the pieces of its characters, where they end, and the first agenda, a heap. An entry is one number: the joined piece's rank, then where it begins, then where it ends."""
+        get, n = self.by_piece.get, len(text)
+        wide = 24 if n < 1 << 24 else 48
+        agenda = [(p[0] << wide | k) << wide | k + 2 for k, p in enumerate(map(get, map(add, text, text[1:]))) if p]
+        heapify(agenda)
+        return list(map(get, text)), list(range(1, n + 1)), agenda
+
+    def run(self, text: str, start: int) -> list[int]:
+        """Ids of a run; ``start`` is its occurrence's hash."""
+        got = self.newer.get(text)
         if got is None:
-            got = older.get(text)
+            got = self.older.get(text)
             if got is None:
-                got = array("i", self.part(text, variant)).tobytes()
+                got = self.begin(text) if self.limit else self.part(text, 0, *self.begin(text))
             if len(text) <= LONGEST_KEPT:
-                newer[text] = got
-        return got
+                self.newer[text] = got
+                if len(self.newer) > self.kept:
+                    self.older, self.newer = self.newer, {}
+        return self.part(text, start, *got) if self.limit else got
 
-    def part(self, text: str, variant: int) -> list[int]:
-        """Ids of a part, by the agenda. An entry is one number: the joined piece's rank, then where it begins, then where it ends."""
+    def part(self, text: str, start: int, own: list, end: list[int], agenda: list[int]) -> list[int]:
+        """Ids of a run, by the agenda."""
         get, limit, n = self.by_piece.get, self.limit, len(text)
         wide = 24 if n < 1 << 24 else 48
         low = (1 << wide) - 1
-        start = int.from_bytes(blake2b(f"{variant} {text}".encode(), key=self.key, digest_size=8).digest(), "little") if limit else 0
-        own = list(map(get, text))  # the piece of the symbol that begins here
-        end = list(range(1, n + 1))  # of that symbol; 0 once merged into another
+        own, end, agenda = own.copy(), end.copy(), agenda.copy()  # own: the piece of the symbol that begins here; end: of that symbol, 0 once merged into another
         before = list(range(-1, n - 1))
-        agenda = [(p[0] << wide | k) << wide | k + 2 for k, p in enumerate(map(get, map(add, text, text[1:]))) if p]
-        heapify(agenda)
         while agenda:
             x = heappop(agenda)
             a, c = x >> wide & low, x & low
@@ -131,33 +139,23 @@ class Encoder:
                 out += [own[k][1]] if own[k] else [self.by_byte[x] for x in text[k].encode()]
         return out
 
-    def encode(self, text: str, variant: int = 0) -> np.ndarray:
+    def encode(self, text: str, variant: int = 0, doc_id: object = None) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
-        # keys of parts are without their first space, which every part has
         if "  " in text or text[0] == " " or text[-1] == " ":
-            parts = [x[1:] for x in _PARTS.findall(" " + text)]
-        else:
-            parts = text.split(" ")
-        newer, older = self.newer.setdefault(variant, {}), self.older.get(variant, {})
-        runs = self.newer.setdefault(~variant, {}), self.older.get(~variant, {})
-        long = {}
-        for x in set(parts).difference(newer):
-            got = older.get(x)
-            if got is None:
-                # where the model keeps letters apart, by the part's runs of letters and of others, which then are known too
-                got = b"".join([self.run(y, variant, *runs) for y in _LETTERS_APART.findall(" " + x)]) if self.apart else self.run(" " + x, variant, *runs)
-            if len(x) <= LONGEST_KEPT:
-                newer[x] = got
-            else:
-                long[x] = got
-        if long:
-            joined = b"".join([long[x] if x in long else newer[x] for x in parts])
+            parts = _PARTS.findall(" " + text)
         else:
-            joined = b"".join(map(newer.__getitem__, parts))
-        if sum(map(len, self.newer.values())) > self.kept:
-            self.older, self.newer = self.newer, {}
-        return np.frombuffer(joined, np.int32)
+            parts = [" " + x for x in text.split(" ")]
+        document = int.from_bytes(blake2b(f"{variant} {doc_id}".encode(), key=self.key, digest_size=8).digest(), "little")
+        out, place, run = [], 0, self.run
+        for x in parts:
+            # where the model keeps letters apart, by the part's runs of letters and of others
+            for y in _LETTERS_APART.findall(x) if self.apart and not x[1:].isalpha() else (x,):
+                z = (document + place * 0x9E3779B97F4A7C15) & _M
+                z = (z ^ z >> 30) * 0xBF58476D1CE4E5B9 & _M
+                out += run(y, z ^ z >> 27)
+                place += 1
+        return np.array(out, np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.raw.__getitem__, ids.tolist()))[1:].decode()
@@ -177,7 +175,7 @@ def encode_documents(docs: DataFrame, path: str, dropout: float = DROPOUT, seed:
                 batch = whole.slice(a, 2000)
                 ids, crc, sha, same = [], [], [], []
                 for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    got = encoder.encode(text or "", variant_of(doc_id, variants))
+                    got = encoder.encode(text or "", variant_of(doc_id, variants), doc_id)
                     back = encoder.decode(got)
                     ids.append(got)
                     crc.append(zlib.crc32(got.astype("<u4").tobytes()))

@@ -222,6 +222,19 @@ def test_merge_dropout_varies_by_seed_only(spark):
     assert sp_dropout.encode_documents(docs(spark, []), path).count() == 0
 
 
+def test_merge_dropout_varies_by_occurrence(spark):
+    """Occurrences of one word are cut in several ways, within a document and between documents, and the same way on every run."""
+    path = tokenizer_file("piece_bpe_32k.model")
+    df = sp_dropout.encode_documents(docs(spark, [(1, "international " * 60), (2, "international " * 60), (3, "international")]), path)
+    got = {r["doc_id"]: r["ids"] for r in df.collect()}
+    one = got[1]
+    assert one != got[2] and got == {r["doc_id"]: r["ids"] for r in df.repartition(3).collect()}
+    assert len({sp_dropout.Encoder(path).encode("international", 0, k).tobytes() for k in range(60)}) > 2
+    cuts = sp_dropout.Encoder(path, 0).encode("international").tolist()
+    assert any(one[k : k + len(cuts)] != cuts for k in range(0, 50 * len(cuts), len(cuts)))
+    assert one != (one[: len(one) // 60] * 60)[: len(one)]
+
+
 # ---- 6: substring dedup ---------------------------------------------------------------------
 
 
