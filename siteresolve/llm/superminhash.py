@@ -11,7 +11,8 @@ From signatures to components:
 1. Rows with equal sets are one node (the row with the smallest id). BANDS bands of ROWS registers
    give bucket keys; a bucket ties its nodes to its smallest one. Connected, these are candidate
    clusters: every pair that shares a bucket is inside one cluster. A pair at the threshold 0.85
-   shares none with probability (1 - 0.85**8)**40 = 3e-6.
+   shares none with probability (1 - 0.85**8)**40 = 3e-6, a pair at the pipeline's 0.8 with
+   (1 - 0.8**8)**40 = 6.5e-4 (registers taken as independent).
 2. Clusters are verified on full sets of 64-bit shingle hashes. A cluster is cut into blocks of
    about BLOCK nodes by hash, each block one group of a grouped function: all its pairs that
    aren't connected yet are compared.
