@@ -2,7 +2,9 @@
 
 Learning takes a bounded, documented sample: for each language at most SAMPLE_TEXTS labelled texts
 (the smallest hash in each of as many hash bins, so every row has its chance), of which
-DICTIONARY_BYTES bytes at most make the language's raw-content dictionary. Prediction takes every
+DICTIONARY_BYTES bytes at most make the language's raw-content dictionary. Each of a language's n
+chosen texts gives DICTIONARY_BYTES / n characters at most, from a place that a hash of its id names,
+and DICTIONARY_BYTES / n bytes of their letters at most. Prediction takes every
 whole text: lower-cased, with everything but letters turned into single spaces, it is cut into pieces of about PIECE bytes (so that a long text can't become its own
 dictionary), each piece is compressed with each dictionary, and sizes are summed. The smallest
 sum wins; equal sums go to the first language in alphabetical order.
@@ -18,6 +20,7 @@ Null or letterless text: ``und``, score 0. With no labelled rows at all every pr
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -49,15 +52,17 @@ def dictionaries(docs: DataFrame, id_col: str = "doc_id", sample_texts: int = SA
     picked = [(r["__lang"], r["__id"]) for r in chosen.collect()]
     if not picked:
         return {}
-    share = size // sample_texts * 4
-    texts = rows.filter(F.col(id_col).isin([i for _, i in picked])).select("lang", id_col, F.substring("text", 1, share).alias("text"))
+    share = {lang: size // n for lang, n in Counter(lang for lang, _ in picked).items()}
+    most = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])[F.col("lang")]
+    place = F.pmod(F.xxhash64(id_col, F.lit(13)), F.greatest(F.length("text") - most, F.lit(0)) + 1).cast("int") + 1
+    texts = rows.filter(F.col(id_col).isin([i for _, i in picked])).select("lang", id_col, F.substring("text", place, most).alias("text"))
     by_lang: dict[str, list[tuple]] = {}
     for r in texts.collect():
         by_lang.setdefault(r["lang"], []).append((r[id_col], r["text"]))
     out = {}
     for lang, own in by_lang.items():
         # the part nearest the end is the cheapest to refer to; order by id for the same content on every run
-        out[lang] = letters(" ".join(x for _, x in sorted(own)))[:size]
+        out[lang] = b" ".join(letters(x)[: share[lang]] for _, x in sorted(own) if x)[:size]
     return out
 
 

@@ -193,6 +193,15 @@ def test_language_id(spark):
     assert langid.language_id(df.limit(0)).count() == 0
 
 
+def test_every_chosen_text_is_in_the_dictionary(spark):
+    """Long texts with one opening: all 64 chosen ones have a share, and not of the opening alone."""
+    name = lambda k: "q" + "".join(chr(97 + int(c)) for c in f"{k:03d}")
+    rows = [(k, "opening " * 1500 + (name(k) + " ") * 6000, "en") for k in range(300)]
+    got = langid.dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))["en"]
+    assert len(got) <= langid.DICTIONARY_BYTES
+    assert len({name(k) for k in range(300) if (name(k) + " ").encode() in got}) >= 35
+
+
 # ---- 5: SentencePiece -----------------------------------------------------------------------
 
 MIXED = st.lists(st.sampled_from(list("abcdething ,.()'\n\t") + ["  ", "é", "日", "́", "ﬁ", "𝒳", "▁", "<s>"]), max_size=40).map("".join)
