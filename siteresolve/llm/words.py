@@ -36,7 +36,8 @@ _LOWER[ord("A") : ord("Z") + 1] = _VALUE[ord("a") : ord("z") + 1]
 _powers: list[np.ndarray] = []
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2**64, from 0 to ``n`` at least."""
     if not _powers or len(_powers[0]) <= n:
         size = max(n + 1, PART_BYTES * 2)
         tables = []
@@ -77,7 +78,7 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = False, separ
     ends = visible.copy()
     ends[:-1] &= ~visible[1:] | first[1:n]
     at, to = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    power, inverse = _power_tables(n)
+    power, inverse = power_tables(n)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum((_LOWER if lower else _VALUE)[raw] * power[:n], out=total[1:])
     hashes = mixed((total[to] - total[at]) * inverse[at])

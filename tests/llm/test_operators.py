@@ -209,16 +209,73 @@ MIXED = st.lists(st.sampled_from(list("abcdething ,.()'\n\t") + ["  ", "é", "
 
 @settings(max_examples=200, deadline=None)
 @given(MIXED, st.integers(0, 3))
-def test_merge_dropout_is_lossless_and_plain_without_dropout(text, variant):
+def test_merge_dropout_is_lossless_and_plain_without_dropout(text, doc_id):
     import sentencepiece
 
     path = tokenizer_file("piece_bpe_32k.model")
     plain, dropped = sp_dropout.Encoder(path, 0), sp_dropout.Encoder(path, 0.3)
-    assert dropped.decode(dropped.encode(text, variant)) == text == plain.decode(plain.encode(text))
+    assert dropped.decode(dropped.encode(text, doc_id)) == text == plain.decode(plain.encode(text))
     if "▁" not in text:
         assert plain.encode(text).tolist() == sentencepiece.SentencePieceProcessor(model_file=path).encode(text)
 
 
+def naive_dropout(path, text, doc_id, dropout, seed):
+    """Run by run, the best pair that is left found by scanning all of them."""
+    m = sp_dropout.model(path)
+    limit, out = round(dropout * 65536), []
+    letter = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]").match
+    runs = []
+    for k, c in enumerate(t := " " + text if text else ""):
+        new = k == 0 or (c == " " != t[k - 1]) or (" " not in (c, t[k - 1]) and bool(letter(c)) != bool(letter(t[k - 1])))
+        runs += [""] if new else []
+        runs[-1] += c
+    for place, x in enumerate(runs):
+        z = (sp_dropout.document_key(seed, doc_id) + place * sp_dropout._GOLDEN) % 2**64
+        occurrence = int(sp_dropout.mixed(np.array([z], np.uint64))[0])
+        parts, skipped, pop = list(x), set(), 0
+        while True:
+            begins = np.cumsum([0] + [len(y) for y in parts]).tolist()
+            pairs = [(m.by_piece[a + b][0], begins[k], begins[k + 2], k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in m.by_piece]
+            pairs = [y for y in pairs if (y[1], begins[y[3] + 1], y[2]) not in skipped]
+            if not pairs:
+                break
+            _, a, c, k = min(pairs)
+            if int(sp_dropout.draws(np.array([occurrence], np.uint64), pop)[0, pop % 4]) < limit:
+                skipped.add((a, begins[k + 1], c))
+            else:
+                parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            pop += 1
+        for y in parts:
+            out += [m.by_piece[y][1]] if y in m.by_piece else [m.by_byte[b] for b in y.encode()]
+    return out
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(MIXED, st.sampled_from(["international organisations", " understanding,understood", "a" * 60, "", "ﬁx\n日本 éèà"])), min_size=1, max_size=6), st.sampled_from([5, 48]))
+def test_merge_dropout_equals_a_plain_agenda(texts, longest):
+    """By tables side by side, and by the heap for longer runs."""
+    path, before = tokenizer_file("piece_bpe_32k.model"), sp_dropout.LONG
+    encoder = sp_dropout.Encoder(path, 0.25, 3)
+    raw = [t.encode() for t in texts]
+    offsets = np.append(0, np.cumsum([len(x) for x in raw]))
+    try:
+        sp_dropout.LONG = longest
+        ids, counts = encoder.encode_texts(np.frombuffer(b"".join(raw), np.uint8), offsets, list(range(len(texts))))
+    finally:
+        sp_dropout.LONG = before
+    got = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+    assert got == [naive_dropout(path, t, k, 0.25, 3) for k, t in enumerate(texts)]
+    back, ends = encoder.decode_texts(ids, counts)
+    assert back.tobytes() == b"".join(raw) and ends.tolist() == offsets[1:].tolist()
+
+
+def test_merge_dropout_query_equals_a_plain_agenda(spark):
+    path = tokenizer_file("piece_bpe_32k.model")
+    rows = [*EDGE[:4], (6, "international segmentation, of organisations\n\nagain é日 " * 4), (6, "international segmentation"), (8, "y" * 300)]
+    got = rows_of(sp_dropout.encode_documents(docs(spark, rows), path), "doc_id", "ids", "lossless")
+    assert got == sorted(((i, naive_dropout(path, t or "", i, sp_dropout.DROPOUT, sp_dropout.SEED), True) for i, t in rows), key=repr)
+
+
 def test_merge_dropout_varies_by_seed_only(spark):
     path = tokenizer_file("piece_bpe_32k.model")
     text = "international organisations understand segmentation " * 20
@@ -238,7 +295,7 @@ def test_merge_dropout_varies_by_occurrence(spark):
     got = {r["doc_id"]: r["ids"] for r in df.collect()}
     one = got[1]
     assert one != got[2] and got == {r["doc_id"]: r["ids"] for r in df.repartition(3).collect()}
-    assert len({sp_dropout.Encoder(path).encode("international", 0, k).tobytes() for k in range(60)}) > 2
+    assert len({sp_dropout.Encoder(path).encode("international", k).tobytes() for k in range(60)}) > 2
     cuts = sp_dropout.Encoder(path, 0).encode("international").tolist()
     assert any(one[k : k + len(cuts)] != cuts for k in range(0, 50 * len(cuts), len(cuts)))
     assert one != (one[: len(one) // 60] * 60)[: len(one)]
