@@ -14,9 +14,10 @@ File layout (little endian)::
   here all blocks of a file are decoded side by side, one numpy operation per step.
 
 Files hold documents in ascending id order (null ids first, equal ids by text); a file is closed
-at the first document end past ``file_ids`` ids. Texts reach the writer through a range partition
-by id, so the files of all tasks, ordered by first id, are one global sequence. File names carry
-a random part and only names in the returned manifest count, so a task that runs twice leaves an
+at the end of the batch (of ``batch_bytes`` of text) in which it passes ``file_ids`` ids. Texts reach the writer through a range partition
+by id (equal ids by their texts' beginnings), and the manifest has each file's part and its place
+there, so the files of all tasks are one global sequence, whatever ids repeat. File names are
+random and only names in the returned manifest count, so a task that runs twice leaves an
 unused file at most. Null texts count as empty; an empty document still has its end id.
 """
 
@@ -28,9 +29,12 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -43,6 +47,7 @@ SCALE, LANES, STEPS = 18, 128, 128
 LOW = 1 << 20  # states stay in [2**20, 2**52), where a float64 quotient by a frequency is exact
 FILE_IDS = 1 << 21
 KEPT_WORDS = 800_000
+BATCH_BYTES = 2 << 20
 
 
 # ---- coder ----------------------------------------------------------------------------------
@@ -169,8 +174,24 @@ def read_file(fs, path: str) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 # ---- encoding of texts ----------------------------------------------------------------------
 
 
-#: Words that are one pre-token, or one and a full stop or comma; lower-casing these letters is one to one.
+#: Words of one pre-token, or of one and a full stop or comma. The letters are their own normal form, and lower-case letter by letter.
 _PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+[.,]?").fullmatch
+#: The normalisers and pre-tokenisers under which plain words have these pre-tokens.
+_NORMALIZERS = {"NFC", "Replace", "Lowercase"}
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def knows_plain_words(path: str) -> bool:
+    """Whether the file's normaliser and pre-tokenizer are those under which plain words have one or two known pre-tokens."""
+    with open(path) as f:
+        conf = json.load(f)
+    steps = (conf["normalizer"] or {}).get("normalizers", [])
+    split = (conf["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    if [x.get("type") for x in split] != ["Split", "ByteLevel"] or {x["type"] for x in steps} != _NORMALIZERS:
+        return False
+    white = [x["pattern"] == {"Regex": "\\s+"} and x["content"] == " " for x in steps if x["type"] == "Replace"]
+    own = split[0]["pattern"] == {"Regex": _SPLIT} and split[0]["invert"] and split[0]["behavior"] == "Removed"
+    return all(white) and own and not split[1]["add_prefix_space"] and not split[1]["use_regex"]
 
 
 def _byte_letters() -> dict[int, str]:
@@ -187,79 +208,93 @@ _LETTERS = _byte_letters()
 class Encoder:
     """Token ids of texts, by words: this kind of vocabulary drops white space and never joins across it.
 
-    Words not met before go to the library: plain ones, lower-cased, straight to its model (as its
-    normaliser and pre-tokenizer would hand them on), all others through ``encode_batch``.
+    All ids come from the library. Of words not met before, plain ones go in lower case straight to its
+    model, the stem and its full stop or comma apart, as its normaliser and pre-tokenizer would hand them
+    on; all others, and all words under a file of another configuration, go through ``encode_batch``.
     """
 
     def __init__(self, path: str, kept: int = KEPT_WORDS):
-        self.encode, self.model, self.kept = tokenizer(path).encode_batch_fast, tokenizer(path).model, kept
+        whole = tokenizer(path)
+        self.encode, self.model, self.plain, self.kept = whole.encode_batch_fast, whole.model, knows_plain_words(path), kept
         self.forget()
 
+    def _pre_token(self, x: str) -> list[int]:
+        got = self.pre_tokens.get(x)
+        if got is None:
+            got = self.pre_tokens[x] = [t.id for t in self.model.tokenize(x if x.isascii() else x.translate(_LETTERS))]
+        return got
+
     def encoded(self, words: list[str]) -> list[list[int]]:
-        out: dict[str, list[int]] = {}
+        out: list[list[int]] = []
         odd = []
-        for w in words:
-            if not _PLAIN(w):
-                odd.append(w)
-                continue
-            parts = (w[:-1], w[-1]) if w[-1] in ".," else (w,)
-            out[w] = [t.id for x in parts for t in self.model.tokenize(x.lower().translate(_LETTERS))]
-        out.update(zip(odd, (e.ids for e in self.encode(odd, add_special_tokens=False))))
-        return [out[w] for w in words]
+        for k, w in enumerate(words):
+            if not self.plain or not _PLAIN(w):
+                odd.append(k)
+                out.append([])
+            elif w[-1] in ".,":
+                out.append(self._pre_token(w[:-1].lower()) + self._pre_token(w[-1]))
+            else:
+                out.append(self._pre_token(w.lower()))
+        for k, e in zip(odd, self.encode([words[k] for k in odd], add_special_tokens=False)):
+            out[k] = e.ids
+        return out
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.flat, self.begin, self.n = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], 0
-        self.used = 0
-
-    def ids(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of ``texts``, each with ``end_id`` at its end, and the number of ids of each."""
-        split = [x.replace("\n", " ").split(" ") for x in texts]
+        self.pre_tokens: dict[str, list[int]] = {}
+        self.flat, self.begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def ids(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of ``texts`` (nulls are empty), each with ``end_id`` at its end, and the number of ids of each."""
+        split = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()).fill_null(""), "\n", " "), " ")
+        n_words = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        here = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > self.kept:
             self.forget()
-        new = list(set().union(*split).difference(self.known))
-        if new or not self.known:
+        new = [w for w in here if w not in self.known]
+        if new:
             got = self.encoded(new)
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-            flat = np.fromiter((i for x in got for i in x), np.uint32)
             lengths = np.fromiter(map(len, got), np.int64, len(got))
-            self.flat, self.begin = [np.concatenate([*self.flat, flat])], [np.concatenate([*self.begin, self.used + np.cumsum(lengths) - lengths])]
-            self.used += len(flat)
-        begin = np.append(self.begin[0], self.used)
-        words = np.fromiter((w for x in split for w in map(self.known.__getitem__, x)), np.int64)
-        per_word = (begin[1:] - begin[:-1])[words]
-        n_words = np.fromiter(map(len, split), np.int64, len(split))
+            flat = np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum()))
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(lengths)])
+            self.flat = np.concatenate([self.flat, flat])
+        words = np.fromiter(map(self.known.__getitem__, here), np.int64, len(here))[coded.indices.to_numpy()]
+        begin = self.begin[words]
+        per_word = self.begin[words + 1] - begin
         ends = np.append(0, np.cumsum(per_word))
         upto = np.cumsum(n_words)
         counts = ends[upto] - ends[upto - n_words] + 1
-        total = int(ends[-1])
-        at = np.arange(total) - np.repeat(ends[:-1] - begin[words], per_word)
-        return np.insert(self.flat[0][at], ends[upto], end_id), counts
+        at = np.arange(ends[-1]) + np.repeat(begin - ends[:-1], per_word)
+        return np.insert(self.flat[at], ends[upto], end_id), counts
 
 
-def encode_documents(docs: DataFrame, out_dir: str, path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", file_ids: int = FILE_IDS) -> DataFrame:
-    """Write token-ID files; return the durable manifest: file, first_id, n_docs, n_ids."""
+def encode_documents(docs: DataFrame, out_dir: str, path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", file_ids: int = FILE_IDS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """Write token-ID files; return the durable manifest: part (of the range partitioning), place (in the part), file, n_docs, n_ids."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_fs(out_dir)
         fs.create_dir(root, recursive=True)
-        encoder = Encoder(path)
+        encoder, part, place = Encoder(path), TaskContext.get().partitionId(), 0
         doc_ids: list[int | None] = []
         counts: list[np.ndarray] = []
         ids: list[np.ndarray] = []
 
         def close() -> pa.RecordBatch:
-            name = f"{root}/{uuid.uuid4().hex}.rids"
+            nonlocal place
+            name = f"{uuid.uuid4().hex}.rids"
             all_ids, n = np.concatenate(ids), np.concatenate(counts)
-            write_file(fs, name, doc_ids, n.tolist(), all_ids)
-            row = pa.RecordBatch.from_pylist([{"file": name.removeprefix(root + "/"), "first_id": doc_ids[0], "n_docs": len(doc_ids), "n_ids": len(all_ids)}], schema=pa.schema([("file", pa.string()), ("first_id", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
+            write_file(fs, f"{root}/{name}", doc_ids, n.tolist(), all_ids)
+            row = pa.RecordBatch.from_arrays([pa.array([x]) for x in (part, place, name, len(doc_ids), len(all_ids))], ["part", "place", "file", "n_docs", "n_ids"])
             doc_ids.clear(), counts.clear(), ids.clear()
+            place += 1
             return row
 
         for batch in batches:
-            own, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in by_bytes(texts):
-                got, n = encoder.ids([x or "" for x in texts[a:b]], end_id)
+            own = batch.column(0).to_pylist()
+            for a, b in by_bytes(batch.column(1), batch_bytes):
+                got, n = encoder.ids(batch.column(1).slice(a, b - a), end_id)
                 doc_ids += own[a:b]
                 ids.append(got)
                 counts.append(n)
@@ -268,11 +303,12 @@ def encode_documents(docs: DataFrame, out_dir: str, path: str, end_id: int = 2,
         if doc_ids:
             yield close()
 
+    start = F.substring("text", 1, 64)  # in the order of the texts
     rows = (
         docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-        .repartitionByRange(partitions(docs.sparkSession), "id")
+        .repartitionByRange(partitions(docs.sparkSession), F.col("id"), start)
         .sortWithinPartitions("id", "text")
-        .mapInArrow(write, "file string, first_id long, n_docs long, n_ids long")
+        .mapInArrow(write, "part long, place long, file string, n_docs long, n_ids long")
     )
     return durable(rows, "rids-manifest")
 
@@ -288,9 +324,12 @@ def read_digests(manifest: DataFrame, out_dir: str) -> DataFrame:
 
 
 def _read(manifest: DataFrame, out_dir: str, schema: str, as_array) -> DataFrame:
-    # One row per file of about 2 million ids. Their order and running total are a window over this short list.
-    before = Window.orderBy(F.col("first_id").asc_nulls_first(), "file").rowsBetween(Window.unboundedPreceding, -1)
-    files = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+    # Ids before a file: those of earlier parts (a number per shuffle partition comes to the driver), and of earlier files of its part.
+    totals = sorted((r["part"], r["n"]) for r in manifest.groupBy("part").agg(F.sum("n_ids").alias("n")).collect())
+    bases = list(zip([k for k, _ in totals], np.cumsum([0] + [n for _, n in totals]).tolist()))
+    before = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    own = F.coalesce(F.sum("n_ids").over(before), F.lit(0))
+    files = manifest.join(F.broadcast(manifest.sparkSession.createDataFrame(bases, "part long, base long")), "part").withColumn("base", F.col("base") + own)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_fs(out_dir)

@@ -19,7 +19,9 @@ import os
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,16 +81,14 @@ class Lengths:
         return out
 
 
-def by_bytes(texts: list[str | None], most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of ``texts`` of about ``most`` characters each."""
-    begin = size = 0
-    for k, x in enumerate(texts):
-        size += len(x or "")
-        if size >= most:
-            yield begin, k + 1
-            begin, size = k + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
+def by_bytes(texts: pa.Array, most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of ``texts`` that end with the text that reaches ``most`` UTF-8 bytes; the last may be smaller."""
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    begin = 0
+    while begin < len(ends):
+        end = min(len(ends), int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + most)) + 1)
+        yield begin, end
+        begin = end
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -97,10 +97,9 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, id_col: str = "do
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = Lengths(path)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
             n: list[int] = []
-            for a, b in by_bytes(texts):
-                n += lengths.count([x or "" for x in texts[a:b]])
+            for a, b in by_bytes(batch.column(1)):
+                n += lengths.count(batch.column(1).slice(a, b - a).fill_null("").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64())], ["id", "n_bytes", "n_tokens"])
 
     kind = docs.schema[id_col].dataType.simpleString()

@@ -489,10 +489,43 @@ def test_word_encoder_equals_the_library(texts):
     path = tokenizer_file("word_bpe_49k.json")
     whole = token_counts.tokenizer(path)
     want = [whole.encode(t, add_special_tokens=False).ids + [2] for t in texts]
-    ids, counts = rans.Encoder(path).ids(texts, 2)
+    ids, counts = rans.Encoder(path).ids(pa.array(texts), 2)
     assert ids.tolist() == sum(want, []) and counts.tolist() == [len(x) for x in want]
 
 
+def test_word_encoder_without_known_configuration(monkeypatch):
+    """A file whose normaliser or pre-tokenizer isn't known: every word is a text of its own."""
+    path = tokenizer_file("word_bpe_49k.json")
+    assert rans.knows_plain_words(path) and not rans.knows_plain_words(tokenizer_file("byte_bpe_50k.json"))
+    monkeypatch.setattr(rans, "knows_plain_words", lambda _: False)
+    texts = ["Plain words, and odd1 ones.", "", "again Plain"]
+    ids, _ = rans.Encoder(path).ids(pa.array(texts), 2)
+    assert ids.tolist() == sum(([*e.ids, 2] for e in token_counts.tokenizer(path).encode_batch(texts, add_special_tokens=False)), [])
+
+
+def test_batches_are_balanced_by_bytes():
+    texts = pa.array(["é" * 40, None, "", "a" * 30, "b" * 200, "c", "d"])
+    assert list(token_counts.by_bytes(texts, 100)) == [(0, 4), (4, 5), (5, 7)]
+    assert list(token_counts.by_bytes(texts.slice(5), 100)) == [(0, 2)] and list(token_counts.by_bytes(texts.slice(7), 100)) == []
+
+
+def test_token_files_of_one_id(spark):
+    """Files of a few ids each: one document id in many of them, nulls too, still has one order and every start follows."""
+    from siteresolve.llm.common import new_dir
+
+    path, out = tokenizer_file("word_bpe_49k.json"), new_dir(spark, "rids")
+    whole = token_counts.tokenizer(path)
+    rows = [(i, f"text {chr(97 + k % 26)} number {k}") for k in range(60) for i in (7, None)] + [(9, "last")]
+    manifest = rans.encode_documents(docs(spark, rows), out, path, file_ids=20, batch_bytes=60)
+    got = rows_of(rans.read_digests(manifest, out), "start", "doc_id", "n_tokens")
+    want, start = [], 0
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        n = len(whole.encode(t, add_special_tokens=False).ids) + 1
+        want.append((start, i, n))
+        start += n
+    assert got == sorted(want, key=repr) and manifest.count() > 20
+
+
 def test_token_files(spark):
     path = tokenizer_file("word_bpe_49k.json")
     whole = token_counts.tokenizer(path)
