@@ -163,18 +163,32 @@ def test_lcs(a, b):
 
 
 @pytest.mark.parametrize("keep", ["max", "min"])
-def test_exact_groups(spark, keep):
-    rows = [*EDGE, *((k, f"copy {k % 3}") for k in range(100, 160))]
+def test_exact_groups(spark, keep, monkeypatch):
+    rows = [*EDGE, *((k, f"copy {k % 3}") for k in range(100, 160)), (100, "copy 1"), *((None, "nobody") for _ in range(3)), *((k, "hot") for k in range(1000, 1400))]
+    monkeypatch.setattr(exact_dedup, "partitions", lambda _: 9)
     got = rows_of(exact_dedup.exact_groups(docs(spark, rows), keep=keep), "doc_id", "keep_id", "group_size", "kept", "text_sha256")
     groups = {}
     for i, t in rows:
         groups.setdefault(t or "", []).append(i)
     best = max if keep == "max" else min
-    want = [(i, k := best(x for x in groups[t or ""] if x is not None), len(groups[t or ""]), i == k, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in rows]
+    want = [(i, k := best((x for x in groups[t or ""] if x is not None), default=None), len(groups[t or ""]), i == k, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in rows]
     assert got == sorted(want, key=repr)
     assert exact_dedup.exact_groups(docs(spark, [])).count() == 0
 
 
+def test_each_round_merges_sorted_runs(spark):
+    """The plan of a round: one exchange by run, a sort by digest, and a pass in that order; no hash aggregation."""
+    rounds, fan_in = exact_dedup.tree(51, 8)
+    assert (rounds, fan_in) == (2, 8) and exact_dedup.tree(211, 8) == (3, 6) and exact_dedup.tree(1, 8) == (1, 2)
+    rows = exact_dedup.digests(docs(spark, EDGE), fan_in**rounds).select("__run", *exact_dedup.KEY, F.col("__id").alias("__keep"), F.lit(1).cast("long").alias("__n"))
+    for pieces in (rows, exact_dedup.moved(rows, 1, fan_in).select(exact_dedup.ENTRY)):
+        one = exact_dedup.merged(pieces, fan_in**rounds)
+        plan = one._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Sort [__run" in plan and "Window" in plan and "HashAggregate" not in plan
+        parts = one.rdd.mapPartitionsWithIndex(lambda k, it: [(k, [(r["__run"], bytes(r["__sha"])) for r in it])]).collect()
+        assert len(parts) == fan_in**rounds and all(x == sorted(set(x)) and {run for run, _ in x} <= {k} for k, x in parts)
+
+
 # ---- 4: language ID -------------------------------------------------------------------------
 
 
