@@ -15,12 +15,16 @@ From signatures to components:
    (1 - 0.8**8)**40 = 6.5e-4 (registers taken as independent).
 2. Clusters are verified on full sets of 64-bit shingle hashes. A cluster is cut into blocks of
    about BLOCK nodes by hash, each block one group of a grouped function: all its pairs that
-   aren't connected yet are compared.
+   aren't connected yet are compared. Only verified links connect nodes from here on.
 3. Of a cluster with several blocks, up to PIVOTS nodes - the best linked of some blocks - are
-   compared with all blocks. Nodes that are still outside the cluster's largest component are then
-   compared, block by block, with all blocks of the cluster. After this every pair of nodes in
-   different components of one cluster has been compared, so no link between them is lost; pairs
-   inside one component need none. A group of copies thus costs about its size, whatever it is.
+   compared with all blocks. This joins what is left of a group of copies, at about its size's cost.
+4. Then buckets decide, not clusters: of a bucket whose nodes are in several components, the nodes
+   outside its largest component are compared with all its nodes, in parts and blocks of about
+   BLOCK. After this every pair that shares a bucket is in one component or has been compared, so
+   no link between candidates is lost. Nodes that share no bucket aren't compared here, however
+   large the cluster that chains of buckets make of them.
+
+Equal sets are told by their size and two sums of 64-bit hashes of their shingles.
 
 Null texts and texts without words have no shingles and link with nothing. Rows with equal ids are
 one node of the graph. A null id is a node of its own: component null, kept. Extra columns don't
@@ -187,15 +191,15 @@ def _within(table: pa.Table, k: int, num: int, den: int) -> pa.Table:
 
 
 def _across(table: pa.Table, k: int, num: int, den: int) -> pa.Table:
-    """Links between the rows with side 0 and those with side 1 that aren't in one component yet."""
+    """Links between the rows with side 0 and those with side 1 that aren't in one component yet; among the rows with side 0, if there are no others."""
     ids, comps, side = (table.column(c).to_pylist() for c in ("id", "comp", "side"))
     found = UnionFind()
     out = []
     mine, other = [i for i, s in enumerate(side) if s == 0], [i for i, s in enumerate(side) if s == 1]
-    if mine and other:
+    if mine and (other or len(set(comps)) > 1):
         sets = _sets(table.column("text"), k)
-        for j in other:
-            for i in mine:
+        for at, j in enumerate(other or mine):
+            for i in mine if other else mine[:at]:
                 if found.find(comps[i]) != found.find(comps[j]) and similar(sets[i], sets[j], num, den):
                     found.join(comps[i], comps[j])
                     out.append((ids[i], ids[j]))
@@ -237,14 +241,9 @@ def near_groups(docs: DataFrame, k: int = 3, num: int = 85, den: int = 100, id_c
         slots = now.join(links.select(F.col("a").alias("id"), "degree"), "id").withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(PIVOTS)))
         best = slots.groupBy("cluster", "slot").agg(F.max(F.struct("degree", "id")).alias("p")).select("cluster", F.col("p.id").alias("id"))
         pivots = now.join(best.select("id"), "id", "left_semi")
-        more = durable(_compared(docs, now, pivots.withColumn("part", F.lit(0)), F.lit(1), k, num, den, id_col, text_col), "pivots")
+        more = durable(_compared(docs, now.withColumn("parts", F.lit(1)), pivots.withColumn("part", F.lit(0)), k, num, den, id_col, text_col), "pivots")
         now = _comps(large, components(links.select("a", "b").union(more)))
-        counted = now.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("n"))
-        main = counted.groupBy("cluster").agg(F.max(F.struct("n", "comp")).alias("m")).select("cluster", F.col("m.comp").alias("main"))
-        rest = now.join(main, "cluster").filter("comp <> main").drop("main")
-        parts = rest.groupBy("cluster").agg(F.count(F.lit(1)).alias("r")).select("cluster", F.ceil(F.col("r") / BLOCK).cast("int").alias("parts"))
-        rest = durable(rest.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts")).cast("int")), "rest")
-        left = durable(_compared(docs, now.join(parts, "cluster"), rest.drop("parts"), F.col("parts"), k, num, den, id_col, text_col), "rest-links")
+        left = durable(_compared(docs, *_mixed(buckets, now), k, num, den, id_col, text_col), "bucket-links")
         all_links = all_links.union(more).union(left)
     final = components(all_links)
     out = rows.select("id", "n").join(final.select(F.col("node").alias("id"), "component"), "id", "left")
@@ -257,9 +256,21 @@ def _comps(large: DataFrame, found: DataFrame) -> DataFrame:
     return durable(large.join(found.select(F.col("node").alias("id"), F.col("component").alias("comp")), "id", "left").withColumn("comp", F.coalesce("comp", "id")), "comps")
 
 
-def _compared(docs: DataFrame, nodes: DataFrame, others: DataFrame, parts, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
-    """Links between all blocks of ``nodes`` and the parts of ``others`` (same cluster): each pair of block and part is one group."""
-    mine = nodes.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).select("id", "cluster", "comp", "block", "part", F.lit(0).alias("side"))
+def _mixed(buckets: DataFrame, now: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What is to be compared in buckets with nodes of several components: all their nodes, by block; and those outside the bucket's largest component, by part, where a bucket has several blocks."""
+    placed = durable(buckets.join(now.select("id", "comp"), "id"), "placed")
+    counted = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
+    mixed = counted.groupBy("bucket").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("kinds"), F.max(F.struct("n", "comp")).alias("m")).filter("kinds > 1")
+    mixed = mixed.select("bucket", F.col("m.comp").alias("main"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("size") - F.col("m.n")) / BLOCK).cast("int").alias("parts"))
+    nodes = placed.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int")).withColumnRenamed("bucket", "cluster")
+    nodes = durable(nodes.withColumn("parts", F.when(F.col("blocks") > 1, F.col("parts")).otherwise(1)), "mixed")
+    rest = nodes.filter("blocks > 1 and comp <> main").withColumn("part", F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts")).cast("int"))
+    return nodes, rest
+
+
+def _compared(docs: DataFrame, nodes: DataFrame, others: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    """Links between all blocks of ``nodes`` and the parts (``parts`` in number) of ``others`` of the same cluster: each pair of block and part is one group."""
+    mine = nodes.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("id", "cluster", "comp", "block", "part", F.lit(0).alias("side"))
     theirs = others.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("id", "cluster", "comp", "block", "part", F.lit(1).alias("side"))
     pairs = durable(mine.union(theirs), "pairs")
     return _texts_of(docs, pairs, id_col, text_col).groupBy("cluster", "block", "part").applyInArrow(lambda t: _across(t, k, num, den), "a long, b long")

@@ -428,6 +428,36 @@ def test_near_groups_equal_brute_force(spark, monkeypatch):
     assert superminhash.near_groups(docs(spark, [])).count() == 0
 
 
+def test_a_chain_of_buckets_is_compared_bucket_by_bucket(spark, monkeypatch):
+    """One candidate cluster of 400 nodes of which each shares buckets with its two neighbours only: what is compared grows with the nodes."""
+    monkeypatch.setattr(superminhash, "BLOCK", 10)
+    n = 400
+    buckets = spark.createDataFrame([(i, b) for i in range(n) for b in (2 * i, 2 * i + 1, 2 * i + 2, 2 * i + 3)], "id long, bucket long")
+    now = spark.createDataFrame([(i, i) for i in range(n)], "id long, comp long")
+    nodes, rest = superminhash._mixed(buckets, now)
+    assert nodes.count() <= 4 * n and rest.count() == 0
+    assert nodes.groupBy("cluster", "block").count().agg(F.max("count")).first()[0] <= 2
+    # documents that overlap by two thirds with the next: one cluster, no links, and here and there a linked pair
+    words = [f"w{k}" for k in range(8 * n)]
+    rows = [(i, " ".join(words[8 * i : 8 * i + 60])) for i in range(n)] + [(1000 + i, " ".join(words[8 * i : 8 * i + 60]) + " end") for i in range(0, n, 50)]
+    got = rows_of(superminhash.near_groups(docs(spark, rows)), "doc_id", "n_shingles", "component_id", "kept")
+    assert got == brute_near(rows, 3, 85, 100)
+
+
+def test_pairs_at_the_threshold_share_buckets():
+    """Of pairs at a similarity of 0.85, few shingles or many, all share a band."""
+    rng = np.random.default_rng(6)
+    for size in (13, 40, 400):
+        same = round(size * 2 * 0.85 / 1.85)
+        missed = 0
+        for _ in range(150):
+            h = rng.integers(0, 2**63, 2 * size - same).astype(np.uint64)
+            a, b = h[:size], np.append(h[:same], h[size:])
+            keys = superminhash.band_keys(superminhash.signatures(np.concatenate([a, b]), np.array([len(a), len(b)])))
+            missed += not (keys[0] == keys[1]).any()
+        assert missed == 0
+
+
 def test_superminhash_estimates_similarity():
     rng = random.Random(2)
     a = [f"w{rng.randint(0, 10**6)}" for _ in range(500)]
