@@ -3,7 +3,8 @@
 Links never come together in one place. Each task first replaces its own links by a spanning
 forest (union-find over what it holds), then every round moves a link (node, neighbour) to the
 smallest neighbour, by grouped minima and joins. A node with very many links costs one aggregated
-row, and its links meet this row by SALTS salted keys, in as many tasks. Rounds are written to the shared folder, and end when one
+row; the minima are written tables, so both sides of a join come straight from a shuffle and Spark
+splits a hub's links by size over several tasks. Rounds are written to the shared folder, and end when one
 changes nothing.
 """
 
@@ -18,7 +19,6 @@ from pyspark.sql import functions as F
 from .common import durable
 
 _LINK = "a long, b long"
-SALTS = 16
 
 
 class UnionFind:
@@ -61,12 +61,6 @@ def _forest(batches: Iterator[pa.RecordBatch], most: int = 1_000_000) -> Iterato
     yield rows()
 
 
-def _with_least(links: DataFrame, least: DataFrame) -> DataFrame:
-    """``links`` (a, b) with the m of their a."""
-    told = least.select("a", "m", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    return links.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int")).join(told, ["a", "salt"]).drop("salt")
-
-
 def components(links: DataFrame) -> DataFrame:
     """From links (a, b): node, component (its smallest member), for the nodes that have a link to another one."""
     now = durable(links.select("a", "b").filter("a <> b").mapInArrow(_forest, _LINK), "forest")
@@ -74,11 +68,11 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         # large star: neighbours above a node go to the smallest of its neighbourhood
         both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a"), F.least("a", "m").alias("m"))
-        large = _with_least(both.filter("b > a"), least).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = durable(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a"), F.least("a", "m").alias("m")), "least")
+        large = durable(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
         # small star: a node and its neighbours below it go to the smallest of these
-        down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = _with_least(large, down).select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b")))).alias("x")).select("x.a", "x.b").filter("a <> b").distinct()
+        down = durable(large.groupBy("a").agg(F.min("b").alias("m")), "down")
+        small = large.join(down, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b")))).alias("x")).select("x.a", "x.b").filter("a <> b").distinct()
         now = durable(small, "stars")
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:

@@ -243,7 +243,7 @@ def near_groups(docs: DataFrame, k: int = 3, num: int = 85, den: int = 100, id_c
         pivots = now.join(best.select("id"), "id", "left_semi")
         more = durable(_compared(docs, now.withColumn("parts", F.lit(1)), pivots.withColumn("part", F.lit(0)), k, num, den, id_col, text_col), "pivots")
         now = _comps(large, components(links.select("a", "b").union(more)))
-        left = durable(_compared(docs, *_mixed(buckets, now), k, num, den, id_col, text_col), "bucket-links")
+        left = durable(_compared(docs, *_mixed(nodes, now), k, num, den, id_col, text_col), "bucket-links")
         all_links = all_links.union(more).union(left)
     final = components(all_links)
     out = rows.select("id", "n").join(final.select(F.col("node").alias("id"), "component"), "id", "left")
@@ -256,16 +256,16 @@ def _comps(large: DataFrame, found: DataFrame) -> DataFrame:
     return durable(large.join(found.select(F.col("node").alias("id"), F.col("component").alias("comp")), "id", "left").withColumn("comp", F.coalesce("comp", "id")), "comps")
 
 
-def _mixed(buckets: DataFrame, now: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _mixed(nodes: DataFrame, now: DataFrame) -> tuple[DataFrame, DataFrame]:
     """What is to be compared in buckets with nodes of several components: all their nodes, by block; and those outside the bucket's largest component, by part, where a bucket has several blocks."""
-    placed = durable(buckets.join(now.select("id", "comp"), "id"), "placed")
+    placed = durable(nodes.select("id", "bands").join(now.select("id", "comp"), "id"), "placed").select("id", "comp", F.explode("bands").alias("bucket"))
     counted = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     mixed = counted.groupBy("bucket").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("kinds"), F.max(F.struct("n", "comp")).alias("m")).filter("kinds > 1")
     mixed = mixed.select("bucket", F.col("m.comp").alias("main"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("size") - F.col("m.n")) / BLOCK).cast("int").alias("parts"))
-    nodes = placed.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int")).withColumnRenamed("bucket", "cluster")
-    nodes = durable(nodes.withColumn("parts", F.when(F.col("blocks") > 1, F.col("parts")).otherwise(1)), "mixed")
-    rest = nodes.filter("blocks > 1 and comp <> main").withColumn("part", F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts")).cast("int"))
-    return nodes, rest
+    members = placed.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int")).withColumnRenamed("bucket", "cluster")
+    members = durable(members.withColumn("parts", F.when(F.col("blocks") > 1, F.col("parts")).otherwise(1)), "mixed")
+    rest = members.filter("blocks > 1 and comp <> main").withColumn("part", F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts")).cast("int"))
+    return members, rest
 
 
 def _compared(docs: DataFrame, nodes: DataFrame, others: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:

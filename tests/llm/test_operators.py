@@ -432,11 +432,11 @@ def test_a_chain_of_buckets_is_compared_bucket_by_bucket(spark, monkeypatch):
     """One candidate cluster of 400 nodes of which each shares buckets with its two neighbours only: what is compared grows with the nodes."""
     monkeypatch.setattr(superminhash, "BLOCK", 10)
     n = 400
-    buckets = spark.createDataFrame([(i, b) for i in range(n) for b in (2 * i, 2 * i + 1, 2 * i + 2, 2 * i + 3)], "id long, bucket long")
+    nodes = spark.createDataFrame([(i, [2 * i, 2 * i + 1, 2 * i + 2, 2 * i + 3]) for i in range(n)], "id long, bands array<long>")
     now = spark.createDataFrame([(i, i) for i in range(n)], "id long, comp long")
-    nodes, rest = superminhash._mixed(buckets, now)
-    assert nodes.count() <= 4 * n and rest.count() == 0
-    assert nodes.groupBy("cluster", "block").count().agg(F.max("count")).first()[0] <= 2
+    members, rest = superminhash._mixed(nodes, now)
+    assert members.count() <= 4 * n and rest.count() == 0
+    assert members.groupBy("cluster", "block").count().agg(F.max("count")).first()[0] <= 2
     # documents that overlap by two thirds with the next: one cluster, no links, and here and there a linked pair
     words = [f"w{k}" for k in range(8 * n)]
     rows = [(i, " ".join(words[8 * i : 8 * i + 60])) for i in range(n)] + [(1000 + i, " ".join(words[8 * i : 8 * i + 60]) + " end") for i in range(0, n, 50)]
