@@ -51,3 +51,27 @@ def test_pipeline_equals_plain_stages(spark):
     assert {r["doc_id"] for r in got} == left and len(left) > 80
     assert all(r["lossless"] for r in got)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "near_dedup", "decontamination", "sentencepiece"]
+
+
+def test_stages_decide_on_rows(spark):
+    """Rows that share an id or have none go by their own texts; rows repeated whole leave one; extra columns are dropped; empty tables pass."""
+    import random
+
+    rng = random.Random(3)
+    body = lambda: " ".join(rng.choice("the and station river over under light green house walking slowly tonight letters".split()) + rng.choice("abcdefgh") for _ in range(60))
+    a, b, c, leak = body(), body(), body(), body()
+    near = a.replace(a.split()[30], "other", 1)
+    rows = [(1, a), (1, b), (2, a), (3, c), (3, c), (None, c), (None, body()), (0, near), (None, near + " end"), (5, body() + " " + leak), (5, body())]
+    make = lambda rows: spark.createDataFrame([(i, t, "en", "s", 0, 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, __row int")
+    key = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=repr)
+    d = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(os.path.join(d, "benchmark.parquet"))
+
+    exact = corpus_pipeline.exact_copies(spark, make(rows), d)
+    assert key(exact) == sorted([(1, b), (2, a), (3, c), *rows[6:]], key=repr) and exact.columns == corpus_pipeline.COLUMNS
+    kept = corpus_pipeline.near_copies(spark, exact, d)
+    assert key(kept) == sorted([(1, b), (3, c), rows[6], (0, near), rows[9], rows[10]], key=repr)
+    clean = corpus_pipeline.decontaminate(spark, kept, d)
+    assert key(clean) == sorted([(1, b), (3, c), rows[6], (0, near), rows[10]], key=repr)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, make([]), d).count() == 0
