@@ -2,8 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and its result is
 written as Parquet and read again as the next one's documents. All but the last return the columns
-of ``documents``. SQL can't express the stages, so ORACLE_SQL is None; tests hold run() against a
-brute-force version.
+of ``documents``, and drop others. SQL can't express the stages, so ORACLE_SQL is None; tests hold
+run() against a brute-force version.
+
+Every stage decides on rows, not on ids: rows get numbers of their own first, so rows that share an
+id, and rows with a null id, come and go by their own texts. Null, empty and letterless texts go in
+the first stage. Rows repeated whole are exact copies: one stays. Of rows that tie by id, one of them
+stays. An empty table gives an empty result in every stage.
 """
 
 from __future__ import annotations
@@ -18,9 +23,15 @@ from siteresolve.llm.queries import tokenizer_file
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the ids in ``gone`` (one column, __gone)."""
-    return docs.join(size_checked(gone, 16), docs["doc_id"] == gone["__gone"], "left_anti").select(COLUMNS)
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with __row, a number for each row, written so that numbers stay."""
+    return durable(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("__row")), "numbered")
+
+
+def _without(rows: DataFrame, gone: DataFrame, name: str) -> DataFrame:
+    """``rows`` without the numbers in ``gone``, which may repeat."""
+    gone = durable(gone.select(F.col("__row").alias("__gone")).distinct(), name)
+    return rows.join(size_checked(gone, 16), rows["__row"] == gone["__gone"], "left_anti").select(COLUMNS)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,24 +40,27 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts the one with the largest id stays."""
-    groups = exact_dedup.exact_groups(docs, keep="max")
-    gone = durable(groups.filter("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "exact-gone")
-    return _without(docs, gone)
+    """Of rows with equal texts the one with the largest id stays; null ids come last."""
+    rows = _numbered(docs)
+    groups = exact_dedup.exact_groups(rows.select(F.struct("doc_id", "__row").alias("key"), "text"), id_col="key", keep="max")
+    return _without(rows, groups.filter("not kept").select("key.__row"), "exact-gone")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-duplicate documents (five-word shingles, similarity of 0.8 or more) the one with the smallest id stays."""
-    groups = superminhash.near_groups(docs, k=5, num=80, den=100)
-    gone = durable(groups.filter("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "near-gone")
-    return _without(docs, gone)
+    """Of near-duplicate rows (five-word shingles, similarity of 0.8 or more) the one with the smallest id stays; null ids come last."""
+    rows = _numbered(docs)
+    groups = superminhash.near_groups(rows, k=5, num=80, den=100, id_col="__row").select("__row", "component_id")
+    named = durable(groups.join(rows.select("__row", "doc_id"), "__row"), "near-named")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "__row"))
+    stays = durable(named.groupBy("component_id").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "near-first")
+    return _without(rows, named.join(stays, "component_id").filter("__row <> first.__row"), "near-gone")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = decontam.leaks(docs, table(spark, sf_dir, "benchmark"))
-    gone = durable(found.select(F.col("doc_id").alias("__gone")).distinct(), "leaks-gone")
-    return _without(docs, gone)
+    """Rows that hold no benchmark item."""
+    rows = _numbered(docs)
+    found = decontam.leaks(rows, table(spark, sf_dir, "benchmark"), id_col="__row")
+    return _without(rows, found.select(F.col("doc_id").alias("__row")), "leaks-gone")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
