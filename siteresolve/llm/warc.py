@@ -1,28 +1,35 @@
 """WARC archives with a two-level capture index.
 
 Writing: a record per page row, one gzip member each, in files of the shared folder. Pages with
-equal payloads of at least ``least`` bytes are one response (smallest id) and revisits of it;
-which is which is decided by digest and length before the payloads move.
+equal payloads of at least ``least`` bytes are one response (smallest id) and revisits of it. Which
+is which is decided on narrow rows (id, digest, length); the list of revisits, without payloads, is
+then broadcast if its counted rows are few, else joined by id and digest. A record's block is an
+HTTP response whose body is the payload; a revisit's is the HTTP header alone.
 
-Index: one line per record - reversed-host URL key, file, offset, length - sorted over all files.
-Each range of the sorted keys is an index file of compressed blocks of ``BLOCK_LINES`` lines. The
-sparse directory has a row per block: its first key, file, offset and length.
+Index: one line per record - reversed-host URL key, page id, file, offset, length - sorted over all
+files. Each range of the sorted keys is an index file of compressed blocks of ``BLOCK_LINES`` lines,
+and at its end the file's sparse directory: each block's first and last key, offset and length. The
+durable directory table has the same rows for all files.
 
-Reading: ``read_archive`` takes the directory's blocks in parallel and range-reads the records
-they point at. ``lookup`` finds single captures: binary search among the index files' first keys,
-then in the file's part of the directory, then in one decompressed block, then one range read.
+Reading: ``lookup`` finds the captures of URLs. A key is searched among the index files' first and last keys,
+then, in a task that goes through one file's keys in order, in that file's directory and in the
+block it points at, by binary search each time. What is found is dealt by archive file and place, and
+records that lie together are read in one range. ``warc_round_trip`` looks up every page's URL.
 
 Null html is an empty payload, a null URL has the empty key, rows with equal ids are separate
-records (those with the smallest id of a group are all responses). Files have random names and
-count only when listed in the durable tables, so repeated tasks do no harm.
+records (those with the smallest id of a group are all responses; rows repeated whole have one record
+id). Null ids are never the smallest of a group with others. Files have random names and count only
+when listed in the durable tables, so repeated tasks do no harm.
 """
 
 from __future__ import annotations
 
 import bisect
+import datetime
 import hashlib
 import json
 import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,10 +38,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, new_dir, open_fs, partitions
+from .common import durable, new_dir, open_fs, partitions, size_checked
 
 BLOCK_LINES = 1024
 FILE_BYTES = 256 << 20
+RANGE_BYTES = 4 << 20
 LEAST = 100
 
 
@@ -46,19 +54,28 @@ def url_key(url: Column) -> Column:
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), F.when(rest == "", "/").otherwise(rest))
 
 
-def _record(kind: str, page_id, url: str, payload: bytes, digest: str, first) -> bytes:
+def _record_id(page_id, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {digest}')}>"
+
+
+def _record(kind: str, page_id, url: str, payload: bytes, digest: str, first, date: str) -> bytes:
+    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     fields = [
         ("WARC-Type", kind),
-        ("WARC-Record-ID", f"<urn:page:{'' if page_id is None else page_id}>"),
-        ("WARC-Target-URI", re.sub(r"[\r\n]", "", url or "")),
+        ("WARC-Record-ID", _record_id(page_id, digest)),
+        ("WARC-Date", date),
+        ("WARC-Target-URI", re.sub(r"[\x00-\x20]", "", url or "") or "urn:none"),
         ("WARC-Payload-Digest", f"sha256:{digest}"),
+        ("Content-Type", "application/http; msgtype=response"),
+        ("X-Page-ID", "" if page_id is None else str(page_id)),
         ("X-Payload-Bytes", str(len(payload))),
     ]
     if kind == "revisit":
-        fields += [("WARC-Refers-To", f"<urn:page:{first}>"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
-        payload = b""
-    fields.append(("Content-Length", str(len(payload))))
-    return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields).encode() + b"\r\n" + payload + b"\r\n\r\n"
+        fields += [("WARC-Refers-To", _record_id(first, digest)), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("X-Refers-To-Page", str(first))]
+    else:
+        block += payload
+    fields.append(("Content-Length", str(len(block))))
+    return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields).encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
 def parsed(data: bytes) -> tuple[dict[str, str], bytes]:
@@ -66,7 +83,7 @@ def parsed(data: bytes) -> tuple[dict[str, str], bytes]:
     raw = zlib.decompress(data, 31)
     head, _, rest = raw.partition(b"\r\n\r\n")
     fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
-    payload = rest[: int(fields["Content-Length"])]
+    payload = rest[: int(fields["Content-Length"])].partition(b"\r\n\r\n")[2]
     if fields["WARC-Type"] == "response" and fields["WARC-Payload-Digest"] != "sha256:" + hashlib.sha256(payload).hexdigest():
         raise ValueError(f"{fields['WARC-Record-ID']}: the payload's digest does not hold")
     return fields, payload
@@ -75,13 +92,18 @@ def parsed(data: bytes) -> tuple[dict[str, str], bytes]:
 def with_revisits(pages: DataFrame, least: int = LEAST) -> DataFrame:
     """page_id, url, html, digest, first: the id of the response that a revisit refers to, else null."""
     html = F.coalesce(F.col("html"), F.lit(""))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"), F.sha2(html.cast("binary"), 256).alias("digest"), F.octet_length(html).alias("n"))
-    repeated = rows.filter(F.col("n") >= least).groupBy("digest", "n").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("digest", "n", "first")
-    return rows.join(repeated, ["digest", "n"], "left").select("page_id", "url", "html", "digest", F.when(F.col("page_id") != F.col("first"), F.col("first")).alias("first"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"), F.sha2(html.cast("binary"), 256).alias("digest"))
+    narrow = durable(rows.filter(F.octet_length("html") >= least).select("page_id", "digest"), "page-digests")
+    repeated = narrow.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("k")).filter("k > 1 and first is not null").select("digest", "first")
+    listed = durable(narrow.join(durable(repeated, "repeated"), "digest").filter("page_id is null or page_id <> first").distinct(), "revisits")
+    told = size_checked(listed.select(F.coalesce("page_id", F.lit(0)).alias("page_0"), F.col("page_id").isNull().alias("page_no"), "digest", "first"), 96)
+    keyed = rows.withColumn("page_0", F.coalesce("page_id", F.lit(0))).withColumn("page_no", F.col("page_id").isNull())
+    return keyed.join(told, ["page_0", "page_no", "digest"], "left").select("page_id", "url", "html", "digest", "first")
 
 
 def write_archive(pages: DataFrame, out_dir: str, least: int = LEAST, level: int = 3) -> DataFrame:
     """Write WARC and index files under ``out_dir``; return the durable block directory: first_key, last_key, index, offset, length, n."""
+    date = datetime.datetime.now(datetime.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def warcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_fs(out_dir)
@@ -97,7 +119,7 @@ def write_archive(pages: DataFrame, out_dir: str, least: int = LEAST, level: int
                         name, at = f"{uuid.uuid4().hex}.warc.gz", 0
                         out = fs.open_output_stream(f"{root}/{name}", compression=None)
                     packer = zlib.compressobj(level, zlib.DEFLATED, 31)
-                    data = packer.compress(_record("response" if first is None else "revisit", page_id, url, html.encode(), digest, first)) + packer.flush()
+                    data = packer.compress(_record("response" if first is None else "revisit", page_id, url, html.encode(), digest, first, date)) + packer.flush()
                     out.write(data)
                     places.append((name, at, len(data)))
                     at += len(data)
@@ -131,6 +153,9 @@ def write_archive(pages: DataFrame, out_dir: str, least: int = LEAST, level: int
                         rows.append(block())
             if lines:
                 rows.append(block())
+            if rows:
+                data = zlib.compress(json.dumps([[r["first_key"], r["last_key"], r["offset"], r["length"]] for r in rows]).encode(), 6)
+                out.write(data + struct.pack("<Q", len(data)))
         finally:
             if out is not None:
                 out.close()
@@ -143,93 +168,122 @@ def write_archive(pages: DataFrame, out_dir: str, least: int = LEAST, level: int
     return durable(ordered.mapInArrow(blocks, "first_key string, last_key string, index string, offset long, length long, n long"), "directory")
 
 
-def _range(handles: dict, fs, path: str, offset: int, length: int) -> bytes:
-    if path not in handles:
-        if len(handles) >= 64:
-            handles.pop(next(iter(handles))).close()
-        handles[path] = fs.open_input_file(path)
-    return handles[path].read_at(length, offset)
-
-
 def _capture(fields: dict[str, str]) -> dict:
     def number(name: str):
-        x = fields.get(name, "<urn:page:>")[10:-1]
+        x = fields.get(name)
         return int(x) if x else None
 
     return {
-        "page_id": number("WARC-Record-ID"),
+        "page_id": number("X-Page-ID"),
         "payload_bytes": int(fields["X-Payload-Bytes"]),
         "payload_digest": fields["WARC-Payload-Digest"].removeprefix("sha256:"),
         "record_type": fields["WARC-Type"],
-        "refers_to": number("WARC-Refers-To"),
+        "refers_to": number("X-Refers-To-Page"),
     }
 
 
 _CAPTURE = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-_CAPTURE_ARROW = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
+_CAPTURE_ARROW = pa.schema([("key", pa.string()), ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
 
 
-def read_archive(directory: DataFrame, out_dir: str) -> DataFrame:
-    """Every capture that the index lists, read from the archives."""
+class Index:
+    """One index file: its sparse directory, and the block read last."""
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = open_fs(out_dir)
-        handles: dict = {}
-        for batch in batches:
-            for index, offset, length in zip(*(c.to_pylist() for c in batch.columns)):
-                lines = [json.loads(x) for x in zlib.decompress(_range(handles, fs, f"{root}/{index}", offset, length)).decode().split("\n")]
-                lines.sort(key=lambda x: (x[2], x[3]))
-                rows = [_capture(parsed(_range(handles, fs, f"{root}/{file}", at, n))[0]) for _, _, file, at, n in lines]
-                yield pa.RecordBatch.from_pylist(rows, schema=_CAPTURE_ARROW)
-        for f in handles.values():
-            f.close()
+    def __init__(self, fs, path: str):
+        self.file = fs.open_input_file(path)
+        end = self.file.size() - 8
+        size = struct.unpack("<Q", self.file.read_at(8, end))[0]
+        self.blocks = json.loads(zlib.decompress(self.file.read_at(size, end - size)))
+        self.lasts = [last for _, last, _, _ in self.blocks]
+        self.at, self.lines, self.keys = -1, [], []
+
+    def block(self, k: int) -> None:
+        if k != self.at:
+            raw = zlib.decompress(self.file.read_at(self.blocks[k][3], self.blocks[k][2]))
+            self.at, self.lines = k, [json.loads(x) for x in raw.decode().split("\n")]
+            self.keys = [x[0] for x in self.lines]
 
-    return directory.select("index", "offset", "length").repartition(partitions(directory.sparkSession), "index", "offset").mapInArrow(read, _CAPTURE)
+    def find(self, key: str) -> list[list]:
+        """The lines of a key."""
+        out = []
+        k = bisect.bisect_left(self.lasts, key)
+        while k < len(self.blocks) and self.blocks[k][0] <= key:
+            self.block(k)
+            out += self.lines[bisect.bisect_left(self.keys, key) : bisect.bisect_right(self.keys, key)]
+            k += 1
+        return out
 
 
-def lookup(directory: DataFrame, out_dir: str, urls: DataFrame, url_col: str = "url") -> DataFrame:
-    """Captures of each URL of ``urls``: its key, the capture's columns and the stored payload (empty for revisits).
+def located(directory: DataFrame, out_dir: str, urls: DataFrame, url_col: str = "url") -> DataFrame:
+    """key, file, at, length of the captures of each distinct key of ``urls``.
 
-    The first keys of the index files (at most one file per shuffle partition) are the only thing that goes to all tasks.
+    The first and last keys of the index files (at most one file per shuffle partition) are the only thing that goes to all tasks.
     """
-    firsts = sorted((r["k"], r["index"]) for r in directory.groupBy("index").agg(F.min("first_key").alias("k")).collect())
-    starts = [k for k, _ in firsts]
-    keys = urls.select(url_key(F.col(url_col)).alias("key")).distinct()
+    n = partitions(directory.sparkSession)
+    files = sorted((r["a"], r["b"], r["index"]) for r in directory.groupBy("index").agg(F.min("first_key").alias("a"), F.max("last_key").alias("b")).collect())
+    firsts, lasts = [a for a, _, _ in files], [b for _, b, _ in files]
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs = []
             for key in batch.column(0).to_pylist():
-                # equal keys may run over from the end of one file into the next
-                for k in range(max(0, bisect.bisect_left(starts, key) - 1), bisect.bisect_right(starts, key)):
-                    pairs.append((key, firsts[k][1]))
+                # a key may run over from one file into the next ones
+                for k in range(bisect.bisect_left(lasts, key), bisect.bisect_right(firsts, key)):
+                    pairs.append((key, files[k][2]))
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.string())], ["key", "index"])
 
-    def found(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_fs(out_dir)
-        handles: dict = {}
-        rows = []
-        parts = sorted(right.to_pylist(), key=lambda r: r["offset"])
-        lasts = [r["last_key"] for r in parts]
-        for wanted in left.column("key").to_pylist():
-            k = bisect.bisect_left(lasts, wanted)
-            while k < len(parts) and parts[k]["first_key"] <= wanted:
-                lines = [json.loads(x) for x in zlib.decompress(_range(handles, fs, f"{root}/{parts[k]['index']}", parts[k]["offset"], parts[k]["length"])).decode().split("\n")]
-                own = [x[0] for x in lines]
-                for _, _, file, at, n in lines[bisect.bisect_left(own, wanted) : bisect.bisect_right(own, wanted)]:
-                    fields, payload = parsed(_range(handles, fs, f"{root}/{file}", at, n))
-                    rows.append({"key": wanted, **_capture(fields), "payload": payload})
-                k += 1
-        return pa.Table.from_pylist(rows, schema=pa.schema([("key", pa.string()), *_CAPTURE_ARROW, ("payload", pa.binary())]))
+        index, name = None, None
+        for batch in batches:
+            out = []
+            for key, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if wanted != name:
+                    index, name = Index(fs, f"{root}/{wanted}"), wanted
+                out += [(key, *line[2:]) for line in index.find(key)]
+            cols = list(zip(*out)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64(), pa.int64()))], ["key", "file", "at", "length"])
 
+    keys = urls.select(url_key(F.col(url_col)).alias("key")).distinct()
     pairs = keys.mapInArrow(routed, "key string, index string")
-    return pairs.groupBy("index").cogroup(directory.groupBy("index")).applyInArrow(found, f"key string, {_CAPTURE}, payload binary")
+    return pairs.repartition(n, "index").sortWithinPartitions("index", "key").mapInArrow(searched, "key string, file string, at long, length long")
+
+
+def lookup(directory: DataFrame, out_dir: str, urls: DataFrame, url_col: str = "url", payloads: bool = True) -> DataFrame:
+    """Captures of each URL of ``urls``: its key, the capture's columns and the stored payload (empty for revisits; null without ``payloads``)."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = open_fs(out_dir)
+        file, name = None, None
+        for batch in batches:
+            wanted = list(zip(*(c.to_pylist() for c in batch.columns[:4])))
+            k = 0
+            while k < len(wanted):
+                # records that lie one after the other, up to RANGE_BYTES, are one read
+                end = k + 1
+                while end < len(wanted) and wanted[end][1] == wanted[k][1] and wanted[end][2] == wanted[end - 1][2] + wanted[end - 1][3] and wanted[end][2] - wanted[k][2] < RANGE_BYTES:
+                    end += 1
+                if wanted[k][1] != name:
+                    name = wanted[k][1]
+                    file = fs.open_input_file(f"{root}/{name}")
+                begin = wanted[k][2]
+                data = file.read_at(wanted[end - 1][2] + wanted[end - 1][3] - begin, begin)
+                rows = []
+                for key, _, at, length in wanted[k:end]:
+                    fields, payload = parsed(data[at - begin : at - begin + length])
+                    rows.append({"key": key, **_capture(fields), "payload": payload if payloads else None})
+                yield pa.RecordBatch.from_pylist(rows, schema=_CAPTURE_ARROW)
+                k = end
+
+    n = partitions(directory.sparkSession)
+    places = located(directory, out_dir, urls, url_col).withColumn("range", F.floor(F.col("at") / RANGE_BYTES))
+    return places.repartition(n, "file", "range").sortWithinPartitions("file", "at").select("key", "file", "at", "length").mapInArrow(read, f"key string, {_CAPTURE}, payload binary")
 
 
 def warc_round_trip(pages: DataFrame, least: int = LEAST) -> DataFrame:
-    """Write the archive of ``pages`` to the shared folder, then read every capture back through the index."""
+    """Write the archive of ``pages`` to the shared folder, then look up every page's URL and read its captures back."""
     out_dir = new_dir(pages.sparkSession, "warc")
-    return read_archive(write_archive(pages, out_dir, least), out_dir)
+    return lookup(write_archive(pages, out_dir, least), out_dir, pages, payloads=False).drop("key", "payload")
 
 
 ORACLE = """

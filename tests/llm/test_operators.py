@@ -489,24 +489,64 @@ def test_warc_round_trip_and_lookup(spark):
 
     big = "<p>" + "é" * 80
     rows = [(k, f"http://h{k % 7}.ex.com:80/p{k}?q=1#f", [big, "small", None, f"{k} " * 50][k % 4]) for k in range(60)] + [(60, None, big), (3, "https://Ex.com", "tie"), (3, "https://ex.com/", "tie2")]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("key", F.lit("x"))
+    rows += [(None, "http://no.id/", big), (None, None, "z" * 300), (70, "http://long.ex.com/", "long " * 300_000), (71, "http://long.ex.com/", "long " * 300_000), (71, "http://long.ex.com/", "long " * 300_000)]
+    rows += [(k, "http://hot.ex.com/", f"hot {k}") for k in range(100, 400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"key": F.lit("x"), "first": F.lit(1), "digest": F.lit("d")})
     out = new_dir(spark, "warc")
     directory = warc.write_archive(pages, out)
-    got = rows_of(warc.read_archive(directory, out), "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    got = rows_of(warc.lookup(directory, out, pages), *names)
     first = {}
     for i, _, h in rows:
-        first[h or ""] = min(first.get(h or "", i), i)
+        first[h or ""] = i if first.get(h or "") is None else min(first[h or ""], i if i is not None else first[h or ""])
     want = []
     for i, _, h in rows:
         raw = (h or "").encode()
         again = len(raw) >= 100 and first[h or ""] != i
         want.append((i, len(raw), hashlib.sha256(raw).hexdigest(), "revisit" if again else "response", first[h or ""] if again else None))
     assert got == sorted(want, key=repr)
-    found = warc.lookup(directory, out, spark.createDataFrame([("https://ex.com",), ("http://h1.ex.com/p1?q=1",), ("http://nowhere.org/",)], "url string")).collect()
-    assert sorted((r["key"], r["page_id"]) for r in found) == [("com,ex)/", 3), ("com,ex)/", 3), ("com,ex,h1)/p1?q=1", 1)]
+    assert got == rows_of(warc.warc_round_trip(pages), *names)
+    found = warc.lookup(directory, out, spark.createDataFrame([("https://ex.com",), ("http://h1.ex.com/p1?q=1",), ("http://nowhere.org/",), ("http://h1.ex.com/p1?q=1",)], "url string")).collect()
+    assert sorted((r["key"], r["page_id"], bytes(r["payload"])) for r in found) == [("com,ex)/", 3, b"tie"), ("com,ex)/", 3, b"tie2"), ("com,ex,h1)/p1?q=1", 1, b"small")]
     assert warc.warc_round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_records_follow_the_standard(spark):
+    """Read as any reader would: member by member, header lines up to a blank one, a block of the length said, two line ends."""
+    import gzip
+    import io
+
+    from siteresolve.llm.common import new_dir, open_fs
+
+    rows = [(k, f"http://ex.com/{k}", "same " * 40 if k % 2 else f"page {k}") for k in range(20)]
+    out = new_dir(spark, "warc")
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), out)
+    fs, root = open_fs(out)
+    from pyarrow import fs as files
+
+    ids, refers, seen = set(), set(), 0
+    for info in fs.get_file_info(files.FileSelector(root)):
+        if not info.path.endswith(".warc.gz"):
+            continue
+        data = io.BytesIO(gzip.decompress(fs.open_input_file(info.path).read()))
+        while (line := data.readline()) != b"":
+            assert line == b"WARC/1.1\r\n"
+            fields = {}
+            while (line := data.readline()) != b"\r\n":
+                name, _, value = line.decode().rstrip("\r\n").partition(": ")
+                assert name not in fields
+                fields[name] = value
+            block = data.read(int(fields["Content-Length"]))
+            assert data.read(4) == b"\r\n\r\n"
+            assert re.fullmatch(r"<urn:uuid:[0-9a-f-]{36}>", fields["WARC-Record-ID"]) and fields["WARC-Type"] in ("response", "revisit")
+            assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", fields["WARC-Date"]) and fields["Content-Type"].startswith("application/http")
+            assert block.startswith(b"HTTP/1.1 200 OK\r\n") and fields["WARC-Target-URI"].startswith("http://ex.com/")
+            ids.add(fields["WARC-Record-ID"])
+            refers |= {fields["WARC-Refers-To"]} if fields["WARC-Type"] == "revisit" else set()
+            seen += 1
+    assert seen == len(ids) == 20 and len(refers) == 1 and refers <= ids
+
+
 # ---- 10: token files ------------------------------------------------------------------------
 
 
