@@ -107,21 +107,37 @@ class Passages:
         own = np.unique(self.passage[weights[self.term] > 0])
         return own, rows[own]
 
-    def shared(self, places: np.ndarray, often: np.ndarray, length: int) -> np.ndarray:
-        """Upper bounds, by passage and item, of the item's words (``places``: term x item) that stand in the passage widened by ``length`` words."""
-        dense, passage, term, _ = self.weighted(np.ones(len(places), np.float32), often)
-        here = (dense > 0).astype(np.float32)
-        few = np.zeros((self.n, places.shape[1]), np.float32)
+    def shared(self, places: np.ndarray, often: np.ndarray, length: int, own: np.ndarray) -> np.ndarray:
+        """Upper bounds, by passage of ``own`` and item, of the item's words (``places``: term x item) that stand in the passage widened by ``length`` words."""
+        reach = min(-(-length // STRIDE), self.n - 1)
+        steps = np.arange(-reach, reach + 1)
+        around = own[:, None] + steps
+        inside = (around >= 0) & (around < self.n)
+        around = np.clip(around, 0, self.n - 1)
+        inside &= self.row[around] == self.row[own][:, None]
+        needed = np.unique(around[inside])
+        at = np.zeros(self.n, np.int64)
+        at[needed] = np.arange(len(needed))
+        wanted = np.zeros(self.n, bool)
+        wanted[needed] = True
+        some = wanted[self.passage]
+        passage, term = at[self.passage[some]], self.term[some]
+        column = np.full(len(places), -1)
+        column[often] = np.arange(len(often))
+        column = column[term]
+        many = column >= 0
+        here = np.zeros((len(needed) + 1, len(often)), np.float32)  # the last rows stay empty
+        here[passage[many], column[many]] = 1
+        few = np.zeros((len(needed) + 1, places.shape[1]), np.float32)
+        passage, term = passage[~many], term[~many]
         if len(passage):
             begin = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
             few[passage[begin]] = np.add.reduceat(places[term], begin, axis=0)
-        near, most = here.copy(), few.copy()
-        for k in range(1, min(-(-length // STRIDE), self.n - 1) + 1):
-            same = (self.row[k:] == self.row[:-k]).astype(np.float32)[:, None]
-            np.maximum(near[k:], here[:-k] * same, out=near[k:])
-            np.maximum(near[:-k], here[k:] * same, out=near[:-k])
-            most[k:] += few[:-k] * same
-            most[:-k] += few[k:] * same
+        near, most = np.zeros((len(own), len(often)), np.float32), np.zeros((len(own), places.shape[1]), np.float32)
+        for k in range(len(steps)):
+            row = np.where(inside[:, k], at[around[:, k]], len(needed))
+            np.maximum(near, here[row], out=near)
+            most += few[row]
         return most + near @ places[often]
 
 
@@ -274,7 +290,8 @@ def _search(docs: DataFrame, rows: list[tuple[int, str]], id_col: str, text_col:
                 cosine = (z @ targets) / np.where(size > 0, size, 1)[:, None]
                 likely = cosine >= least_cosine
                 if longest <= LONGEST_BOUNDED:  # pairs without enough words in common are left out at once
-                    likely &= p.shared(places, often, longest)[own] >= least
+                    some = np.flatnonzero(likely.any(axis=1))
+                    likely[some] &= p.shared(places, often, longest, own[some]) >= least
                 start = np.cumsum(counts) - counts
                 best: dict[tuple[int, int], tuple] = {}
                 present = np.zeros(len(items.vocabulary), bool)
