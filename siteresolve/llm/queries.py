@@ -17,7 +17,7 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(table(spark, sf_dir, "documents"))
+    return secrets.scan(table(spark, sf_dir, "documents"), words=tokenizer_file("byte_bpe_50k.json"))
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

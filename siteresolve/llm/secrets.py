@@ -5,10 +5,13 @@ Base kinds, leftmost and non-overlapping per kind, in code points with an exclus
 (AKIA keys of 18 or more characters) and ``hex`` (runs of 16 or more digits).
 
 The method adds kind ``guess``: every value that follows a credential word (a wider list than the
-base's, also without ``:`` or ``=`` after "is") of MIN_VALUE or more characters whose guess cost
-is at least ``least_bits``. The guess cost is the smallest sum, over all segmentations of the
+base's, also at the end of a longer name, and without ``:`` or ``=`` after "is"), any MIN_VALUE or
+more visible characters other than a credential word itself, whose guess cost is at least
+``least_bits``. The guess cost is the smallest sum, over all segmentations of the
 value, of the segments' costs in bits (see ``guess_bits``); dynamic programming over positions,
-with runs carried along, so time is linear in the value but for the bounded word and date lengths.
+with runs carried along. A word's cost is its rank: first the short list of words that people put
+into passwords, then the words of a public vocabulary file (``words``, a byte-level BPE in the
+tokenizers library's format) in its merge order, which goes by how often they occur.
 
 Null and empty texts have no spans. Texts are taken whole at any length; repeated rows repeat.
 """
@@ -16,10 +19,12 @@ Null and empty texts have no spans. Texts are taken whole at any length; repeate
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,11 +36,10 @@ MIN_VALUE = 6
 _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_CONTEXT = re.compile(
-    r"(?<![A-Za-z0-9])(?:password|passwd|passphrase|passcode|pass|pwd|pin|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|login)"
-    r"[\"']?(?:\x20*(?::=|=>|[:=])\x20*|\x20+is\x20+)[\"']?([!-~]{%d,})" % MIN_VALUE,
-    re.IGNORECASE | re.ASCII,
-)
+_CREDENTIAL = "(?:password|passwd|passphrase|passcode|pass|pwd|pin|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|login)"
+_CONTEXT = re.compile(_CREDENTIAL + r"[\"']?(?:\x20*(?::=|=>|[:=])\x20*|\x20+is\x20+)[\"']?", re.IGNORECASE | re.ASCII)
+_VALUE = re.compile(r"\S+")
+_WORD_ITSELF = re.compile(_CREDENTIAL, re.IGNORECASE | re.ASCII).fullmatch
 
 # Words that people put into passwords, most common first (a word's place is its guess rank).
 WORDS = (
@@ -47,8 +51,7 @@ WORDS = (
     "qwerty iloveyou trustno january february march april may june july august september october november december monday friday sunday "
     "red green blue black white north south east west king queen star moon sun fire water earth wind home office school work family"
 ).split()
-RANK = {w: k + 1 for k, w in reversed(list(enumerate(WORDS)))}
-LONGEST_WORD = max(map(len, WORDS))
+LONGEST_WORD = 20
 KEY_ROWS = ["`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./"]
 LEET = str.maketrans("430$@157", "aeosaist")
 
@@ -62,7 +65,23 @@ _DATE = re.compile(r"(?:(?:19|20)\d\d[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:0?[1-9]|
 SEGMENT_BITS = 1.0
 YEARS = 120
 WALK_BITS, TURN_BITS = math.log2(47), 2.0
-LONGEST_UNIT = 8
+LONGEST_UNIT = 64
+LOG2 = np.log2(np.maximum(np.arange(4096), 1))
+
+_ranks: dict[str | None, dict[str, int]] = {}
+
+
+def word_ranks(path: str | None) -> dict[str, int]:
+    """Rank by word, from 1; the vocabulary file is read once per worker."""
+    if path not in _ranks:
+        words = dict.fromkeys(WORDS)
+        if path:
+            with open(path) as f:
+                vocabulary = json.load(f)["model"]["vocab"]
+            # "Ġ" is the format's mark for a space: such pieces begin words
+            words.update(dict.fromkeys(w for x in sorted(vocabulary, key=vocabulary.get) if x[0] == "Ġ" and (w := x[1:].lower()).isascii() and w.isalpha() and 3 <= len(w) <= LONGEST_WORD))
+        _ranks[path] = {w: k + 1 for k, w in enumerate(words)}
+    return _ranks[path]
 
 
 def char_bits(c: str) -> float:
@@ -70,13 +89,13 @@ def char_bits(c: str) -> float:
     return math.log2(10) if c.isdigit() else math.log2(26) if c.isascii() and c.isalpha() else math.log2(33) if c.isascii() else math.log2(1 << 12)
 
 
-def word_bits(s: str) -> float | None:
+def word_bits(s: str, ranks: dict[str, int]) -> float | None:
     """Rank of the word, and a bit or two for capitals or digits in place of letters."""
     low = s.lower()
     bits = 0.0 if low == s else 1.0 if s[1:] == low[1:] or s.isupper() else 2.0
-    if low not in RANK:
+    if low not in ranks:
         low, bits = low.translate(LEET), bits + 2.0
-    return math.log2(RANK[low]) + 1 + bits if low in RANK else None
+    return math.log2(ranks[low]) + 1 + bits if low in ranks else None
 
 
 def date_bits(s: str) -> float | None:
@@ -91,13 +110,13 @@ def walk_step(a: str, b: str) -> bool:
     return (a, b) in _NEXT or (a.isalnum() and b.isalnum() and a.isdigit() == b.isdigit() and abs(ord(a) - ord(b)) == 1)
 
 
-def guess_bits(value: str) -> tuple[float, list[tuple[str, int, int]]]:
+def guess_bits(value: str, ranks: dict[str, int]) -> tuple[float, list[tuple[str, int, int]]]:
     """log2 of the guesses for ``value``, and its cheapest segmentation as (kind, start, end).
 
     Each segment adds SEGMENT_BITS. Kinds: word; date; repeat (a unit of up to LONGEST_UNIT characters
-    two or more times, at the unit's own cheapest cost or brute force, plus log2 of the times, the unit
-    of one character at least three times); walk (three keys or more: the first key, then TURN_BITS per
-    step); brute (each character's class).
+    two or more times, the unit of one character at least three times: the unit's own cheapest cost plus
+    log2 of the times); walk (three keys or more: the first key, then TURN_BITS per step); brute (each
+    character's class).
     """
     n = len(value)
     best = [0.0] + [math.inf] * n
@@ -107,6 +126,8 @@ def guess_bits(value: str) -> tuple[float, list[tuple[str, int, int]]]:
         brute.append(brute[-1] + char_bits(c))
     open_brute, brute_from = math.inf, 0
     run = [0] * (LONGEST_UNIT + 1)
+    units: dict[str, float] = {}
+    costs_upto = np.zeros(n + 1)
     walk = 0
     walk_open, walk_from = math.inf, 0
     for j in range(1, n + 1):
@@ -119,7 +140,7 @@ def guess_bits(value: str) -> tuple[float, list[tuple[str, int, int]]]:
             open_brute, brute_from = best[j - 1] - brute[j - 1], j - 1
         take(open_brute + brute[j] + SEGMENT_BITS, "brute", brute_from)
         for i in range(max(0, j - LONGEST_WORD), j - 2):
-            if (bits := word_bits(value[i:j])) is not None:
+            if (bits := word_bits(value[i:j], ranks)) is not None:
                 take(best[i] + bits + SEGMENT_BITS, "word", i)
         if value[j - 1].isdigit():
             for i in range(max(0, j - 10), j - 3):
@@ -127,10 +148,16 @@ def guess_bits(value: str) -> tuple[float, list[tuple[str, int, int]]]:
                     take(best[i] + bits + SEGMENT_BITS, "date", i)
         for p in range(1, min(LONGEST_UNIT, j - 1) + 1):
             run[p] = run[p] + 1 if value[j - 1] == value[j - 1 - p] else 0
-            times = run[p] // p + 1
-            if times >= (3 if p == 1 else 2):
-                i = j - times * p
-                take(best[i] + brute[i + p] - brute[i] + math.log2(times) + SEGMENT_BITS, "repeat", i)
+            most, least = run[p] // p + 1, 3 if p == 1 else 2
+            if most < least or any(p % q == 0 and run[q] >= p - q for q in range(1, p)):
+                continue  # a unit that is itself a repeat costs no less than the shorter one
+            unit = value[j - p : j]
+            if unit not in units:
+                units[unit] = guess_bits(unit, ranks)[0] if p > 1 else char_bits(unit) + SEGMENT_BITS
+            begins = np.arange(j - least * p, j - most * p - 1, -p)
+            costs = costs_upto[begins] + LOG2[least : most + 1] if most < len(LOG2) else costs_upto[begins] + np.log2(np.arange(least, most + 1))
+            at = int(costs.argmin())
+            take(float(costs[at]) + units[unit] + SEGMENT_BITS, "repeat", int(begins[at]))
         walk = walk + 1 if j > 1 and walk_step(value[j - 2], value[j - 1]) else 0
         if not walk:
             walk_open = math.inf
@@ -138,6 +165,7 @@ def guess_bits(value: str) -> tuple[float, list[tuple[str, int, int]]]:
             walk_open, walk_from = best[j - 3] - TURN_BITS * (j - 3), j - 3
         if walk >= 2:
             take(walk_open + WALK_BITS + TURN_BITS * (j - 1) + SEGMENT_BITS, "walk", walk_from)
+        costs_upto[j] = best[j]
     parts, j = [], n
     while j:
         kind, i = back[j]
@@ -146,7 +174,7 @@ def guess_bits(value: str) -> tuple[float, list[tuple[str, int, int]]]:
     return best[n], parts[::-1]
 
 
-def spans(text: str | None, least_bits: float = LEAST_BITS) -> tuple[list[tuple[int, int, int]], float]:
+def spans(text: str | None, ranks: dict[str, int], least_bits: float = LEAST_BITS) -> tuple[list[tuple[int, int, int]], float]:
     """(start, kind's place in KINDS, end) in order, and the largest guess cost of a context value."""
     if not text:
         return [], 0.0
@@ -156,12 +184,14 @@ def spans(text: str | None, least_bits: float = LEAST_BITS) -> tuple[list[tuple[
     out += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     most = 0.0
     for m in _CONTEXT.finditer(text):
-        value = m[1].rstrip("\"'.,;:)]}>")
-        if len(value) >= MIN_VALUE:
-            bits = guess_bits(value)[0]
+        if not (found := _VALUE.match(text, m.end())):
+            continue
+        value = found[0].rstrip("\"'.,;:)]}>")
+        if len(value) >= MIN_VALUE and not _WORD_ITSELF(value):
+            bits = guess_bits(value, ranks)[0]
             most = max(most, bits)
             if bits >= least_bits:
-                out.append((m.start(1), 3, m.start(1) + len(value)))
+                out.append((m.end(), 3, m.end() + len(value)))
     out.sort()
     return out, most
 
@@ -170,12 +200,13 @@ def joined(found: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in found)
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_bits: float = LEAST_BITS) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_bits: float = LEAST_BITS, words: str | None = None) -> DataFrame:
     """Per row: id, n_assign, n_access, n_hex, n_guess, max_guess_bits, base_sha256, spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = word_ranks(words)
         for batch in batches:
-            found = [spans(x, least_bits) for x in batch.column(1).to_pylist()]
+            found = [spans(x, ranks, least_bits) for x in batch.column(1).to_pylist()]
             counts = [[sum(s[1] == k for s in f) for f, _ in found] for k in range(4)]
             base = [hashlib.sha256(joined([s for s in f if s[1] < 3]).encode()).hexdigest() for f, _ in found]
             yield pa.RecordBatch.from_arrays(

@@ -41,38 +41,44 @@ def test_base_spans_follow_the_contract():
         (re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 16),
     ]
     want = sorted((m.start(), k, m.end()) for k, (f, ok) in enumerate(forms) for m in f.finditer(text) if ok(m))
-    assert [s for s in secrets.spans(text)[0] if s[1] < 3] == want and len(want) == 4
+    assert [s for s in secrets.spans(text, RANKS)[0] if s[1] < 3] == want and len(want) == 4
+
+
+RANKS = secrets.word_ranks(None)
 
 
 def brute_bits(value):
-    """The cheapest segmentation by trying every span, by the same span costs."""
+    """The cheapest segmentation by trying every span as every kind, repeats at any number of times, units by the same search."""
     n, best = len(value), [0.0] + [float("inf")] * len(value)
     for j in range(1, n + 1):
         for i in range(j):
             s, costs = value[i:j], [sum(map(secrets.char_bits, value[i:j]))]
-            costs += [b for b in (secrets.word_bits(s) if len(s) >= 3 else None, secrets.date_bits(s) if len(s) >= 4 and s[-1].isdigit() else None) if b is not None]
+            costs += [b for b in (secrets.word_bits(s, RANKS) if len(s) >= 3 else None, secrets.date_bits(s) if len(s) >= 4 and s[-1].isdigit() else None) if b is not None]
             if len(s) >= 3 and all(secrets.walk_step(a, b) for a, b in zip(s, s[1:])):
                 costs.append(secrets.WALK_BITS + secrets.TURN_BITS * (len(s) - 1))
-            for p in range(1, secrets.LONGEST_UNIT + 1):
+            for p in range(1, len(s) // 2 + 1):
                 times = len(s) // p
-                whole = len(s) % p == 0 and s == s[:p] * times and times >= (3 if p == 1 else 2)
-                if whole and not (i >= p and value[i - p : i] == s[:p]):  # runs are taken at their full length
-                    costs.append(sum(map(secrets.char_bits, s[:p])) + np.log2(times))
+                if len(s) % p == 0 and s == s[:p] * times and times >= (3 if p == 1 else 2):
+                    costs.append(brute_bits(s[:p]) + np.log2(times))
             best[j] = min(best[j], best[i] + min(costs) + secrets.SEGMENT_BITS)
     return best[n]
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.sampled_from(["password", "P@ss", "1999", "2020-01-02", "qwer", "aaa", "abab", "x", "7", "zX", "lkj", "123", "!", "é"]), min_size=1, max_size=5).map("".join))
+@given(st.lists(st.sampled_from(["password", "P@ss", "1999", "2020-01-02", "qwer", "aaa", "nnnn", "abab", "x", "7", "zX", "lkj", "123", "!", "é", "Kx9mQ2vT7p"]), min_size=1, max_size=4).map("".join))
 def test_guess_bits_are_minimal(value):
-    bits, parts = secrets.guess_bits(value)
-    assert bits <= brute_bits(value) + 1e-6
+    bits, parts = secrets.guess_bits(value, RANKS)
+    assert abs(bits - brute_bits(value)) < 1e-6
     assert "".join(value[a:b] for _, a, b in parts) == value
 
 
 def test_guess_spans_only_for_costly_values():
-    assert any(k == 3 for _, k, _ in secrets.spans("pwd is x7$kQ9!zLm2 ok")[0])
-    assert not any(k == 3 for _, k, _ in secrets.spans("password: password1999 and login: qwertyuiop")[0])
+    kinds = lambda text, ranks=RANKS: [text[a:b] for a, k, b in secrets.spans(text, ranks)[0] if k == 3]
+    assert kinds("pwd is x7$kQ9!zLm2 ok") == ["x7$kQ9!zLm2"]
+    assert kinds("password: password1999 and login: qwertyuiop") == []
+    assert kinds("userPassword=Zx9$Qw!2Lk8v secret: token: Zx9Qw2Lk8vTr, 'passwd': 'pässwörtZx9$'") == ["Zx9$Qw!2Lk8v", "Zx9Qw2Lk8vTr", "pässwörtZx9$"]
+    large = secrets.word_ranks(tokenizer_file("byte_bpe_50k.json"))
+    assert len(large) > 10_000 and kinds("password: photographer login: australia secret: " + "ab" * 3000 + " pin:" + "x" * 9000, large) == []
 
 
 def test_scan_edges(spark):
