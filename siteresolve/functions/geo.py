@@ -24,16 +24,15 @@ def _array(values: list[str]) -> Column:
 
 def profiles(locations: Column) -> Column:
     """The country profiles whose name is part of the locations' text, as structs, in the list's order."""
+    every = F.array(
+        *[
+            F.struct(F.lit(code).alias("code"), _array(names).alias("names"), _array([_plain(n) for n in names]).alias("plain"), _array(tlds).alias("tlds"), _array(official).alias("official"), _array(service).alias("service"))
+            for code, names, tlds, official, service in COUNTRIES
+        ]
+    )
     said = text.normalized(F.array_join(F.coalesce(locations, F.array().cast("array<string>")), " "))
-    each = [
-        F.when(
-            # a name inside the text counts wherever it stands, as "uk" does in "ukraine"
-            F.exists(_array([_plain(n) for n in names]), lambda n: said.contains(n)),
-            F.struct(F.lit(code).alias("code"), _array(names).alias("names"), _array([_plain(n) for n in names]).alias("plain"), _array(tlds).alias("tlds"), _array(official).alias("official"), _array(service).alias("service")),
-        )
-        for code, names, tlds, official, service in COUNTRIES
-    ]
-    return F.array_compact(F.array(*each))
+    # a name inside the text counts wherever it stands, as "uk" does in "ukraine"
+    return text.let(said, lambda s: F.filter(every, lambda p: F.exists(p["plain"], lambda n: s.contains(n))))
 
 
 def search_terms(locations: Column) -> Column:
@@ -56,11 +55,8 @@ def plain_markers(locations: Column) -> Column:
 def domain_signal(name: Column, locations: Column) -> Column:
     """match, conflict or neutral: the domain's country against the locations' countries."""
     end = urls.suffix(name)
-    expected = F.flatten(F.transform(profiles(locations), lambda p: p["tlds"]))
     known = _array(sorted({t for c in COUNTRIES for t in c[2]}))
-    return (
-        F.when((end == "") | end.isin(GENERIC_TLDS), "neutral")
-        .when(F.array_contains(expected, end), "match")
-        .when((F.size(expected) > 0) & F.array_contains(known, end), "conflict")
-        .otherwise("neutral")
+    return text.let(
+        F.flatten(F.transform(profiles(locations), lambda p: p["tlds"])),
+        lambda expected: F.when((end == "") | end.isin(GENERIC_TLDS), "neutral").when(F.array_contains(expected, end), "match").when((F.size(expected) > 0) & F.array_contains(known, end), "conflict").otherwise("neutral"),
     )

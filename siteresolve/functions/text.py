@@ -33,7 +33,7 @@ def fold(c: Column) -> Column:
     """Compatibility decomposition with everything but ASCII dropped. Text in ASCII is passed on untouched."""
     several = F.str_to_map(F.lit("\u0001".join(f"{k}\u0002{v}" for k, v in _MORE.items())), F.lit("\u0001"), F.lit("\u0002"))
     spread = F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(F.try_element_at(several, x), x)), "")
-    has_several = c.rlike("[" + "".join(_MORE) + "]")
+    has_several = F.translate(c, "".join(_MORE), "") != c
     wide = F.regexp_replace(F.translate(F.when(has_several, spread).otherwise(c), _FROM, _TO), r"[^\x00-\x7F]", "")
     return F.when(c.rlike(r"[^\x00-\x7F]"), wide).otherwise(c)
 

@@ -116,6 +116,25 @@ def _contains_any(c: Column, words: list[str]) -> Column:
     return out
 
 
+# Directory sites, and what a path says about a page.
+DIRECTORIES = r"(^|\.)(clutch\.co|goodfirms\.co|crunchbase\.com|trustpilot\.com|indiamart\.com|kompass\.com)$"
+PATH_RISKS = {
+    "candidate_looks_platform_profile": ["/profile", "/profiles/", "/company/", "/companies/"],
+    "candidate_looks_login_or_app_page": ["/login", "/signin", "/sign-in", "/app", "/dashboard"],
+    "candidate_looks_docs_help_support_page": ["/docs", "/documentation", "/help", "/support", "/kb", "/api"],
+}
+
+
+def _path_risks(path: Column) -> list[tuple[Column, str]]:
+    return [(_contains_any(path, words), risk) for risk, words in PATH_RISKS.items()]
+
+
+def address_risks(url: Column) -> Column:
+    """What an address alone says against it."""
+    pairs = [*_path_risks(F.lower(urls.path_part(url))), (urls.domain(url).rlike(DIRECTORIES), "candidate_looks_directory_page")]
+    return F.array_compact(F.array(*[F.when(cond, F.lit(v)) for cond, v in pairs]))
+
+
 def page_roles(read: DataFrame) -> DataFrame:
     """url, roles (home, about, contact, services, privacy, terms) and risks of read pages."""
     path = F.lower(urls.path_part(F.col("url")))
@@ -131,11 +150,9 @@ def page_roles(read: DataFrame) -> DataFrame:
         (p.contains("terms") | h.contains("terms and conditions") | h.contains("terms of service"), "terms"),
     ]
     listing = _contains_any(t, ["claim this profile", "company profile", "business directory", "supplier profile", "view profile", "review this company"])
-    directory = d.rlike(r"(^|\.)(clutch\.co|goodfirms\.co|crunchbase\.com|trustpilot\.com|indiamart\.com|kompass\.com)$")
+    directory = d.rlike(DIRECTORIES)
     risks = [
-        (_contains_any(p, ["/profile", "/profiles/", "/company/", "/companies/"]), "candidate_looks_platform_profile"),
-        (_contains_any(p, ["/login", "/signin", "/sign-in", "/app", "/dashboard"]), "candidate_looks_login_or_app_page"),
-        (_contains_any(p, ["/docs", "/documentation", "/help", "/support", "/kb", "/api"]), "candidate_looks_docs_help_support_page"),
+        *_path_risks(p),
         (_contains_any(t, ["domain for sale", "buy this domain", "this domain may be for sale", "sedo domain parking", "hugedomains"]), "candidate_looks_parked_or_domain_sale"),
         (listing | directory, "candidate_looks_directory_page"),
     ]

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import EXCLUDED_DOMAINS
+from ..config import COUNTRIES, EXCLUDED_DOMAINS
 from ..functions import geo, text, urls
-from ..operators import balance, calibration, candidates, finalize, pages, patterns, providers, regression, review, scoring, secondpass, seeds
+from ..operators import balance, calibration, candidates, finalize, pages, patterns, providers, regression, review, scoring, secondpass, seeds, verification
 from .adapters import load, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -737,7 +737,10 @@ def c11_domain_variants(spark, d):
     return seeds.domain_variants(_providers(spark, d), EXCLUDED_DOMAINS).groupBy("provider_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query(
+    """WITH q AS (SELECT provider_id, ['official company website for "' || provider_name || '" Amazon seller service provider ' || location, '"' || provider_name || '" ecommerce agency marketplace services official site contact ' || location, '"' || provider_name || '" Amazon Seller Central marketplace agency official website contact'] AS l FROM {providers})
+    SELECT provider_id, CAST(k AS INTEGER) AS query_pos, l[k + 1] AS query FROM q, generate_series(0, 2) AS t(k)"""
+)
 def c12_semantic_queries(spark, d):
     made = seeds.semantic_queries(F.col("provider_name"), F.col("location"), F.col("segment"))
     return load(spark, d, "providers").select("provider_id", F.posexplode(made).alias("query_pos", "query"))
@@ -752,3 +755,46 @@ def g13_accepted(spark, d):
     best = found.groupBy("provider_id").agg(F.max_by(F.struct("url", "score"), F.struct("score", (-F.col("pos")).alias("p"))).alias("b"), F.collect_list(F.struct("url", "source", "reasons", "reject")).alias("candidates"))
     rows = best.select("provider_id", "candidates", F.col("b.url").alias("official_url"), F.col("b.score").alias("confidence"), F.when(F.col("b.score") >= 75, "matched").when(F.col("b.score") >= 45, "needs_review").otherwise("low_confidence").alias("status"), F.lit("").alias("evidence_summary"))
     return seeds.accepted(rows, EXCLUDED_DOMAINS).select("provider_id", "accepted")
+
+
+# ---- verification ---------------------------------------------------------------------------
+
+
+def _list(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+_PROFILES = "(VALUES " + ", ".join(f"({k}, {_list(geo._plain(n) for n in names)}, {_list([*official[:3], *service[:2]])})" for k, (_, names, _, official, service) in enumerate(COUNTRIES)) + ") AS profiles(k, names, terms)"
+
+
+@query(
+    f"""WITH p AS (SELECT provider_id, provider_name, location, lower(location) AS said FROM {{providers}}),
+    m AS (SELECT provider_id, k, unnest(terms) AS term, unnest(generate_series(1, len(terms))) AS j FROM p, {_PROFILES} WHERE len(list_filter(names, lambda n: contains(said, n))) > 0),
+    o AS (SELECT provider_id, term, row_number() OVER (PARTITION BY provider_id ORDER BY min(k * 100 + j)) AS nth FROM m GROUP BY provider_id, term),
+    q AS (SELECT provider_id, 0 AS query_pos, '"' || provider_name || '" official website' AS query FROM p UNION ALL SELECT provider_id, 1, '"' || provider_name || '" contact' FROM p
+          UNION ALL SELECT provider_id, 2, '"' || provider_name || '" "' || location || '"' FROM p UNION ALL SELECT provider_id, 2 + nth, '"' || provider_name || '" "' || term || '"' FROM p JOIN o USING (provider_id) WHERE nth <= 4)
+    SELECT provider_id, CAST(query_pos AS INTEGER) AS query_pos, query FROM q"""
+)
+def c13_independent_queries(spark, d):
+    made = verification.independent_queries(F.col("provider_name"), F.array("location"))
+    return load(spark, d, "providers").select("provider_id", F.posexplode(made).alias("query_pos", "query"))
+
+
+@query()
+def g18_g19_g22_verification(spark, d):
+    seen = load(spark, d, "pages").withColumn("host", urls.host_part(F.col("url")))
+    homes = seen.groupBy("host").agg(F.min_by("html", "page_id").alias("html"), F.min("page_id").alias("pos")).withColumn("url", F.concat(F.lit("https://"), "host", F.lit("/")))
+    found = homes.select(F.col("host").alias("provider_id"), "pos", "url", urls.base_label(F.col("host")).alias("provider_name"), F.array(F.lit("Germany")).alias("provider_locations"))
+    done = verification.verify_sites(found, pages.read_pages(homes))
+    return done.select("provider_id", "domain", "score", verification.needs_search(F.col("url"), F.col("score"), F.col("counter_evidence")).alias("search_again"), *[F.array_join(c, "; ").alias(c) for c in ("evidence_urls", "supporting_facts", "counter_evidence")])
+
+
+@query(
+    r"""WITH c AS (SELECT *, row_number() OVER (PARTITION BY provider_id ORDER BY pos) AS nth FROM {candidates}),
+    r AS (SELECT c.*, r.official_url FROM c JOIN (SELECT * FROM {results}) r USING (provider_id) WHERE nth <= 12 AND NOT reject AND c.score >= 40),
+    o AS (SELECT * FROM r WHERE regexp_replace(regexp_replace(lower(url), '^https?://(www[.])?', ''), '/.*$', '') <> regexp_replace(regexp_replace(regexp_replace(lower(official_url), '^https?://', ''), '^www[.]', ''), '/.*$', ''))
+    SELECT provider_id, arg_max(url, CAST(score AS BIGINT) * 1000000000 - pos) AS replacement_url, max(score) AS replacement_score FROM o GROUP BY provider_id"""
+)
+def g20_best_replacement(spark, d):
+    current = load(spark, d, "results").select("provider_id", F.col("official_url").alias("current_url"))
+    return verification.best_replacement(load(spark, d, "candidates"), current, least=40)

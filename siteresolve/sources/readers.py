@@ -14,7 +14,8 @@ FINAL_FIELDS = [
     "provider_id", "provider_name", "provider_detail_url", "listing_logo_url", "official_url", "official_domain", "status", "decision_source", "confidence", "source_status", "evidence_summary",
     "candidate_count", "scored_candidate_count", "service_apis", "provider_locations", "notes",
 ]
-TRUSTED_MARKERS = ("filled", "reviewed", "manual")
+# Parts of the names of label files that are trusted.
+TRUSTED_MARKERS = ("manual_review_combined_decisions", "agent_human_review_regression_cases", "agent_no_official_regression_cases")
 
 # Where each kind of saved response has its results, and what their fields are called: address, title, snippet.
 LAYOUTS = {
