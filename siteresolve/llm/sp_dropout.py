@@ -46,8 +46,8 @@ from .words import mixed, power_tables, text_parts
 DROPOUT = 0.1
 SEED = 17
 LONG = 48
-PORTION = 4 << 20  # bytes of text taken together
-ROWS = 16384  # runs whose agendas go side by side
+PORTION = 1 << 20  # bytes of text taken together
+ROWS = 8192  # runs whose agendas go side by side
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
 _MIXED = re.compile(f"[{_LETTER}][^{_LETTER} ]|[^{_LETTER} ][{_LETTER}]")
 _GOLDEN, _TURN, _ALL = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, (1 << 64) - 1
