@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,10 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; one of our own only where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; one of our own only where that is unset and all runs in one process, as in tests."""
     given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if given:
         return given.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="spark-")
