@@ -14,13 +14,17 @@ s < 7 at which both i + s and j + s are cover positions, so equal windows share
 
 A document sends each hash once, with its first position; what comes back is first positions, and
 the document finds the hash's other positions itself. So a line repeated a thousand times in one
-document is one row. No step groups a document's or hash's rows in memory: streams hold one batch
-and one pending row per partition. Positions that come back are runs of a few bytes; texts and runs
+document is one row. A hash that many documents hold is decided for most of them where they are
+read: among a part's documents all but the smallest few know at once that another one holds it, and
+their rows travel by document. So a hash's partition gets a few rows a part of about 1 MB, whatever
+share of the documents holds it. No step groups a document's or hash's rows in memory: streams hold
+one batch and one pending row per partition. Positions that come back are runs of a few bytes; texts and runs
 meet in a shuffled join, whose large partitions Spark may split.
 
 Null text has no words. Rows with a null id are neither sources nor changed. Rows with equal ids
 are copies of one document id (their windows don't remove each other's). Words come back unchanged
-and joined by one space. Window hashes have 64 bits.
+and joined by one space. Anchors only propose windows and have 64 bits; windows of two documents are
+equal when two independent hashes of 64 bits are.
 """
 
 from __future__ import annotations
@@ -35,11 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import durable, partitions
-from .words import mixed, text_parts, window_hashes, word_hashes
+from .words import mixed, second_hashes, text_parts, window_hashes, word_hashes
 
 PERIOD = 7
 COVER = (0, 1, 3)
 _HITS = pa.schema([("doc", pa.int64()), ("alt", pa.int32()), ("at", pa.int32())])
+_ROWS = "h long, h2 long, doc long, alt int, at int, decided boolean"
+_NAMES = ["h", "h2", "doc", "alt", "at", "decided"]
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -50,7 +56,9 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _shared(batches: Iterator[pa.RecordBatch], others_only: bool) -> Iterator[pa.RecordBatch]:
-    """Rows (doc, alt, at) of hashes that occur in two documents, from rows sorted by (hash, doc). others_only: without the smallest document's.
+    """Rows (doc, alt, at) of hashes that occur in two documents, from rows sorted by (hash, second hash, doc). others_only: without the smallest document's.
+
+    Rows decided before come out as they are.
 
     A hash's first document is held back until a second one is seen; of that document's rows, those in earlier batches wait in ``pending``.
     """
@@ -58,12 +66,15 @@ def _shared(batches: Iterator[pa.RecordBatch], others_only: bool) -> Iterator[pa
     known = False  # the last hash has been seen in two documents
     pending: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for batch in batches:
+        decided = batch.column(5).to_numpy(zero_copy_only=False)
+        if decided.any():
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(decided)) for k in (2, 3, 4)], schema=_HITS)
+            batch = batch.filter(pa.array(~decided))
         if not batch.num_rows:
             continue
-        h, doc = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        alt, at = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-        new = np.append(True, h[1:] != h[:-1])
-        goes_on = last_hash is not None and h[0] == last_hash
+        h, h2, doc, alt, at = (batch.column(k).to_numpy() for k in range(5))
+        new = np.append(True, (h[1:] != h[:-1]) | (h2[1:] != h2[:-1]))
+        goes_on = last_hash == (h[0], h2[0])
         new[0] = not goes_on
         begin = np.flatnonzero(new)
         if goes_on:
@@ -88,7 +99,7 @@ def _shared(batches: Iterator[pa.RecordBatch], others_only: bool) -> Iterator[pa
             yield pa.RecordBatch.from_arrays([pa.array(doc[out]), pa.array(alt[out]), pa.array(at[out])], schema=_HITS)
         if len(begin) > 1:
             pending = []
-        last_hash, last_doc, known = h[-1], first_doc[-1], bool(two[-1])
+        last_hash, last_doc, known = (h[-1], h2[-1]), first_doc[-1], bool(two[-1])
         if not known and not others_only:
             k = begin[-1]
             pending.append((doc[k:].copy(), alt[k:].copy(), at[k:].copy()))
@@ -130,9 +141,9 @@ def _run_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 
 
 def _told(hashes: DataFrame, others_only: bool, name: str) -> DataFrame:
-    """hash, doc, alt, at -> durable doc, alt, runs (of first positions)."""
+    """Rows of _rows -> durable doc, alt, runs (of first positions)."""
     n = partitions(hashes.sparkSession)
-    hits = hashes.repartition(n, "h").sortWithinPartitions("h", "doc").mapInArrow(lambda b: _shared(b, others_only), "doc long, alt int, at int")
+    hits = hashes.repartition(n, "h").sortWithinPartitions("h", "h2", "doc").mapInArrow(lambda b: _shared(b, others_only), "doc long, alt int, at int")
     runs = hits.repartition(n, "doc", "alt").sortWithinPartitions("doc", "alt", "at").mapInArrow(lambda b: _runs(b, 1), "doc long, alt int, runs binary")
     return durable(runs, name)
 
@@ -158,9 +169,25 @@ def _all_places(h: np.ndarray, row: np.ndarray, place: np.ndarray, runs: list[by
     return np.isin(key, key[told[place]])
 
 
-def _rows(batch: pa.RecordBatch, a: int, h: np.ndarray, row: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
-    doc, alt = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(doc[row + a]), pa.array(alt[row + a]), pa.array(at.astype(np.int32))], ["h", "doc", "alt", "at"])
+def _decided(h: np.ndarray, h2: np.ndarray, doc: np.ndarray, undecided: int) -> np.ndarray:
+    """Rows of hashes that ``undecided`` smaller documents of these rows hold too."""
+    order = np.lexsort((doc, h2, h))
+    h, h2, doc = h[order], h2[order], doc[order]
+    new_hash = np.append(True, (h[1:] != h[:-1]) | (h2[1:] != h2[:-1]))
+    smaller = np.cumsum(np.append(True, new_hash[1:] | (doc[1:] != doc[:-1])))
+    begin = np.flatnonzero(new_hash)
+    smaller -= np.repeat(smaller[begin], np.diff(np.append(begin, len(h))))
+    out = np.empty(len(h), bool)
+    out[order] = smaller >= undecided
+    return out
+
+
+def _rows(batch: pa.RecordBatch, a: int, h: np.ndarray, h2: np.ndarray, row: np.ndarray, at: np.ndarray, undecided: int) -> pa.RecordBatch:
+    """Rows for _told. Decided ones go by document: their hash is replaced by one of the document and place."""
+    doc, alt = batch.column(0).to_numpy()[row + a], batch.column(1).to_numpy()[row + a]
+    done = _decided(h, h2, doc, undecided) if len(h) else np.zeros(0, bool)
+    to = np.where(done, mixed(mixed(doc.view(np.uint64)) + at.astype(np.uint64)), h)
+    return pa.RecordBatch.from_arrays([pa.array(to.view(np.int64)), pa.array(np.where(done, np.uint64(0), h2).view(np.int64)), pa.array(doc), pa.array(alt), pa.array(at.astype(np.int32)), pa.array(done)], _NAMES)
 
 
 def substring_dedup(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -179,7 +206,9 @@ def substring_dedup(docs: DataFrame, size: int = 13, id_col: str = "doc_id", tex
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, _, raw, offs in text_parts(batch.column(2)):
-                yield _rows(batch, a, *_once(*cover_anchors(*word_hashes(raw, offs))))
+                h, row, at = _once(*cover_anchors(*word_hashes(raw, offs)))
+                # of a hash's documents the smallest two go to its partition, which then knows of both
+                yield _rows(batch, a, h, np.zeros_like(h), row, at, 2)
 
     def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,7 +223,8 @@ def substring_dedup(docs: DataFrame, size: int = 13, id_col: str = "doc_id", tex
                 h, row, at = window_hashes(words, counts, size)
                 place = start[row] + at
                 take = upto[place + PERIOD] > upto[place]
-                yield _rows(batch, a, *_once(h[take], row[take], at[take]))
+                h, row, at = _once(h[take], row[take], at[take])
+                yield _rows(batch, a, h, second_hashes(words, start[row] + at, size), row, at, 1)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,9 +254,8 @@ def substring_dedup(docs: DataFrame, size: int = 13, id_col: str = "doc_id", tex
                 ["id", "n_words", "n_removed", "kept_sha256", "kept"],
             )
 
-    rows = "h long, doc long, alt int, at int"
-    found = _told(matched.mapInArrow(anchors, rows), False, "anchors")
-    windows = matched.join(found, ["doc", "alt"]).select("doc", "alt", "text", "runs").mapInArrow(extended, rows)
+    found = _told(matched.mapInArrow(anchors, _ROWS), False, "anchors")
+    windows = matched.join(found, ["doc", "alt"]).select("doc", "alt", "text", "runs").mapInArrow(extended, _ROWS)
     cuts = _told(windows, True, "cuts")
     out = texts.join(cuts, ["doc", "alt"], "left").select("doc", "alt", "text", "runs").mapInArrow(cut, "id long, n_words long, n_removed long, kept_sha256 string, kept string")
     return out.withColumnRenamed("id", id_col)

@@ -21,6 +21,7 @@ PUNCTUATION[128:] = False
 PUNCTUATION[[*b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"]] = False
 _BASE = 0x9E3779B97F4A7C15 | 1
 _GAMMA = np.uint64(0xD1342543DE82EF95)
+_OTHER = np.uint64(0xA0761D6478BD642F)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -98,3 +99,12 @@ def window_hashes(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.
     start = np.cumsum(counts) - counts
     at = np.flatnonzero(inside)
     return mixed(h[at]), row[at], at - start[row[at]]
+
+
+def second_hashes(words: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    """Another hash of the windows of ``size`` words that begin at words ``start``: of other values of the words, combined by another rule."""
+    words = mixed(words ^ _OTHER)
+    h = words[start]
+    for k in range(1, size):
+        h = mixed(h + _OTHER) ^ words[start + k]
+    return mixed(h)

@@ -358,6 +358,34 @@ def test_substring_dedup(spark):
     assert substring.substring_dedup(docs(spark, [])).count() == 0
 
 
+def test_rows_decided_where_they_are_read():
+    h, h2, doc = np.array([5, 5, 5, 5, 9, 5, 7], np.uint64), np.array([0, 0, 0, 0, 0, 1, 0], np.uint64), np.array([4, 2, 2, 9, 1, 9, 3])
+    assert substring._decided(h, h2, doc, 1).tolist() == [True, False, False, True, False, False, False]
+    assert substring._decided(h, h2, doc, 2).tolist() == [False, False, False, True, False, False, False]
+    everywhere = " ".join(f"w{k}" for k in range(20))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(500), pa.int64()), pa.array([0] * 500, pa.int32()), pa.array([everywhere] * 500)], ["doc", "alt", "text"])
+    words, counts = word_hashes(*next(text_parts(batch.column(2)))[2:])
+    got, row, at = window_hashes(words, counts, 13)
+    rows = substring._rows(batch, 0, got, np.zeros_like(got), row, at, 2).to_pandas()
+    assert rows[~rows.decided].groupby("h").size().tolist() == [2] * 8 and rows[rows.decided].h.nunique() == 498 * 8
+
+
+def test_windows_of_one_hash_and_another_second_hash_differ():
+    def batch(h, h2, doc):
+        n = len(h)
+        return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(h2, pa.int64()), pa.array(doc, pa.int64()), pa.array([0] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array([False] * n)], substring._NAMES)
+
+    for parts in ([batch([1, 1, 1], [3, 4, 4], [8, 6, 7])], [batch([1], [3], [8]), batch([1], [4], [6]), batch([1], [4], [7])]):
+        out = [d for b in substring._shared(iter(parts), True) for d in b.column(0).to_pylist()]
+        assert out == [7]
+
+
+def test_second_hashes_tell_windows_apart():
+    words = np.array([1, 2, 3, 1, 2, 3, 2, 1, 3], np.uint64)
+    h = substring.second_hashes(words, np.arange(7), 3).tolist()
+    assert h[0] == h[3] and len(set(h)) == 6
+
+
 def test_difference_cover():
     for i in range(substring.PERIOD):
         for j in range(substring.PERIOD):
