@@ -23,8 +23,8 @@ meet in a shuffled join, whose large partitions Spark may split.
 
 Null text has no words. Rows with a null id are neither sources nor changed. Rows with equal ids
 are copies of one document id (their windows don't remove each other's). Words come back unchanged
-and joined by one space. Anchors only propose windows and have 64 bits; windows of two documents are
-equal when two independent hashes of 64 bits are.
+and joined by one space. Anchors only propose windows and have 48 bits; windows of two documents are
+equal when two independent hashes, of 64 and 32 bits, are.
 """
 
 from __future__ import annotations
@@ -44,8 +44,10 @@ from .words import mixed, second_hashes, text_parts, window_hashes, word_hashes
 PERIOD = 7
 COVER = (0, 1, 3)
 _HITS = pa.schema([("doc", pa.int64()), ("alt", pa.int32()), ("at", pa.int32())])
-_ROWS = "h long, h2 long, doc long, alt int, at int, decided boolean"
-_NAMES = ["h", "h2", "doc", "alt", "at", "decided"]
+# rows that meet others of their hash; a place below 0 is ~place of a row decided before
+_ANCHORS = "h long, doc long, alt int, at int"
+_WINDOWS = "h long, h2 int, doc long, alt int, at int"
+_ANCHOR_BITS = 48
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -56,7 +58,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _shared(batches: Iterator[pa.RecordBatch], others_only: bool) -> Iterator[pa.RecordBatch]:
-    """Rows (doc, alt, at) of hashes that occur in two documents, from rows sorted by (hash, second hash, doc). others_only: without the smallest document's.
+    """Rows (doc, alt, at) of hashes that occur in two documents, from rows sorted by hash, second hash (if they have one) and doc. others_only: without the smallest document's.
 
     Rows decided before come out as they are.
 
@@ -66,13 +68,14 @@ def _shared(batches: Iterator[pa.RecordBatch], others_only: bool) -> Iterator[pa
     known = False  # the last hash has been seen in two documents
     pending: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for batch in batches:
-        decided = batch.column(5).to_numpy(zero_copy_only=False)
+        h, *more, doc, alt, at = (c.to_numpy() for c in batch.columns)
+        h2 = more[0] if more else np.zeros(len(h), np.int32)
+        decided = at < 0
         if decided.any():
-            yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(decided)) for k in (2, 3, 4)], schema=_HITS)
-            batch = batch.filter(pa.array(~decided))
-        if not batch.num_rows:
+            yield pa.RecordBatch.from_arrays([pa.array(doc[decided]), pa.array(alt[decided]), pa.array(~at[decided])], schema=_HITS)
+            h, h2, doc, alt, at = (x[~decided] for x in (h, h2, doc, alt, at))
+        if not len(h):
             continue
-        h, h2, doc, alt, at = (batch.column(k).to_numpy() for k in range(5))
         new = np.append(True, (h[1:] != h[:-1]) | (h2[1:] != h2[:-1]))
         goes_on = last_hash == (h[0], h2[0])
         new[0] = not goes_on
@@ -143,7 +146,7 @@ def _run_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 def _told(hashes: DataFrame, others_only: bool, name: str) -> DataFrame:
     """Rows of _rows -> durable doc, alt, runs (of first positions)."""
     n = partitions(hashes.sparkSession)
-    hits = hashes.repartition(n, "h").sortWithinPartitions("h", "h2", "doc").mapInArrow(lambda b: _shared(b, others_only), "doc long, alt int, at int")
+    hits = hashes.repartition(n, "h").sortWithinPartitions(*[c for c in ("h", "h2", "doc") if c in hashes.columns]).mapInArrow(lambda b: _shared(b, others_only), "doc long, alt int, at int")
     runs = hits.repartition(n, "doc", "alt").sortWithinPartitions("doc", "alt", "at").mapInArrow(lambda b: _runs(b, 1), "doc long, alt int, runs binary")
     return durable(runs, name)
 
@@ -182,12 +185,14 @@ def _decided(h: np.ndarray, h2: np.ndarray, doc: np.ndarray, undecided: int) ->
     return out
 
 
-def _rows(batch: pa.RecordBatch, a: int, h: np.ndarray, h2: np.ndarray, row: np.ndarray, at: np.ndarray, undecided: int) -> pa.RecordBatch:
-    """Rows for _told. Decided ones go by document: their hash is replaced by one of the document and place."""
+def _rows(batch: pa.RecordBatch, a: int, h: np.ndarray, h2: np.ndarray | None, row: np.ndarray, at: np.ndarray, undecided: int) -> pa.RecordBatch:
+    """Rows for _told. Decided ones go by document: their hash is replaced by one of the document, so that they stand together in the shuffle's blocks."""
     doc, alt = batch.column(0).to_numpy()[row + a], batch.column(1).to_numpy()[row + a]
-    done = _decided(h, h2, doc, undecided) if len(h) else np.zeros(0, bool)
-    to = np.where(done, mixed(mixed(doc.view(np.uint64)) + at.astype(np.uint64)), h)
-    return pa.RecordBatch.from_arrays([pa.array(to.view(np.int64)), pa.array(np.where(done, np.uint64(0), h2).view(np.int64)), pa.array(doc), pa.array(alt), pa.array(at.astype(np.int32)), pa.array(done)], _NAMES)
+    done = _decided(h, np.zeros_like(h) if h2 is None else h2, doc, undecided) if len(h) else np.zeros(0, bool)
+    columns = {"h": np.where(done, mixed(doc.view(np.uint64)), h).view(np.int64), "doc": doc, "alt": alt, "at": np.where(done, ~at, at).astype(np.int32)}
+    if h2 is not None:
+        columns = {"h": columns.pop("h"), "h2": np.where(done, np.int32(0), h2), **columns}
+    return pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
 
 
 def substring_dedup(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -201,14 +206,14 @@ def substring_dedup(docs: DataFrame, size: int = 13, id_col: str = "doc_id", tex
     def cover_anchors(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         h, row, at = window_hashes(words, counts, width)
         take = np.isin(at % PERIOD, COVER) & (counts[row] >= size)
-        return h[take], row[take], at[take]
+        return h[take] >> np.uint64(64 - _ANCHOR_BITS), row[take], at[take]
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, _, raw, offs in text_parts(batch.column(2)):
                 h, row, at = _once(*cover_anchors(*word_hashes(raw, offs)))
                 # of a hash's documents the smallest two go to its partition, which then knows of both
-                yield _rows(batch, a, h, np.zeros_like(h), row, at, 2)
+                yield _rows(batch, a, h, None, row, at, 2)
 
     def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,7 +229,7 @@ def substring_dedup(docs: DataFrame, size: int = 13, id_col: str = "doc_id", tex
                 place = start[row] + at
                 take = upto[place + PERIOD] > upto[place]
                 h, row, at = _once(h[take], row[take], at[take])
-                yield _rows(batch, a, h, second_hashes(words, start[row] + at, size), row, at, 1)
+                yield _rows(batch, a, h, second_hashes(words, start[row] + at, size).astype(np.uint32).view(np.int32), row, at, 1)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,8 +259,8 @@ def substring_dedup(docs: DataFrame, size: int = 13, id_col: str = "doc_id", tex
                 ["id", "n_words", "n_removed", "kept_sha256", "kept"],
             )
 
-    found = _told(matched.mapInArrow(anchors, _ROWS), False, "anchors")
-    windows = matched.join(found, ["doc", "alt"]).select("doc", "alt", "text", "runs").mapInArrow(extended, _ROWS)
+    found = _told(matched.mapInArrow(anchors, _ANCHORS), False, "anchors")
+    windows = matched.join(found, ["doc", "alt"]).select("doc", "alt", "text", "runs").mapInArrow(extended, _WINDOWS)
     cuts = _told(windows, True, "cuts")
     out = texts.join(cuts, ["doc", "alt"], "left").select("doc", "alt", "text", "runs").mapInArrow(cut, "id long, n_words long, n_removed long, kept_sha256 string, kept string")
     return out.withColumnRenamed("id", id_col)

@@ -366,14 +366,16 @@ def test_rows_decided_where_they_are_read():
     batch = pa.RecordBatch.from_arrays([pa.array(range(500), pa.int64()), pa.array([0] * 500, pa.int32()), pa.array([everywhere] * 500)], ["doc", "alt", "text"])
     words, counts = word_hashes(*next(text_parts(batch.column(2)))[2:])
     got, row, at = window_hashes(words, counts, 13)
-    rows = substring._rows(batch, 0, got, np.zeros_like(got), row, at, 2).to_pandas()
-    assert rows[~rows.decided].groupby("h").size().tolist() == [2] * 8 and rows[rows.decided].h.nunique() == 498 * 8
+    rows = substring._rows(batch, 0, got, None, row, at, 2).to_pandas()
+    done = rows[rows["at"] < 0]
+    assert rows[rows["at"] >= 0].groupby("h").size().tolist() == [2] * 8
+    assert done.groupby("doc").h.nunique().tolist() == [1] * 498 and done.h.nunique() == 498
 
 
 def test_windows_of_one_hash_and_another_second_hash_differ():
     def batch(h, h2, doc):
         n = len(h)
-        return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(h2, pa.int64()), pa.array(doc, pa.int64()), pa.array([0] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array([False] * n)], substring._NAMES)
+        return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(h2, pa.int32()), pa.array(doc, pa.int64()), pa.array([0] * n, pa.int32()), pa.array(range(n), pa.int32())], ["h", "h2", "doc", "alt", "at"])
 
     for parts in ([batch([1, 1, 1], [3, 4, 4], [8, 6, 7])], [batch([1], [3], [8]), batch([1], [4], [6]), batch([1], [4], [7])]):
         out = [d for b in substring._shared(iter(parts), True) for d in b.column(0).to_pylist()]
