@@ -70,6 +70,25 @@ ADAPTERS: dict[str, str] = {
                CASE WHEN o_orderstatus = 'F' THEN 'https://fixed' || (o_orderkey % 3) || '.com' WHEN o_orderkey % 2 = 1 THEN 'https://www.' || lower(replace(c_name, '#', '-')) || '.com/Shop/' ELSE '' END AS expected_url,
                CASE WHEN o_orderstatus = 'P' THEN 'http://' || lower(replace(c_name, '#', '-')) || '.com/Shop' ELSE 'https://other.org' END AS candidate_url, '' AS official_url
         FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
+    # verification rows per customer, from orders
+    "checks": """
+        SELECT CAST(o_custkey AS STRING) AS provider_id, replace(c_name, '#0000', CASE WHEN c_custkey % 3 = 0 THEN ' Global ' ELSE ' Marketplace ' END) AS provider_name, o_orderkey AS pos,
+               CASE o_orderkey % 4 WHEN 0 THEN 'accept' WHEN 1 THEN 'replace' WHEN 2 THEN 'reject' ELSE 'unsure' END AS decision,
+               CASE WHEN o_orderkey % 7 = 0 THEN '' WHEN o_orderkey % 7 = 1 THEN 'https://www.customer.com/' WHEN o_orderkey % 7 = 2 THEN 'https://www.linkedin.com/company/' || o_custkey ELSE 'https://www.site' || (o_orderkey % 300) || '.com/a' END AS candidate_url,
+               CASE WHEN o_orderkey % 4 = 1 THEN 'https://new' || (o_orderkey % 3) || '.co.uk/x' ELSE '' END AS replacement_url, CAST(CAST(floor(o_totalprice / 5000) AS INT) AS STRING) AS evidence_score,
+               CASE o_orderstatus WHEN 'F' THEN 'candidate_pages_fetch_ok; location_matches:Germany' WHEN 'O' THEN 'listing_logo_visual_match;page_contains_exact_provider_name; ' ELSE '' END AS supporting_facts,
+               CASE WHEN o_orderkey % 5 = 0 THEN 'candidate_looks_directory_page' WHEN o_orderkey % 5 = 1 THEN 'provider_name_not_found_on_candidate_pages;identity gap' ELSE '' END AS counter_evidence,
+               CASE WHEN o_orderkey % 12 = 3 THEN 'agent_b_row_timeout' WHEN o_orderkey % 4 = 3 THEN 'insufficient_or_conflicting_evidence' ELSE '' END AS reason_for_unsure,
+               CASE o_orderpriority WHEN '1-URGENT' THEN 'recall_unresolved_top_candidate' WHEN '2-HIGH' THEN 'precision_low_confidence_auto_match' WHEN '3-MEDIUM' THEN 'precision_slug_extension_identity_risk' WHEN '5-LOW' THEN 'precision_generic_identity_term_risk' ELSE '' END AS review_reason,
+               CASE WHEN o_orderkey % 2 = 1 THEN 'query ' || (o_orderkey % 500) || '; query ' || o_orderkey ELSE '' END AS independent_search_queries
+        FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
+    # filled review sheets per customer, from orders: some words aliased, some addresses in cells
+    "filled": """
+        SELECT CAST(o_custkey AS STRING) AS provider_id, c_name AS provider_name, o_orderkey AS pos,
+               CASE o_orderkey % 6 WHEN 0 THEN ' Yes ' WHEN 1 THEN 'override' WHEN 2 THEN 'no' WHEN 3 THEN 'unsure' WHEN 4 THEN '' ELSE 'later' END AS manual_decision,
+               CASE WHEN o_orderstatus = 'F' THEN '=HYPERLINK("https://www.own' || (o_orderkey % 50) || '.de/x", "go")' WHEN o_orderstatus = 'P' THEN 'own' || (o_orderkey % 50) || '.fr' ELSE '' END AS manual_url,
+               CASE WHEN o_orderkey % 3 = 0 THEN 'https://www.shown' || (o_orderkey % 40) || '.com/' ELSE '' END AS official_url
+        FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
     # review work: events are filled rows, the type is the lane
     "work": """
         SELECT CAST(user_id AS STRING) AS provider_id, event_type AS review_reason, event_id AS seq, CAST(floor(value) AS INT) AS score,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import COUNTRIES, EXCLUDED_DOMAINS
 from ..functions import geo, text, urls
-from ..operators import balance, calibration, candidates, finalize, pages, patterns, providers, regression, review, scoring, secondpass, seeds, verification
+from ..operators import balance, calibration, candidates, finalize, learning, pages, patterns, providers, regression, reports, review, scoring, secondpass, seeds, verification
 from .adapters import load, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -798,3 +798,233 @@ def g18_g19_g22_verification(spark, d):
 def g20_best_replacement(spark, d):
     current = load(spark, d, "results").select("provider_id", F.col("official_url").alias("current_url"))
     return verification.best_replacement(load(spark, d, "candidates"), current, least=40)
+
+
+# ---- review work, labels and features -------------------------------------------------------
+
+_APPLIED = """f AS (SELECT *, CASE WHEN manual_url LIKE '=HYPERLINK%' THEN regexp_extract(manual_url, 'HYPERLINK\\("([^"]+)"', 1) ELSE manual_url END AS u, CASE lower(trim(manual_decision)) WHEN 'yes' THEN 'accept' WHEN 'override' THEN 'replace' WHEN 'no' THEN 'reject' ELSE lower(trim(manual_decision)) END AS w FROM {filled}),
+    applied AS (SELECT * EXCLUDE (manual_decision, manual_url, w, u), u AS manual_url, CASE WHEN u <> '' AND w IN ('reject', '') THEN 'replace' ELSE w END AS manual_decision FROM f)""".replace("\\\\", "\\")
+
+
+@query(f"WITH {_APPLIED} SELECT pos, manual_decision, manual_url, manual_decision NOT IN ('unsure', '') AS applied FROM applied")
+def j10_filled_rows(spark, d):
+    return learning.normalize_filled(load(spark, d, "filled")).select("pos", "manual_decision", "manual_url", "applied")
+
+
+@query(
+    f"""WITH {_APPLIED}, l AS (SELECT *, coalesce(nullif(manual_url, ''), official_url) AS x FROM applied WHERE manual_decision IN ('accept', 'replace'))
+    SELECT provider_id, CASE WHEN contains(x, '://') THEN x ELSE 'https://' || x END AS expected_url, regexp_replace(regexp_replace(regexp_replace(x, '^https?://', ''), '^www[.]', ''), '/.*$', '') AS expected_domain FROM l WHERE x <> ''"""
+)
+def j9_manual_labels(spark, d):
+    rows = learning.normalize_filled(load(spark, d, "filled"))
+    return learning.manual_labels(rows.filter("applied")).select("provider_id", "expected_url", "expected_domain")
+
+
+@query(
+    """WITH l AS (SELECT l.*, o.provider_id IS NOT NULL AS found, o.status, CASE WHEN official_url LIKE 'https://elsewhere%' THEN 'elsewhere.org' ELSE regexp_extract(official_url, '^https://www[.]([^/]*)', 1) END AS actual FROM (SELECT * FROM {entity_labels}) l LEFT JOIN (SELECT * FROM {entity_output} WHERE pos % 5 <> 0) o ON l.provider_id = o.provider_id),
+    c AS (SELECT count(*) AS labeled_rows, count(*) FILTER (found) AS evaluated_rows, count(*) FILTER (NOT found) AS missing_labeled_rows, count(*) FILTER (found AND expected_domain <> '' AND expected_domain = actual) AS domain_matches, count(*) FILTER (status = 'matched') AS auto_matched_rows,
+      count(*) FILTER (status = 'matched' AND expected_domain <> '' AND expected_domain = actual) AS ok, count(*) FILTER (status = 'needs_review') AS needs_review_rows, count(*) FILTER (found AND actual = '') AS unresolved_rows FROM l)
+    SELECT * EXCLUDE (ok), round(domain_matches / nullif(evaluated_rows, 0), 4) AS domain_accuracy, round(ok / nullif(auto_matched_rows, 0), 4) AS auto_match_precision FROM c"""
+)
+def a2_labeled_evaluation(spark, d):
+    labels = load(spark, d, "entity_labels").withColumn("expected_url", F.lit(""))
+    return learning.evaluation_summary(learning.evaluated(labels, load(spark, d, "entity_output").filter("pos % 5 <> 0")))
+
+
+@query(
+    r"""WITH v AS (SELECT provider_id, max_by(struct_pack(w := CASE lower(trim(manual_decision)) WHEN 'yes' THEN 'accept' WHEN 'override' THEN 'replace' WHEN 'no' THEN 'reject' ELSE lower(trim(manual_decision)) END,
+      g := CASE WHEN manual_url LIKE 'own%' THEN 'https://' || manual_url ELSE '' END, s := regexp_replace(official_url, '/$', '')), pos) AS r FROM {filled} WHERE manual_url NOT LIKE '=%' GROUP BY 1),
+    b AS (SELECT r.provider_id, coalesce(v.r.w, '') AS w, coalesce(v.r.g, '') AS g, coalesce(v.r.s, '') AS s, regexp_replace(CASE WHEN official_url = '' OR official_url LIKE 'http%' THEN official_url ELSE 'https://' || official_url END, '[./]+$', '') AS o FROM (SELECT * FROM {results}) r LEFT JOIN v ON r.provider_id = v.provider_id),
+    x AS (SELECT *, CASE WHEN w IN ('replace', 'reject') THEN g WHEN w = 'accept' THEN coalesce(nullif(g, ''), s) ELSE o END AS u FROM b WHERE w <> 'unsure')
+    SELECT provider_id, CASE w WHEN 'replace' THEN CASE WHEN u <> '' THEN 'human_replace' ELSE 'human_replace_missing_url' END WHEN 'reject' THEN CASE WHEN u <> '' THEN 'human_reject_with_url' ELSE 'human_reject' END WHEN 'accept' THEN CASE WHEN u <> '' THEN 'human_accept' ELSE 'human_accept_no_url' END
+      ELSE CASE WHEN u <> '' THEN 'baseline_unmarked_correct' ELSE 'baseline_unmarked_no_official' END END AS label_source, CASE WHEN u <> '' THEN 'official' ELSE 'no_official' END AS expected_kind, regexp_replace(regexp_replace(regexp_replace(u, '^https?://', ''), '^www[.]', ''), '/.*$', '') AS expected_domain FROM x"""
+)
+def a5_labels_from_review(spark, d):
+    reviews = load(spark, d, "filled").filter("manual_url not like '=%'")
+    return learning.labels_from_review(load(spark, d, "results"), reviews).select("provider_id", "label_source", "expected_kind", "expected_domain")
+
+
+@query(
+    """SELECT t.pos AS task_pos, t.provider_id, coalesce(nullif(t.official_url, ''), f.official_url) AS official_url, f.status, f.confidence FROM (SELECT * FROM {filled}) t LEFT JOIN (SELECT * FROM {results} WHERE pos % 3 <> 0) f ON t.provider_id = f.provider_id"""
+)
+def j12_verification_input(spark, d):
+    task = load(spark, d, "filled").select("provider_id", "provider_name", F.col("pos").alias("task_pos"), "official_url")
+    return learning.verification_input(load(spark, d, "results").filter("pos % 3 <> 0"), task).select("task_pos", "provider_id", "official_url", "status", "confidence")
+
+
+@query(
+    """SELECT c.pos, NOT (r.status = 'matched' AND coalesce(TRY_CAST(r.confidence AS INT), 0) >= 83 AND contains(r.official_url, 'www.') AND NOT contains(c.counter_evidence, 'provider_name_not_found') AND NOT contains(c.candidate_url, 'linkedin.com') AND c.decision <> 'accept')
+      AS high_risk FROM (SELECT * FROM {checks}) c JOIN (SELECT * FROM {results}) r ON c.provider_id = r.provider_id WHERE r.status = 'matched'"""
+)
+def r4_high_risk(spark, d):
+    r = load(spark, d, "results").filter("status = 'matched'").select("provider_id", "status", "confidence", "official_url")
+    rows = load(spark, d, "checks").join(r, "provider_id")
+    risky = learning.high_risk(F.col("status"), F.col("confidence"), F.col("counter_evidence"), F.col("official_url"), F.col("candidate_url"), F.lit("Northwind Harbour Trading"), F.col("decision") == "accept")
+    return rows.select("pos", risky.alias("high_risk"))
+
+
+def _features_sql() -> str:
+    has = "list_filter(list_transform(string_split({c}, ';'), lambda x: regexp_replace(trim(x), '\\s+', '_', 'g')), lambda x: x <> '')"
+    bounds = "[" + ", ".join(f"CASE WHEN score >= {t} THEN 'agent_b_score>={t}' ELSE 'agent_b_score<{t}' END" for t in learning.SCORE_BOUNDS) + "]"
+    named = "[" + ", ".join(f"CASE WHEN contains(lower(provider_name), '{m}') THEN 'provider_name_contains:{m}' END" for m in learning.NAME_MARKERS) + "]"
+    return f"""c AS (SELECT *, CAST(evidence_score AS INT) AS score, {has.format(c="supporting_facts")} AS facts, {has.format(c="counter_evidence")} AS counters, trim(regexp_replace(lower(provider_name), '[^a-z0-9]+', ' ', 'g')) AS norm,
+        regexp_extract(candidate_url, '^https://www[.]([^/]*)', 1) AS candidate_domain FROM {{checks}}),
+    w AS (SELECT *, list_filter(string_split(norm, ' '), lambda x: length(x) >= 3) AS words, replace(norm, ' ', '') AS own, string_split(candidate_domain, '.')[1] AS other FROM c),
+    x AS (SELECT *, len(list_filter(words, lambda x: contains(other, x))) AS shared FROM w),
+    features AS (SELECT x.* EXCLUDE (words), list_sort(list_distinct(list_filter(list_concat({bounds}, {named}, list_transform(facts, lambda f: 'has:' || f), list_transform(counters, lambda f: 'counter:' || f),
+        list_transform(list_filter({_list(learning.IDENTITY_FACTS)}, lambda m: len(list_filter(facts, lambda f: f = m OR starts_with(f, m || ':'))) = 0), lambda m: 'missing:' || m),
+        [CASE WHEN review_reason <> '' THEN 'review_reason:' || review_reason END, 'agent_b_decision:' || decision, CASE WHEN reason_for_unsure <> '' THEN 'reason_for_unsure:' || reason_for_unsure END, CASE WHEN len(list_filter(facts, lambda f: starts_with(f, 'location_matches:'))) > 0 THEN 'has:location_matches' END,
+         'provider_token_count:' || least(len(words), 5), CASE WHEN len(words) = 1 THEN 'provider_name_shape:single_token' END, CASE WHEN len(list_filter(words, lambda w: NOT list_contains({_list(learning.GENERIC_TOKENS)}, w))) <= 1 THEN 'provider_name_shape:generic_or_one_meaningful_token' END,
+         CASE WHEN length(array_to_string(words, '')) <= 4 THEN 'provider_name_shape:short' END, CASE WHEN other = '' THEN NULL WHEN own = other THEN 'domain_relation:exact_provider_slug' WHEN contains(other, own) THEN 'domain_relation:domain_contains_provider_slug' WHEN contains(own, other) THEN 'domain_relation:provider_slug_contains_domain' END,
+         CASE WHEN other <> '' AND shared >= 1 THEN 'domain_relation:provider_token_in_domain' END, CASE WHEN other <> '' AND shared >= 2 THEN 'domain_relation:two_provider_tokens_in_domain' END]), lambda f: f IS NOT NULL))) AS features FROM x)"""
+
+
+@query(f"WITH {_features_sql()} SELECT pos, array_to_string(features, '|') AS features FROM features")
+def p1_evidence_features(spark, d):
+    c = F.col
+    made = learning.evidence_features(c("provider_name"), c("review_reason"), c("decision"), c("reason_for_unsure"), text.whole_number(c("evidence_score")), c("supporting_facts"), c("counter_evidence"), urls.domain(c("candidate_url")))
+    return load(spark, d, "checks").select("pos", F.array_join(made, "|").alias("features"))
+
+
+@query(
+    f"""WITH {_DETAILS}, {_features_sql()}, k AS (SELECT provider_id, max(pos) AS pos FROM {{checks}} GROUP BY 1), j AS (SELECT d.*, f.* EXCLUDE (provider_id, review_reason), f.review_reason AS lane FROM details d JOIN k ON d.provider_id = k.provider_id JOIN features f ON f.pos = k.pos)
+    SELECT provider_id, 'recall' AS scope, expected_kind = 'official' AND candidate_domain = expected_domain AS correct, candidate_domain, array_to_string(features, '|') AS features FROM j WHERE lane = 'recall_unresolved_top_candidate' AND candidate_domain <> ''
+    UNION ALL SELECT provider_id, 'precision', outcome = 'correct_official', candidate_domain, array_to_string(features, '|') FROM j WHERE starts_with(lane, 'precision_') AND candidate_domain <> ''"""
+)
+def p2_labeled_pattern_rows(spark, d):
+    details, checks = _details(spark, d).drop("review_reason").withColumn("output_domain", F.lit("")), load(spark, d, "checks")
+    both = [learning.labeled_pattern_rows(details, checks, s) for s in ("recall", "precision")]
+    return both[0].unionByName(both[1]).select("provider_id", "scope", "correct", "candidate_domain", F.array_join("features", "|").alias("features"))
+
+
+@query(
+    """SELECT pos, CASE WHEN reason_for_unsure = 'agent_b_row_timeout' THEN 100 WHEN pos % 13 = 0 THEN 96 WHEN pos % 13 = 1 THEN 74 WHEN decision = 'reject' THEN 92 WHEN decision = 'accept' AND review_reason LIKE 'precision%' THEN 88 WHEN review_reason = 'recall_unresolved_top_candidate' THEN 80 WHEN decision = 'unsure' THEN 70
+      WHEN review_reason LIKE '%slug_extension%' THEN 68 WHEN review_reason LIKE '%generic_identity%' THEN 66 WHEN review_reason LIKE '%low_confidence%' THEN 58 ELSE 40 END AS priority FROM {checks}"""
+)
+def r7_sample_priority(spark, d):
+    kind = F.when(F.col("pos") % 13 == 0, "durable_safe").when(F.col("pos") % 13 == 1, "risky")
+    made = learning.sample_priority(F.col("review_reason"), F.col("decision"), F.col("reason_for_unsure"), kind)
+    return load(spark, d, "checks").select("pos", made["priority"].alias("priority"))
+
+
+@query(
+    """WITH t AS (SELECT review_reason, decision, count(*) AS n FROM {checks} GROUP BY 1, 2) SELECT review_reason, decision FROM t WHERE review_reason <> '' AND (decision = 'accept' OR (decision IN ('reject', 'unsure') AND n > 1))"""
+)
+def r12_lane_included(spark, d):
+    t = load(spark, d, "checks").groupBy("review_reason", "decision").agg(F.count(F.lit(1)).alias("n"))
+    kept = F.when(F.col("decision") == "accept", "needs_more_labels").otherwise("none")
+    urgent = F.when(F.col("decision").isin("reject", "unsure") & (F.col("n") > 1), "high").otherwise("low")
+    rows = t.select("review_reason", "decision", kept.alias("recommendation"), urgent.alias("priority"), F.lit(0).alias("decisive_rows_needed"), F.lit(0).alias("blocking_rows"))
+    return learning.lane_included(rows).select("review_reason", "decision")
+
+
+# ---- reports ----------------------------------------------------------------------------------
+
+
+@query(
+    f"""WITH {_DETAILS}, k AS (SELECT provider_id, max_by(struct_pack(d := decision, c := regexp_extract(candidate_url, '^https://www[.]([^/]*)', 1), r := regexp_extract(replacement_url, '^https://([^/]*)', 1)), pos) AS k FROM {{checks}} GROUP BY 1),
+    j AS (SELECT details.*, k.k.d AS d, CASE k.k.d WHEN 'accept' THEN k.k.c WHEN 'replace' THEN k.k.r ELSE '' END AS s FROM details JOIN k USING (provider_id)),
+    c AS (SELECT count(*) AS checked_rows, count(*) FILTER (d = 'accept') AS accept_rows, count(*) FILTER (d = 'replace') AS replace_rows, count(*) FILTER (d = 'reject') AS reject_rows, count(*) FILTER (d = 'unsure') AS unsure_rows, count(*) FILTER (outcome = 'false_official') AS false_official_rows,
+      count(*) FILTER (outcome = 'false_official' AND d <> 'accept') AS false_official_caught_rows, count(*) FILTER (outcome = 'false_official' AND d = 'accept') AS false_official_accept_rows, count(*) FILTER (outcome = 'correct_official') AS correct_official_rows, count(*) FILTER (outcome = 'correct_official' AND d = 'accept') AS correct_official_accept_rows,
+      count(*) FILTER (expected_kind = 'no_official') AS expected_no_official_rows, count(*) FILTER (expected_kind = 'no_official' AND d IN ('accept', 'replace')) AS no_official_accept_or_replace_rows, count(*) FILTER (outcome = 'over_rejected') AS over_rejected_rows,
+      count(*) FILTER (outcome = 'over_rejected' AND s <> '' AND s = expected_domain) AS correct_recovery_rows, count(*) FILTER (outcome = 'over_rejected' AND s <> '' AND s <> expected_domain) AS wrong_recovery_rows, count(*) FILTER (outcome = 'over_rejected' AND s = '') AS hold_rows FROM j)
+    SELECT *, round(false_official_caught_rows / nullif(false_official_rows, 0), 4) AS catch_rate, round(correct_official_accept_rows / nullif(correct_official_rows, 0), 4) AS accept_rate, round(correct_recovery_rows / nullif(over_rejected_rows, 0), 4) AS recovery_rate FROM c"""
+)
+def a12_verification_balance(spark, d):
+    return reports.verification_balance(_details(spark, d), load(spark, d, "checks"))
+
+
+@query(
+    """WITH c AS (SELECT review_reason, count(*) AS rows, count(*) FILTER (decision = 'accept') AS accept_rows, count(*) FILTER (decision = 'replace') AS replace_rows, count(*) FILTER (decision = 'reject') AS reject_rows, count(*) FILTER (decision = 'unsure') AS unsure_rows, count(*) FILTER (reason_for_unsure = 'agent_b_row_timeout') AS timeout_rows FROM {checks} GROUP BY ROLLUP (review_reason))
+    SELECT *, round(accept_rows / rows, 4) AS accept_rate, round(replace_rows / rows, 4) AS replace_rate, round(unsure_rows / rows, 4) AS unsure_rate, round(timeout_rows / rows, 4) AS timeout_rate FROM c"""
+)
+def a25_verification_summary(spark, d):
+    return reports.verification_summary(load(spark, d, "checks"))
+
+
+@query(
+    """WITH c AS (SELECT regexp_extract(candidate_url, '^https://www[.]([^/]*)', 1) AS domain, count(*) AS rejections FROM {checks} WHERE decision = 'reject' GROUP BY 1) SELECT * FROM c WHERE domain <> '' AND (rejections >= 10 OR domain = 'linkedin.com')"""
+)
+def a22_rejected_domains(spark, d):
+    return reports.rejected_domains(load(spark, d, "checks"), 10)
+
+
+@query("SELECT trim(q) AS query, count(*) AS replacements FROM (SELECT unnest(string_split(independent_search_queries, ';')) AS q FROM {checks} WHERE decision = 'replace') WHERE trim(q) <> '' GROUP BY 1 HAVING count(*) >= 2")
+def a22_replacement_queries(spark, d):
+    return reports.replacement_queries(load(spark, d, "checks"))
+
+
+_DOUBT = "(contains(counter_evidence, 'name') OR contains(reason_for_unsure, 'conflict') OR decision = 'unsure')"
+
+
+@query(f"SELECT count(*) FILTER (decision = 'accept' AND CAST(evidence_score AS INT) < 70) AS low_score_accepts, count(*) FILTER {_DOUBT.replace('(contains', '(WHERE contains', 1)} AS name_conflicts FROM {{checks}}")
+def a22_doubts(spark, d):
+    return reports.doubts(load(spark, d, "checks"))
+
+
+@query(f"SELECT provider_id, candidate_url, arg_min(decision, pos) AS decision, arg_min(evidence_score, pos) AS evidence_score, 'needs_identity_review' AS expected_outcome FROM {{checks}} WHERE {_DOUBT} GROUP BY 1, 2")
+def a24_identity_fixtures(spark, d):
+    return reports.identity_fixtures(load(spark, d, "checks")).select("provider_id", "candidate_url", "decision", "evidence_score", "expected_outcome")
+
+
+@query(
+    f"""WITH {_LANES} SELECT review_reason, review_task_rows, risk_rows, CASE WHEN risk_rows > 0 THEN 'protected' WHEN labeled_rows >= 3 THEN 'spot_check' ELSE 'more_labels' END AS policy,
+    CASE WHEN risk_rows > 0 THEN concat_ws('; ', CASE WHEN false_official_rows > 0 THEN 'would miss ' || false_official_rows || ' labeled false official row(s)' END, CASE WHEN over_rejected_rows > 0 THEN 'would miss ' || over_rejected_rows || ' labeled over-rejected official row(s)' END)
+      WHEN labeled_rows >= 3 THEN 'labeled rows are clean so far; keep as sampled spot-check before removing' ELSE 'not enough labeled evidence to remove or keep permanently' END AS reason FROM lanes"""
+)
+def a26_lane_policy(spark, d):
+    return reports.lane_policy(balance.review_lanes(_in_task(spark, d), load(spark, d, "entity_output").filter("review_reason is not null")))
+
+
+@query(
+    f"""WITH {_DETAILS}, b AS (SELECT {_SUMMARY} FROM details), c AS (SELECT {_SUMMARY} FROM (SELECT * FROM details WHERE expected_kind = 'official')), m(metric, baseline, calibrated) AS ("""
+    + " UNION ALL ".join(f"SELECT '{m}', CAST(b.{m} AS DOUBLE), CAST(c.{m} AS DOUBLE) FROM b, c" for m in reports.DELTA_METRICS)
+    + ") SELECT *, round(calibrated - baseline, 4) AS delta FROM m"
+)
+def a29_metric_deltas(spark, d):
+    rows = _details(spark, d)
+    return reports.metric_deltas(balance.summarize(rows), balance.summarize(rows.filter("expected_kind = 'official'")))
+
+
+@query(
+    """SELECT p.provider_id, c.url, c.source, p.k AS query_pos FROM (SELECT provider_id, unnest(['"' || provider_name || '" official website', '"' || provider_name || '" contact']) AS query, unnest([0, 1]) AS k FROM {providers}) p
+    JOIN (SELECT '"' || provider_name || '" contact' AS query, url, source FROM (SELECT * FROM {candidates}) a JOIN (SELECT * FROM {providers}) b ON a.provider_id = b.provider_id) c ON p.query = c.query"""
+)
+def c3_collected(spark, d):
+    named = load(spark, d, "providers").select("provider_id", "provider_name")
+    asked = named.select("provider_id", F.posexplode(F.slice(verification.independent_queries(F.col("provider_name"), F.array().cast("array<string>")), 1, 2)).alias("query_pos", "query"))
+    found = load(spark, d, "candidates").join(named, "provider_id").select(F.concat(F.lit('"'), "provider_name", F.lit('" contact')).alias("query"), F.lit(0).alias("source_pos"), F.col("pos").alias("rank"), "url", "source")
+    return reports.collected(asked, found).select("provider_id", "url", "source", F.col("pos.query_pos").alias("query_pos"))
+
+
+_SECOND = """s AS (SELECT r.provider_id, r.status AS previous_status, CASE WHEN r.pos % 4 = 0 THEN r.status WHEN r.pos % 4 = 1 THEN 'matched' ELSE r.status END AS status, r.pos % 4 IN (0, 1) AS accepted, r.pos % 4 = 1 AS rescue_used,
+      CASE WHEN r.pos % 4 = 1 THEN 'https://www.rescued' || r.pos || '.com' ELSE 'https://first' || r.pos || '.com' END AS official_url, CASE WHEN r.pos % 4 = 1 THEN 88 ELSE 60 END AS confidence FROM (SELECT * FROM {results}) r WHERE r.status <> 'matched')"""
+
+
+def _second_pass(spark, d):
+    rows = load(spark, d, "results").filter("status <> 'matched'")
+    first = rows.select("provider_id", (F.col("pos") % 4 == 0).alias("accepted"), "status", F.concat(F.lit("https://first"), "pos", F.lit(".com")).alias("official_url"), F.lit(60).alias("confidence"))
+    rescued = rows.filter("pos % 4 < 3").select("provider_id", (F.col("pos") % 4 < 2).alias("accepted"), F.lit("matched").alias("status"), F.concat(F.lit("https://www.rescued"), "pos", F.lit(".com")).alias("official_url"), F.lit(88).alias("confidence"))
+    return reports.with_rescue(first, rescued)
+
+
+@query(f"WITH {_SECOND} SELECT provider_id, accepted, status, official_url, confidence, rescue_used FROM s")
+def g15_rescue(spark, d):
+    return _second_pass(spark, d)
+
+
+@query(
+    f"""WITH {_SECOND} SELECT provider_id, previous_status, official_url, regexp_replace(official_url, '^https://(www[.])?', '') AS official_domain, CAST(confidence AS VARCHAR) AS confidence, status, CASE WHEN accepted THEN 'true' ELSE 'false' END AS accepted_for_final,
+    CASE WHEN rescue_used THEN 'second_pass_rescue_verify_accept' WHEN accepted THEN 'second_pass_auto_accept' ELSE 'second_pass_review_required' END AS notes FROM s"""
+)
+def g16_second_pass_rows(spark, d):
+    planned = load(spark, d, "results").select("provider_id", "status", "confidence", F.lit("").alias("strategy_tier"))
+    return reports.second_pass_rows(planned, _second_pass(spark, d)).select("provider_id", "previous_status", "official_url", "official_domain", "confidence", "status", "accepted_for_final", "notes")
+
+
+@query(
+    f"""WITH {_SECOND} SELECT provider_id, 'replace' AS manual_decision, official_url AS manual_url, CASE WHEN rescue_used THEN 'second_pass_rescue_verify_accept' ELSE 'second_pass_auto_accept' END || ' confidence=' || confidence || ' tier=B' AS notes, status AS source_status FROM s WHERE accepted"""
+)
+def g16_decision_rows(spark, d):
+    planned = load(spark, d, "results").select("provider_id", "status", "confidence", F.lit("B").alias("strategy_tier"))
+    return reports.second_pass_decisions(reports.second_pass_rows(planned, _second_pass(spark, d))).drop("confidence")
