@@ -33,9 +33,9 @@ def mine(rows: DataFrame, size: int = 2, least_support: int = 1, durable_only: b
     sets = rows.select(F.array_sort(F.array_distinct("features")).alias("features"), F.col("correct").cast("long").alias("c"))
     sets = sets.groupBy("features").agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("c"))
     if durable_only:
-        frequent = sets.select(F.explode("features").alias("f"), "c").groupBy("f").agg(F.sum("c").alias("c")).filter(F.col("c") >= least_support).agg(F.collect_set("f").alias("frequent"))
-        sets = sets.crossJoin(F.broadcast(frequent)).withColumn("features", F.array_intersect("features", "frequent")).drop("frequent")
-        sets = sets.groupBy("features").agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
+        frequent = sets.select(F.explode("features").alias("f"), "c").groupBy("f").agg(F.sum("c").alias("c")).filter(F.col("c") >= least_support).select("f")
+        kept = sets.select("features", F.explode("features").alias("f")).join(frequent, "f", "left_semi").groupBy("features").agg(F.array_sort(F.collect_list("f")).alias("kept"))
+        sets = sets.join(kept, "features").groupBy(F.col("kept").alias("features")).agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
     each = sets.select(F.explode(combinations(F.col("features"), size)).alias("features"), "n", "c")
     found = each.groupBy("features").agg(F.sum("n").alias("support_rows"), F.sum("c").alias("correct_rows")).filter(F.col("support_rows") >= least_support)
     found = found.withColumn("wrong_rows", F.col("support_rows") - F.col("correct_rows"))
@@ -74,27 +74,26 @@ def release_simulation(rows: DataFrame, patterns: DataFrame, key: str) -> DataFr
 def actionable_set(rows: DataFrame, patterns: DataFrame, most_wrong: int = 0) -> DataFrame:
     """Greedy cover: patterns with the fewest wrong and most right rows first, each kept if it adds right rows and the wrong ones stay within ``most_wrong``.
 
-    ``rows``: features, correct; ``patterns``: a short list of pattern, features. Rows of equal features are released by the same patterns, so they are counted first and the walk,
-    which is sequential by nature, sees patterns x distinct feature sets.
+    ``rows``: features, correct; ``patterns``: a short list of pattern, features. Rows of equal features are released by the same patterns, so they are counted first. Spark adds up
+    what each pattern would add to the sets not yet covered; the driver sees a row per pattern and picks the next, so there is one aggregation for each pattern kept.
     """
+    spark = rows.sparkSession
     sets = rows.select(F.array_sort(F.array_distinct("features")).alias("features"), F.col("correct").cast("long").alias("c")).groupBy("features").agg(F.sum("c").alias("right"), F.sum(1 - F.col("c")).alias("wrong"))
     sets = sets.withColumn("id", F.array_join("features", AND))
-    found = matches(sets, patterns.select("pattern", "features", F.lit(0).alias("pattern_pos")), "id", first_only=False).join(sets.select("id", "right", "wrong"), "id")
-
-    def walk(pdf):
-        import pandas as pd
-
-        total = pdf.groupby("pattern")[["right", "wrong"]].sum().reset_index()
-        total = total.assign(size=total["pattern"].str.split(AND).str.len()).sort_values(["wrong", "right", "size", "pattern"], ascending=[True, False, True, True])
-        by_pattern = {p: g for p, g in pdf.groupby("pattern")}
-        covered: set = set()
-        wrong, picked = 0, []
-        for p in total["pattern"]:
-            new = by_pattern[p][~by_pattern[p]["id"].isin(covered)]
-            if new["right"].sum() and wrong + new["wrong"].sum() <= most_wrong:
-                covered |= set(new["id"])
-                wrong += int(new["wrong"].sum())
-                picked.append((p, len(picked) + 1, int(new["right"].sum()), wrong))
-        return pd.DataFrame(picked, columns=["pattern", "place", "new_correct", "wrong_so_far"])
-
-    return found.groupBy().applyInPandas(walk, "pattern string, place long, new_correct long, wrong_so_far long")
+    found = matches(sets, patterns.select("pattern", "features", F.lit(0).alias("pattern_pos")), "id", first_only=False).join(sets.select("id", "right", "wrong"), "id").persist()
+    totals = lambda df: {r["pattern"]: (r["right"], r["wrong"]) for r in df.groupBy("pattern").agg(F.sum("right").alias("right"), F.sum("wrong").alias("wrong")).collect()}
+    new = totals(found)
+    order = sorted(new, key=lambda p: (new[p][1], -new[p][0], p.count(AND), p))
+    picked: list[tuple[str, int, int, int]] = []
+    wrong = 0
+    while True:
+        fits = next((k for k, p in enumerate(order) if new.get(p, (0, 0))[0] and wrong + new[p][1] <= most_wrong), None)
+        if fits is None:
+            break
+        name, order = order[fits], order[fits + 1 :]
+        wrong += new[name][1]
+        picked.append((name, len(picked) + 1, new[name][0], wrong))
+        covered = found.filter(F.col("pattern").isin([p[0] for p in picked])).select("id").distinct()
+        new = totals(found.filter(F.col("pattern").isin(order)).join(covered, "id", "left_anti")) if order else {}
+    found.unpersist()
+    return spark.createDataFrame(picked, "pattern string, place long, new_correct long, wrong_so_far long")

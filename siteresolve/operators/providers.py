@@ -69,11 +69,15 @@ def last_of(rows: DataFrame, key: Column, pos: str = "pos") -> DataFrame:
 
 
 def lookup(rows: DataFrame, table: DataFrame, pos: str = "pos", id_col: str = "provider_id", name_col: str = "provider_name") -> DataFrame:
-    """``rows`` with struct ``found``: the table's last row with the id, else the last with the same name in any case. Two equi-joins, never one with OR."""
+    """``rows`` with struct ``found``: the table's last row with the id, else the last with the same name in any case. Two equi-joins, never one with OR.
+
+    Rows without an id or name carry a key of their own that nothing has, so they don't meet in one task.
+    """
     own, name = F.trim(blank(F.col(id_col))), F.lower(F.trim(blank(F.col(name_col))))
     by_id = last_of(table, own, pos).select(F.col("__key").alias("__id"), F.col("__row").alias("__by_id"))
     by_name = last_of(table, name, pos).select(F.col("__key").alias("__name"), F.col("__row").alias("__by_name"))
-    joined = rows.withColumn("__i", F.nullif(own, F.lit(""))).withColumn("__n", F.nullif(name, F.lit("")))
+    alone = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c).cast("string") for c, kind in rows.dtypes if "<" not in kind]).cast("string"))
+    joined = rows.withColumn("__i", F.when(own != "", own).otherwise(alone)).withColumn("__n", F.when(name != "", name).otherwise(alone))
     joined = joined.join(by_id, F.col("__i") == F.col("__id"), "left").join(by_name, F.col("__n") == F.col("__name"), "left")
     return joined.withColumn("found", F.coalesce("__by_id", "__by_name")).drop("__i", "__n", "__id", "__name", "__by_id", "__by_name")
 

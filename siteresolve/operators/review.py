@@ -25,7 +25,7 @@ def round_robin(rows: DataFrame, group: str, order: list, total: int, per_group:
     ranked = rows.withColumn("turn", F.row_number().over(w)).filter(F.col("turn") <= per_group)
     best = ranked.groupBy(group).agg(F.max("score").alias("best"))
     places = best.withColumn("group_rank", F.row_number().over(Window.orderBy(F.desc("best"), group))).drop("best")
-    return ranked.join(F.broadcast(places), group).orderBy("turn", "group_rank").limit(total)
+    return ranked.join(places, group).orderBy("turn", "group_rank").limit(total)
 
 
 def top_per_group(rows: DataFrame, group: str, order: list, per_group: int) -> DataFrame:
@@ -35,11 +35,11 @@ def top_per_group(rows: DataFrame, group: str, order: list, per_group: int) -> D
 def label_gap(rows: DataFrame, targets: DataFrame, group: str, pos: str = "pos") -> DataFrame:
     """The first rows of each group, as many as ``targets`` (group, needed) still asks for."""
     ranked = rows.withColumn("__n", F.row_number().over(Window.partitionBy(group).orderBy(pos)))
-    return ranked.join(F.broadcast(targets), group).filter(F.col("__n") <= F.col("needed")).drop("__n", "needed")
+    return ranked.join(targets, group).filter(F.col("__n") <= F.col("needed")).drop("__n", "needed")
 
 
 def unfilled(task: DataFrame, filled: DataFrame) -> DataFrame:
-    """Task rows whose provider isn't filled, and whose (provider, reason) isn't either."""
+    """Task rows whose provider isn't filled for any reason; rows without an id stay."""
     return task.join(filled.select("provider_id").filter(blank(F.col("provider_id")) != "").distinct(), "provider_id", "left_anti")
 
 
