@@ -138,11 +138,14 @@ def _facts(listed: Column) -> Column:
 
 def evidence_features(name: Column, review_reason: Column, decision: Column, unsure: Column, score: Column, supporting: Column, counter: Column, candidate_domain: Column) -> Column:
     """Sorted feature array of a review row and its verification: reason, decision, score bounds, facts had and missed, the name's shape, its relation to the domain."""
+    once = F.struct(text.tokens_of(text.normalized(name)).alias("words"), _facts(supporting).alias("facts"), F.lower(blank(name)).alias("low"), text.slug(name).alias("own"), text.slug(urls.base_label(candidate_domain)).alias("other"))
+    return text.let(once, lambda x: _features(x, review_reason, decision, unsure, score, counter))
+
+
+def _features(once: Column, review_reason: Column, decision: Column, unsure: Column, score: Column, counter: Column) -> Column:
     none = F.array().cast("array<string>")
-    words = text.tokens_of(text.normalized(name))
+    words, facts, low, own, other = (once[c] for c in ("words", "facts", "low", "own", "other"))
     n, meaningful, joined = F.size(words), F.size(F.filter(words, lambda w: ~w.isin(GENERIC_TOKENS))), F.array_join(words, "")
-    facts, low = _facts(supporting), F.lower(blank(name))
-    own, other = text.slug(name), text.slug(urls.base_label(candidate_domain))
     both = (own != "") & (other != "")
     shared = F.size(F.filter(words, lambda w: other.contains(w)))
     tagged = lambda tag, c: F.when(blank(c) != "", F.concat(F.lit(tag), c))
