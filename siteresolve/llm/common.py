@@ -33,10 +33,10 @@ def new_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def durable(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
+def durable(df: DataFrame, name: str, **options: object) -> DataFrame:
+    """Write ``df`` to the shared folder, with the Parquet writer's ``options``, and read it back: cuts lineage, survives lost executors."""
     path = new_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

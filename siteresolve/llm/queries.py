@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, exact_dedup, langid, rans, secrets, sp_dropout, substring, superminhash, token_counts, warc
+from . import decontam, exact_dedup, filter_audit, langid, rans, secrets, sp_dropout, substring, superminhash, token_counts, warc
 from .common import table
 
 
@@ -56,6 +56,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.token_files(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2)
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scan,
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_dedup,
         op9_warc_index,
         op10_token_files,
+        op12_filter_audit,
     )
 }
-ORACLES: dict[str, str] = {"op3_exact_dedup": exact_dedup.ORACLE, "op9_warc_index": warc.ORACLE}
+ORACLES: dict[str, str] = {"op3_exact_dedup": exact_dedup.ORACLE, "op9_warc_index": warc.ORACLE, "op12_filter_audit": filter_audit.ORACLE}
