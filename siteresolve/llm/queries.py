@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, exact_dedup, filter_audit, langid, rans, secrets, sp_dropout, substring, superminhash, token_counts, warc
+from . import conversations, decontam, exact_dedup, filter_audit, langid, rans, secrets, sp_dropout, substring, superminhash, token_counts, warc
 from .common import table
 
 
@@ -60,6 +60,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.digests(conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scan,
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_warc_index,
         op10_token_files,
         op12_filter_audit,
+        op13_conversation_repair,
     )
 }
-ORACLES: dict[str, str] = {"op3_exact_dedup": exact_dedup.ORACLE, "op9_warc_index": warc.ORACLE, "op12_filter_audit": filter_audit.ORACLE}
+ORACLES: dict[str, str] = {"op3_exact_dedup": exact_dedup.ORACLE, "op9_warc_index": warc.ORACLE, "op12_filter_audit": filter_audit.ORACLE, "op13_conversation_repair": conversations.ORACLE}
