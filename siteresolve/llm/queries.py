@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import conversations, decontam, exact_dedup, filter_audit, langid, rans, secrets, sp_dropout, substring, superminhash, token_counts, warc
+from . import conversations, decontam, exact_dedup, filter_audit, langid, pii, rans, secrets, sp_dropout, substring, superminhash, token_counts, warc
 from .common import table
 
 
@@ -56,6 +56,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.token_files(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2)
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_dedup,
         op9_warc_index,
         op10_token_files,
+        op11_pii,
         op12_filter_audit,
         op13_conversation_repair,
     )
