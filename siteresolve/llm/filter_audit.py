@@ -2,8 +2,7 @@
 
 The documents become a sparse document-term matrix. Each task turns its texts into CSR shards of
 about SHARD_BYTES of whole texts over a dictionary of its own (``local_shards``); the words of all
-shards make one global dictionary with dense ids from 0 on (``dictionary``); a join gives each
-shard its words' ids, and the shard's indices are rewritten to them (``matrix``). A row's sum is
+shards make one global dictionary (``numbered``), and each shard's indices are rewritten to its ids (``matrix``). A row's sum is
 its number of words and its stored entries are its distinct words: these decide filters A and B.
 The remaining flags are attached to the rows, then all that is left is aggregation.
 
@@ -32,22 +31,42 @@ from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import durable
+from .common import durable, partitions
 from .words import text_parts
 
 FILTERS = "ABCDE"
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 4 << 20
+ENTRIES = 1 << 17
+#: Buckets of words for each shuffle partition.
+BUCKETS = 4
 #: A row group of a written shard table holds a few shards, so that a reader's batch does too.
 SHARD_FILES = {"compression": "zstd", "parquet.block.size": 8 << 20}
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#$%&*|")] = True
 
 
+def _packed(starts: np.ndarray, places: np.ndarray, counts: np.ndarray) -> bytes:
+    """A local shard's CSR arrays, small on disk and in shuffles: differences of places, bytes of equal weight side by side."""
+    gaps = np.diff(places, prepend=0)
+    values = np.concatenate([np.diff(starts), gaps, counts]).astype("<i4")
+    return len(starts).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpacked(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = int.from_bytes(body[:8], "little") - 1
+    values = np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(body[8:]), np.uint8).reshape(4, -1).T).view("<i4").ravel().astype(np.int64)
+    starts = np.concatenate([[0], np.cumsum(values[:n])])
+    end = n + starts[-1]
+    return starts, np.cumsum(values[n:end]), values[end:]
+
+
 def _lists(values: pa.Array | np.ndarray, kind: pa.DataType) -> pa.Array:
     """A column of one row: the list of all ``values``."""
     values = pa.array(values, kind) if isinstance(values, np.ndarray) else values.cast(kind)
@@ -55,7 +74,7 @@ def _lists(values: pa.Array | np.ndarray, kind: pa.DataType) -> pa.Array:
 
 
 def local_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang", shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """A row per shard: per document its id, part, digest, fails (of C and D) and row start; per stored entry the place of its word in ``words`` and its count."""
+    """A row per shard: per document its id, part, digest, fails (of C and D) and where its entries start; per stored entry the place of its word in ``words`` (in order) and its count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() << 32
@@ -65,9 +84,10 @@ def local_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 texts = [whole[x:y] for x, y in zip(offs, offs[1:])]
                 split = [x.split() for x in texts]
                 coded = pa.array([w for x in split for w in x], pa.binary()).dictionary_encode()
-                vocabulary = coded.dictionary.cast(pa.string())
+                order = pc.array_sort_indices(coded.dictionary)
+                vocabulary, rank = coded.dictionary.take(order).cast(pa.string()), np.argsort(order.to_numpy())
                 rows = np.repeat(np.arange(b - a), [len(x) for x in split])
-                entries, counts = np.unique(rows * max(1, len(vocabulary)) + coded.indices.to_numpy(), return_counts=True)
+                entries, counts = np.unique(rows * max(1, len(vocabulary)) + rank[coded.indices.to_numpy()], return_counts=True)
                 starts = np.searchsorted(entries, np.arange(b - a + 1) * max(1, len(vocabulary)))
                 capitals, symbols, points = (np.diff(np.concatenate([[0], np.cumsum(x)])[offs]) for x in ((raw >= 65) & (raw <= 90), _SYMBOL[raw], (raw & 0xC0) != 0x80))
                 fails = [("C" if 100 * c > 10 * p else "") + ("D" if s else "") for c, s, p in zip(capitals.tolist(), symbols.tolist(), points.tolist())]
@@ -79,51 +99,57 @@ def local_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                         _lists(batch.column(2).slice(a, b - a).fill_null(""), pa.string()),
                         _lists(pa.array(digests, pa.binary()), pa.binary()),
                         _lists(pa.array(fails, pa.string()), pa.string()),
-                        _lists(starts, pa.int64()),
-                        _lists(entries % max(1, len(vocabulary)), pa.int32()),
-                        _lists(counts, pa.int32()),
+                        pa.array([_packed(starts, entries % max(1, len(vocabulary)), counts)], pa.binary()),
                         _lists(vocabulary, pa.string()),
                     ],
-                    ["shard", "ids", "parts", "digests", "fails", "starts", "places", "counts", "words"],
+                    ["shard", "ids", "parts", "digests", "fails", "entries", "words"],
                 )
                 shard += 1
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(part_col).cast("string").alias("part")).mapInArrow(
-        run, f"shard long, ids array<{kind}>, parts array<string>, digests array<binary>, fails array<string>, starts array<long>, places array<int>, counts array<int>, words array<string>"
+        run, f"shard long, ids array<{kind}>, parts array<string>, digests array<binary>, fails array<string>, entries binary, words array<string>"
     )
 
 
-def dictionary(words: DataFrame) -> DataFrame:
-    """word, word_id: the distinct words of ``words`` (column word), with ids from 0 to their number less one."""
-    placed = durable(words.select("word").distinct().withColumn("__place", F.monotonically_increasing_id()), "dictionary")
-    block = F.shiftright("__place", 33)
-    # a row per partition of the line above
-    sizes = sorted((r["block"], r["count"]) for r in placed.groupBy(block.alias("block")).count().collect())
-    firsts = np.concatenate([[0], np.cumsum([n for _, n in sizes])]).tolist()
-    offsets = words.sparkSession.createDataFrame([(k, f) for (k, _), f in zip(sizes, firsts)], "block long, first long")
-    return placed.join(F.broadcast(offsets), block == offsets["block"]).select("word", (F.col("first") + F.col("__place").bitwiseAND((1 << 33) - 1)).alias("word_id"))
+def numbered(words: DataFrame) -> DataFrame:
+    """``words`` (column word, a row per shard and word) with word_id, the global dictionary's number of the word.
+
+    Words are dealt over buckets by hash and numbered in order inside each; bucket b of n has the ids b, b + n,
+    b + 2n, and so on. So equal words meet once, where they get their id, and nothing goes back to be looked up.
+    """
+    n = BUCKETS * partitions(words.sparkSession)
+    bucket = F.pmod(F.xxhash64("word"), F.lit(n))
+    place = F.dense_rank().over(Window.partitionBy("bucket").orderBy("word"))
+    return words.withColumn("bucket", bucket).withColumn("word_id", (place.cast("long") - 1) * n + F.col("bucket")).drop("bucket")
 
 
 def matrix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang", shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """The document-term matrix in CSR shards: shard, ids, parts, digests, fails, indptr, indices (global word ids, ascending in each row), data."""
+    """The document-term matrix in CSR shards of about ENTRIES entries: ids, parts, digests, fails, indptr, indices (global word ids, ascending in each row), data."""
     local = durable(local_shards(docs, id_col, text_col, part_col, shard_bytes), "shards", **SHARD_FILES)
     words = local.select("shard", F.posexplode("words").alias("at", "word"))
-    known = words.join(dictionary(words), "word").groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("at", "word_id")))["word_id"].alias("word_ids"))
+    known = numbered(words).groupBy("shard").agg(F.collect_list("at").alias("ats"), F.collect_list("word_id").alias("word_ids"))
 
     def rewritten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1)
-                starts, places, counts = (row.column(c).flatten().to_numpy() for c in ("starts", "places", "counts"))
-                ids = row.column("word_ids").flatten().to_numpy()[places] if len(places) else np.zeros(0, np.int64)
+                starts, places, counts = _unpacked(row.column("entries")[0].as_py())
+                ids = np.zeros(len(row.column("ats").flatten()), np.int64)
+                ids[row.column("ats").flatten().to_numpy()] = row.column("word_ids").flatten().to_numpy()
+                ids = ids[places]
                 order = np.lexsort([ids, np.repeat(np.arange(len(starts) - 1), np.diff(starts))])
-                yield pa.RecordBatch.from_arrays(
-                    [*(row.column(c) for c in ("shard", "ids", "parts", "digests", "fails", "starts")), _lists(ids[order], pa.int64()), _lists(counts[order], pa.int32())],
-                    ["shard", "ids", "parts", "digests", "fails", "indptr", "indices", "data"],
-                )
-
-    kept = ["shard", "ids", "parts", "digests", "fails"]
+                ids, counts, a = ids[order], counts[order], 0
+                while a < len(starts) - 1:  # parts of whole rows
+                    b = max(a + 1, int(np.searchsorted(starts, starts[a] + ENTRIES, "right")) - 1)
+                    inside = slice(starts[a], starts[b])
+                    yield pa.RecordBatch.from_arrays(
+                        [*(_lists(row.column(c).flatten().slice(a, b - a), row.column(c).type.value_type) for c in kept), _lists(starts[a : b + 1] - starts[a], pa.int64()), _lists(ids[inside], pa.int64()), _lists(counts[inside], pa.int32())],
+                        [*kept, "indptr", "indices", "data"],
+                    )
+                    a = b
+
+    kept = ["ids", "parts", "digests", "fails"]
     kinds = ", ".join(f"{c} {local.schema[c].dataType.simpleString()}" for c in kept)
     return local.drop("words").join(known, "shard", "left").mapInArrow(rewritten, f"{kinds}, indptr array<long>, indices array<long>, data array<int>")
 
@@ -131,21 +157,16 @@ def matrix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part
 def flags(shards: DataFrame) -> DataFrame:
     """Per document: id, part, digest, n_words (the row's sum), n_distinct (its stored entries), and fails, the letters of the filters other than E that it fails."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                ids, parts, digests, fails, indptr, data = (batch.column(c).slice(k, 1).flatten() for c in ("ids", "parts", "digests", "fails", "indptr", "data"))
-                indptr = indptr.to_numpy()
-                n_distinct = np.diff(indptr)
-                n_words = np.diff(np.concatenate([[0], np.cumsum(data.to_numpy(), dtype=np.int64)])[indptr])
-                ab = np.array(["", "A", "B", "AB"], object)[(n_words < 100) + 2 * (100 * n_distinct < 80 * n_words)]
-                yield pa.RecordBatch.from_arrays(
-                    [ids, parts, digests, pa.array(n_words, pa.int64()), pa.array(n_distinct, pa.int64()), pa.array([x + y for x, y in zip(ab, fails.to_pylist())], pa.string())],
-                    ["id", "part", "digest", "n_words", "n_distinct", "fails"],
-                )
+    def row(i):
+        at = lambda c: F.get(c, i)
+        n = (F.get("indptr", i + 1) - at("indptr")).cast("int")
+        total = F.aggregate(F.slice("data", (at("indptr") + 1).cast("int"), n), F.lit(0).cast("long"), lambda s, x: s + x)
+        return F.struct(at("ids").alias("id"), at("parts").alias("part"), at("digests").alias("digest"), at("fails").alias("others"), total.alias("n_words"), n.cast("long").alias("n_distinct"))
 
-    kind = shards.schema["ids"].dataType.elementType.simpleString()
-    return shards.mapInArrow(run, f"id {kind}, part string, digest binary, n_words long, n_distinct long, fails string")
+    rows = shards.select(F.inline(F.transform(F.sequence(F.lit(0), F.size("ids") - 1), row)))
+    few, alike = F.col("n_words") < 100, 100 * F.col("n_distinct") < 80 * F.col("n_words")
+    fails = F.concat(F.when(few, "A").otherwise(""), F.when(alike, "B").otherwise(""), F.col("others"))
+    return rows.select("id", "part", "digest", "n_words", "n_distinct", fails.alias("fails"))
 
 
 def counted(rows: DataFrame) -> DataFrame:
