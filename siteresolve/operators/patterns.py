@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from ..storage import written
 from .balance import ratio
 
 AND = " AND "
@@ -54,46 +56,86 @@ def minimal(patterns: DataFrame) -> DataFrame:
     return patterns.join(covered, "pattern", "left_anti")
 
 
+def canonical(features):
+    """A feature array as a set: no nulls, no repeats, in order."""
+    return F.array_sort(F.array_distinct(F.array_compact(features)))
+
+
+def contained(sets: DataFrame, patterns: DataFrame, keep: list[str]) -> DataFrame:
+    """(features, *keep) for each of the distinct ``sets`` (column features, canonical) and each pattern all of whose features it has.
+
+    A pattern is filed under the one of its features that the fewest sets have, so a set meets only the patterns filed under its own features, and a feature that nearly all sets
+    have holds only patterns made of such features. What meets is then checked in full. Patterns without features, or with one that no set has, match nothing.
+    """
+    named = patterns.select(*keep, canonical("features").alias("wanted")).filter(F.size("wanted") > 0)
+    frequency = sets.select(F.explode("features").alias("feature")).groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
+    parts = named.select("wanted").distinct().select("wanted", F.explode("wanted").alias("feature")).join(frequency, "feature")
+    filed = parts.groupBy("wanted").agg(F.min_by("feature", F.struct("n", "feature")).alias("anchor"), F.count(F.lit(1)).alias("known")).filter(F.col("known") == F.size("wanted"))
+    met = sets.select("features", F.explode("features").alias("anchor")).join(filed.select("wanted", "anchor"), "anchor")
+    return met.filter(F.size(F.array_except("wanted", "features")) == 0).select("features", "wanted").join(named, "wanted").drop("wanted")
+
+
 def matches(rows: DataFrame, patterns: DataFrame, key: str, first_only: bool = True, order: str = "pattern_pos") -> DataFrame:
-    """(key, pattern) for patterns all of whose features a row has; the first by ``order`` only, by default. An equi-join on features, then a count."""
-    wanted = patterns.select("pattern", order, F.size("features").alias("size"), F.explode("features").alias("feature"))
-    have = rows.select(key, F.explode(F.array_distinct("features")).alias("feature"))
-    full = have.join(wanted, "feature").groupBy(key, "pattern", order, "size").agg(F.count(F.lit(1)).alias("n")).filter("n = size")
+    """(key, pattern) of each row for patterns all of whose features it has; the first by ``order`` only, by default.
+
+    Equal feature sets are matched once (``contained``); rows only look their set up. Rows without a match give none.
+    """
+    rows = rows.select(key, canonical("features").alias("features"))
+    found = contained(rows.select("features").distinct(), patterns, ["pattern", order])
     if first_only:
-        return full.groupBy(key).agg(F.min_by("pattern", order).alias("pattern"))
-    return full.select(key, "pattern")
+        found = found.groupBy("features").agg(F.min_by("pattern", F.struct(order, "pattern")).alias("pattern"))
+    return rows.join(found.select("features", "pattern"), "features").select(key, "pattern")
 
 
-def release_simulation(rows: DataFrame, patterns: DataFrame, key: str) -> DataFrame:
-    """Per pattern: rows it would release, how many are right and wrong, and the precision. ``rows`` has correct."""
-    found = matches(rows, patterns, key, first_only=False).join(rows.select(key, "correct"), key)
-    one = found.groupBy("pattern").agg(F.count(F.lit(1)).alias("released_rows"), F.count_if("correct").alias("correct_released"))
+def release_simulation(rows: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Per pattern: rows it would release, how many are right and wrong, and the precision. ``rows``: features, correct; counted by feature set before anything is matched."""
+    sets = rows.groupBy(canonical("features").alias("features")).agg(F.count(F.lit(1)).alias("n"), F.count_if("correct").alias("c"))
+    found = contained(sets.select("features"), patterns, ["pattern"]).join(sets, "features")
+    one = found.groupBy("pattern").agg(F.sum("n").alias("released_rows"), F.sum("c").alias("correct_released"))
     return one.withColumns({"wrong_released": F.col("released_rows") - F.col("correct_released"), "release_precision": ratio(F.col("correct_released"), F.col("released_rows"))})
 
 
-def actionable_set(rows: DataFrame, patterns: DataFrame, most_wrong: int = 0) -> DataFrame:
-    """Greedy cover: patterns with the fewest wrong and most right rows first, each kept if it adds right rows and the wrong ones stay within ``most_wrong``.
+MOST_PATTERNS = 1_000_000
+
+
+def actionable_set(rows: DataFrame, patterns: DataFrame, most_wrong: int = 0, most_patterns: int = MOST_PATTERNS) -> DataFrame:
+    """Greedy cover: patterns with the fewest wrong and most right rows first, each kept if it adds right rows and all wrong ones stay within ``most_wrong``.
+
+    ``rows``: features, correct; ``patterns``: pattern, features, of which ``most_patterns`` may match (else ValueError: what follows sorts a row a pattern in one task). Gives pattern,
+    place, new_correct, wrong_so_far.
 
-    ``rows``: features, correct; ``patterns``: a short list of pattern, features. Rows of equal features are released by the same patterns, so they are counted first. Spark adds up
-    what each pattern would add to the sets not yet covered; the driver sees a row per pattern and picks the next, so there is one aggregation for each pattern kept.
+    The order is fixed beforehand, so as long as no pattern is refused for its wrong rows, a pattern is kept exactly if it is the first of some set with right rows: one
+    aggregation. Then the first pattern at which the wrong rows get too many is refused, and with it all later ones that would get too many beside the wrong rows kept so far
+    (those never get fewer); only sets that lost their first pattern look for the next. Each round but the last refuses its first one for rows that the round before did not
+    have, so there are at most ``most_wrong`` + 2 rounds; the driver sees a few numbers of each.
     """
     spark = rows.sparkSession
-    sets = rows.select(F.array_sort(F.array_distinct("features")).alias("features"), F.col("correct").cast("long").alias("c")).groupBy("features").agg(F.sum("c").alias("right"), F.sum(1 - F.col("c")).alias("wrong"))
-    sets = sets.withColumn("id", F.array_join("features", AND))
-    found = matches(sets, patterns.select("pattern", "features", F.lit(0).alias("pattern_pos")), "id", first_only=False).join(sets.select("id", "right", "wrong"), "id").persist()
-    totals = lambda df: {r["pattern"]: (r["right"], r["wrong"]) for r in df.groupBy("pattern").agg(F.sum("right").alias("right"), F.sum("wrong").alias("wrong")).collect()}
-    new = totals(found)
-    order = sorted(new, key=lambda p: (new[p][1], -new[p][0], p.count(AND), p))
-    picked: list[tuple[str, int, int, int]] = []
-    wrong = 0
+    sets = rows.groupBy(canonical("features").alias("features")).agg(F.count_if("correct").alias("right"), F.count_if(~F.col("correct")).alias("wrong"))
+    sets = written(sets.withColumn("set", F.monotonically_increasing_id()), "sets")
+    hits = written(contained(sets.select("features"), patterns, ["pattern"]).join(sets, "features").select("pattern", "set", "right", "wrong"), "hits")
+    sizes = patterns.select("pattern", F.size(canonical("features")).alias("size")).distinct()
+    totals = hits.groupBy("pattern").agg(F.sum("right").alias("right"), F.sum("wrong").alias("wrong")).join(sizes, "pattern")
+    n = totals.count()
+    if n > most_patterns:
+        raise ValueError(f"{n} patterns match, more than {most_patterns}")
+    ordered = totals.orderBy("wrong", F.desc("right"), "size", "pattern").coalesce(1).select("pattern", F.monotonically_increasing_id().alias("order"))
+    ordered = written(ordered, "order")
+    hits = written(hits.join(ordered, "pattern").select("order", "set", "right", "wrong"), "gains")
+    refused = spark.createDataFrame([], "order long")
     while True:
-        fits = next((k for k, p in enumerate(order) if new.get(p, (0, 0))[0] and wrong + new[p][1] <= most_wrong), None)
-        if fits is None:
+        alive = hits.join(refused, "order", "left_anti")
+        picked = alive.filter("right > 0").groupBy("set").agg(F.min("order").alias("order"), F.first("right").alias("right")).groupBy("order").agg(F.sum("right").alias("new_correct"))
+        picked = written(picked, "picked")
+        added = alive.filter("wrong > 0").join(picked, "order", "left_semi").groupBy("set").agg(F.min("order").alias("order"), F.first("wrong").alias("wrong"))
+        added = written(added, "wrongs")
+        by_order = picked.join(added.groupBy("order").agg(F.sum("wrong").alias("wrong")), "order", "left")
+        kept = by_order.withColumn("wrong_so_far", F.sum(F.coalesce("wrong", F.lit(0))).over(Window.orderBy("order")))
+        broken = kept.filter(F.col("wrong_so_far") > most_wrong).agg(F.min("order")).first()[0]
+        if broken is None:
             break
-        name, order = order[fits], order[fits + 1 :]
-        wrong += new[name][1]
-        picked.append((name, len(picked) + 1, new[name][0], wrong))
-        covered = found.filter(F.col("pattern").isin([p[0] for p in picked])).select("id").distinct()
-        new = totals(found.filter(F.col("pattern").isin(order)).join(covered, "id", "left_anti")) if order else {}
-    found.unpersist()
-    return spark.createDataFrame(picked, "pattern string, place long, new_correct long, wrong_so_far long")
+        before = added.filter(F.col("order") < broken)
+        room = most_wrong - (before.agg(F.sum("wrong")).first()[0] or 0)
+        more = hits.filter((F.col("order") >= broken) & (F.col("wrong") > 0)).join(before.select("set"), "set", "left_anti").groupBy("order").agg(F.sum("wrong").alias("wrong")).filter(F.col("wrong") > room)
+        refused = written(refused.union(more.select("order")).distinct(), "refused")
+    out = kept.join(ordered, "order").withColumn("place", F.row_number().over(Window.orderBy("order")).cast("long"))
+    return out.select("pattern", "place", "new_correct", "wrong_so_far")

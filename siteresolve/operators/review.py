@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import blank
+from ..storage import written
 from .providers import cut_per_key
 
 
@@ -66,34 +67,69 @@ def domain_feedback(decisions: DataFrame, known: list[str]) -> DataFrame:
     return one.withColumn("exclude", (F.col("rejected") >= 2) & (F.col("accepted") == 0) & ~F.col("domain").isin(known))
 
 
-def balanced_sample(rows: DataFrame, order: list, most: int, per_reason: int, per_pattern: int = 0) -> DataFrame:
-    """A greedy sample in priority order under three caps; a second walk fills up past the pattern cap. Needs review_reason, pattern_match and a unique row_id.
+def _nth(rows: DataFrame, group: str, cap: str, name: str) -> DataFrame:
+    """Per group the place of its row number ``cap`` (a column), where it has so many. Only rows up to the cap leave a task before groups meet."""
+    place = F.row_number().over(Window.partitionBy(group).orderBy("__at"))
+    return rows.withColumn("__n", place).filter(F.col("__n") == F.col(cap)).select(F.col(group).alias(f"__{name}"), F.col("__at").alias(f"__{name}_at"))
 
-    What one reason and pattern can give is a prefix of its own order of at most ``per_reason`` rows, so that prefix is cut by a window first; the greedy walk then sees at most
-    reasons x patterns x cap rows, in one task.
+
+def _upto(rows: DataFrame, ends: DataFrame, group: str, name: str) -> DataFrame:
+    """Rows at or before the end of their group; groups without one are open."""
+    end = F.col(f"__{name}_at")
+    return rows.join(ends, F.col(group).eqNullSafe(F.col(f"__{name}")), "left").filter(end.isNull() | (F.col("__at") <= end)).drop(f"__{name}", f"__{name}_at")
+
+
+def filled(rows: DataFrame, a: str, b: str) -> DataFrame:
+    """What a walk in order of __at takes if each group of column ``a`` and each of column ``b`` is closed after as many rows as columns __cap_a and __cap_b say (null: never; 0: from the start).
+
+    A group closes at one place, and a row is taken exactly if neither of its groups has closed before it. With places that are too early for one column's groups, those of the other
+    come out too late, and the reverse; so both are tightened in turn from both sides until they agree. Every turn fixes at least the next closing place, and most turns many.
+    """
+    rows = rows.filter((F.coalesce("__cap_a", F.lit(1)) > 0) & (F.coalesce("__cap_b", F.lit(1)) > 0))
+    slim = rows.select(F.col(a).alias("a"), F.col(b).alias("b"), "__at", "__cap_a", "__cap_b")
+    early = written(_nth(slim, "a", "__cap_a", "a"), "ends"), written(_nth(slim, "b", "__cap_b", "b"), "ends")
+
+    def other(ends: tuple[DataFrame, DataFrame]) -> tuple[DataFrame, DataFrame]:
+        return written(_nth(_upto(slim, ends[1], "b", "b"), "a", "__cap_a", "a"), "ends"), written(_nth(_upto(slim, ends[0], "a", "a"), "b", "__cap_b", "b"), "ends")
+
+    while True:
+        late = other(early)
+        if all(x.exceptAll(y).isEmpty() and y.exceptAll(x).isEmpty() for x, y in zip(early, late)):
+            return _upto(_upto(rows, early[0], a, "a"), early[1], b, "b")
+        early = other(late)
+
+
+def balanced_sample(rows: DataFrame, order: list, most: int, per_reason: int, per_pattern: int = 0, key: str | None = None) -> DataFrame:
+    """A greedy sample in priority order under three caps (0: none, but for ``most``), with sample_pos. Needs review_reason and pattern_match; rows without a pattern have no pattern cap.
+
+    The first walk takes rows until their reason, their pattern or the sample is full; the second fills up past the pattern cap with rows whose ``key`` (by default each row is its
+    own) isn't in the sample yet. Both are ``filled`` with two caps; what is left of ``most`` then cuts the walk. Rows of equal order come in any, but one, order.
+
+    Of one reason and pattern no more than the reason's cap can be taken, so the rest goes first, task by task. Places in the order come from a range sort; nothing is sorted in
+    one task but the sample itself.
     """
-    most_each = min(per_reason or most, most)
-    w = Window.partitionBy("review_reason", "pattern_match").orderBy(*order)
-    few = rows.withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= most_each).drop("__n")
-    places = few.withColumn("__place", F.row_number().over(Window.orderBy(*order)))
-
-    def walk(pdf):
-        pdf = pdf.sort_values("__place")
-        taken: dict[int, None] = {}
-        by_reason: dict[str, int] = {}
-        by_pattern: dict[str, int] = {}
-        for respect_pattern in (True, False):
-            for k, reason, pattern in zip(pdf["__place"], pdf["review_reason"], pdf["pattern_match"]):
-                full = per_reason and by_reason.get(reason, 0) >= per_reason
-                capped = respect_pattern and per_pattern and pattern and by_pattern.get(pattern, 0) >= per_pattern
-                if len(taken) >= most or k in taken or full or capped:
-                    continue
-                taken[k] = None
-                by_reason[reason] = by_reason.get(reason, 0) + 1
-                by_pattern[pattern] = by_pattern.get(pattern, 0) + 1
-        order_of = {k: n + 1 for n, k in enumerate(taken)}
-        out = pdf[pdf["__place"].isin(list(taken))].assign(sample_pos=lambda d: d["__place"].map(order_of))
-        return out.drop(columns=["__place"])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", sample_pos long"
-    return places.groupBy().applyInPandas(walk, schema)
+    cap = min(per_reason or most, most)
+    both = ["review_reason", "pattern_match"]
+    given = rows.withColumn("__key", F.xxhash64(F.monotonically_increasing_id()) if key is None else F.col(key))
+    given = written(given.orderBy(*order).withColumn("__at", F.monotonically_increasing_id()), "ordered")
+    few = given.withColumn("__n", F.row_number().over(Window.partitionBy(*both).orderBy("__at"))).filter(F.col("__n") <= cap).drop("__n")
+    if key is not None:
+        # rows of keys that are taken are passed over, but at most ``most`` keys are
+        firsts = given.groupBy(*both, "__key").agg(F.min("__at").alias("__at")).withColumn("__n", F.row_number().over(Window.partitionBy(*both).orderBy("__at"))).filter(F.col("__n") <= cap + most)
+        few = few.union(given.join(firsts.select("__at"), "__at", "left_semi").select(few.columns)).dropDuplicates(["__at"])
+    few = written(few, "few")
+    reasons = F.lit(per_reason) if per_reason else F.lit(None).cast("int")
+    patterns = F.when(blank(F.col("pattern_match")) != "", F.lit(per_pattern)) if per_pattern else F.lit(None).cast("int")
+    first = filled(few.withColumns({"__cap_a": reasons, "__cap_b": patterns}), *both).orderBy("__at").limit(most)
+    first = written(first.select(few.columns).withColumn("__walk", F.lit(1)), "first")
+    left = most - first.count()
+    taken = first
+    if left > 0 and per_pattern:
+        # at most ``most`` rows and reasons
+        used = first.groupBy(F.col("review_reason").alias("__r")).agg(F.count(F.lit(1)).alias("__used"))
+        rest = few.join(first.select("__key").distinct(), "__key", "left_anti").join(used, F.col("review_reason").eqNullSafe(F.col("__r")), "left")
+        rest = rest.withColumns({"__cap_a": reasons - F.coalesce("__used", F.lit(0)), "__cap_b": F.lit(1)}).drop("__r", "__used")
+        second = filled(rest, "review_reason", "__key").orderBy("__at").limit(left)
+        taken = first.unionByName(second.select(few.columns).withColumn("__walk", F.lit(2)))
+    placed = taken.orderBy("__walk", "__at").limit(most)
+    return placed.withColumn("sample_pos", F.monotonically_increasing_id() + 1).select(*rows.columns, "sample_pos")

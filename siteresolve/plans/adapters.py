@@ -63,6 +63,11 @@ ADAPTERS: dict[str, str] = {
                CASE WHEN l_quantity >= 40 THEN 'quantity>=40' WHEN l_quantity >= 20 THEN 'quantity>=20' END AS f3, CASE WHEN l_discount >= 0.08 THEN 'has:discount' ELSE 'missing:discount' END AS f4,
                CASE WHEN l_returnflag = 'N' AND l_quantity >= 40 THEN TRUE ELSE l_tax <= 0.04 END AS correct
         FROM {lineitem}""",
+    # evidence with many features: wrong by brand and type, and for some returned lines
+    "lane_rows": """
+        SELECT l_orderkey * 10 + l_linenumber AS row_id, 'brand:' || p_brand AS f1, 'type:' || p_type AS f2, 'flag:' || l_returnflag AS f3,
+               NOT ((CAST(replace(p_brand, 'Brand#', '') AS INT) * 7 + length(p_type)) % 5 = 0 OR (l_returnflag = 'R' AND l_tax >= 0.08 AND p_size < 20)) AS correct
+        FROM {lineitem} JOIN {part} ON l_partkey = p_partkey""",
     # regression cases per customer, from orders
     "cases": """
         SELECT CAST(o_custkey AS STRING) AS provider_id, o_orderkey AS pos,

@@ -431,7 +431,7 @@ def p4_pattern_match(spark, d):
     f"""WITH e AS (SELECT row_id, tie, any_value(correct) AS correct, [f1, f2, f3, f4] AS f FROM {{evidence}} GROUP BY ALL) SELECT pattern, count(*) AS released_rows, count(*) FILTER (correct) AS correct_released, count(*) FILTER (NOT correct) AS wrong_released, round(count(*) FILTER (correct) / count(*), 4) AS release_precision FROM e, {_TRIED} WHERE list_has_all(e.f, t.features) GROUP BY 1"""
 )
 def p8_release_simulation(spark, d):
-    return patterns.release_simulation(_evidence(spark, d).dropDuplicates(["row_id", "features"]), _tried(spark), "row_id")
+    return patterns.release_simulation(_evidence(spark, d).dropDuplicates(["row_id", "features"]), _tried(spark))
 
 
 # ---- review work ----------------------------------------------------------------------------
@@ -588,10 +588,43 @@ def r8_balanced_sample(spark, d):
     return review.balanced_sample(rows, [F.desc("score"), F.col("seq")], 60, 15, 10)
 
 
-@query()
+# mined patterns of the richer evidence, and the sets of features that its rows have
+_LANE = """e AS (SELECT list_sort([f1, f2, f3]) AS f, correct FROM {lane_rows}), g AS (SELECT f, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (correct) AS BIGINT) AS c, row_number() OVER (ORDER BY f) AS id FROM e GROUP BY 1),
+    s AS (SELECT list_filter(f, lambda x, k: (b >> (k - 1)) & 1 = 1) AS p, n, c FROM (SELECT f, n, c, unnest(range(1, 8)) AS b FROM g)),
+    mined AS (SELECT array_to_string(p, ' AND ') AS pattern, p AS features, len(p) AS size, sum(n) AS support_rows, sum(n) - sum(c) AS wrong FROM s WHERE len(p) <= 2 GROUP BY ALL HAVING sum(n) >= 5)"""
+
+
+def _lane(spark, d):
+    rows = load(spark, d, "lane_rows").select("row_id", F.array("f1", "f2", "f3").alias("features"), "correct")
+    return rows, patterns.mine(rows, size=2, least_support=5)
+
+
+@query(
+    f"WITH {_LANE}, m AS (SELECT g.id, g.n, min(struct_pack(w := wrong, s := -support_rows, p := pattern)) AS best FROM g JOIN mined ON list_has_all(g.f, mined.features) GROUP BY ALL) SELECT best.p AS pattern, CAST(sum(n) AS BIGINT) AS n FROM m GROUP BY 1"
+)
+def p4_many_patterns(spark, d):
+    rows, mined = _lane(spark, d)
+    listed = mined.select("pattern", "features", F.struct("wrong_rows", -F.col("support_rows")).alias("pattern_pos"))
+    return patterns.matches(rows, listed, "row_id").groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    f"""WITH RECURSIVE {_LANE}, rights AS (SELECT list(c ORDER BY id) AS c, list(n - c ORDER BY id) AS w FROM g),
+    hits AS (SELECT pattern, len(any_value(features)) AS size, sum(c) AS c, sum(n - c) AS w, list(id) FILTER (c > 0) AS r_ids, list(id) FILTER (n > c) AS w_ids FROM g JOIN mined ON list_has_all(g.f, mined.features) GROUP BY 1),
+    o AS (SELECT *, row_number() OVER (ORDER BY w, c DESC, size, pattern) AS k FROM hits),
+    walk AS (
+      SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS got, CAST([] AS BIGINT[]) AS bad, FALSE AS kept, CAST(0 AS HUGEINT) AS new_correct, CAST(0 AS HUGEINT) AS wrong_so_far, '' AS pattern
+      UNION ALL
+      SELECT k, CASE WHEN ok THEN list_distinct(list_concat(got, coalesce(r_ids, []))) ELSE got END, CASE WHEN ok THEN all_bad ELSE bad END, ok, new_correct, CASE WHEN ok THEN wrong ELSE wrong_so_far END, pattern FROM (
+        SELECT *, new_correct > 0 AND wrong <= 150 AS ok FROM (
+          SELECT o.k, walk.got, walk.bad, walk.wrong_so_far, o.r_ids, o.pattern, list_distinct(list_concat(walk.bad, coalesce(o.w_ids, []))) AS all_bad,
+            coalesce(list_sum(list_transform(list_filter(o.r_ids, lambda i: NOT list_contains(walk.got, i)), lambda i: rights.c[i])), 0) AS new_correct,
+            coalesce(list_sum(list_transform(list_distinct(list_concat(walk.bad, coalesce(o.w_ids, []))), lambda i: rights.w[i])), 0) AS wrong
+          FROM walk JOIN o ON o.k = walk.k + 1, rights)))
+    SELECT pattern, row_number() OVER (ORDER BY k) AS place, CAST(new_correct AS BIGINT) AS new_correct, CAST(wrong_so_far AS BIGINT) AS wrong_so_far FROM walk WHERE kept"""
+)
 def p9_actionable_set(spark, d):
-    rows = _evidence(spark, d)
-    return patterns.actionable_set(rows, patterns.safe(patterns.mine(rows, size=2), 5))
+    return patterns.actionable_set(*_lane(spark, d), most_wrong=150)
 
 
 # ---- regression, policies -------------------------------------------------------------------
