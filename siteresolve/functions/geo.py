@@ -52,11 +52,17 @@ def plain_markers(locations: Column) -> Column:
     return F.array_distinct(F.filter(F.concat(named, F.transform(given, lambda x: text.normalized(x))), lambda x: x != ""))
 
 
+def expected_suffixes(locations: Column) -> Column:
+    """The top-level domains of the locations' countries."""
+    return F.flatten(F.transform(profiles(locations), lambda p: p["tlds"]))
+
+
+def suffix_signal(end: Column, expected: Column) -> Column:
+    """match, conflict or neutral: a domain's ``urls.suffix`` against the expected ones."""
+    known = _array(sorted({t for c in COUNTRIES for t in c[2]}))
+    return F.when((end == "") | end.isin(GENERIC_TLDS), "neutral").when(F.array_contains(expected, end), "match").when((F.size(expected) > 0) & F.array_contains(known, end), "conflict").otherwise("neutral")
+
+
 def domain_signal(name: Column, locations: Column) -> Column:
     """match, conflict or neutral: the domain's country against the locations' countries."""
-    end = urls.suffix(name)
-    known = _array(sorted({t for c in COUNTRIES for t in c[2]}))
-    return text.let(
-        F.flatten(F.transform(profiles(locations), lambda p: p["tlds"])),
-        lambda expected: F.when((end == "") | end.isin(GENERIC_TLDS), "neutral").when(F.array_contains(expected, end), "match").when((F.size(expected) > 0) & F.array_contains(known, end), "conflict").otherwise("neutral"),
-    )
+    return text.let(expected_suffixes(locations), lambda expected: suffix_signal(urls.suffix(name), expected))

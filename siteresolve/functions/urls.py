@@ -37,15 +37,15 @@ def domain(url: Column) -> Column:
     return F.regexp_replace(F.when(at.rlike(r"^[^\[]*\]|\[[^\]]*$"), F.lit("")).otherwise(bare), r"^www\.", "")
 
 
-def base_label(name: Column) -> Column:
-    """The registrable label: a.b.co.uk -> b."""
+def base_label(name: Column, is_domain: bool = False) -> Column:
+    """The registrable label: a.b.co.uk -> b. ``is_domain``: the name is a ``domain`` already."""
 
     def label(parts: Column) -> Column:
         n = F.size(parts)
         second = F.get(parts, n - 2)
         return F.when((n >= 3) & second.isin("co", "com", "net", "org"), F.get(parts, n - 3)).when(n >= 2, second).otherwise(F.get(parts, F.lit(0)))
 
-    return let(F.split(domain(name), r"\."), label)
+    return let(F.split(name if is_domain else domain(name), r"\."), label)
 
 
 def suffix(name: Column) -> Column:
@@ -104,8 +104,8 @@ def roots(url: Column) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(made))
 
 
-def excluded(name: Column, patterns: list[str]) -> Column:
-    """A blank domain, a listed one, below a listed one, or with a listed label."""
+def excluded(name: Column, patterns: list[str], is_domain: bool = False) -> Column:
+    """A blank domain, a listed one, below a listed one, or with a listed label. ``is_domain``: the name is a ``domain`` already."""
     labels = F.array(*[F.lit(p.rstrip(".")) for p in patterns if p.endswith(".")])
     listed = F.array(*[F.lit(p) for p in patterns if not p.endswith(".")])
 
@@ -113,4 +113,4 @@ def excluded(name: Column, patterns: list[str]) -> Column:
         parents = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, k, F.size(parts)), "."))
         return (parts == F.array(F.lit(""))) | F.arrays_overlap(parents, listed) | F.arrays_overlap(parts, labels)
 
-    return let(F.split(domain(name), r"\."), hit)
+    return let(F.split(name if is_domain else domain(name), r"\."), hit)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..config import SERVICE_KEYWORDS
 from ..functions import geo, text, urls
-from .scoring import _plain, ambiguous_name, generic_name
+from .scoring import SIMILARITY, _plain, ambiguous_name, generic_name
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 SILENT = frozenset(("script", "style", "noscript", "svg"))
@@ -202,14 +202,14 @@ def page_flags(read: DataFrame) -> DataFrame:
     )
 
 
-def page_reasons(is_home: Column) -> Column:
-    """Reasons of a page for a provider, in order; the row has the page's flags, provider_name and provider_locations."""
+def page_reasons(is_home: Column, fuzzy_names: str = "words") -> Column:
+    """Reasons of a page for a provider, in order; the row has the page's flags, provider_name and provider_locations. ``fuzzy_names``: a key of ``scoring.SIMILARITY``."""
     said, name = F.col("said"), text.normalized(F.col("provider_name"))
     words = text.tokens_of(name)
     hits = F.size(F.filter(words, lambda w: said.contains(w)))
     by_name = (
         F.when((name != "") & said.contains(name), "page_contains_exact_provider_name")
-        .when(text.similarity(name, F.substring("said", 1, 5000)) >= 92, "page_fuzzy_provider_name_match")
+        .when(SIMILARITY[fuzzy_names](name, F.substring("said", 1, 5000)) >= 92, "page_fuzzy_provider_name_match")
         .when((F.size(words) > 0) & (hits >= F.least(F.lit(2), F.size(words))), "page_contains_provider_name_tokens")
     )
     places = F.coalesce("provider_locations", F.array().cast("array<string>"))
@@ -250,7 +250,7 @@ def site_score(reasons: Column) -> Column:
     return F.least(F.lit(55), sum(points[1:], points[0]))
 
 
-def inspect_sites(candidates: DataFrame, flags: DataFrame, paths: list[str], final_urls: DataFrame | None = None) -> DataFrame:
+def inspect_sites(candidates: DataFrame, flags: DataFrame, paths: list[str], final_urls: DataFrame | None = None, fuzzy_names: str = "words") -> DataFrame:
     """Per candidate (provider_id, pos, url, provider_name, provider_locations): final_url, site_score, site_reasons, page_title.
 
     The first of the candidate's roots that has a page is its home; ``paths`` are looked up under the root of that page's final address (``final_urls``: url, final_url). Two
@@ -264,7 +264,7 @@ def inspect_sites(candidates: DataFrame, flags: DataFrame, paths: list[str], fin
     under = F.regexp_extract("final_url", r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
     wanted = F.concat(F.array(F.struct(F.lit(0).alias("k"), F.col("page").alias("url"))), *[F.array(F.struct(F.lit(k + 1).alias("k"), F.concat(under, F.lit(p)).alias("url"))) for k, p in enumerate(paths)])
     pairs = home.select(*keys, "final_url", "provider_name", "provider_locations", F.explode(wanted).alias("w")).select("*", "w.k", "w.url").drop("w")
-    seen = pairs.join(flags, "url").withColumn("reasons", page_reasons(F.col("k") == 0))
+    seen = pairs.join(flags, "url").withColumn("reasons", page_reasons(F.col("k") == 0, fuzzy_names))
     one = seen.groupBy(*keys, "final_url").agg(F.sort_array(F.collect_list(F.struct("k", "reasons", "title"))).alias("p"))
     merged = F.array_distinct(F.flatten(F.transform("p", lambda x: x["reasons"])))
     return one.select(*keys, "final_url", site_score(merged).alias("site_score"), F.slice(merged, 1, 12).alias("site_reasons"), F.get("p", F.lit(0))["title"].alias("page_title"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..config import ACCEPT_SCORE, EXCLUDED_DOMAINS, REVIEW_SCORE, SERVICE_KEYWORDS
-from ..functions import geo, text, urls
+from ..functions import fuzzy, geo, text, urls
 
 NOT_SEARCHED = ["domain_guess", "second_pass_domain_variant", "second_pass_input_url", "second_pass_top_candidate"]
 # Words that don't identify a company.
@@ -44,21 +44,38 @@ def generic_name(name: Column) -> Column:
     return (F.size(tokens) >= 2) & (F.size(meaningful(tokens)) == 0)
 
 
-def score_candidates(candidates: DataFrame) -> DataFrame:
+#: Name similarity: shared words of all words, or the token-set ratio (an Arrow function).
+SIMILARITY = {"words": text.similarity, "token_set": fuzzy.token_set}
+
+
+def provider_features(providers: DataFrame) -> DataFrame:
+    """Adds struct ``own``: what scores need of a provider's name and locations. Computed once a provider, before candidates meet it."""
+    name, places = text.normalized(F.col("provider_name")), F.col("provider_locations")
+    rows = providers.withColumns({"__name": name, "__tlds": geo.expected_suffixes(places), "__markers": geo.plain_markers(places)})
+    own = F.struct(F.col("__name").alias("name"), F.replace("__name", F.lit(" "), F.lit("")).alias("short"), text.tokens_of(F.col("__name")).alias("words"), F.col("__tlds").alias("tlds"), F.col("__markers").alias("markers"))
+    return rows.withColumn("own", own).drop("__name", "__tlds", "__markers")
+
+
+def score_candidates(candidates: DataFrame, fuzzy_names: str = "words") -> DataFrame:
     """Adds domain, reject, score and reasons, from name, address, snippet, rank, query and locations.
 
-    Needs provider_name and provider_locations beside the candidate's columns. Each part that several rules use is a column of its own, computed once.
+    Needs ``own`` of ``provider_features`` (or else provider_name and provider_locations) beside the candidate's columns. Each part that several rules use is a column of its own,
+    computed once. ``fuzzy_names``: a key of SIMILARITY.
     """
-    rows = candidates.withColumns({"domain": urls.domain(F.col("url")), "name": text.normalized(F.col("provider_name")), "said": text.normalized(F.concat_ws(" ", text.blank(F.col("title")), text.blank(F.col("snippet"))))})
-    rows = rows.withColumns({"label": text.normalized(urls.base_label(F.col("domain"))), "short": F.replace(F.col("name"), F.lit(" "), F.lit("")), "words": text.tokens_of(F.col("name"))})
+    similar = SIMILARITY[fuzzy_names]
+    given = candidates if "own" in candidates.columns else provider_features(candidates)
+    rows = given.withColumns({"domain": urls.domain(F.col("url")), "said": text.normalized(F.concat_ws(" ", text.blank(F.col("title")), text.blank(F.col("snippet")))), "name": F.col("own.name"), "short": F.col("own.short"), "words": F.col("own.words")})
+    rows = rows.withColumn("label", text.normalized(urls.base_label(F.col("domain"), is_domain=True)))
     rows = rows.withColumns(
         {
             "label_slug": F.replace(F.col("label"), F.lit(" "), F.lit("")),
             "in_label": F.filter("words", lambda t: F.replace(F.col("label"), F.lit(" "), F.lit("")).contains(t)),
             "in_said": F.filter("words", lambda t: F.col("said").contains(t)),
             "services": F.size(F.filter(_plain(SERVICE_KEYWORDS), lambda k: F.col("said").contains(k))),
-            "signal": geo.domain_signal(F.col("domain"), F.col("provider_locations")),
-            "markers": geo.plain_markers(F.col("provider_locations")),
+            "signal": geo.suffix_signal(urls.suffix(F.col("domain")), F.col("own.tlds")),
+            "markers": F.col("own.markers"),
+            "like_label": similar(F.col("name"), F.col("label")),
+            "like_said": similar(F.col("name"), F.col("said")),
             "searched": F.col("rank").isNotNull() & (F.col("rank") > 0),
         }
     )
@@ -68,13 +85,13 @@ def score_candidates(candidates: DataFrame) -> DataFrame:
     by_name = (
         F.when(named & (c("short") == c("label_slug")), F.struct(F.lit(35).alias("p"), F.lit("domain_exact_provider_slug").alias("r")))
         .when(named & (c("label_slug").contains(c("short")) | c("short").contains(c("label_slug"))), F.struct(F.lit(25).alias("p"), F.lit("domain_contains_provider_slug").alias("r")))
-        .when(text.similarity(c("name"), c("label")) >= 92, F.struct(F.lit(24).alias("p"), F.lit("domain_fuzzy_provider_match").alias("r")))
+        .when(c("like_label") >= 92, F.struct(F.lit(24).alias("p"), F.lit("domain_fuzzy_provider_match").alias("r")))
         .when(n_in_label > 0, F.struct(F.least(F.lit(22), 8 * n_in_label).alias("p"), F.concat(F.lit("domain_token_match:"), F.array_join(F.slice("in_label", 1, 4), ",")).alias("r")))
     )
     rule = lambda points, reason: F.struct(F.lit(points).alias("p"), F.lit(reason).alias("r"))
     by_text = (
         F.when((c("name") != "") & c("said").contains(c("name")), rule(15, "search_result_contains_exact_name"))
-        .when(text.similarity(c("name"), c("said")) >= 90, rule(12, "search_result_fuzzy_name_match"))
+        .when(c("like_said") >= 90, rule(12, "search_result_fuzzy_name_match"))
         .when((F.size("words") > 0) & (n_in_said >= F.least(F.lit(2), F.size("words"))), rule(8, "search_result_contains_name_tokens"))
     )
     by_rank = F.when(c("searched") & (c("rank") <= 3) & ~text.blank(c("source")).isin(NOT_SEARCHED), rule(8, "top_search_result"))
@@ -83,7 +100,7 @@ def score_candidates(candidates: DataFrame) -> DataFrame:
     by_country = F.when(c("signal") == "match", rule(6, "domain_tld_matches_provider_country")).when(c("signal") == "conflict", rule(-8, "domain_tld_conflicts_provider_country"))
     by_place = F.when(F.exists("markers", lambda m: c("said").contains(m)), rule(4, "search_result_contains_provider_country"))
     rows = rows.withColumn("rules", F.array_compact(F.array(by_name, by_text, by_rank, by_query, by_service, by_country, by_place)))
-    reject = urls.excluded(c("domain"), EXCLUDED_DOMAINS)
+    reject = urls.excluded(c("domain"), EXCLUDED_DOMAINS, is_domain=True)
     rows = rows.withColumns(
         {
             "reject": reject,
@@ -91,7 +108,7 @@ def score_candidates(candidates: DataFrame) -> DataFrame:
             "reasons": F.when(reject, F.array(F.lit("excluded_domain"))).otherwise(F.concat(F.transform("rules", lambda x: x["r"]), F.array(F.lit("not_fetched_preliminary_score")))),
         }
     )
-    return rows.select(*candidates.columns, "domain", "reject", "score", "reasons")
+    return rows.select(*[x for x in candidates.columns if x != "own"], "domain", "reject", "score", "reasons")
 
 
 def is_search_source(source: Column) -> Column:

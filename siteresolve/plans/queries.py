@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import COUNTRIES, EXCLUDED_DOMAINS
-from ..functions import geo, text, urls
+from ..config import COUNTRIES, EXCLUDED_DOMAINS, GENERIC_TLDS, SERVICE_KEYWORDS
+from ..functions import fuzzy, geo, text, urls
 from ..operators import balance, calibration, candidates, finalize, learning, pages, patterns, providers, regression, reports, review, scoring, secondpass, seeds, verification
 from .adapters import load, sql
 
@@ -281,11 +281,84 @@ def c8_excluded(spark, d):
 # ---- scores ---------------------------------------------------------------------------------
 
 
-@query()
+
+def _sql_list(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+def _sql_normalized(x: str) -> str:
+    """``text.normalized`` of text in ASCII."""
+    return f"trim(regexp_replace(regexp_replace(lower({x}), '{text.LEGAL_FORMS}', ' ', 'g'), '[^a-z0-9]+', ' ', 'g'))"
+
+
+# what the adapter's locations say, from the fixed country values
+_PLACES = "(VALUES " + ", ".join(
+    f"('{place}', {_sql_list(t for c in hit for t in c[2])}, {_sql_list(dict.fromkeys([geo._plain(n) for c in hit for n in c[1]] + [geo._plain(place)]))})"
+    for place in ("Germany", "United Kingdom", "Ukraine", "Atlantis", "Brasil", "France", "Poland", "United States of America")
+    for hit in [[c for c in COUNTRIES if any(geo._plain(n) in geo._plain(place) for n in c[1])]]
+) + ") AS l(location, tlds, markers)"
+_SERVICES = _sql_list(geo._plain(w) for w in SERVICE_KEYWORDS)
+_SCORED = f"""p AS (SELECT provider_id, name, replace(name, ' ', '') AS short, list_filter(string_split(name, ' '), lambda x: length(x) >= 3) AS words, CAST(tlds AS VARCHAR[]) AS tlds, markers
+      FROM (SELECT *, {_sql_normalized("provider_name")} AS name FROM (SELECT * FROM {{providers}}) q) q JOIN {_PLACES} USING (location)),
+    c AS (SELECT provider_id, pos, source, pos % 7 AS rank, regexp_extract(lower(url), '^https?://(?:www[.])?([^/]*)', 1) AS domain, {_sql_normalized("title || ' ' || snippet")} AS said FROM {{candidates}}),
+    d AS (SELECT *, CASE WHEN domain LIKE '%.co.uk' THEN split_part(domain, '.', -3) ELSE split_part(domain, '.', -2) END AS label, CASE WHEN domain LIKE '%.co.uk' THEN 'co.uk' ELSE split_part(domain, '.', -1) END AS suffix FROM c),
+    s AS (SELECT *, list_filter(words, lambda x: contains(label, x)) AS in_label, list_filter(words, lambda x: contains(said, x)) AS in_said, len(list_filter({_SERVICES}, lambda x: contains(said, x))) AS services,
+        {{like_label}} AS like_label, {{like_said}} AS like_said FROM d JOIN p USING (provider_id)),
+    rules AS (SELECT *, list_filter([
+        CASE WHEN short <> '' AND short = label THEN struct_pack(p := 35, r := 'domain_exact_provider_slug') WHEN short <> '' AND (contains(label, short) OR contains(short, label)) THEN struct_pack(p := 25, r := 'domain_contains_provider_slug')
+          WHEN like_label >= 92 THEN struct_pack(p := 24, r := 'domain_fuzzy_provider_match') WHEN len(in_label) > 0 THEN struct_pack(p := CAST(least(22, 8 * len(in_label)) AS INT), r := 'domain_token_match:' || array_to_string(in_label[1:4], ',')) END,
+        CASE WHEN name <> '' AND contains(said, name) THEN struct_pack(p := 15, r := 'search_result_contains_exact_name') WHEN like_said >= 90 THEN struct_pack(p := 12, r := 'search_result_fuzzy_name_match')
+          WHEN len(words) > 0 AND len(in_said) >= least(2, len(words)) THEN struct_pack(p := 8, r := 'search_result_contains_name_tokens') END,
+        CASE WHEN rank BETWEEN 1 AND 3 AND source <> 'domain_guess' THEN struct_pack(p := 8, r := 'top_search_result') END,
+        CASE WHEN rank BETWEEN 1 AND 5 THEN struct_pack(p := 6, r := 'official_website_query_hit') END,
+        CASE WHEN services >= 3 THEN struct_pack(p := 8, r := 'search_snippet_contains_amazon_service_keywords') WHEN services > 0 THEN struct_pack(p := 3, r := 'search_snippet_contains_some_service_keywords') END,
+        CASE WHEN list_contains({_sql_list(GENERIC_TLDS)}, suffix) THEN NULL WHEN list_contains(tlds, suffix) THEN struct_pack(p := 6, r := 'domain_tld_matches_provider_country')
+          WHEN len(tlds) > 0 AND list_contains({_sql_list(sorted({t for c in COUNTRIES for t in c[2]}))}, suffix) THEN struct_pack(p := -8, r := 'domain_tld_conflicts_provider_country') END,
+        CASE WHEN len(list_filter(markers, lambda m: contains(said, m))) > 0 THEN struct_pack(p := 4, r := 'search_result_contains_provider_country') END
+        ], lambda x: x IS NOT NULL) AS rules, domain = 'facebook.com' AS reject FROM s)
+    SELECT provider_id, pos, domain, reject, CAST(CASE WHEN reject THEN -100 ELSE coalesce(list_sum(list_transform(rules, lambda x: x.p)), 0) END AS INT) AS score,
+      CASE WHEN reject THEN 'excluded_domain' ELSE array_to_string(list_append(list_transform(rules, lambda x: x.r), 'not_fetched_preliminary_score'), '; ') END AS reasons FROM rules"""
+# shared words of all words, as text.similarity has it
+_WORDS = "CASE WHEN {a} = '' OR {b} = '' THEN 0.0 WHEN contains({a}, {b}) OR contains({b}, {a}) THEN 100.0 ELSE len(list_intersect(string_split({a}, ' '), string_split({b}, ' '))) * 100.0 / len(list_distinct(list_concat(string_split({a}, ' '), string_split({b}, ' ')))) END"
+
+
+def _to_score(spark, d):
+    own = scoring.provider_features(_providers(spark, d).select("provider_id", "provider_name", "provider_locations")).select("provider_id", "own")
+    rows = load(spark, d, "candidates").drop("score", "reject").join(own, "provider_id")
+    return rows.withColumns({"rank": (F.col("pos") % 7).cast("int"), "query": F.lit('"x" official website')})
+
+
+@query("WITH " + _SCORED.replace("{like_label}", _WORDS.replace("{a}", "name").replace("{b}", "label")).replace("{like_said}", _WORDS.replace("{a}", "name").replace("{b}", "said")))
 def g6_scores(spark, d):
-    rows = load(spark, d, "candidates").drop("score", "reject").join(_providers(spark, d).select("provider_id", "provider_name", "provider_locations"), "provider_id")
-    rows = rows.withColumns({"rank": (F.col("pos") % 7).cast("int"), "query": F.lit('"x" official website')})
-    return scoring.score_candidates(rows).select("provider_id", "pos", "domain", "reject", "score", F.array_join("reasons", "; ").alias("reasons"))
+    return scoring.score_candidates(_to_score(spark, d)).select("provider_id", "pos", "domain", "reject", "score", F.array_join("reasons", "; ").alias("reasons"))
+
+
+
+# pairs of names by the token-set rule; the common subsequence grows a row of a plain table per step
+_NAME_PAIRS = "(SELECT DISTINCT a.p_name || CASE WHEN a.p_size % 3 = 0 THEN ' shop' ELSE '' END AS a, CASE WHEN b.p_size % 4 = 0 THEN b.p_name || ' shop' ELSE replace(b.p_name, 'e', '') END AS b FROM {part} a JOIN {part} b ON b.p_partkey = a.p_partkey + 1)"
+
+
+@query(
+    f"""WITH RECURSIVE n AS (SELECT a, b, list_distinct(string_split(a, ' ')) AS x, list_distinct(string_split(b, ' ')) AS y FROM {_NAME_PAIRS}),
+    t AS (SELECT a, b, array_to_string(list_sort(list_intersect(x, y)), ' ') AS common, array_to_string(list_sort(list_filter(x, lambda v: NOT list_contains(y, v))), ' ') AS one,
+        array_to_string(list_sort(list_filter(y, lambda v: NOT list_contains(x, v))), ' ') AS other FROM n),
+    w AS (SELECT a, b, one, other, CAST(0 AS BIGINT) AS i, list_transform(range(0, length(other) + 1), lambda j: CAST(0 AS BIGINT)) AS row FROM t
+      UNION ALL
+      SELECT a, b, one, other, i + 1, list_transform(range(1, length(other) + 2), lambda j: list_max(grown[1:j])) FROM (
+        SELECT *, list_transform(range(1, length(other) + 2), lambda j: CASE WHEN j > 1 AND other[j - 1] = one[i + 1] THEN greatest(row[j], row[j - 1] + 1) ELSE row[j] END) AS grown FROM w WHERE i < length(one))),
+    c AS (SELECT a, b, list_max(row) AS lcs FROM w WHERE i = length(one)),
+    k AS (SELECT *, length(common) AS n, CASE WHEN common = '' THEN 0 ELSE 1 END AS gap, length(one) AS p, length(other) AS q FROM t JOIN c USING (a, b))
+    SELECT a, b, CASE WHEN contains(a, b) OR contains(b, a) OR (n > 0 AND (p = 0 OR q = 0)) THEN 100.0 ELSE round(greatest(100 - 100.0 * (p + q - 2 * lcs) / (2 * (n + gap) + p + q), CASE WHEN n > 0 THEN 100 - 100.0 * (gap + p) / (2 * n + gap + p) ELSE 0 END,
+      CASE WHEN n > 0 THEN 100 - 100.0 * (gap + q) / (2 * n + gap + q) ELSE 0 END), 6) END AS similarity FROM k"""
+)
+def t15_token_set(spark, d):
+    pairs = spark.sql(_NAME_PAIRS[1:-1], part=load(spark, d, "part"))
+    return pairs.select("a", "b", F.round(fuzzy.token_set(F.col("a"), F.col("b")), 6).alias("similarity"))
+
+
+@query()
+def g6_token_set_scores(spark, d):
+    return scoring.score_candidates(_to_score(spark, d), "token_set").select("provider_id", "pos", "domain", "reject", "score", F.array_join("reasons", "; ").alias("reasons"))
 
 
 @query(
