@@ -20,7 +20,7 @@ def _ascii(c: str) -> str:
 
 def _fold_tables() -> tuple[str, str, dict[str, str]]:
     """Characters beyond ASCII whose compatibility form has ASCII in it: those with one ASCII character, and those with more."""
-    beyond = [chr(k) for k in range(0x80, 0x10000) if not 0xD800 <= k < 0xE000]
+    beyond = [chr(k) for k in range(0x80, 0x110000) if not 0xD800 <= k < 0xE000]
     folded = {c: a for c in beyond if (a := _ascii(c))}
     single = [c for c in folded if len(folded[c]) == 1]
     return "".join(single), "".join(folded[c] for c in single), {c: a for c, a in folded.items() if len(a) > 1}
@@ -32,7 +32,7 @@ _FROM, _TO, _MORE = _fold_tables()
 def fold(c: Column) -> Column:
     """Compatibility decomposition with everything but ASCII dropped. Text in ASCII is passed on untouched."""
     several = F.str_to_map(F.lit("\u0001".join(f"{k}\u0002{v}" for k, v in _MORE.items())), F.lit("\u0001"), F.lit("\u0002"))
-    spread = F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(F.try_element_at(several, x), x)), "")
+    spread = F.array_join(F.transform(F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0)), lambda x: F.coalesce(F.try_element_at(several, x), x)), "")
     has_several = F.translate(c, "".join(_MORE), "") != c
     wide = F.regexp_replace(F.translate(F.when(has_several, spread).otherwise(c), _FROM, _TO), r"[^\x00-\x7F]", "")
     return F.when(c.rlike(r"[^\x00-\x7F]"), wide).otherwise(c)
@@ -90,8 +90,9 @@ def first_filled(*cols: Column) -> Column:
 
 
 def cell_url(c: Column) -> Column:
-    """The address inside a HYPERLINK("address", ...) cell; other cells as they are."""
-    return F.when(c.rlike(r'HYPERLINK\("[^"]+"'), F.regexp_extract(c, r'HYPERLINK\("([^"]+)"', 1)).otherwise(blank(c))
+    """The address inside a HYPERLINK("address", ...) cell, in any case and with or without a leading =; blank if such a cell has none. Other cells as they are, without a leading =."""
+    bare = F.regexp_replace(F.trim(blank(c)), "^=", "")
+    return F.when(bare.rlike(r"(?i)^HYPERLINK\("), F.trim(F.regexp_extract(bare, r'(?i)HYPERLINK\("([^"]+)"', 1))).otherwise(bare)
 
 
 def json_list(c: Column) -> Column:

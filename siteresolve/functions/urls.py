@@ -73,10 +73,11 @@ def delivered(url: Column) -> Column:
 
 
 def compared(url: Column) -> Column:
-    """For evaluation: scheme, host and path only, no trailing slash, no non-breaking spaces."""
-    bare = F.trim(F.regexp_replace(blank(url), " ", " "))
+    """For evaluation: scheme, host as given and path only, no trailing slash, closing punctuation or non-breaking spaces; blank without a host."""
+    bare = F.regexp_replace(F.replace(F.trim(blank(url)), F.lit("\u00a0"), F.lit("")), r"[.,);\]]+$", "")
     scheme = F.lower(F.coalesce(F.nullif(F.regexp_extract(_full(bare), r"^([A-Za-z][A-Za-z0-9+.\-]*)://", 1), F.lit("")), F.lit("https")))
-    return F.when(bare == "", F.lit("")).otherwise(F.regexp_replace(F.concat(scheme, F.lit("://"), F.lower(host_part(bare)), path_part(bare)), "/+$", ""))
+    path = F.regexp_replace(path_part(bare), ";[^/]*$", "")
+    return F.when(host_part(bare) == "", F.lit("")).otherwise(F.regexp_replace(F.concat(scheme, F.lit("://"), host_part(bare), path), "/+$", ""))
 
 
 def site_key(url: Column) -> Column:

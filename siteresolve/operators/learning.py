@@ -86,10 +86,10 @@ def evaluation_summary(rows: DataFrame) -> DataFrame:
 
 def labels_from_review(baseline: DataFrame, reviews: DataFrame) -> DataFrame:
     """A label per baseline row: what its last review says, else the baseline itself. Unsure rows give none."""
-    rows = matched_to(baseline, ensure_columns(reviews, [*URL_FIELDS, "manual_decision", "official_url", "candidate_url"]))
+    rows = matched_to(baseline, ensure_columns(reviews, [*URL_FIELDS, "manual_decision", "official_url", "current_or_candidate_url", "candidate_url"]))
     r = lambda c: F.col(f"row.{c}")
-    word, given = review_word(r("manual_decision")), urls.compared(first_filled(*map(r, URL_FIELDS)))
-    shown, own = urls.compared(first_filled(r("official_url"), r("candidate_url"))), urls.compared(F.col("official_url"))
+    word, given = review_word(r("manual_decision")), urls.compared(cell_url(first_filled(*map(r, URL_FIELDS))))
+    shown, own = urls.compared(cell_url(first_filled(r("official_url"), r("current_or_candidate_url"), r("candidate_url")))), urls.compared(F.col("official_url"))
     rows = rows.withColumns({"__d": word, "__g": given, "__s": shown, "__o": own}).filter("__d <> 'unsure'")
     d, g, s, o = (F.col(c) for c in ("__d", "__g", "__s", "__o"))
     url = F.when(d.isin("replace", "reject"), g).when(d == "accept", F.when(g != "", g).otherwise(s)).otherwise(o)

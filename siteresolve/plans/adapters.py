@@ -91,8 +91,9 @@ ADAPTERS: dict[str, str] = {
     "filled": """
         SELECT CAST(o_custkey AS STRING) AS provider_id, c_name AS provider_name, o_orderkey AS pos,
                CASE o_orderkey % 6 WHEN 0 THEN ' Yes ' WHEN 1 THEN 'override' WHEN 2 THEN 'no' WHEN 3 THEN 'unsure' WHEN 4 THEN '' ELSE 'later' END AS manual_decision,
-               CASE WHEN o_orderstatus = 'F' THEN '=HYPERLINK("https://www.own' || (o_orderkey % 50) || '.de/x", "go")' WHEN o_orderstatus = 'P' THEN 'own' || (o_orderkey % 50) || '.fr' ELSE '' END AS manual_url,
-               CASE WHEN o_orderkey % 3 = 0 THEN 'https://www.shown' || (o_orderkey % 40) || '.com/' ELSE '' END AS official_url
+               CASE WHEN o_orderstatus = 'F' THEN CASE o_orderkey % 3 WHEN 0 THEN '=' ELSE '' END || CASE o_orderkey % 2 WHEN 0 THEN 'HYPERLINK' ELSE 'hyperlink' END || '("https://www.own' || (o_orderkey % 50) || '.de/x).", "go")' WHEN o_orderstatus = 'P' THEN 'own' || (o_orderkey % 50) || '.fr' ELSE '' END AS manual_url,
+               CASE WHEN o_orderkey % 3 = 0 THEN 'https://www.shown' || (o_orderkey % 40) || '.com/' ELSE '' END AS official_url,
+               CASE WHEN o_orderkey % 3 = 1 THEN '=HYPERLINK("http://Now' || (o_orderkey % 40) || '.org/a;b", "x")' ELSE '' END AS current_or_candidate_url
         FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
     # review work: events are filled rows, the type is the lane
     "work": """

@@ -34,6 +34,11 @@ def _listed(column: str, out: str) -> str:
     return "(SELECT provider_id, string_agg(" + column + ", '; ' ORDER BY first_pos) AS " + out + " FROM (SELECT provider_id, " + column + ", min(pos) AS first_pos FROM {raw_rows} GROUP BY ALL) GROUP BY provider_id)"
 
 
+def _unknown(when: str, column: str = "provider_id"):
+    """The column, with values that no other table has where ``when`` holds."""
+    return F.expr(f"CASE WHEN {when} THEN 'x' || {column} ELSE {column} END")
+
+
 # ---- providers ------------------------------------------------------------------------------
 
 
@@ -72,10 +77,10 @@ def j3_lookup(spark, d):
 
 @query(
     """SELECT count(*) AS result_rows, count(*) FILTER (s.location IS NOT NULL) AS enriched_rows, count(*) FILTER (s.location IS NULL) AS missing_rows
-    FROM (SELECT * FROM {results}) r LEFT JOIN (SELECT * FROM {providers}) s ON r.provider_id = s.provider_id AND s.segment <> 'MACHINERY'"""
+    FROM (SELECT * FROM {results}) r LEFT JOIN (SELECT * FROM {providers}) s ON r.provider_id = CASE WHEN s.segment = 'MACHINERY' THEN 'x' ELSE '' END || s.provider_id"""
 )
 def j4_enrich(spark, d):
-    rows = providers.lookup(load(spark, d, "results"), load(spark, d, "providers").filter("segment <> 'MACHINERY'"))
+    rows = providers.lookup(load(spark, d, "results"), load(spark, d, "providers").withColumns({"provider_id": _unknown("segment = 'MACHINERY'"), "provider_name": _unknown("segment = 'MACHINERY'", "provider_name")}))
     place = F.col("found.location")
     return rows.agg(F.count(F.lit(1)).alias("result_rows"), F.count_if(place.isNotNull()).alias("enriched_rows"), F.count_if(place.isNull()).alias("missing_rows"))
 
@@ -197,11 +202,11 @@ def t8_mentions(spark, d):
 
 
 @query(
-    r"""WITH h AS (SELECT page_id, url, regexp_extract(url, '^(https?)://', 1) AS s, regexp_extract(url, '^https?://([^/?#]*)', 1) AS host FROM {pages}), o AS (SELECT *, CASE WHEN host LIKE 'www.%' THEN substr(host, 5) ELSE 'www.' || host END AS other, CASE WHEN s = 'https' THEN 'http' ELSE 'https' END AS s2 FROM h)
-    SELECT page_id, concat_ws(' ', s || '://' || host, s || '://' || other, s2 || '://' || host, s2 || '://' || other) AS roots, regexp_replace(lower(s) || '://' || lower(host) || regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '/+$', '') AS compared FROM o"""
+    r"""WITH h AS (SELECT page_id, url || CASE page_id % 3 WHEN 0 THEN '/.,)' WHEN 1 THEN ';x=1' ELSE '' END AS given, url, regexp_extract(url, '^(https?)://', 1) AS s, regexp_extract(url, '^https?://([^/?#]*)', 1) AS host FROM {pages}), o AS (SELECT *, CASE WHEN host LIKE 'www.%' THEN substr(host, 5) ELSE 'www.' || host END AS other, CASE WHEN s = 'https' THEN 'http' ELSE 'https' END AS s2 FROM h)
+    SELECT page_id, concat_ws(' ', s || '://' || host, s || '://' || other, s2 || '://' || host, s2 || '://' || other) AS roots, regexp_replace(regexp_replace(lower(s) || '://' || host || regexp_extract(regexp_replace(given, '[.,)]+$', ''), '^https?://[^/?#]*([^?#]*)', 1), ';[^/]*$', ''), '/+$', '') AS compared FROM o"""
 )
 def t10_t13_roots(spark, d):
-    return load(spark, d, "pages").select("page_id", F.array_join(urls.roots(F.col("url")), " ").alias("roots"), urls.compared(F.col("url")).alias("compared"))
+    return load(spark, d, "pages").select("page_id", F.array_join(urls.roots(F.col("url")), " ").alias("roots"), urls.compared(F.expr("url || CASE page_id % 3 WHEN 0 THEN '/.,)' WHEN 1 THEN ';x=1' ELSE '' END")).alias("compared"))
 
 
 @query(
@@ -908,7 +913,7 @@ def g20_best_replacement(spark, d):
 
 # ---- review work, labels and features -------------------------------------------------------
 
-_APPLIED = """f AS (SELECT *, CASE WHEN manual_url LIKE '=HYPERLINK%' THEN regexp_extract(manual_url, 'HYPERLINK\\("([^"]+)"', 1) ELSE manual_url END AS u, CASE lower(trim(manual_decision)) WHEN 'yes' THEN 'accept' WHEN 'override' THEN 'replace' WHEN 'no' THEN 'reject' ELSE lower(trim(manual_decision)) END AS w FROM {filled}),
+_APPLIED = """f AS (SELECT *, CASE WHEN manual_url ILIKE '%HYPERLINK(%' THEN regexp_extract(manual_url, '"([^"]+)"', 1) ELSE manual_url END AS u, CASE lower(trim(manual_decision)) WHEN 'yes' THEN 'accept' WHEN 'override' THEN 'replace' WHEN 'no' THEN 'reject' ELSE lower(trim(manual_decision)) END AS w FROM {filled}),
     applied AS (SELECT * EXCLUDE (manual_decision, manual_url, w, u), u AS manual_url, CASE WHEN u <> '' AND w IN ('reject', '') THEN 'replace' ELSE w END AS manual_decision FROM f)""".replace("\\\\", "\\")
 
 
@@ -927,35 +932,39 @@ def j9_manual_labels(spark, d):
 
 
 @query(
-    """WITH l AS (SELECT l.*, o.provider_id IS NOT NULL AS found, o.status, CASE WHEN official_url LIKE 'https://elsewhere%' THEN 'elsewhere.org' ELSE regexp_extract(official_url, '^https://www[.]([^/]*)', 1) END AS actual FROM (SELECT * FROM {entity_labels}) l LEFT JOIN (SELECT * FROM {entity_output} WHERE pos % 5 <> 0) o ON l.provider_id = o.provider_id),
+    """WITH l AS (SELECT l.*, o.provider_id IS NOT NULL AS found, o.status, CASE WHEN official_url LIKE 'https://elsewhere%' THEN 'elsewhere.org' ELSE regexp_extract(official_url, '^https://www[.]([^/]*)', 1) END AS actual FROM (SELECT * FROM {entity_labels}) l LEFT JOIN (SELECT * REPLACE (CASE WHEN pos % 5 = 0 THEN 'x' || provider_id ELSE provider_id END AS provider_id) FROM {entity_output}) o ON l.provider_id = o.provider_id),
     c AS (SELECT count(*) AS labeled_rows, count(*) FILTER (found) AS evaluated_rows, count(*) FILTER (NOT found) AS missing_labeled_rows, count(*) FILTER (found AND expected_domain <> '' AND expected_domain = actual) AS domain_matches, count(*) FILTER (status = 'matched') AS auto_matched_rows,
       count(*) FILTER (status = 'matched' AND expected_domain <> '' AND expected_domain = actual) AS ok, count(*) FILTER (status = 'needs_review') AS needs_review_rows, count(*) FILTER (found AND actual = '') AS unresolved_rows FROM l)
     SELECT * EXCLUDE (ok), round(domain_matches / nullif(evaluated_rows, 0), 4) AS domain_accuracy, round(ok / nullif(auto_matched_rows, 0), 4) AS auto_match_precision FROM c"""
 )
 def a2_labeled_evaluation(spark, d):
     labels = load(spark, d, "entity_labels").withColumn("expected_url", F.lit(""))
-    return learning.evaluation_summary(learning.evaluated(labels, load(spark, d, "entity_output").filter("pos % 5 <> 0")))
+    return learning.evaluation_summary(learning.evaluated(labels, load(spark, d, "entity_output").withColumn("provider_id", _unknown("pos % 5 = 0"))))
+
+
+# an address cell as labels compare it: HYPERLINK cells unwrapped, closing punctuation and what follows the path dropped
+_CELL = r"regexp_replace(regexp_replace(CASE WHEN {c} ILIKE '%HYPERLINK(%' THEN regexp_extract({c}, '\"([^\"]+)\"', 1) WHEN {c} = '' OR {c} LIKE 'http%' THEN {c} ELSE 'https://' || {c} END, '[.,);]+$', ''), '(;[^/]*|/+)$', '')"
 
 
 @query(
-    r"""WITH v AS (SELECT provider_id, max_by(struct_pack(w := CASE lower(trim(manual_decision)) WHEN 'yes' THEN 'accept' WHEN 'override' THEN 'replace' WHEN 'no' THEN 'reject' ELSE lower(trim(manual_decision)) END,
-      g := CASE WHEN manual_url LIKE 'own%' THEN 'https://' || manual_url ELSE '' END, s := regexp_replace(official_url, '/$', '')), pos) AS r FROM {filled} WHERE manual_url NOT LIKE '=%' GROUP BY 1),
-    b AS (SELECT r.provider_id, coalesce(v.r.w, '') AS w, coalesce(v.r.g, '') AS g, coalesce(v.r.s, '') AS s, regexp_replace(CASE WHEN official_url = '' OR official_url LIKE 'http%' THEN official_url ELSE 'https://' || official_url END, '[./]+$', '') AS o FROM (SELECT * FROM {results}) r LEFT JOIN v ON r.provider_id = v.provider_id),
+    rf"""WITH v AS (SELECT provider_id, max_by(struct_pack(w := CASE lower(trim(manual_decision)) WHEN 'yes' THEN 'accept' WHEN 'override' THEN 'replace' WHEN 'no' THEN 'reject' ELSE lower(trim(manual_decision)) END,
+      g := {_CELL.replace("{c}", "manual_url")}, s := coalesce(nullif({_CELL.replace("{c}", "official_url")}, ''), {_CELL.replace("{c}", "current_or_candidate_url")})), pos) AS r FROM {{filled}} GROUP BY 1),
+    b AS (SELECT r.provider_id, coalesce(v.r.w, '') AS w, coalesce(v.r.g, '') AS g, coalesce(v.r.s, '') AS s, {_CELL.replace("{c}", "official_url")} AS o FROM (SELECT * FROM {{results}}) r LEFT JOIN v ON r.provider_id = v.provider_id),
     x AS (SELECT *, CASE WHEN w IN ('replace', 'reject') THEN g WHEN w = 'accept' THEN coalesce(nullif(g, ''), s) ELSE o END AS u FROM b WHERE w <> 'unsure')
     SELECT provider_id, CASE w WHEN 'replace' THEN CASE WHEN u <> '' THEN 'human_replace' ELSE 'human_replace_missing_url' END WHEN 'reject' THEN CASE WHEN u <> '' THEN 'human_reject_with_url' ELSE 'human_reject' END WHEN 'accept' THEN CASE WHEN u <> '' THEN 'human_accept' ELSE 'human_accept_no_url' END
-      ELSE CASE WHEN u <> '' THEN 'baseline_unmarked_correct' ELSE 'baseline_unmarked_no_official' END END AS label_source, CASE WHEN u <> '' THEN 'official' ELSE 'no_official' END AS expected_kind, regexp_replace(regexp_replace(regexp_replace(u, '^https?://', ''), '^www[.]', ''), '/.*$', '') AS expected_domain FROM x"""
+      ELSE CASE WHEN u <> '' THEN 'baseline_unmarked_correct' ELSE 'baseline_unmarked_no_official' END END AS label_source, CASE WHEN u <> '' THEN 'official' ELSE 'no_official' END AS expected_kind, u AS expected_url,
+      lower(regexp_replace(regexp_replace(regexp_replace(u, '^https?://', ''), '^www[.]', ''), '/.*$', '')) AS expected_domain FROM x"""
 )
 def a5_labels_from_review(spark, d):
-    reviews = load(spark, d, "filled").filter("manual_url not like '=%'")
-    return learning.labels_from_review(load(spark, d, "results"), reviews).select("provider_id", "label_source", "expected_kind", "expected_domain")
+    return learning.labels_from_review(load(spark, d, "results"), load(spark, d, "filled")).drop("provider_name")
 
 
 @query(
-    """SELECT t.pos AS task_pos, t.provider_id, coalesce(nullif(t.official_url, ''), f.official_url) AS official_url, f.status, f.confidence FROM (SELECT * FROM {filled}) t LEFT JOIN (SELECT * FROM {results} WHERE pos % 3 <> 0) f ON t.provider_id = f.provider_id"""
+    """SELECT t.pos AS task_pos, t.provider_id, coalesce(nullif(t.official_url, ''), f.official_url) AS official_url, f.status, f.confidence FROM (SELECT * FROM {filled}) t LEFT JOIN (SELECT * REPLACE (CASE WHEN pos % 3 = 0 THEN 'x' || provider_id ELSE provider_id END AS provider_id, CASE WHEN pos % 3 = 0 THEN 'x' ELSE '' END || provider_name AS provider_name) FROM {results}) f ON t.provider_id = f.provider_id"""
 )
 def j12_verification_input(spark, d):
     task = load(spark, d, "filled").select("provider_id", "provider_name", F.col("pos").alias("task_pos"), "official_url")
-    return learning.verification_input(load(spark, d, "results").filter("pos % 3 <> 0"), task).select("task_pos", "provider_id", "official_url", "status", "confidence")
+    return learning.verification_input(load(spark, d, "results").withColumns({"provider_id": _unknown("pos % 3 = 0"), "provider_name": _unknown("pos % 3 = 0", "provider_name")}), task).select("task_pos", "provider_id", "official_url", "status", "confidence")
 
 
 @query(
@@ -965,7 +974,7 @@ def j12_verification_input(spark, d):
 def r4_high_risk(spark, d):
     r = load(spark, d, "results").filter("status = 'matched'").select("provider_id", "status", "confidence", "official_url")
     rows = load(spark, d, "checks").join(r, "provider_id")
-    risky = learning.high_risk(F.col("status"), F.col("confidence"), F.col("counter_evidence"), F.col("official_url"), F.col("candidate_url"), F.lit("Northwind Harbour Trading"), F.col("decision") == "accept")
+    risky = learning.high_risk(F.col("status"), F.col("confidence"), F.col("counter_evidence"), F.col("official_url"), F.col("candidate_url"), F.col("provider_name"), F.col("decision") == "accept")
     return rows.select("pos", risky.alias("high_risk"))
 
 

@@ -58,7 +58,7 @@ def test_known_values_and_columns(spark):
 
 
 def test_scores_take_either_similarity(spark):
-    rows = [(1, "Acme Media", ["Germany"], "https://acmemedial.org", "t", "s", "brave", 9, "q"), (2, "Brite Consulting House", ["Germany"], "https://x.de", "Brite Consulting Hous", "", "brave", 9, "q")]
+    rows = [(1, "Acme Media", ["Germany"], "https://acmemedial.org", "t", "s", "brave", 9, "q"), (2, "Brite Consulting House", ["Germany"], "https://x.de", "House Consultng Brite", "", "brave", 9, "q")]
     df = spark.createDataFrame(rows, "pos int, provider_name string, provider_locations array<string>, url string, title string, snippet string, source string, rank int, query string")
     words, sets = ({r["pos"]: r["reasons"] for r in scoring.score_candidates(df, how).collect()} for how in ("words", "token_set"))
     assert "search_result_fuzzy_name_match" not in words[2] and "search_result_fuzzy_name_match" in sets[2]
