@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import COUNTRIES, EXCLUDED_DOMAINS, GENERIC_TLDS, SERVICE_KEYWORDS
+from .. import storage
 from ..functions import fuzzy, geo, text, urls
-from ..operators import balance, calibration, candidates, finalize, learning, pages, patterns, providers, regression, reports, review, scoring, secondpass, seeds, verification
+from ..operators import balance, calibration, candidates, finalize, learning, pages, patterns, policies, providers, regression, reports, review, scoring, secondpass, seeds, verification
+from ..sources import documents
 from .adapters import load, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -705,6 +708,60 @@ def p9_actionable_set(spark, d):
     return patterns.actionable_set(*_lane(spark, d), most_wrong=150)
 
 
+def _pattern_files(spark, d):
+    """Two written files of different layouts: safe patterns as feature lists, and rule candidates as names, among broken entries."""
+    mined = _lane(spark, d)[1].withColumn("safe", F.col("wrong_rows") == 0)
+    listed = F.struct("features", F.col("support_rows"), F.lit(0).alias("wrong_release_rows"), F.col("correct_rows").alias("correct_recovery_rows"))
+    named = F.struct("pattern", (F.col("support_rows") + 1).cast("string").alias("supporting_rows"), F.col("wrong_rows").alias("blocking_rows"), F.lit("").alias("scope"))
+    # one document each, as the tools that make them write it
+    one = mined.agg(F.sort_array(F.collect_list(F.when(F.col("safe"), listed))).alias("durable_safe_patterns"), F.sort_array(F.collect_list(F.when(F.col("support_rows") % 2 == 0, named))).alias("candidate_for_rule"), F.sort_array(F.collect_list(F.when(F.col("support_rows") % 3 == 0, named))).alias("reject_pattern"))
+    docs = one.select(
+        F.explode(
+            F.array(
+                F.struct(F.lit("a").alias("name"), F.to_json(F.struct(F.struct(F.lit("recall").alias("scope")).alias("summary"), "durable_safe_patterns", F.lit("no list").alias("all_patterns"))).alias("value")),
+                F.struct(F.lit("b").alias("name"), F.to_json(F.struct(F.struct("candidate_for_rule", "reject_pattern").alias("pattern_rule_candidates"))).alias("value")),
+                F.struct(F.lit("c").alias("name"), F.lit("{broken").alias("value")),
+            )
+        ).alias("f")
+    ).select("f.*")
+    folder = f"{storage.shared_dir(spark)}/patterns-{uuid.uuid4().hex[:12]}"
+    docs.coalesce(1).write.partitionBy("name").text(folder)
+    return documents.whole_files(spark, folder + "/*")
+
+
+@query(
+    f"""WITH {_LANE}, every AS (SELECT pattern, features, support_rows AS n, 0 AS w, 1 AS k FROM mined WHERE wrong = 0
+      UNION ALL SELECT pattern, features, support_rows + 1, wrong, 2 FROM mined WHERE support_rows % 2 = 0 UNION ALL SELECT pattern, features, support_rows + 1, wrong, 3 FROM mined WHERE support_rows % 3 = 0)
+    SELECT pattern, array_to_string(features, '|') AS features, 'recall' AS scope, CAST(arg_min(n, k) AS BIGINT) AS source_support_rows, CAST(arg_min(w, k) AS BIGINT) AS source_wrong_rows FROM every GROUP BY ALL"""
+)
+def p7_pattern_files(spark, d):
+    return documents.pattern_table(_pattern_files(spark, d)).withColumn("features", F.array_join("features", "|"))
+
+
+@query(
+    f"""WITH {_LANE} SELECT pattern, CAST(support_rows + 1 AS BIGINT) AS correct_recovery_rows, CAST(wrong AS BIGINT) AS wrong_release_rows, CAST(row_number() OVER (ORDER BY support_rows DESC, wrong, size, pattern, support_rows) - 1 AS INT) AS pattern_pos FROM mined WHERE support_rows % 2 = 0"""
+)
+def p7_release_patterns(spark, d):
+    return documents.release_patterns(_pattern_files(spark, d)).drop("features", "actionable")
+
+
+@query(
+    """WITH c AS (SELECT provider_id, list(struct_pack(u := url, s := score) ORDER BY pos) AS l FROM {candidates} GROUP BY 1), k AS (SELECT provider_id, CASE WHEN TRY_CAST(provider_id AS BIGINT) % 7 = 0 THEN [] ELSE l END AS l FROM c)
+    SELECT r.provider_id, CAST(coalesce(len(k.l), 0) AS BIGINT) AS candidate_count, coalesce(k.l[1].u, '') AS first_url, CAST(coalesce(list_sum(list_transform(k.l, lambda x: x.s)), 0) AS BIGINT) AS score_sum FROM (SELECT * FROM {results}) r LEFT JOIN k ON r.provider_id = k.provider_id"""
+)
+def s7_evidence_lines(spark, d):
+    nested = F.transform(F.array_sort(F.collect_list(F.struct("pos", "url", "score"))), lambda x: F.struct(x["url"].alias("url"), x["score"].cast("long").alias("score")))
+    records = load(spark, d, "candidates").groupBy("provider_id").agg(nested.alias("candidates"), F.count(F.lit(1)).alias("candidate_count"))
+    folder = f"{storage.shared_dir(spark)}/evidence-{uuid.uuid4().hex[:12]}"
+    # every seventh line is broken off, and blank lines stand between
+    line = F.when(F.col("provider_id").cast("long") % 7 == 0, F.lit('{"provider_id": "')).otherwise(F.to_json(F.struct("provider_id", "candidates", "candidate_count")))
+    records.select(F.explode(F.array(line, F.lit("  "))).alias("value")).write.text(folder)
+    sound, _ = documents.sound_and_broken(documents.evidence_lines(spark, folder))
+    rows = documents.with_evidence(load(spark, d, "results"), sound)
+    scores = F.aggregate("candidates", F.lit(0).cast("long"), lambda s, x: s + x["score"])
+    return rows.select("provider_id", "candidate_count", F.coalesce(F.get("candidates", F.lit(0))["url"], F.lit("")).alias("first_url"), scores.alias("score_sum"))
+
+
 # ---- regression, policies -------------------------------------------------------------------
 
 _KEY = "CASE WHEN {u} = '' THEN '' ELSE regexp_replace(regexp_replace(regexp_replace({u}, '^https?://', ''), '^www[.]', ''), '/+$', '') END"
@@ -1012,6 +1069,37 @@ def p2_labeled_pattern_rows(spark, d):
     return both[0].unionByName(both[1]).select("provider_id", "scope", "correct", "candidate_domain", F.array_join("features", "|").alias("features"))
 
 
+_POLICY = f"""{_features_sql()}, last AS (SELECT provider_id, max(pos) AS pos, arg_max(review_reason, pos) FILTER (review_reason <> '') AS reason FROM {{checks}} GROUP BY 1),
+    j AS (SELECT r.provider_id, r.official_url AS own, r.status, coalesce(last.reason, '') AS reason, coalesce(c.review_reason, '') AS lane, coalesce(c.candidate_url, '') AS url, coalesce(f.features, []) AS f FROM (SELECT * FROM {{results}}) r
+      LEFT JOIN last ON r.provider_id = last.provider_id LEFT JOIN (SELECT * FROM {{checks}}) c ON c.pos = last.pos LEFT JOIN features f ON f.pos = last.pos),
+    p AS (SELECT *, CASE WHEN list_has_all(f, ['agent_b_decision:reject', 'counter:candidate_looks_directory_page']) THEN 'x' WHEN list_has_all(f, ['agent_b_score<30', 'has:location_matches']) THEN 'y' END AS hold,
+      CASE WHEN list_has_all(f, ['agent_b_decision:accept']) THEN 'm' WHEN list_has_all(f, ['agent_b_score>=30']) THEN 'n' END AS free, regexp_replace(url, '/+$', '') AS offered FROM j),
+    o AS (SELECT provider_id, 'holdout' AS action, coalesce(hold, 'review_reason:' || reason) AS pattern, CASE WHEN hold IS NOT NULL THEN 'hold_pattern' ELSE 'hold_review_reason' END AS policy_source, own AS candidate_url FROM p WHERE own <> '' AND (hold IS NOT NULL OR reason = 'precision_low_confidence_auto_match')
+      UNION ALL SELECT provider_id, 'release', free, 'release_pattern', offered FROM p WHERE free IS NOT NULL AND own = '' AND status <> 'matched' AND (lane = '' OR starts_with(lane, 'recall_unresolved')) AND offered <> ''),
+    rows AS (SELECT o.*, regexp_replace(regexp_replace(regexp_replace(lower(candidate_url), '^https?://', ''), '/.*$', ''), '^www[.]', '') AS candidate_domain, CASE WHEN l.expected_kind IS NULL THEN 'unlabeled' ELSE 'labeled_' || l.expected_kind END AS known_label_status, l.expected_kind IS NOT NULL AS decisive
+      FROM o LEFT JOIN (SELECT * FROM {{entity_labels}}) l ON l.provider_id = o.provider_id)"""
+
+
+def _policy_rows(spark, d):
+    checks = load(spark, d, "checks")
+    listed = lambda *p: spark.createDataFrame([(name, k, f) for k, (name, f) in enumerate(p)], "pattern string, pattern_pos int, features array<string>")
+    hold = listed(("x", ["agent_b_decision:reject", "counter:candidate_looks_directory_page"]), ("y", ["agent_b_score<30", "has:location_matches"]))
+    free = listed(("m", ["agent_b_decision:accept"]), ("n", ["agent_b_score>=30"]))
+    made = policies.policy_rows(load(spark, d, "results"), checks.select("provider_id", "provider_name", "review_reason", "pos"), checks, ["precision_low_confidence_auto_match"], hold, free)
+    labels = load(spark, d, "entity_labels").withColumns({"pos": F.lit(0), "expected_url": F.lit("")})
+    return policies.with_labels(made, labels)
+
+
+@query(f"WITH {_POLICY} SELECT provider_id, action, pattern, policy_source, candidate_url, candidate_domain, known_label_status, decisive FROM rows")
+def r14_policy_rows(spark, d):
+    return _policy_rows(spark, d).select("provider_id", "action", "pattern", "policy_source", "candidate_url", "candidate_domain", "known_label_status", "decisive")
+
+
+@query(f"WITH {_POLICY} SELECT action, pattern, count(*) AS matched_rows, count(*) FILTER (NOT decisive) AS output_rows, count(*) FILTER (known_label_status = 'labeled_official') AS labeled_official, count(*) FILTER (known_label_status = 'labeled_no_official') AS labeled_no_official FROM rows GROUP BY ALL")
+def r14_policy_summary(spark, d):
+    return policies.policy_summary(_policy_rows(spark, d))
+
+
 @query(
     """SELECT pos, CASE WHEN reason_for_unsure = 'agent_b_row_timeout' THEN 100 WHEN pos % 13 = 0 THEN 96 WHEN pos % 13 = 1 THEN 74 WHEN decision = 'reject' THEN 92 WHEN decision = 'accept' AND review_reason LIKE 'precision%' THEN 88 WHEN review_reason = 'recall_unresolved_top_candidate' THEN 80 WHEN decision = 'unsure' THEN 70
       WHEN review_reason LIKE '%slug_extension%' THEN 68 WHEN review_reason LIKE '%generic_identity%' THEN 66 WHEN review_reason LIKE '%low_confidence%' THEN 58 ELSE 40 END AS priority FROM {checks}"""
