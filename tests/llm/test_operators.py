@@ -72,6 +72,56 @@ def test_guess_bits_are_minimal(value):
     assert "".join(value[a:b] for _, a, b in parts) == value
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.sampled_from(["token=", "secret:", "aaaa", "abab", "1999", "qwer", "Kx9", "pass", "&", "zz"]), min_size=1, max_size=6).map("".join))
+def test_one_table_has_the_costs_of_all_suffixes(value):
+    costs = secrets.suffix_bits(value, RANKS)[0]
+    assert all(abs(costs[i] - brute_bits(value[i:])) < 1e-6 for i in range(len(value)))
+    spans = [(a, b) for a, k, b in secrets.spans(value, RANKS, 20.0)[0] if k == 3]
+    for a, b in spans:
+        assert brute_bits(value[a:b]) >= 20.0 - 1e-6
+
+
+def test_repeats_by_period_and_by_anchors():
+    rng = random.Random(3)
+    for n in range(200):
+        unit = "".join(rng.choice("abc") for _ in range(rng.randint(1, 30)))
+        value = "".join(rng.choice(rng.choice(["ab", "a", "xyz12"])) for _ in range(40)) + unit * rng.randint(1, 7) + unit[: rng.randint(0, 3)] + "".join(rng.choice("ab") for _ in range(n % 30))
+        assert sorted(secrets._runs_by_period(value)) == sorted(secrets._runs_by_anchors(value))
+
+
+def test_farther_ends_take_over_in_time():
+    rng = random.Random(4)
+    for _ in range(100):
+        costs = [rng.choice([0.0, 1.0, 3.0, 5.5]) + rng.random() * rng.choice([0, 4]) for _ in range(80)]
+        far = secrets._Farther(2)
+        for i in range(75, 0, -2):
+            far.add(i + 4, costs)
+            bits, j = far.best(i, costs)
+            want = min(costs[j] + np.log2((j - i) // 2) for j in range(i + 4, 80, 2))
+            assert abs(bits - want) < 1e-9 and abs(costs[j] + np.log2((j - i) // 2) - want) < 1e-9
+
+
+def test_long_units_are_repeats_too():
+    rng = random.Random(5)
+    for n in (64, 65, 300):
+        unit = "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+        assert secrets.guess_bits(unit * 3, RANKS)[0] <= sum(map(secrets.char_bits, unit)) + np.log2(3) + 2 * secrets.SEGMENT_BITS + 1e-6
+
+
+def test_long_runs_of_visible_characters_take_seconds():
+    import time
+
+    began = time.time()
+    pairs = "".join(f"token=v{k:07}&" for k in range(7000))
+    found, _ = secrets.spans(pairs + " " + "secret=" + "x" * 300_000, RANKS)
+    assert sum(k == 3 for _, k, _ in found) == 6999 and time.time() - began < 60
+    few = pairs[:300]
+    for a, k, b in secrets.spans(few, RANKS)[0]:
+        if k == 3:
+            assert secrets.guess_bits(few[a:b], RANKS)[0] >= secrets.LEAST_BITS
+
+
 def test_guess_spans_only_for_costly_values():
     kinds = lambda text, ranks=RANKS: [text[a:b] for a, k, b in secrets.spans(text, ranks)[0] if k == 3]
     assert kinds("pwd is x7$kQ9!zLm2 ok") == ["x7$kQ9!zLm2"]
@@ -83,6 +133,7 @@ def test_guess_spans_only_for_costly_values():
 
 def test_scan_edges(spark):
     df = secrets.scan(docs(spark, EDGE))
+    assert df.columns[:6] == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
     assert df.count() == len(EDGE)
     assert df.filter("doc_id = 3").first()["base_sha256"] == hashlib.sha256(b"").hexdigest()
     assert secrets.scan(docs(spark, [])).count() == 0
