@@ -24,7 +24,7 @@ meet in a shuffled join, whose large partitions Spark may split.
 Null text has no words. Rows with a null id are neither sources nor changed. Rows with equal ids
 are copies of one document id (their windows don't remove each other's). Words come back unchanged
 and joined by one space. Anchors only propose windows and have 48 bits; windows of two documents are
-equal when two independent hashes, of 64 and 32 bits, are.
+equal when two hashes, of 64 and 32 bits, of their words' 64-bit hashes are (``words``).
 """
 
 from __future__ import annotations

@@ -1,12 +1,14 @@
 """Words and word-window hashes of Arrow string columns, computed with numpy over the UTF-8 buffer.
 
 A word is a maximal run of bytes other than 0x20 and 0x09-0x0D inside one text. Hashes have 64
-bits and are the same on every machine. A text is never cut: a batch is taken in parts at text
-boundaries only.
+bits and are the same on every machine: words of up to LONG_WORD bytes are polynomials modulo 2**64, longer
+ones, for which such polynomials have systematic collisions, are BLAKE2 digests. A text is never cut: a
+batch is taken in parts at text boundaries only.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +36,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 _VALUE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 _LOWER = _VALUE.copy()
 _LOWER[ord("A") : ord("Z") + 1] = _VALUE[ord("a") : ord("z") + 1]
+LONG_WORD = 48
 _powers: list[np.ndarray] = []
 
 
@@ -83,6 +86,9 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = False, separ
     total = np.zeros(n + 1, np.uint64)
     np.cumsum((_LOWER if lower else _VALUE)[raw] * power[:n], out=total[1:])
     hashes = mixed((total[to] - total[at]) * inverse[at])
+    for k in np.flatnonzero(to - at > LONG_WORD).tolist():
+        word = raw[at[k] : to[k]].tobytes()
+        hashes[k] = int.from_bytes(hashlib.blake2b(word.lower() if lower else word, digest_size=8).digest(), "little")
     return hashes, np.diff(np.searchsorted(at, offsets))
 
 
@@ -102,7 +108,7 @@ def window_hashes(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.
 
 
 def second_hashes(words: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
-    """Another hash of the windows of ``size`` words that begin at words ``start``: of other values of the words, combined by another rule."""
+    """Another hash of the windows of ``size`` words that begin at words ``start``: of the same word hashes, combined by another rule."""
     words = mixed(words ^ _OTHER)
     h = words[start]
     for k in range(1, size):

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from siteresolve.llm import decontam, exact_dedup, langid, rans, secrets, sp_dropout, substring, superminhash, token_counts, warc
 from siteresolve.llm.components import components
 from siteresolve.llm.queries import tokenizer_file
-from siteresolve.llm.words import text_parts, window_hashes, word_hashes
+from siteresolve.llm.words import second_hashes, text_parts, window_hashes, word_hashes
 
 EDGE = [(1, "a b c"), (2, "a b c"), (3, None), (4, ""), (5, "x" * 30000), (7, "Ünï \n\n  x"), (7, "other"), (None, "a b c"), (9, "word " * 4000)]
 SCHEMA = "doc_id long, text string, id int, h string, kept string, lang string"
@@ -253,17 +253,63 @@ def test_language_id(spark):
     rng = random.Random(1)
     parts = {"en": ["the", "ing", "tion", "and", "er"], "de": ["der", "ung", "sch", "und", "keit"], "fr": ["les", "eau", "que", "ment", "oux"]}
     rows = [(k, " ".join("".join(rng.choices(parts[lang], k=rng.randint(1, 3))) for _ in range(60)), lang) for k in range(240) for lang in [rng.choice(list(parts))]]
-    df = spark.createDataFrame([*rows, (900, None, "en"), (901, "", None), (902, "123 !!", "de"), (903, "the and", None), (None, "der und", "xx")], "doc_id long, text string, lang string")
+    df = spark.createDataFrame([*rows, (900, None, "en"), (901, "", None), (902, "123 !!", "de"), (904, "\u00bd \u00b2 \u2460 \u2167", "de"), (903, "the and", None), (None, "der und", "xx")], "doc_id long, text string, lang string")
     got = {r["doc_id"]: r for r in langid.language_id(df).collect()}
     held = [(i, lang) for i, _, lang in rows if zlib.crc32(str(i).encode()) % 3 == 1]
     assert all(got[i]["held_out"] for i, _ in held) and 50 < len(held) < 110
     assert sum(got[i]["lang_pred"] == lang for i, lang in held) >= 0.95 * len(held)
-    assert all(got[i]["lang_pred"] == "und" and not got[i]["accepted"] and got[i]["score"] == 0 for i in (900, 901, 902))
+    assert all(got[i]["lang_pred"] == "und" and not got[i]["accepted"] and got[i]["score"] == 0 for i in (900, 901, 902, 904))
     assert got[903]["lang_pred"] in parts and 0 <= got[903]["score"] <= 1
     assert "xx" not in {r["lang_pred"] for r in got.values()}
     assert langid.language_id(df.limit(0)).count() == 0
 
 
+def test_language_id_equals_a_plain_version(spark, monkeypatch):
+    """Few bins, a shared id, ties between languages, labels beyond the bound: dictionaries, sizes, choice and margin by plain rules."""
+    import zstandard
+
+    rng = random.Random(2)
+    rows = [(rng.choice([5, *range(200)]), " ".join(rng.choice(["the", "Und", "\u00e9t\u00e9", "1", "\u00bd", "x" * 50]) for _ in range(rng.choice([0, 3, 900]))), rng.choice(["aa", "bb", "bb", "cc", None])) for _ in range(400)]
+    rows += [(5, f"shared {k} " * 900, "aa") for k in range(60)] + [(k, "rare", f"r{k}") for k in range(300, 330)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    hashed = df.select("doc_id", "text", "lang", F.xxhash64("doc_id", F.lit(11)).alias("o"), F.xxhash64("text").alias("t"), F.xxhash64("doc_id", F.lit(13)).alias("p")).collect()
+    learn = [r for r in hashed if r["lang"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1]
+    labels = sorted({r["lang"] for r in learn}, key=lambda x: (-sum(r["lang"] == x for r in learn), x))[:5]
+    size, content = 3000, {}
+    for lang in labels:
+        bins = {}
+        for r in learn:
+            if r["lang"] == lang:
+                bins.setdefault(r["o"] % 8, []).append(r)
+        share, own = size // len(bins), []
+        for some in bins.values():
+            at = min(some, key=lambda r: (r["o"], 0))["o"]
+            cut = lambda r: r["text"][(k := r["p"] % (max(len(r["text"]) - share, 0) + 1)) : k + share]
+            ties = [(r["doc_id"], cut(r)) for r in some if r["o"] == at]
+            hashes = {r["x"]: r["h"] for r in spark.createDataFrame([(x,) for _, x in ties], "x string").select("x", F.xxhash64("x").alias("h")).collect()}
+            own.append(min(ties, key=lambda x: hashes[x[1]]))
+        body = [" ".join("".join(c if c.isalpha() else " " for c in x.lower()).split(" ")) for _, x in sorted(own) if x]
+        content[lang] = b" ".join(re.sub(" +", " ", x).encode()[:share] for x in body)[:size]
+    got = langid.dictionaries(df, sample_texts=8, size=size, most_languages=5)
+    assert got == content
+    model = langid.Compressors(content)
+    for text in [r["text"] for r in hashed[:80]] + ["the", "\u00bd", None, "", "zz"]:
+        sizes = {}
+        raw = re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in (text or "").lower())).encode()
+        for lang in sorted(content):
+            c = zstandard.ZstdCompressor(level=6, dict_data=zstandard.ZstdCompressionDict(content[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes[lang] = sum(len(c.compress(raw[k : k + 1024])) for k in range(0, len(raw), 1024))
+        first, second = sorted(sizes.items(), key=lambda x: (x[1], x[0]))[:2]
+        want = (first[0], second[1] / first[1] - 1) if any(c.isalpha() for c in text or "") else ("und", 0.0)
+        assert model.predict(text) == want
+
+
+def test_a_shared_id_and_many_labels_stay_bounded(spark):
+    rows = spark.range(4000).selectExpr("CAST(7 AS LONG) AS doc_id", "repeat(concat('w', char(97 + id % 26), ' '), 3000) AS text", "concat('l', id % 500) AS lang")
+    got = langid.dictionaries(rows, size=1 << 12)
+    assert len(got) == langid.MOST_LANGUAGES and all(len(v) <= 1 << 12 for v in got.values())
+
+
 def test_every_chosen_text_is_in_the_dictionary(spark):
     """Long texts with one opening: all 64 chosen ones have a share, and not of the opening alone."""
     name = lambda k: "q" + "".join(chr(97 + int(c)) for c in f"{k:03d}")
@@ -460,6 +506,37 @@ def test_word_hashes(texts):
     assert len(set(seen.values())) == len(seen)
 
 
+def thue_morse(n):
+    bits = [0]
+    while len(bits) < n:
+        bits += [1 - x for x in bits]
+    return "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+
+
+@pytest.mark.parametrize("n", [8, 32, 64, 1024, 4096])
+def test_words_on_which_polynomials_agree_have_other_hashes(n):
+    """Polynomials modulo 2**64 agree on Thue-Morse words of 1024 letters, whatever their base."""
+    rest = " a b c d e f g h i j k l"
+    for lower in (False, True):
+        parts = [next(text_parts(pa.array([w + rest]))) for w in thue_morse(n)]
+        (one, counts), (other, _) = (word_hashes(raw, offs, lower) for _, _, raw, offs in parts)
+        assert one[0] != other[0] and (one[1:] == other[1:]).all()
+        assert window_hashes(one, counts, 13)[0][0] != window_hashes(other, counts, 13)[0][0]
+        assert second_hashes(one, np.array([0]), 13)[0] != second_hashes(other, np.array([0]), 13)[0]
+    upper, low = (word_hashes(*next(text_parts(pa.array([w])))[2:], lower=True)[0][0] for w in ("AbC" * 40, "abc" * 40))
+    assert upper == low
+
+
+def test_near_and_repeated_texts_that_differ_in_such_a_word(spark):
+    one, other = thue_morse(1024)
+    rest = " ".join(f"w{k}" for k in range(12))
+    rows = [(1, f"{one} {rest}"), (2, f"{other} {rest}"), (3, f"{one} {rest}")]
+    got = {r["doc_id"]: r["n_removed"] for r in substring.substring_dedup(docs(spark, rows), size=13).collect()}
+    assert got == {1: 0, 2: 0, 3: 13}
+    groups = {r["doc_id"]: r["component_id"] for r in superminhash.near_groups(docs(spark, [(1, f"{one} x y"), (2, f"{other} x y")]), k=3, num=85, den=100).collect()}
+    assert groups == {1: 1, 2: 2}
+
+
 # ---- 7: token counts ------------------------------------------------------------------------
 
 ODD = st.lists(st.sampled_from(["a", "b", " ", "\n", "  ", "\t", "é", "'s", " 're", "23", ".", "<|endoftext|>", "日本", "\r\n", "\x1c", "́", "İ", "_", "​", " "]), max_size=14).map("".join)
