@@ -7,11 +7,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..config import COUNTRIES, EXCLUDED_DOMAINS, GENERIC_TLDS, SERVICE_KEYWORDS
 from .. import storage
 from ..functions import fuzzy, geo, text, urls
-from ..operators import balance, calibration, candidates, finalize, learning, pages, patterns, policies, providers, regression, reports, review, scoring, secondpass, seeds, verification
+from ..operators import balance, calibration, candidates, checks, finalize, learning, logos, pages, patterns, policies, providers, recommend, regression, reports, review, scoring, secondpass, seeds, verification
 from ..sources import documents
 from .adapters import load, sql
 
@@ -235,6 +236,45 @@ def t24_logo_similarity(spark, d):
     return bits.join(other, "vec_id").select("vec_id", text.fuzzy_hash_share(F.col("h"), F.col("g")).alias("share"))
 
 
+# hashes of 64 bits from the vectors' signs; every 9th is a copy of its predecessor with some bits turned
+_HASHES = """h0 AS (SELECT vec_id, CASE WHEN vec_id % 9 = 0 AND vec_id > 0 THEN vec_id - 1 ELSE vec_id END AS src FROM {embeddings}),
+    h1 AS (SELECT h0.vec_id, array_to_string(list_transform(range(1, 65), lambda i: CASE WHEN (e.embedding[i] > 0) <> (h0.src <> h0.vec_id AND i % 9 = 0 AND i <= h0.vec_id % 80) THEN '1' ELSE '0' END), '') AS h FROM h0 JOIN {embeddings} e ON e.vec_id = h0.src)"""
+_ALIKE = "len(list_filter(range(1, 65), lambda i: substr({a}, CAST(i AS INT), 1) = substr({b}, CAST(i AS INT), 1)))"
+
+
+def _hashes(spark, d):
+    own = load(spark, d, "embeddings").select("vec_id", F.expr("CASE WHEN vec_id % 9 = 0 AND vec_id > 0 THEN vec_id - 1 ELSE vec_id END").alias("src"))
+    rows = own.join(load(spark, d, "embeddings").select(F.col("vec_id").alias("src"), "embedding"), "src")
+    turned = lambda i: (F.col("src") != F.col("vec_id")) & ((i + 1) % 9 == 0) & (i < F.col("vec_id") % 80)
+    return rows.select("vec_id", logos.packed(F.array_join(F.transform("embedding", lambda x, i: F.when((x > 0) != turned(i), "1").otherwise("0")), "")).alias("hash"))
+
+
+@query(f"WITH {_HASHES} SELECT a.vec_id AS query_id, b.vec_id AS id, CAST({_ALIKE.format(a='a.h', b='b.h')} AS DOUBLE) / 64 AS share FROM h1 a JOIN h1 b ON {_ALIKE.format(a='a.h', b='b.h')} >= 57 WHERE a.vec_id % 20 < 2 OR a.vec_id % 9 = 0")
+def t24_near_logos(spark, d):
+    rows = _hashes(spark, d)
+    asked = rows.filter("vec_id % 20 < 2 OR vec_id % 9 = 0").withColumnRenamed("vec_id", "query_id")
+    return logos.near_logos(asked, rows.withColumnRenamed("vec_id", "id"))
+
+
+@query(
+    f"""WITH {_HASHES}, l AS (SELECT p.vec_id, (SELECT max(vec_id) FROM {{embeddings}}) + 1 AS n, list_transform(range(0, 8), lambda k: (p.vec_id * 3 + k * 7 + CASE WHEN k = 5 THEN 1 ELSE 0 END)) AS ks FROM {{embeddings}} p),
+    t AS (SELECT vec_id, k, CASE WHEN k = 2 AND vec_id % 9 = 8 THEN vec_id + 1 ELSE (ks[k + 1] % n) END AS logo FROM l, (SELECT unnest(range(0, 8)) AS k)),
+    u AS (SELECT vec_id, logo, min(k) AS k FROM t GROUP BY 1, 2), v AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY k) AS r FROM u),
+    s AS (SELECT v.vec_id, v.k, v.logo, CAST({_ALIKE.format(a='a.h', b='b.h')} AS DOUBLE) / 64 AS share FROM v JOIN h1 a ON a.vec_id = v.vec_id JOIN h1 b ON b.vec_id = v.logo WHERE r <= 6),
+    b AS (SELECT vec_id, min(struct_pack(s := -share, k := k, logo := logo)) AS best FROM s GROUP BY 1)
+    SELECT vec_id, -best.s >= 0.88 AS matched, -best.s < 0.88 AND round(-best.s, 3) >= 0.78 AS near, round(-best.s, 3) AS score, CASE WHEN -best.s >= 0.88 THEN 18 WHEN round(-best.s, 3) >= 0.78 THEN 8 ELSE 0 END AS points, 'L' || best.logo AS logo_url FROM b"""
+)
+def t24_best_logos(spark, d):
+    hashes = _hashes(spark, d)
+    n = load(spark, d, "embeddings").agg(F.max("vec_id") + 1).first()[0]
+    ids = hashes.select("vec_id")
+    shown = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.concat(F.lit("L"), F.when((k == 2) & (F.col("vec_id") % 9 == 8), F.col("vec_id") + 1).otherwise((F.col("vec_id") * 3 + k * 7 + F.when(k == 5, 1).otherwise(0)) % n).cast("string")))
+    pages_of = ids.select(F.concat(F.lit("P"), "vec_id").alias("url"), shown.alias("logos"))
+    listed = ids.select(F.col("vec_id").alias("provider_id"), F.lit(0).alias("pos"), F.concat(F.lit("L"), "vec_id").alias("listing_logo_url"), F.concat(F.lit("P"), "vec_id").alias("url"))
+    found = logos.best_logos(listed, pages_of, hashes.select(F.concat(F.lit("L"), "vec_id").alias("logo_url"), "hash"))
+    return found.select(F.col("provider_id").alias("vec_id"), "matched", "near", "score", "points", "logo_url").filter("logo_url IS NOT NULL")
+
+
 # ---- candidates -----------------------------------------------------------------------------
 
 
@@ -762,6 +802,92 @@ def s7_evidence_lines(spark, d):
     return rows.select("provider_id", "candidate_count", F.coalesce(F.get("candidates", F.lit(0))["url"], F.lit("")).alias("first_url"), scores.alias("score_sum"))
 
 
+_SAMPLE = """d AS (SELECT event_type || '_' || (event_id % 5) AS review_reason, CASE WHEN event_type IN ('error', 'view') THEN 'recall' ELSE 'precision' END AS lane_kind, event_id AS pos,
+      CASE WHEN event_id % 3 = 0 THEN '' WHEN event_id % 7 = 0 THEN 'unsure' WHEN value > 95 AND event_id % 5 < 2 THEN 'reject' ELSE 'accept' END AS normalized_decision,
+      CASE WHEN event_id % 11 = 0 THEN 'invalid_manual_decision' WHEN event_id % 13 = 0 THEN 'replace_missing_manual_url' ELSE '' END AS decision_quality_issue FROM {events} WHERE event_type <> 'signup' OR event_id % 100 < 8),
+    details AS (SELECT *, CASE normalized_decision WHEN '' THEN 'unlabeled' WHEN 'unsure' THEN 'manual_unsure' WHEN 'accept' THEN CASE lane_kind WHEN 'recall' THEN 'recall_candidate_useful' ELSE 'candidate_correct' END ELSE CASE lane_kind WHEN 'recall' THEN 'recall_candidate_not_useful' ELSE 'candidate_incorrect' END END AS calibration_outcome FROM d)"""
+
+
+def _sample(spark, d):
+    return spark.sql("WITH " + _SAMPLE + " SELECT * FROM details", events=load(spark, d, "events"))
+
+
+@query(
+    f"""WITH {_SAMPLE}, v AS (SELECT *, normalized_decision <> '' AND decision_quality_issue = '' AS valid FROM details),
+    g AS (SELECT review_reason, arg_min(lane_kind, pos) AS lane_kind, count(*) AS rows, count(*) FILTER (valid) AS labeled_rows, count(*) FILTER (valid AND normalized_decision = 'accept') AS support_rows, count(*) FILTER (valid AND normalized_decision = 'reject') AS blocking_rows, count(*) FILTER (valid AND normalized_decision = 'unsure') AS manual_unsure_rows FROM v GROUP BY 1),
+    n AS (SELECT *, support_rows + blocking_rows AS n, support_rows / nullif(support_rows + blocking_rows, 0) AS p, blocking_rows / nullif(support_rows + blocking_rows, 0) AS q, 1.2815515655446004 AS z FROM g),
+    r AS (SELECT review_reason, lane_kind, rows, labeled_rows, n AS decisive_rows, support_rows, blocking_rows, manual_unsure_rows, round(p, 4) AS support_rate, round(greatest(0, (p + z*z/(2*n) - z * sqrt(p*(1-p)/n + z*z/(4*n*n))) / (1 + z*z/n)), 4) AS support_rate_wilson_lower_80,
+      round(least(1, (q + z*z/(2*n) + z * sqrt(q*(1-q)/n + z*z/(4*n*n))) / (1 + z*z/n)), 4) AS blocking_rate_wilson_upper_80, CASE WHEN n = 0 THEN 'unlabeled' WHEN blocking_rows > 0 THEN 'blocked' WHEN support_rows < 5 THEN 'thin_support' WHEN n < 10 THEN 'minimum_support' ELSE 'strong_support' END AS evidence_strength,
+      CASE WHEN n = 0 THEN 'needs_more_labels' WHEN blocking_rows > 0 THEN 'keep_review_lane' WHEN support_rows < 5 THEN 'needs_more_labels' WHEN lane_kind = 'recall' THEN 'candidate_for_narrow_recall_rule' ELSE 'candidate_for_review_downgrade' END AS recommendation FROM n)
+    SELECT *, row_number() OVER (ORDER BY list_position(['keep_review_lane', 'candidate_for_review_downgrade', 'candidate_for_narrow_recall_rule', 'needs_more_labels'], recommendation), decisive_rows DESC, review_reason) AS place FROM r"""
+)
+def a18_lane_recommendations(spark, d):
+    rows = recommend.lane_recommendations(_sample(spark, d)).drop("candidate_correct_rows", "candidate_incorrect_rows", "recall_useful_rows", "recall_not_useful_rows")
+    return rows.withColumn("place", F.row_number().over(Window.orderBy("rank")).cast("long")).drop("rank")
+
+
+@query(
+    f"""WITH {_SAMPLE}, v AS (SELECT *, normalized_decision <> '' AND decision_quality_issue = '' AS valid FROM details)
+    SELECT count(*) AS sample_rows, count(*) FILTER (valid) AS labeled_rows, count(*) FILTER (valid AND normalized_decision <> 'unsure') AS decisive_rows, count(*) FILTER (decision_quality_issue LIKE 'invalid%') AS invalid_manual_decision_rows, count(*) FILTER (decision_quality_issue LIKE 'replace%') AS replace_missing_manual_url_rows,
+      count(*) FILTER (decision_quality_issue <> '') AS decision_quality_issue_rows, count(*) FILTER (calibration_outcome = 'candidate_correct') AS candidate_correct_rows, count(*) FILTER (calibration_outcome = 'candidate_incorrect') AS candidate_incorrect_rows, count(*) FILTER (calibration_outcome = 'recall_candidate_useful') AS recall_useful_rows,
+      count(*) FILTER (calibration_outcome = 'recall_candidate_not_useful') AS recall_not_useful_rows, count(*) FILTER (calibration_outcome = 'manual_unsure') AS unsure_rows FROM v"""
+)
+def a15_sample_summary(spark, d):
+    return recommend.sample_summary(_sample(spark, d))
+
+
+# one sweep per lane: a row is released at a threshold from its value; the first lanes have thresholds without wrong rows
+_SWEEPS = """w AS (SELECT review_reason || '_' || (seq % 4) AS lane, t, score >= t AS out, manual_decision = 'accept' OR (seq % 4 = 0 AND score >= 75) AS ok FROM {work}, (SELECT explode_t AS t FROM thresholds)),
+    sims AS (SELECT lane, t AS evidence_threshold, count(*) FILTER (WHERE out AND ok) AS correct_recovery_rows, count(*) FILTER (WHERE out AND NOT ok) AS wrong_release_rows, round(CAST(count(*) FILTER (WHERE out AND ok) AS DOUBLE) / nullif(count(*) FILTER (WHERE out), 0), 4) AS release_precision FROM w GROUP BY lane, t)"""
+
+
+@query(
+    "WITH thresholds AS (SELECT unnest([0, 30, 45, 60, 75, 90, 200]) AS explode_t), " + _SWEEPS + """,
+    r AS (SELECT *, wrong_release_rows = 0 AND correct_recovery_rows > 0 AS clean FROM sims),
+    b AS (SELECT *, row_number() OVER (PARTITION BY lane ORDER BY clean DESC, CASE WHEN clean THEN 0 ELSE coalesce(release_precision, 0) END DESC, correct_recovery_rows DESC, CASE WHEN clean THEN 0 ELSE wrong_release_rows END, evidence_threshold) AS k FROM r)
+    SELECT lane, CASE WHEN clean THEN 'narrow_auto_release_candidate' ELSE 'manual_only' END AS recommendation, evidence_threshold AS threshold, correct_recovery_rows, wrong_release_rows FROM b WHERE k = 1"""
+)
+def a28_recall_release(spark, d):
+    thresholds = spark.createDataFrame([(t,) for t in (0, 30, 45, 60, 75, 90, 200)], "explode_t int")
+    sims = spark.sql("WITH " + _SWEEPS.replace("{work}", "{w0}").replace("thresholds)", "{th})") + " SELECT * FROM sims", w0=load(spark, d, "work"), th=thresholds)
+    return recommend.recall_release(sims, ["lane"])
+
+
+@query(
+    f"""WITH {_LANE}, c AS (SELECT *, features[1] AS grp, row_number() OVER (ORDER BY pattern) AS pos FROM mined), gg AS (SELECT grp, pattern AS path, support_rows - wrong AS correct, wrong, CASE WHEN wrong > 0 THEN 0.5 ELSE 0.9 END AS acc, pos FROM c),
+    b AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY CASE WHEN correct > 0 AND wrong = 0 THEN 0 ELSE 1 END, wrong, correct DESC, acc DESC, path) AS k FROM gg)
+    SELECT grp, path, CASE WHEN correct > 0 AND wrong = 0 THEN 'narrow_pattern_release_candidate' ELSE 'not_recommended' END AS recommendation, CAST(correct AS BIGINT) AS correct_recovery_rows, CAST(wrong AS BIGINT) AS wrong_release_rows FROM b WHERE k = 1"""
+)
+def a28_pattern_release(spark, d):
+    mined = _lane(spark, d)[1]
+    rows = mined.select(F.get("features", F.lit(0)).alias("grp"), F.col("pattern").alias("path"), F.lit(1).alias("pattern_count"), F.col("correct_rows").alias("correct_recovery_rows"), F.col("wrong_rows").alias("wrong_release_rows"), F.when(F.col("wrong_rows") > 0, 0.5).otherwise(0.9).alias("overall_accuracy"), F.col("pattern").alias("pos"))
+    return recommend.pattern_release(rows, ["grp"]).select("grp", "path", "recommendation", "correct_recovery_rows", "wrong_release_rows")
+
+
+@query(
+    f"""WITH {_FINAL}, f AS (SELECT count(*) AS n, count(*) FILTER (official_url = '' OR status IN ('unresolved', 'rejected', 'invalid_manual_decision')) AS open, count(*) FILTER (official_url = '' OR status = 'rejected') AS listed, count(*) FILTER (CAST(provider_id AS BIGINT) % 6 = 0) AS no_detail,
+      count(*) FILTER (official_domain = 'linkedin.com') AS excluded FROM final_rows), gate AS ({{gate}})
+    SELECT * FROM (SELECT 'unresolved_csv_rows' AS check, listed AS found, open AS expected FROM f UNION ALL SELECT 'missing_provider_detail_url_rows', no_detail, 0 FROM f UNION ALL SELECT 'final_rows', n, 10 FROM f UNION ALL SELECT 'excluded_official_url_rows', excluded, 0 FROM f
+      UNION ALL SELECT 'quality_gate', CASE WHEN failures <> '' THEN 1 ELSE 0 END, 0 FROM gate UNION ALL SELECT 'quality_total_rows', n, 10 FROM f) WHERE found <> expected""".replace("{gate}", ORACLES["a3_quality_gate"])
+)
+def a4_output_checks(spark, d):
+    final = storage.written(_final(spark, d).withColumn("provider_detail_url", F.when(F.col("provider_id").cast("long") % 6 != 0, F.lit("https://x.org"))), "final")
+    folder = f"{storage.shared_dir(spark)}/checked-{uuid.uuid4().hex[:12]}"
+    return checks.output_checks(final, finalize.unresolved(final), finalize.quality_gate(final, EXCLUDED_DOMAINS), folder, expected_rows=10)
+
+
+@query(
+    """WITH k AS (SELECT provider_id, review_reason, count(*) AS n FROM {work} WHERE provider_id <> '' GROUP BY 1, 2), s AS (SELECT review_reason, count(*) AS n FROM {work} GROUP BY 1), w AS (SELECT count(*) AS n, count(*) FILTER (manual_decision <> '') AS filled FROM {work})
+    SELECT * FROM (SELECT 'required_fields' AS check, CAST(3 AS BIGINT) AS found, CAST(0 AS BIGINT) AS expected UNION ALL SELECT 'duplicate_provider_reason', count(*), 0 FROM k WHERE n > 1 UNION ALL SELECT 'provider_detail_url', count(*) FILTER (seq % 10 = 0), 0 FROM {work} UNION ALL SELECT 'candidate_or_official_url', count(*) FILTER (manual_url = '' AND seq % 2 = 0), 0 FROM {work}
+      UNION ALL SELECT 'manual_decision_blank', filled, 0 FROM w UNION ALL SELECT 'summary_task_rows', w.n, (SELECT CAST(sum(n + CASE WHEN review_reason = 'error' THEN 1 ELSE 0 END) AS BIGINT) FROM s) FROM w UNION ALL SELECT 'summary_reason_counts', 1, 0) WHERE found <> expected"""
+)
+def a31_task_checks(spark, d):
+    work = load(spark, d, "work")
+    task = work.withColumns({"provider_name": F.lit("n"), "provider_detail_url": F.when(F.col("seq") % 10 != 0, "https://x.org"), "candidate_url": F.when(F.col("seq") % 2 != 0, "https://c.org"), "official_url": F.col("manual_url")})
+    summary = work.groupBy("review_reason").agg((F.count(F.lit(1)) + F.when(F.col("review_reason") == "error", 1).otherwise(0)).alias("n"))
+    return checks.task_checks(task, f"{storage.shared_dir(spark)}/task-{uuid.uuid4().hex[:12]}", summary)
+
+
 # ---- regression, policies -------------------------------------------------------------------
 
 _KEY = "CASE WHEN {u} = '' THEN '' ELSE regexp_replace(regexp_replace(regexp_replace({u}, '^https?://', ''), '^www[.]', ''), '/+$', '') END"
