@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import blank
+from ..config import ACCEPT_SCORE
+from ..functions.text import blank, whole_number
 from .balance import ratio, wilson
 from .calibration import LEAST_CLEAN
+from .finalize import ensure_columns
+from .providers import cut_per_key
+from .secondpass import MATCHED_CUTOFF
 
 OUTCOMES = {"candidate_correct_rows": "candidate_correct", "candidate_incorrect_rows": "candidate_incorrect", "recall_useful_rows": "recall_candidate_useful", "recall_not_useful_rows": "recall_candidate_not_useful"}
 # Recommendations of lanes in the order in which they are listed, and names that say little.
@@ -87,3 +91,93 @@ def pattern_release(candidates: DataFrame, by: list[str] | None = None, pos: str
     row = F.struct("path", F.when(good, "narrow_pattern_release_candidate").otherwise("not_recommended").alias("recommendation"), reason.alias("reason"), n.alias("pattern_count"), right.alias("correct_recovery_rows"), wrong.alias("wrong_release_rows"))
     best = candidates.groupBy(*(by or [])).agg(F.min_by(row, order).alias("x"))
     return best.select(*(by or []), "x.path", F.coalesce("x.recommendation", F.lit("not_evaluated")).alias("recommendation"), "x.reason", "x.pattern_count", "x.correct_recovery_rows", "x.wrong_release_rows")
+
+
+def _any(c: Column, words: list[str]) -> Column:
+    out = F.lit(False)
+    for w in words:
+        out = out | c.contains(w)
+    return out
+
+
+# Words of names that many companies share, and marks of risk in a verification row.
+SHARED_WORDS = ["agency", "consulting", "consultoria", "consultoría", "ecommerce", "ecom", "expert", "experts", "marketplace", "seller", "sellers", "services", "solutions", "support"]
+RISK_MARKS = ["manual_accepted", "needs_review", "unresolved", "same", "generic", "identity", "slug", "platform", "directory", "parked"]
+BLOB = ["supporting_facts", "counter_evidence", "evidence_summary", "reason_for_unsure", "provider_locations", "service_apis"]
+
+
+def priority_reason(rows: DataFrame) -> DataFrame:
+    """Adds priority_reason, why a boundary row is worth a label, and decision_impact, a key for what its label can change. Missing columns count as blank."""
+    rows = ensure_columns(rows, [*BLOB, "review_reason", "provider_name", "agent_b_decision"])
+    blob = F.lower(F.concat_ws(" ", *[blank(F.col(c)) for c in BLOB]))
+    name, lane = F.lower(blank(F.col("provider_name"))), blank(F.col("review_reason"))
+    made = rows.withColumns({"__blob": blob, "__name": name, "__words": F.regexp_extract_all(name, F.lit("([a-z0-9]+)"), F.lit(1))})
+    b, foreign = F.col("__blob"), blank(F.col("provider_name")).rlike(r"[^\x00-\x7F]")
+    vague = (F.size("__words") <= 2) | (F.size(F.filter("__words", lambda w: w.isin(SHARED_WORDS))) >= 2)
+    slug = F.when(blank(F.col("agent_b_decision")) == "accept", "slug_extension_agentb_accept").when(b.contains("fuzzy"), "slug_extension_fuzzy_identity").when(vague, "slug_extension_generic_identity").otherwise("slug_extension_identity_boundary")
+    recall = F.when(_any(b, ["service_content_matches_amazon_provider", "some_service_content_matches"]), "recall_name_gap_with_service_match").otherwise("recall_unresolved_candidate_boundary")
+    low = F.when(foreign, "localized_low_confidence_boundary").when(_any(F.col("__name"), DESCRIPTIVE), "descriptive_provider_name_boundary").otherwise("low_confidence_auto_match_boundary")
+    generic = F.when(vague, "generic_short_name_collision").when(foreign, "localized_generic_identity_boundary").otherwise("generic_identity_boundary")
+    reason = (
+        F.when(b.contains("country_conflict"), "country_conflict_boundary")
+        .when(b.contains("identity_cap_logo_only_evidence"), "logo_only_evidence_boundary")
+        .when(b.contains("listing_logo_visual_near_match"), "logo_near_match_boundary")
+        .when(b.contains("candidate_pages_not_fetchable"), "unfetchable_candidate_boundary")
+        .when(b.contains("provider_name_not_found_on_candidate_pages"), "missing_provider_name_boundary")
+        .when(lane == "precision_slug_extension_identity_risk", slug)
+        .when(lane == "recall_unresolved_top_candidate", recall)
+        .when(lane == "precision_low_confidence_auto_match", low)
+        .when(lane == "precision_generic_identity_term_risk", generic)
+        .otherwise("protected_lane_boundary")
+    )
+    said = F.col("priority_reason")
+    impact = (
+        F.when(lane == "recall_unresolved_top_candidate", "recall_rule")
+        .when(said.contains("logo"), "logo_evidence")
+        .when(_any(said, ["country", "localized"]), "country_and_language")
+        .when(said.contains("unfetchable"), "search_evidence_alone")
+        .when(said.contains("missing_provider_name"), "service_evidence_for_name")
+        .when(said.contains("slug_extension"), "slug_extension")
+        .when(_any(said, ["generic", "descriptive"]), "generic_names")
+        .otherwise("none_alone")
+    )
+    return made.withColumn("priority_reason", reason).withColumn("decision_impact", impact).drop("__blob", "__name", "__words")
+
+
+def judge_queue(rows: DataFrame) -> DataFrame:
+    """Verification rows that a second judge should see: in a review lane, with a mark of risk in their texts, with a logo as only identity, or with low confidence or score."""
+    rows = ensure_columns(rows, ["review_reason", "source_status", "status", "counter_evidence", "reason_for_unsure", "notes", "supporting_facts", "source_confidence", "confidence", "evidence_score"])
+    c = lambda n: blank(F.col(n).cast("string"))
+    said = F.lower(F.concat_ws(" ", *map(c, ["review_reason", "source_status", "status", "counter_evidence", "reason_for_unsure", "notes"])))
+    facts = F.lower(c("supporting_facts"))
+    sure = whole_number(F.coalesce(F.nullif(c("source_confidence"), F.lit("")), c("confidence")))
+    low = (sure < MATCHED_CUTOFF) | (whole_number(c("evidence_score")) < ACCEPT_SCORE)
+    return rows.filter((F.trim(c("review_reason")) != "") | _any(said, RISK_MARKS) | (facts.contains("logo") & ~facts.contains("page_contains_exact_provider_name")) | low)
+
+
+# Recommendations from tagged reviews: kind, tags, action, whether it may be applied at once.
+TAGGED = [
+    ("url_reachability", ["candidate_unreachable", "domain_variant_fix"], "verify_url_variants_before_accept", False),
+    ("platform_profile_evidence_only", ["platform_profile_only"], "add_to_excluded_domains", True),
+    ("identity_constraint", ["wrong_company", "service_mismatch", "name_or_logo_mismatch", "region_mismatch"], "write_identity_regression_fixtures", False),
+    ("no_official_regression", ["confirmed_no_official", "wrong_candidate_no_replacement"], "write_no_official_regression_fixtures", False),
+]
+
+
+def tag_counts(tagged: DataFrame) -> DataFrame:
+    """tag, n over rows with array note_tags."""
+    return tagged.select(F.explode("note_tags").alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+
+
+def tagged_recommendations(tagged: DataFrame, examples: int = 50, pos: str = "pos") -> DataFrame:
+    """kind, action, safe_to_apply, n (tags; for no_official_regression rows) and examples, the ids of the first rows by ``pos`` that carry one of the kind's tags; kinds without any are left out.
+
+    ``tagged``: provider_id, provider_name, note_tags; rows without id and name don't count. Rows meet kinds through their own tags, and of each kind's rows only the first
+    ``examples`` of a task leave it.
+    """
+    rows = tagged.filter((F.trim(blank(F.col("provider_id"))) != "") | (F.trim(blank(F.col("provider_name"))) != ""))
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(a).alias("action"), F.lit(s).alias("safe_to_apply"), F.size(F.array_intersect("note_tags", F.array(*map(F.lit, tags)))).alias("hits")) for k, tags, a, s in TAGGED])
+    each = rows.select("provider_id", pos, F.inline(F.filter(kinds, lambda k: k["hits"] > 0)))
+    counts = each.groupBy("kind", "action", "safe_to_apply").agg(F.sum(F.when(F.col("kind") == "no_official_regression", 1).otherwise(F.col("hits"))).alias("n"))
+    first = cut_per_key(each, ["kind"], [F.col(pos)], examples).groupBy("kind").agg(F.sort_array(F.collect_list(F.struct(pos, "provider_id")))["provider_id"].alias("examples"))
+    return counts.join(first, "kind")

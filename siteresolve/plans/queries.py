@@ -43,6 +43,15 @@ def _unknown(when: str, column: str = "provider_id"):
     return F.expr(f"CASE WHEN {when} THEN 'x' || {column} ELSE {column} END")
 
 
+def _sql_list(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+def _sql_normalized(x: str) -> str:
+    """``text.normalized`` of text in ASCII."""
+    return f"trim(regexp_replace(regexp_replace(lower({x}), '{text.LEGAL_FORMS}', ' ', 'g'), '[^a-z0-9]+', ' ', 'g'))"
+
+
 # ---- providers ------------------------------------------------------------------------------
 
 
@@ -282,7 +291,18 @@ def _providers(spark, d):
     return load(spark, d, "providers").withColumns({"provider_locations": F.array("location"), "service_apis": F.array("segment")})
 
 
-@query()
+_TERMS = "(VALUES " + ", ".join(
+    f"('{place}', {_sql_list(list(dict.fromkeys(t for c in hit for t in c[3][:3] + c[4][:2]))[:5]) if hit else 'CAST([] AS VARCHAR[])'})"
+    for place in ("Germany", "United Kingdom", "Ukraine", "Atlantis", "Brasil", "France", "Poland", "United States of America")
+    for hit in [[c for c in COUNTRIES if any(geo._plain(n) in geo._plain(place) for n in c[1])]]
+) + ") AS t(location, terms)"
+
+
+@query(
+    rf"""WITH q AS (SELECT provider_id, segment, location, '"' || trim(regexp_replace(provider_name, '\s+', ' ', 'g')) || '"' AS q, replace({_sql_normalized("provider_name")}, ' ', '') AS slug FROM {{providers}}),
+    l AS (SELECT provider_id, list_concat([q || ' official website', q || ' Amazon service provider', q || ' "' || segment || '"', q || ' Seller Central', q || ' "' || location || '" website'], list_transform(CAST(terms AS VARCHAR[]), lambda x: q || ' "' || x || '"'), CASE WHEN slug <> '' THEN [slug || ' website'] ELSE [] END) AS l FROM q JOIN {_TERMS} USING (location)),
+    u AS (SELECT provider_id, unnest(l[1:10]) AS query, unnest(range(0, len(l[1:10]))) AS query_pos FROM l) SELECT provider_id, CAST(query_pos AS INT) AS query_pos, query FROM u"""
+)
 def c1_queries(spark, d):
     return candidates.query_rows(candidates.build_queries(_providers(spark, d)), 10)
 
@@ -330,15 +350,6 @@ def c8_excluded(spark, d):
 
 
 
-def _sql_list(values) -> str:
-    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
-
-
-def _sql_normalized(x: str) -> str:
-    """``text.normalized`` of text in ASCII."""
-    return f"trim(regexp_replace(regexp_replace(lower({x}), '{text.LEGAL_FORMS}', ' ', 'g'), '[^a-z0-9]+', ' ', 'g'))"
-
-
 # what the adapter's locations say, from the fixed country values
 _PLACES = "(VALUES " + ", ".join(
     f"('{place}', {_sql_list(t for c in hit for t in c[2])}, {_sql_list(dict.fromkeys([geo._plain(n) for c in hit for n in c[1]] + [geo._plain(place)]))})"
@@ -1195,6 +1206,52 @@ def p2_labeled_pattern_rows(spark, d):
     return both[0].unionByName(both[1]).select("provider_id", "scope", "correct", "candidate_domain", F.array_join("features", "|").alias("features"))
 
 
+_BLOB = "lower(concat_ws(' ', supporting_facts, counter_evidence, reason_for_unsure))"
+
+
+@query(
+    rf"""WITH x AS (SELECT *, {_BLOB} AS b, regexp_extract_all(lower(provider_name), '[a-z0-9]+') AS w FROM {{checks}}),
+    y AS (SELECT *, len(w) <= 2 OR len(list_filter(w, lambda t: list_contains({_sql_list(recommend.SHARED_WORDS)}, t))) >= 2 AS vague FROM x),
+    z AS (SELECT pos, review_reason, CASE WHEN contains(b, 'provider_name_not_found_on_candidate_pages') THEN 'missing_provider_name_boundary' WHEN review_reason = 'precision_slug_extension_identity_risk' THEN CASE WHEN decision = 'accept' THEN 'slug_extension_agentb_accept' WHEN vague THEN 'slug_extension_generic_identity' ELSE 'slug_extension_identity_boundary' END
+      WHEN review_reason = 'recall_unresolved_top_candidate' THEN 'recall_unresolved_candidate_boundary' WHEN review_reason = 'precision_low_confidence_auto_match' THEN 'low_confidence_auto_match_boundary' WHEN starts_with(review_reason, 'precision_generic') THEN CASE WHEN vague THEN 'generic_short_name_collision' ELSE 'generic_identity_boundary' END ELSE 'protected_lane_boundary' END AS priority_reason FROM y)
+    SELECT pos, priority_reason, CASE WHEN review_reason = 'recall_unresolved_top_candidate' THEN 'recall_rule' WHEN contains(priority_reason, 'missing') THEN 'service_evidence_for_name' WHEN contains(priority_reason, 'slug_ext') THEN 'slug_extension' WHEN contains(priority_reason, 'generic') THEN 'generic_names' ELSE 'none_alone' END AS decision_impact FROM z"""
+)
+def r10_priority_reason(spark, d):
+    rows = load(spark, d, "checks").withColumnRenamed("decision", "agent_b_decision")
+    return recommend.priority_reason(rows).select("pos", "priority_reason", "decision_impact")
+
+
+@query(
+    """SELECT pos FROM {checks} WHERE review_reason <> '' OR contains(counter_evidence, 'directory') OR contains(counter_evidence, 'identity') OR (contains(supporting_facts, 'logo') AND NOT contains(supporting_facts, 'page_contains_exact_provider_name')) OR CAST(evidence_score AS INT) < 83 OR CAST(evidence_score AS INT) < 75"""
+)
+def r6_judge_queue(spark, d):
+    return recommend.judge_queue(load(spark, d, "checks").withColumn("confidence", F.col("evidence_score"))).select("pos")
+
+
+# tags by the notes' own words
+_TAGGED = """t AS (SELECT event_id AS pos, CASE WHEN event_id % 17 = 0 THEN '' ELSE CAST(user_id AS STRING) END AS provider_id, '' AS provider_name, CASE event_type WHEN 'error' THEN 'not working' WHEN 'view' THEN 'no official' WHEN 'click' THEN 'linkedin page, timeout' WHEN 'signup' THEN 'wrong website' ELSE 'fine' END AS notes,
+      CASE WHEN event_id % 4 = 0 THEN 'https://a.com' ELSE '' END AS candidate_url, CASE WHEN event_id % 8 = 0 THEN 'http://www.a.com/x' ELSE '' END AS manual_url, CASE WHEN event_id % 5 = 0 THEN 'unsure' ELSE 'accept' END AS decision FROM {events})"""
+_TAG_SQL = """, g AS (SELECT pos, provider_id, list_filter([CASE WHEN notes = 'no official' AND candidate_url <> '' THEN 'wrong_candidate_no_replacement' END, CASE WHEN notes = 'no official' THEN 'confirmed_no_official' END, CASE WHEN notes = 'wrong website' THEN 'wrong_company' END, CASE WHEN notes = 'not working' OR contains(notes, 'timeout') THEN 'candidate_unreachable' END,
+      CASE WHEN candidate_url <> '' AND manual_url <> '' THEN 'domain_variant_fix' END, CASE WHEN contains(notes, 'linkedin') THEN 'platform_profile_only' END, CASE WHEN decision = 'unsure' THEN 'insufficient_evidence' END], lambda x: x IS NOT NULL) AS tags FROM t),
+    k AS (SELECT * FROM (VALUES ('url_reachability', ['candidate_unreachable', 'domain_variant_fix']), ('platform_profile_evidence_only', ['platform_profile_only']), ('identity_constraint', ['wrong_company', 'service_mismatch']), ('no_official_regression', ['confirmed_no_official', 'wrong_candidate_no_replacement'])) AS v(kind, want)),
+    h AS (SELECT kind, pos, provider_id, len(list_intersect(tags, want)) AS hits, row_number() OVER (PARTITION BY kind ORDER BY pos) AS r FROM g, k WHERE provider_id <> '' AND len(list_intersect(tags, want)) > 0)"""
+
+
+def _tagged(spark, d):
+    rows = spark.sql("WITH " + _TAGGED + " SELECT * FROM t", events=load(spark, d, "events"))
+    return rows.withColumn("note_tags", calibration.note_tags(F.col("notes"), F.col("candidate_url"), F.col("manual_url"), F.col("decision"), F.lit("")))
+
+
+@query(f"WITH {_TAGGED}{_TAG_SQL} SELECT tag, count(*) AS n FROM (SELECT unnest(tags) AS tag FROM g) GROUP BY 1")
+def a23_tag_counts(spark, d):
+    return recommend.tag_counts(_tagged(spark, d))
+
+
+@query(f"WITH {_TAGGED}{_TAG_SQL} SELECT kind, CAST(sum(CASE WHEN kind = 'no_official_regression' THEN 1 ELSE hits END) AS BIGINT) AS n, string_agg(provider_id, ',' ORDER BY pos) FILTER (r <= 50) AS examples FROM h GROUP BY 1")
+def a23_tagged_recommendations(spark, d):
+    return recommend.tagged_recommendations(_tagged(spark, d)).select("kind", "n", F.array_join("examples", ",").alias("examples"))
+
+
 _POLICY = f"""{_features_sql()}, last AS (SELECT provider_id, max(pos) AS pos, arg_max(review_reason, pos) FILTER (review_reason <> '') AS reason FROM {{checks}} GROUP BY 1),
     j AS (SELECT r.provider_id, r.official_url AS own, r.status, coalesce(last.reason, '') AS reason, coalesce(c.review_reason, '') AS lane, coalesce(c.candidate_url, '') AS url, coalesce(f.features, []) AS f FROM (SELECT * FROM {{results}}) r
       LEFT JOIN last ON r.provider_id = last.provider_id LEFT JOIN (SELECT * FROM {{checks}}) c ON c.pos = last.pos LEFT JOIN features f ON f.pos = last.pos),
