@@ -11,17 +11,20 @@ items, since only they add to a cosine with an item.
 3. Every passage's latent vector A V is compared with every item's; pairs with a cosine of at least
    ``least_cosine`` are candidates. A candidate holds if, in the passage widened by the item's length
    on either side, the longest common subsequence of words covers ``alone`` of the item, or
-   ``answered`` of it while the item's answer (the words of its last sentence, ANSWER_WORDS at most)
-   is itself a subsequence of that part. Word order and most words must thus agree, but words may be
+   ``answered`` of it while the item's answer (the words of its last sentence, all of them unless
+   ``answer_words`` says how many of the last ones) is itself a subsequence of that part. Word order and most words must thus agree, but words may be
    put in, left out or replaced.
 
 All terms that stand in some passage take part in candidate search, by the smoothed IDF
 1 + log((n + 1) / (df + 1)): an altered item's kept words count even where they are in most passages,
 and words of no passage, which can't add to a cosine, take nothing from it. Terms in more than COMMON
 of all passages are multiplied as dense columns, the others one by one. Items are searched in blocks
-of about BLOCK_BYTES of text, so what goes to the tasks is bounded whatever the benchmark's size.
+of about BLOCK_BYTES of text, and their vectors are kept as entries, not as a matrix: what goes to the tasks is a
+few times BLOCK_BYTES, the basis (RANK numbers a term) and at most PLACES counts of terms by item. These
+counts leave out pairs early; a block that has more of them, or an item of more than LONGEST_BOUNDED words,
+goes without, with the same results.
 
-Null or empty texts have no passages; items without words match nothing; a document shorter than a
+Extra columns are ignored, whatever their names. Null or empty texts have no passages; items without words match nothing; a document shorter than a
 passage is one passage. Repeated documents are all reported. Results: a row per (document, item).
 """
 
@@ -41,8 +44,8 @@ STRIDE = 32
 RANK = 128
 COMMON = 0.01
 SLICE = 256
-ANSWER_WORDS = 8
 BLOCK_BYTES = 4 << 20
+PLACES = 1 << 24
 LONGEST_BOUNDED = 256
 LEAST_COSINE = 0.3
 
@@ -150,12 +153,12 @@ def parts(column: pa.Array, terms: Terms) -> Iterator[tuple[int, np.ndarray, np.
 class Items:
     """A block of benchmark items: hashed words, vocabulary, answers."""
 
-    def __init__(self, rows: list[tuple[int, str]]):
+    def __init__(self, rows: list[tuple[int, str]], answer_words: int | None = None):
         self.ids = [i for i, _ in rows]
         texts = [t or "" for _, t in rows]
         self.words = self._words(texts)
         last = [t.rstrip(" \n.!?").replace("\n", " ") for t in texts]
-        self.answers = [w[-ANSWER_WORDS:] for w in self._words([max(x.rpartition(". ")[2], x.rpartition("? ")[2], key=lambda y: -len(y)) for x in last])]
+        self.answers = [w[-answer_words:] if answer_words else w for w in self._words([max(x.rpartition(". ")[2], x.rpartition("? ")[2], key=lambda y: -len(y)) for x in last])]
         self.vocabulary = np.unique(np.concatenate(self.words)) if rows else np.zeros(0, np.uint64)
         self.terms = [np.searchsorted(self.vocabulary, w) for w in self.words]
         self.masks = [bit_places(t) for t in self.terms]
@@ -169,11 +172,22 @@ class Items:
             out += np.split(h, np.cumsum(counts)[:-1])
         return out
 
-    def vectors(self, weights: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(self.words), len(self.vocabulary)), np.float32)
-        for k, w in enumerate(self.words):
-            term, count = np.unique(np.searchsorted(self.vocabulary, w), return_counts=True)
-            out[k, term] = weights[term] * (1 + np.log(count))
+    def vectors(self, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Item, term and value of each entry of the items' TF-IDF matrix, in order of item and term."""
+        found = [np.unique(t, return_counts=True) for t in self.terms]
+        item = np.repeat(np.arange(len(found)), [len(t) for t, _ in found])
+        term = np.concatenate([t for t, _ in found]) if found else np.zeros(0, np.int64)
+        count = np.concatenate([c for _, c in found]) if found else np.zeros(0, np.int64)
+        return item, term, (weights[term] * (1 + np.log(np.maximum(count, 1)))).astype(np.float32)
+
+    def times(self, weights: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+        """The items' TF-IDF matrix times ``matrix``."""
+        item, term, value = self.vectors(weights)
+        out = np.zeros((len(self.words), matrix.shape[1]), np.float32)
+        if len(item):
+            begin = np.flatnonzero(np.append(True, item[1:] != item[:-1]))
+            for lo, hi in zip(begin, np.append(begin[1:], len(item))):
+                out[item[lo]] = value[lo:hi] @ matrix[term[lo:hi]]
         return out
 
 
@@ -253,8 +267,12 @@ def latent_basis(docs: DataFrame, items: Items, weights: np.ndarray, text_col: s
         return pa.table({"at": table.column("at")[:1], "sums": pa.array([np.sum(pieces, axis=0, dtype=np.float64).astype(np.float32).tobytes()], pa.binary())})
 
     slices = docs.select(text_col).mapInArrow(project, "at long, sums binary").groupBy("at").applyInArrow(added, "at long, sums binary").collect()
-    own = items.vectors(weights)
-    b = (own.T @ (own @ draw)).astype(np.float64)
+    item, term, value = items.vectors(weights)
+    y, b = items.times(weights, draw), np.zeros((d, rank))
+    order = np.argsort(term, kind="stable")
+    for k in range(0, len(order), 1 << 14):
+        part = order[k : k + (1 << 14)]
+        np.add.at(b, term[part], (y[item[part]] * value[part, None]).astype(np.float64))
     for r in slices:
         b[r["at"] : r["at"] + SLICE] += np.frombuffer(r["sums"], np.float32).reshape(-1, rank)
     q, _ = np.linalg.qr(b)
@@ -264,18 +282,20 @@ def latent_basis(docs: DataFrame, items: Items, weights: np.ndarray, text_col: s
     return (q @ u[:, ::-1]).astype(np.float32)
 
 
-def _search(docs: DataFrame, rows: list[tuple[int, str]], id_col: str, text_col: str, alone: float, answered: float, least_cosine: float) -> DataFrame:
-    items = Items(rows)
+def _search(docs: DataFrame, rows: list[tuple[int, str]], id_col: str, text_col: str, alone: float, answered: float, least_cosine: float, answer_words: int | None) -> DataFrame:
+    items = Items(rows, answer_words)
     n, df = frequencies(docs, items.vocabulary, text_col)
     weights, often = term_weights(n, df), np.flatnonzero(df > COMMON * n)
     basis = latent_basis(docs, items, weights, text_col, often=often)
-    targets = items.vectors(weights) @ basis
+    targets = items.times(weights, basis)
     norms = np.linalg.norm(targets, axis=1)
     targets = (targets / np.where(norms > 0, norms, 1)[:, None]).T.copy()
     longest = max(map(len, items.words))
-    places = np.zeros((len(items.vocabulary), len(items.words)), np.float32)
-    for k, t in enumerate(items.terms):
-        np.add.at(places[:, k], t, 1)
+    places = None
+    if longest <= LONGEST_BOUNDED and len(items.vocabulary) * len(items.words) <= PLACES:
+        places = np.zeros((len(items.vocabulary), len(items.words)), np.float32)
+        for k, t in enumerate(items.terms):
+            np.add.at(places[:, k], t, 1)
     least = np.array([answered * len(w) for w in items.words], np.float32) - 0.001
     sent = docs.sparkSession.sparkContext.broadcast((items, weights, often, basis, targets, places, least))
 
@@ -289,7 +309,7 @@ def _search(docs: DataFrame, rows: list[tuple[int, str]], id_col: str, text_col:
                 size = np.linalg.norm(z, axis=1)
                 cosine = (z @ targets) / np.where(size > 0, size, 1)[:, None]
                 likely = cosine >= least_cosine
-                if longest <= LONGEST_BOUNDED:  # pairs without enough words in common are left out at once
+                if places is not None:  # pairs without enough words in common are left out at once
                     some = np.flatnonzero(likely.any(axis=1))
                     likely[some] &= p.shared(places, often, longest, own[some]) >= least
                 start = np.cumsum(counts) - counts
@@ -324,7 +344,7 @@ def _search(docs: DataFrame, rows: list[tuple[int, str]], id_col: str, text_col:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(search, "doc_id long, item_id long, lcs_share double, cosine double, answer_found boolean, first_word long")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", alone: float = 0.8, answered: float = 0.6, least_cosine: float = LEAST_COSINE) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", alone: float = 0.8, answered: float = 0.6, least_cosine: float = LEAST_COSINE, answer_words: int | None = None) -> DataFrame:
     """doc_id, item_id, lcs_share, cosine, answer_found, first_word: the items found in each document."""
     spark = docs.sparkSession
     items = benchmark.filter("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
@@ -335,7 +355,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         rows = [tuple(r) for r in items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()]
         rows = [r for r, w in zip(rows, Items(rows).words) if len(w)]
         if rows:
-            part = _search(docs, rows, id_col, text_col, alone, answered, least_cosine)
+            part = _search(docs, rows, id_col, text_col, alone, answered, least_cosine, answer_words)
             found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], "doc_id long, item_id long, lcs_share double, cosine double, answer_found boolean, first_word long")

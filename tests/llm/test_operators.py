@@ -194,7 +194,7 @@ def test_latent_candidates_reach_exact_cosines(spark):
     n, freq = decontam.frequencies(df, items.vocabulary, "text")
     weights = np.log((n + 1) / (freq + 1)).astype(np.float32) + 0.01
     basis = decontam.latent_basis(df, items, weights, "text")
-    q = items.vectors(weights)
+    q = items.times(weights, np.eye(len(weights), dtype=np.float32))
     hits = total = 0
     for _, _, _, p in decontam.parts(pa.array([t for _, t in rows]), decontam.Terms(items.vocabulary)):
         _, exact = p.times(weights, np.eye(len(weights), dtype=np.float32))
@@ -206,6 +206,45 @@ def test_latent_candidates_reach_exact_cosines(spark):
     assert total > 10 and hits >= 0.9 * total
 
 
+@pytest.mark.parametrize("bounds", [{}, {"PLACES": 0}, {"LONGEST_BOUNDED": 5}, {"BLOCK_BYTES": 200}])
+def test_acceptance_over_all_pairs(spark, monkeypatch, bounds):
+    """With every passage a candidate, the rows are those that the stated rule accepts over all (document, item) pairs; whatever bound or block is in force."""
+    for name, value in bounds.items():
+        monkeypatch.setattr(decontam, name, value)
+    rng = random.Random(8)
+    word = lambda: rng.choice("abcdefghijklmnopqrstuvwxyz") + rng.choice("aeiou")
+    items = [(k, " ".join(word() for _ in range(rng.randint(3, 20))) + ". " + " ".join(word() for _ in range(rng.choice([1, 4, 12]))) + ".") for k in range(12)] + [(50, "Is it one sentence " + " ".join(word() for _ in range(9)))]
+    rows = []
+    for k in range(50):
+        w = [word() for _ in range(rng.choice([0, 5, 40, 130]))]
+        for _, t in rng.sample(items, 2):
+            part = [x.strip(".") for x in t.split() if rng.random() > rng.choice([0, 0.2, 0.4])]
+            at = rng.randint(0, len(w))
+            w[at:at] = part
+        rows.append((k, " ".join(w)))
+    split = lambda t: re.findall("[a-z0-9]+", t.lower())
+
+    def common(a, b):
+        t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
+        return t[-1][-1]
+
+    want = {}
+    for i, text in rows:
+        w = split(text)
+        for k, t in items:
+            item, answer = split(t), split(t.rstrip(" .").rpartition(". ")[2])
+            for slot in range(max(1, -(-len(w) // 32) - 1) if w else 0):
+                part = w[max(0, slot * 32 - len(item)) : (slot + 2) * 32 + len(item)]
+                share = common(item, part) / len(item)
+                if share >= 0.8 or (share >= 0.6 and common(answer, part) == len(answer)):
+                    want[i, k] = max(want.get((i, k), 0), share)
+    got = {(r["doc_id"], r["item_id"]): r["lcs_share"] for r in decontam.leaks(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string"), least_cosine=-2.0).collect()}
+    assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-9 for x in got) and len(want) > 30
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 5), max_size=12), st.lists(st.integers(0, 5), max_size=12))
 def test_lcs(a, b):
