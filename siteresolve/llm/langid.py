@@ -37,13 +37,22 @@ PIECE = 1024
 LEAST_MARGIN = 0.02
 LEVEL = 6
 MOST_LANGUAGES = 200
-#: Word characters that are no letters, beyond decimal digits and "_".
-_NUMBERS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_OTHER = re.compile(rf"[\W\d_{_NUMBERS}]+")
+_OTHER = re.compile(r"[\W\d_]+")
+#: Word characters that are no letters, beyond decimal digits and "_". Those up to U+FFFF make a set of their own, which is looked up by bitmap.
+_NUMBERS = [c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal()]
+_NUMBER = re.compile("[" + "".join(c for c in _NUMBERS if c <= "\uffff") + "]")
+_FAR = re.compile("[\U00010000-\U0010ffff]")
+_FAR_NUMBERS = {ord(c): " " for c in _NUMBERS if c > "\uffff"}
 
 
 def letters(text: str) -> bytes:
-    return _OTHER.sub(" ", text.lower()).encode()
+    """Lower-cased, with everything but letters as single spaces."""
+    low = text.lower()
+    if not low.isascii():
+        low = _NUMBER.sub(" ", low)
+        if _FAR.search(low):
+            low = low.translate(_FAR_NUMBERS)
+    return _OTHER.sub(" ", low).encode()
 
 
 def has_letter(text: str) -> bool:
