@@ -82,6 +82,22 @@ def lookup(rows: DataFrame, table: DataFrame, pos: str = "pos", id_col: str = "p
     return joined.withColumn("found", F.coalesce("__by_id", "__by_name")).drop("__i", "__n", "__id", "__name", "__by_id", "__by_name")
 
 
+def enrich_links(rows: DataFrame, providers: DataFrame, pos: str = "pos") -> DataFrame:
+    """``rows`` with provider_detail_url and listing_logo_url of their provider (by id, else by name), their own where that has none; blank where neither has."""
+    found = lookup(rows, providers, pos)
+    own = lambda c: blank(F.col(c)) if c in rows.columns else F.lit("")
+    given = lambda c: blank(F.col(f"found.{c}")) if c in providers.columns else F.lit("")
+    pick = lambda *cs: F.trim(F.coalesce(*[F.when(c != "", c) for c in cs], F.lit("")))
+    links = {"provider_detail_url": pick(given("detail_url"), own("provider_detail_url"), own("detail_url")), "listing_logo_url": pick(given("listing_logo_url"), own("listing_logo_url"))}
+    return found.withColumns(links).drop("found")
+
+
+def link_counts(enriched: DataFrame) -> DataFrame:
+    """One row: input_rows, provider_detail_url_rows, missing_provider_detail_url_rows, listing_logo_rows."""
+    has = F.col("provider_detail_url") != ""
+    return enriched.agg(F.count(F.lit(1)).alias("input_rows"), F.count_if(has).alias("provider_detail_url_rows"), F.count_if(~has).alias("missing_provider_detail_url_rows"), F.count_if(F.col("listing_logo_url") != "").alias("listing_logo_rows"))
+
+
 def combine_by_key(sets: list[DataFrame], pos: str = "pos") -> DataFrame:
     """One row per entity key over several sets of decisions; later sets, and later rows in a set, win."""
     parts = [df.withColumn("__set", F.lit(k)) for k, df in enumerate(sets)]

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ACCEPT_SCORE
+from ..functions import urls
 from ..functions.text import blank, whole_number
 from .balance import ratio, wilson
 from .calibration import LEAST_CLEAN
@@ -181,3 +182,85 @@ def tagged_recommendations(tagged: DataFrame, examples: int = 50, pos: str = "po
     counts = each.groupBy("kind", "action", "safe_to_apply").agg(F.sum(F.when(F.col("kind") == "no_official_regression", 1).otherwise(F.col("hits"))).alias("n"))
     first = cut_per_key(each, ["kind"], [F.col(pos)], examples).groupBy("kind").agg(F.sort_array(F.collect_list(F.struct(pos, "provider_id")))["provider_id"].alias("examples"))
     return counts.join(first, "kind")
+
+
+# Words of filled calibration samples for each decision.
+SAMPLE_WORDS = {
+    "accept": ["accept", "accepted", "approve", "approved", "correct", "yes", "true", "正确", "对"],
+    "replace": ["replace", "replacement", "修正", "替换"],
+    "reject": ["reject", "rejected", "no", "false", "wrong", "incorrect", "错误", "错", "无官网"],
+    "unsure": ["unsure", "unknown", "uncertain", "不确定"],
+}
+NO_OFFICIAL = ["实际无官网", "no official", "no reliable official"]
+BUCKETS = ["candidate_for_rule", "needs_more_labels", "reject_pattern"]
+
+
+def sample_decision(decision: Column) -> Column:
+    """accept, replace, reject or unsure by the words of filled samples; blank for any other word."""
+    known = F.create_map(*[F.lit(x) for d, words in SAMPLE_WORDS.items() for w in words for x in (w, d)])
+    return F.coalesce(F.try_element_at(known, F.lower(F.trim(blank(decision)))), F.lit(""))
+
+
+def quality_issue(decision: Column, manual_url: Column) -> Column:
+    """invalid_manual_decision for an unknown word, replace_missing_manual_url for a replacement without an address, else blank."""
+    said = sample_decision(decision)
+    return F.when((F.trim(blank(decision)) != "") & (said == ""), "invalid_manual_decision").when((said == "replace") & (F.trim(blank(manual_url)) == ""), "replace_missing_manual_url").otherwise("")
+
+
+def rule_buckets(recommendations: DataFrame) -> DataFrame:
+    """Pattern recommendations (pattern, pattern_scope, supporting_rows, decisive_rows, recommendation, ...) that call for something, with required_action and rank, their place in their bucket: most supported, then most decisive, then by name."""
+    c = F.col
+    action = (
+        F.when((c("recommendation") == "candidate_for_rule") & c("pattern_scope").isin("recall", "precision"), F.concat(F.lit("test_then_narrow_"), c("pattern_scope"), F.lit("_rule")))
+        .when(c("recommendation") == "candidate_for_rule", "test_before_any_rule")
+        .when(c("recommendation") == "needs_more_labels", "keep_in_samples")
+        .otherwise("keep_in_review")
+    )
+    kept = recommendations.filter(c("recommendation").isin(BUCKETS))
+    return kept.withColumns({"required_action": action, "rank": F.struct((-c("supporting_rows")).alias("a"), (-c("decisive_rows")).alias("b"), c("pattern").alias("c"))})
+
+
+def learning_summary(rows: DataFrame) -> DataFrame:
+    """One row over reviewed results: decisions, accepts of low confidence, rejects of what had been accepted, recall additions, rows confirmed to have no site.
+
+    ``rows``: manual_decision, manual_url, previous_url (what was shown), previous_status, previously_decided (boolean), confidence, error_type, notes; made by one look-up of the review
+    and base rows. One pass.
+    """
+    c = F.col
+    before, after = urls.domain(blank(c("previous_url"))), urls.domain(F.coalesce(F.nullif(blank(c("manual_url")), F.lit("")), blank(c("previous_url"))))
+    rows = rows.withColumns({"__b": before, "__a": after, "__n": whole_number(c("confidence").cast("string")), "__e": F.lower(F.concat_ws(" ", blank(c("error_type")), blank(c("notes"))))})
+    taken = c("manual_decision").isin("accept", "replace") & (c("__a") != "")
+    none = _any(c("__e"), NO_OFFICIAL)
+    return rows.agg(
+        *[F.count_if(c("manual_decision") == d).alias(f"{d}_rows") for d in SAMPLE_WORDS],
+        F.count_if(taken & (c("__n") > 0) & (c("__n") < 70)).alias("accepted_low_confidence_rows"),
+        F.count_if(taken & (c("__b") == "")).alias("recall_additions"),
+        F.count_if((c("manual_decision") == "reject") & (c("__b") != "") & (F.coalesce(c("previously_decided"), F.lit(False)) | (blank(c("previous_status")) == "manual_accepted"))).alias("rejected_auto_accepted_rows"),
+        F.count_if(none).alias("confirmed_no_official_rows"),
+        F.count_if(none & (c("__b") != "")).alias("wrong_candidate_no_official_rows"),
+    )
+
+
+def review_fixtures(tagged: DataFrame, pos: str = "pos") -> DataFrame:
+    """Regression fixtures of human review: of rows with equal provider, candidate and manual address the first by ``pos``, with note_tags as one text."""
+    keys = ["provider_id", "candidate_url", "manual_url"]
+    rest = [c for c in tagged.columns if c not in keys]
+    plain = tagged.withColumns({c: blank(F.col(c).cast("string")) for c in keys})
+    one = plain.groupBy(*keys).agg(F.min_by(F.struct(*rest), pos).alias("r")).select(*keys, "r.*")
+    return one.withColumn("note_tags", F.array_join("note_tags", "; "))
+
+
+def exclusions_to_add(domains: DataFrame, known: list[str]) -> DataFrame:
+    """domain, added (false: already excluded) of the distinct domains that recommendations name."""
+    plain = domains.select(F.lower(F.trim(blank(F.col("domain")))).alias("domain")).filter("domain <> ''").distinct()
+    return plain.withColumn("added", ~F.col("domain").isin(known))
+
+
+def batch_rollup(batches: DataFrame) -> DataFrame:
+    """One row over batch runs (run_dir, released_rows, official_url_rows, unresolved_rows, quality_passed): sums, runs that failed their gate, and rows released in runs that no labels cover."""
+    labelled = blank(F.col("run_dir")).contains("100") | blank(F.col("run_dir")).contains("balance_tuned")
+    total = lambda c, when=None: F.coalesce(F.sum(F.when(when, F.col(c)) if when is not None else F.col(c)), F.lit(0)).cast("long")
+    return batches.agg(
+        F.count(F.lit(1)).alias("batches"), total("released_rows").alias("released_rows"), total("official_url_rows").alias("official_url_rows"), total("unresolved_rows").alias("unresolved_rows"),
+        F.count_if(~F.coalesce("quality_passed", F.lit(False))).alias("quality_blockers"), total("released_rows", ~labelled).alias("unlabelled_released_rows"),
+    )

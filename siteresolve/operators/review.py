@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import blank
+from ..functions.text import blank, first_filled
 from ..storage import written
-from .providers import cut_per_key
+from .finalize import ensure_columns
+from .providers import cut_per_key, entity_key
 
 
 def review_sheet(candidates: DataFrame, top: int = 5, pos: str = "pos") -> DataFrame:
@@ -39,9 +40,22 @@ def label_gap(rows: DataFrame, targets: DataFrame, group: str, pos: str = "pos")
     return ranked.join(targets, group).filter(F.col("__n") <= F.col("needed")).drop("__n", "needed")
 
 
-def unfilled(task: DataFrame, filled: DataFrame) -> DataFrame:
-    """Task rows whose provider isn't filled for any reason; rows without an id stay."""
-    return task.join(filled.select("provider_id").filter(blank(F.col("provider_id")) != "").distinct(), "provider_id", "left_anti")
+def unfilled(task: DataFrame, filled: DataFrame, by_reason: bool = False) -> DataFrame:
+    """Task rows that aren't filled yet. A filled provider id takes all rows of that provider out, or with ``by_reason`` those of the same review reason only; providers without an id
+    are told by their name in any case, always with the reason. Rows with neither stay. Two equi-joins; blank keys never meet.
+    """
+    done = ensure_columns(filled, ["provider_name", "review_reason", "manual_decision", "your_decision", "decision"])
+    said = first_filled(F.col("manual_decision"), F.col("your_decision"), F.col("decision"))
+    done = done.filter(F.trim(said) != "") if {"manual_decision", "your_decision", "decision"} & set(filled.columns) else done
+    rows = ensure_columns(task, ["provider_name", "review_reason"])
+    out = rows
+    if not by_reason:
+        out = out.join(done.select("provider_id").filter(F.trim(blank(F.col("provider_id"))) != "").distinct(), "provider_id", "left_anti")
+    key = lambda: F.concat_ws("\u0001", entity_key(), F.trim(blank(F.col("review_reason"))))
+    keys = done.filter(entity_key() != "").select(key().alias("__key")).distinct()
+    alone = F.concat(F.lit("\u0002"), F.monotonically_increasing_id().cast("string"))
+    out = out.withColumn("__key", F.when(entity_key() != "", key()).otherwise(alone)).join(keys, "__key", "left_anti")
+    return out.select(task.columns)
 
 
 def merge_samples(samples: DataFrame, seq: str = "seq") -> DataFrame:

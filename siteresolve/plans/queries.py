@@ -1228,6 +1228,66 @@ def r6_judge_queue(spark, d):
     return recommend.judge_queue(load(spark, d, "checks").withColumn("confidence", F.col("evidence_score"))).select("pos")
 
 
+@query(
+    """WITH p AS (SELECT CASE WHEN segment = 'MACHINERY' THEN 'x' || provider_id ELSE provider_id END AS provider_id, CASE WHEN pos % 3 = 0 THEN '' ELSE 'https://d.org/' || pos END AS detail_url, CASE WHEN pos % 4 = 0 THEN ' ' ELSE 'l' || pos END AS logo FROM {providers}),
+    j AS (SELECT r.provider_id, coalesce(nullif(p.detail_url, ''), CASE WHEN r.pos % 5 = 0 THEN 'https://own.org' ELSE '' END) AS provider_detail_url, trim(coalesce(p.logo, '')) AS listing_logo_url FROM (SELECT * FROM {results}) r LEFT JOIN p ON r.provider_id = p.provider_id)
+    SELECT count(*) AS input_rows, count(*) FILTER (provider_detail_url <> '') AS provider_detail_url_rows, count(*) FILTER (provider_detail_url = '') AS missing_provider_detail_url_rows, count(*) FILTER (listing_logo_url <> '') AS listing_logo_rows FROM j"""
+)
+def j4_link_counts(spark, d):
+    own = load(spark, d, "providers").withColumns({"provider_id": _unknown("segment = 'MACHINERY'"), "provider_name": F.lit("nobody"), "detail_url": F.expr("CASE WHEN pos % 3 = 0 THEN '' ELSE 'https://d.org/' || pos END"), "listing_logo_url": F.expr("CASE WHEN pos % 4 = 0 THEN ' ' ELSE 'l' || pos END")})
+    rows = load(spark, d, "results").withColumn("detail_url", F.expr("CASE WHEN pos % 5 = 0 THEN 'https://own.org' ELSE '' END"))
+    return providers.link_counts(providers.enrich_links(rows, own))
+
+
+@query("SELECT w.seq FROM (SELECT * FROM {work}) w WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM {work}) f WHERE f.manual_decision <> '' AND f.score > 60 AND f.provider_id = w.provider_id AND f.review_reason = w.review_reason)")
+def j13_unfilled_keys(spark, d):
+    work = load(spark, d, "work").withColumn("provider_name", F.lit(""))
+    return review.unfilled(work, work.filter("score > 60"), by_reason=True).select("seq")
+
+
+@query(
+    """SELECT pos, CASE pos % 6 WHEN 0 THEN 'accept' WHEN 1 THEN '' WHEN 2 THEN 'reject' WHEN 3 THEN 'unsure' ELSE '' END AS decision, CASE WHEN pos % 6 IN (1, 5) THEN 'invalid_manual_decision' ELSE '' END AS issue FROM {filled}"""
+)
+def t21_sample_decisions(spark, d):
+    rows = load(spark, d, "filled")
+    return rows.select("pos", recommend.sample_decision(F.col("manual_decision")).alias("decision"), recommend.quality_issue(F.col("manual_decision"), F.col("manual_url")).alias("issue"))
+
+
+@query("WITH r AS (" + ORACLES["a17_pattern_recommendations"] + ") SELECT pattern, recommendation, CASE recommendation WHEN 'candidate_for_rule' THEN 'test_then_narrow_recall_rule' WHEN 'needs_more_labels' THEN 'keep_in_samples' ELSE 'keep_in_review' END AS required_action, row_number() OVER (PARTITION BY recommendation ORDER BY supporting_rows DESC, decisive_rows DESC, pattern) AS place FROM r WHERE recommendation <> 'unlabeled'")
+def a17_rule_buckets(spark, d):
+    rows = recommend.rule_buckets(a17_pattern_recommendations(spark, d))
+    return rows.select("pattern", "recommendation", "required_action", F.row_number().over(Window.partitionBy("recommendation").orderBy("rank")).cast("long").alias("place"))
+
+
+@query(
+    """WITH r AS (SELECT f.*, s.status, s.confidence, s.official_url AS shown FROM (SELECT * FROM {filled}) f JOIN (SELECT * FROM {results}) s ON f.provider_id = s.provider_id),
+    x AS (SELECT CASE pos % 6 WHEN 0 THEN 'accept' WHEN 1 THEN 'replace' WHEN 2 THEN 'reject' ELSE 'unsure' END AS d, shown, CASE WHEN pos % 6 < 2 THEN manual_url ELSE '' END AS u, status, pos, coalesce(TRY_CAST(confidence AS INT), 0) AS n FROM r)
+    SELECT count(*) FILTER (d = 'accept') AS accept_rows, count(*) FILTER (d = 'replace') AS replace_rows, count(*) FILTER (d = 'reject') AS reject_rows, count(*) FILTER (d = 'unsure') AS unsure_rows, count(*) FILTER (d IN ('accept', 'replace') AND (u <> '' OR shown <> '') AND n > 0 AND n < 70) AS accepted_low_confidence_rows,
+      count(*) FILTER (d IN ('accept', 'replace') AND u <> '' AND shown = '') AS recall_additions, count(*) FILTER (d = 'reject' AND shown <> '' AND pos % 5 = 0) AS rejected_auto_accepted_rows, count(*) FILTER (pos % 7 = 0) AS confirmed_no_official_rows, count(*) FILTER (pos % 7 = 0 AND shown <> '') AS wrong_candidate_no_official_rows FROM x"""
+)
+def a20_learning_summary(spark, d):
+    shown = load(spark, d, "results").select("provider_id", F.col("status").alias("previous_status"), "confidence", F.col("official_url").alias("previous_url"))
+    rows = load(spark, d, "filled").drop("official_url").join(shown, "provider_id").withColumns(
+        {
+            "manual_decision": F.expr("CASE pos % 6 WHEN 0 THEN 'accept' WHEN 1 THEN 'replace' WHEN 2 THEN 'reject' ELSE 'unsure' END"),
+            "manual_url": F.when(F.col("pos") % 6 < 2, text.cell_url(F.col("manual_url"))).otherwise(""),
+            "previously_decided": F.col("pos") % 5 == 0,
+            "error_type": F.lit(""),
+            "notes": F.when(F.col("pos") % 7 == 0, "No official site").otherwise(""),
+        }
+    )
+    return recommend.learning_summary(rows)
+
+
+@query(
+    """WITH b AS (SELECT CAST(user_id AS STRING) || CASE WHEN user_id % 3 = 0 THEN '_balance_tuned' ELSE '_full' END AS run_dir, count(*) AS released_rows, count(*) FILTER (event_type = 'error') AS unresolved_rows, max(value) > 90 AS ok FROM {events} GROUP BY user_id)
+    SELECT count(*) AS batches, CAST(sum(released_rows) AS BIGINT) AS released_rows, CAST(sum(released_rows) AS BIGINT) AS official_url_rows, CAST(sum(unresolved_rows) AS BIGINT) AS unresolved_rows, count(*) FILTER (NOT ok) AS quality_blockers, CAST(sum(released_rows) FILTER (NOT (contains(run_dir, '100') OR contains(run_dir, 'tuned'))) AS BIGINT) AS unlabelled_released_rows FROM b"""
+)
+def a29_batch_rollup(spark, d):
+    runs = load(spark, d, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("released_rows"), F.count_if(F.col("event_type") == "error").alias("unresolved_rows"), (F.max("value") > 90).alias("quality_passed"))
+    return recommend.batch_rollup(runs.withColumns({"run_dir": F.concat(F.col("user_id").cast("string"), F.when(F.col("user_id") % 3 == 0, "_balance_tuned").otherwise("_full")), "official_url_rows": F.col("released_rows")}))
+
+
 # tags by the notes' own words
 _TAGGED = """t AS (SELECT event_id AS pos, CASE WHEN event_id % 17 = 0 THEN '' ELSE CAST(user_id AS STRING) END AS provider_id, '' AS provider_name, CASE event_type WHEN 'error' THEN 'not working' WHEN 'view' THEN 'no official' WHEN 'click' THEN 'linkedin page, timeout' WHEN 'signup' THEN 'wrong website' ELSE 'fine' END AS notes,
       CASE WHEN event_id % 4 = 0 THEN 'https://a.com' ELSE '' END AS candidate_url, CASE WHEN event_id % 8 = 0 THEN 'http://www.a.com/x' ELSE '' END AS manual_url, CASE WHEN event_id % 5 = 0 THEN 'unsure' ELSE 'accept' END AS decision FROM {events})"""
@@ -1242,6 +1302,16 @@ def _tagged(spark, d):
     return rows.withColumn("note_tags", calibration.note_tags(F.col("notes"), F.col("candidate_url"), F.col("manual_url"), F.col("decision"), F.lit("")))
 
 
+@query(f"WITH {_TAGGED}{_TAG_SQL} SELECT g.provider_id, t.candidate_url, t.manual_url, arg_min(array_to_string(tags, '; '), g.pos) AS note_tags, min(g.pos) AS pos FROM g JOIN t USING (pos) GROUP BY 1, 2, 3")
+def a24_review_fixtures(spark, d):
+    return recommend.review_fixtures(_tagged(spark, d)).select("provider_id", "candidate_url", "manual_url", "note_tags", "pos")
+
+
+@query("SELECT DISTINCT regexp_replace(regexp_replace(lower(url), '^https?://(www[.])?', ''), '/.*$', '') AS domain, domain <> 'facebook.com' AS added FROM {candidates}")
+def a24_exclusions(spark, d):
+    return recommend.exclusions_to_add(load(spark, d, "candidates").select(urls.domain(F.col("url")).alias("domain")), EXCLUDED_DOMAINS)
+
+
 @query(f"WITH {_TAGGED}{_TAG_SQL} SELECT tag, count(*) AS n FROM (SELECT unnest(tags) AS tag FROM g) GROUP BY 1")
 def a23_tag_counts(spark, d):
     return recommend.tag_counts(_tagged(spark, d))
