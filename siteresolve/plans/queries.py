@@ -629,13 +629,25 @@ def a20_a21_domain_feedback(spark, d):
 # ---- pages ----------------------------------------------------------------------------------
 
 
-def _sites(spark, d):
-    """Home pages per host (the first page of each), and one candidate per host named after it."""
+_PAGE_PATHS = ["/", "/about", "/contact", "/services", "/privacy", "/terms"]
+
+
+def _hosts(spark, d):
+    """All pages, each under its host and, in order, a usual path of a company's site or a further one (the data's own paths don't say what a page is)."""
     seen = load(spark, d, "pages").withColumn("host", urls.host_part(F.col("url")))
-    homes = seen.groupBy("host").agg(F.min_by("html", "page_id").alias("html"), F.min("page_id").alias("pos")).withColumn("url", F.concat(F.lit("https://"), "host", F.lit("/")))
-    flags = pages.page_flags(pages.read_pages(homes))
-    found = homes.select(F.col("host").alias("provider_id"), "pos", "url", urls.base_label(F.col("host")).alias("provider_name"), F.array(F.lit("Germany")).alias("provider_locations"))
-    return found, flags
+    nth = F.row_number().over(Window.partitionBy("host").orderBy("page_id"))
+    path = F.coalesce(F.get(F.array(*map(F.lit, _PAGE_PATHS)), nth - 1), F.concat(F.lit("/page"), nth.cast("string")))
+    return seen.withColumn("path", path).withColumn("url", F.concat(F.lit("https://"), "host", "path"))
+
+
+def _found_sites(hosts):
+    return hosts.filter("path = '/'").select(F.col("host").alias("provider_id"), F.col("page_id").alias("pos"), "url", urls.base_label(F.col("host")).alias("provider_name"), F.array(F.lit("Germany")).alias("provider_locations"))
+
+
+def _sites(spark, d):
+    """Page flags of all pages, and one candidate per host named after it."""
+    hosts = _hosts(spark, d)
+    return _found_sites(hosts), pages.page_flags(pages.read_pages(hosts))
 
 
 @query()
@@ -675,7 +687,21 @@ def c9_c10_plan_summary(spark, d):
     return secondpass.plan_summary(_planned(spark, d))
 
 
-@query()
+_PLAN_COUNTRIES = "CASE " + " ".join(f"WHEN contains(lower(location), '{k}') THEN " + "[" + ", ".join("'" + q.replace("{n}", "' || provider_name || '") + "'" for q in qs) + "]" for k, qs in secondpass.COUNTRY_QUERIES) + " ELSE CAST([] AS VARCHAR[]) END"
+
+
+@query(
+    f"""WITH b AS (SELECT provider_id, max_by(struct_pack(src := source, s := score, u := url), struct_pack(a := score, b := -pos)) AS b FROM {{candidates}} WHERE NOT reject GROUP BY 1),
+    r AS (SELECT r.provider_id, r.status, p.provider_name, p.segment, p.location, CAST(t.terms AS VARCHAR[]) AS terms, coalesce(b.b.src, '') AS src, coalesce(b.b.s, 0) AS s, regexp_replace(regexp_replace(lower(coalesce(b.b.u, '')), '^https?://(www[.])?', ''), '/.*$', '') AS top
+      FROM (SELECT * FROM {{results}}) r JOIN (SELECT * FROM {{providers}}) p ON r.provider_id = p.provider_id JOIN {_TERMS} ON p.location = t.location LEFT JOIN b ON b.provider_id = r.provider_id WHERE r.status <> 'matched'),
+    k AS (SELECT *, CASE status WHEN 'needs_review' THEN 'A_verify_top_candidate' WHEN 'not_found' THEN 'D_registry_social_then_manual' ELSE CASE WHEN src = 'domain_guess' OR s >= 35 THEN 'B_verify_or_expand_domain_guess' ELSE 'C_broaden_search' END END AS tier, '"' || provider_name || '"' AS q FROM r),
+    l AS (SELECT provider_id, tier, top, list_concat([q || ' official website', q || ' website -linkedin -facebook -instagram -amazon', q || ' "contact"', q || ' "' || segment || '"', q || ' "' || location || '" website'], CASE WHEN top <> '' THEN ['site:' || top || ' ' || q, q || ' "' || top || '"'] ELSE [] END,
+      {_PLAN_COUNTRIES}, list_transform(terms, lambda x: q || ' "' || x || '"'), CASE WHEN status = 'not_found' THEN [q || ' LinkedIn website', q || ' Crunchbase website'] ELSE [] END) AS l FROM k),
+    u AS (SELECT provider_id, tier, top, list_filter(l, lambda x, i: list_position(l, x) = i) AS l FROM l)
+    SELECT provider_id, tier AS strategy_tier, top AS top_candidate_domain, """
+    + ", ".join(f"coalesce(l[{k}], '') AS query_{k}" for k in range(1, 9))
+    + " FROM u"
+)
 def c9_plan(spark, d):
     return _planned(spark, d).select("provider_id", "strategy_tier", "top_candidate_domain", *[f"query_{k}" for k in range(1, 9)])
 
@@ -921,7 +947,22 @@ def p13_gate_summary(spark, d):
     return regression.gate_summary(regression.gate(load(spark, d, "cases"), load(spark, d, "results")))
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {_FINAL}, c AS (SELECT provider_id, case_type, expected_url AS e, coalesce(nullif(candidate_url, ''), official_url) AS b, row_number() OVER (PARTITION BY provider_id ORDER BY pos) AS k FROM {{cases}}),
+    walk AS (
+      SELECT provider_id, CAST(0 AS BIGINT) AS k, official_url AS url, status, decision_source AS source, notes, '' AS changes FROM final_rows
+      UNION ALL
+      SELECT provider_id, k, CASE WHEN how IN ('replace', 'restore') THEN e WHEN how = 'block' THEN '' ELSE url END, CASE WHEN how IN ('replace', 'restore') THEN 'manual_accepted' WHEN how = 'block' THEN 'rejected' ELSE status END,
+        CASE WHEN how = '' THEN source ELSE label END, CASE WHEN how = '' THEN notes ELSE concat_ws('; ', nullif(notes, ''), label || ':' || case_type) END,
+        CASE WHEN how = '' THEN changes ELSE concat_ws('; ', nullif(changes, ''), CASE how WHEN 'replace' THEN 'replace_with_expected_url' WHEN 'block' THEN 'block_known_wrong_url' ELSE 'restore_known_correct_url' END) END
+      FROM (SELECT *, CASE how WHEN 'replace' THEN 'calibration_regression_replace' WHEN 'block' THEN 'calibration_regression_block' ELSE 'calibration_regression_positive' END AS label FROM (
+        SELECT w.* EXCLUDE (k), c.k, c.e, c.case_type, CASE WHEN contains(c.case_type, 'blocking') AND c.e <> '' AND ({_KEY.replace("{u}", "w.url")}) <> ({_KEY.replace("{u}", "c.e")}) THEN 'replace'
+          WHEN contains(c.case_type, 'blocking') AND w.url <> '' AND ({_KEY.replace("{u}", "w.url")}) = ({_KEY.replace("{u}", "c.b")}) THEN 'block'
+          WHEN contains(c.case_type, 'positive') AND c.e <> '' AND ({_KEY.replace("{u}", "w.url")}) <> ({_KEY.replace("{u}", "c.e")}) THEN 'restore' ELSE '' END AS how
+        FROM walk w JOIN c ON c.provider_id = w.provider_id AND c.k = w.k + 1)))
+    SELECT provider_id, url AS official_url, regexp_replace(regexp_replace(regexp_replace(lower(url), '^https?://', ''), '/.*$', ''), '^www[.]', '') AS official_domain, status, source AS decision_source, notes, changes
+    FROM (SELECT *, row_number() OVER (PARTITION BY provider_id ORDER BY k DESC) AS r FROM walk) WHERE r = 1"""
+)
 def j14_apply_cases(spark, d):
     out = regression.apply_cases(_final(spark, d), load(spark, d, "cases"))
     return out.select("provider_id", "official_url", "official_domain", "status", "decision_source", "notes", F.array_join("changes", "; ").alias("changes"))
@@ -1087,10 +1128,8 @@ def c13_independent_queries(spark, d):
 
 @query()
 def g18_g19_g22_verification(spark, d):
-    seen = load(spark, d, "pages").withColumn("host", urls.host_part(F.col("url")))
-    homes = seen.groupBy("host").agg(F.min_by("html", "page_id").alias("html"), F.min("page_id").alias("pos")).withColumn("url", F.concat(F.lit("https://"), "host", F.lit("/")))
-    found = homes.select(F.col("host").alias("provider_id"), "pos", "url", urls.base_label(F.col("host")).alias("provider_name"), F.array(F.lit("Germany")).alias("provider_locations"))
-    done = verification.verify_sites(found, pages.read_pages(homes))
+    hosts = _hosts(spark, d)
+    done = verification.verify_sites(_found_sites(hosts), pages.read_pages(hosts))
     return done.select("provider_id", "domain", "score", verification.needs_search(F.col("url"), F.col("score"), F.col("counter_evidence")).alias("search_again"), *[F.array_join(c, "; ").alias(c) for c in ("evidence_urls", "supporting_facts", "counter_evidence")])
 
 
@@ -1288,6 +1327,15 @@ def a29_batch_rollup(spark, d):
     return recommend.batch_rollup(runs.withColumns({"run_dir": F.concat(F.col("user_id").cast("string"), F.when(F.col("user_id") % 3 == 0, "_balance_tuned").otherwise("_full")), "official_url_rows": F.col("released_rows")}))
 
 
+@query(
+    f"""WITH {_SAMPLE} SELECT pos, CASE WHEN calibration_outcome LIKE 'recall%' THEN CASE WHEN contains(calibration_outcome, 'not_useful') THEN 'recall_blocking_fixture' ELSE 'recall_positive_fixture' END WHEN calibration_outcome = 'candidate_correct' THEN 'precision_positive_fixture' ELSE 'precision_blocking_fixture' END AS case_type,
+      CASE WHEN pos % 9 = 0 THEN 'https://fixed.org' WHEN calibration_outcome IN ('candidate_correct', 'recall_candidate_useful') THEN CASE WHEN pos % 2 = 0 THEN 'https://own.org' ELSE 'https://cand.org' END ELSE '' END AS expected_url FROM details WHERE decision_quality_issue = '' AND normalized_decision IN ('accept', 'reject')"""
+)
+def p12_regression_cases(spark, d):
+    rows = _sample(spark, d).withColumns({"provider_id": F.col("pos").cast("string"), "normalized_manual_url": F.expr("CASE WHEN pos % 9 = 0 THEN 'https://fixed.org' ELSE '' END"), "official_url": F.expr("CASE WHEN pos % 2 = 0 THEN ' https://own.org' ELSE '' END"), "candidate_url": F.lit("https://cand.org")})
+    return regression.build_cases(rows).select("pos", "case_type", "expected_url")
+
+
 # tags by the notes' own words
 _TAGGED = """t AS (SELECT event_id AS pos, CASE WHEN event_id % 17 = 0 THEN '' ELSE CAST(user_id AS STRING) END AS provider_id, '' AS provider_name, CASE event_type WHEN 'error' THEN 'not working' WHEN 'view' THEN 'no official' WHEN 'click' THEN 'linkedin page, timeout' WHEN 'signup' THEN 'wrong website' ELSE 'fine' END AS notes,
       CASE WHEN event_id % 4 = 0 THEN 'https://a.com' ELSE '' END AS candidate_url, CASE WHEN event_id % 8 = 0 THEN 'http://www.a.com/x' ELSE '' END AS manual_url, CASE WHEN event_id % 5 = 0 THEN 'unsure' ELSE 'accept' END AS decision FROM {events})"""
