@@ -42,6 +42,7 @@ from .common import durable, new_dir, open_fs, partitions, size_checked
 
 BLOCK_LINES = 1024
 FILE_BYTES = 256 << 20
+PORTION = 1 << 14
 RANGE_BYTES = 4 << 20
 LEAST = 100
 
@@ -203,15 +204,13 @@ class Index:
             self.at, self.lines = k, [json.loads(x) for x in raw.decode().split("\n")]
             self.keys = [x[0] for x in self.lines]
 
-    def find(self, key: str) -> list[list]:
-        """The lines of a key."""
-        out = []
+    def find(self, key: str) -> Iterator[list]:
+        """The lines of a key, a block at a time."""
         k = bisect.bisect_left(self.lasts, key)
         while k < len(self.blocks) and self.blocks[k][0] <= key:
             self.block(k)
-            out += self.lines[bisect.bisect_left(self.keys, key) : bisect.bisect_right(self.keys, key)]
+            yield from self.lines[bisect.bisect_left(self.keys, key) : bisect.bisect_right(self.keys, key)]
             k += 1
-        return out
 
 
 def located(directory: DataFrame, out_dir: str, urls: DataFrame, url_col: str = "url") -> DataFrame:
@@ -235,14 +234,23 @@ def located(directory: DataFrame, out_dir: str, urls: DataFrame, url_col: str =
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_fs(out_dir)
         index, name = None, None
+
+        def made(out: list[tuple]) -> pa.RecordBatch:
+            cols = list(zip(*out)) or [(), (), (), ()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64(), pa.int64()))], ["key", "file", "at", "length"])
+
+        # a URL may have any number of captures: they leave in portions, whatever key they are of
         for batch in batches:
-            out = []
+            out: list[tuple] = []
             for key, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if wanted != name:
                     index, name = Index(fs, f"{root}/{wanted}"), wanted
-                out += [(key, *line[2:]) for line in index.find(key)]
-            cols = list(zip(*out)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64(), pa.int64()))], ["key", "file", "at", "length"])
+                for line in index.find(key):
+                    out.append((key, *line[2:]))
+                    if len(out) >= PORTION:
+                        yield made(out)
+                        out = []
+            yield made(out)
 
     keys = urls.select(url_key(F.col(url_col)).alias("key")).distinct()
     pairs = keys.mapInArrow(routed, "key string, index string")

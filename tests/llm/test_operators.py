@@ -714,6 +714,14 @@ def test_warc_round_trip_and_lookup(spark):
     assert warc.warc_round_trip(pages.limit(0)).count() == 0
 
 
+def test_a_url_with_very_many_captures(spark):
+    """One URL with nearly all pages: its captures fill many index blocks and several portions."""
+    n = 2 * warc.PORTION + 500
+    pages = spark.range(n).selectExpr("id AS page_id", "IF(id % 1000 = 0, concat('https://b.org/', id), 'https://hot.org/x') AS url", "concat('<p>', id % 7, '</p>') AS html").repartition(3)
+    got = warc.warc_round_trip(pages)
+    assert got.count() == n == got.select("page_id").distinct().count()
+
+
 def test_warc_records_follow_the_standard(spark):
     """Read as any reader would: member by member, header lines up to a blank one, a block of the length said, two line ends."""
     import gzip
