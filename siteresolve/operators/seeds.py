@@ -61,6 +61,24 @@ def mentioned_seeds(providers: DataFrame, fields: list[str], excluded_domains: l
     return providers.select("provider_id", F.posexplode(found).alias("seed_pos", "url")).filter(~urls.excluded(F.col("url"), excluded_domains))
 
 
+# Where second-pass seeds come from, in the order in which they count.
+SEED_SOURCES = ["second_pass_top_candidate", "second_pass_input_url", "second_pass_domain_variant"]
+
+
+def seed_candidates(planned: DataFrame, fields: list[str], excluded_domains: list[str]) -> DataFrame:
+    """provider_id, pos (source, place), url, source, rank of a second pass's seeds: the planned row's top candidate, the addresses in its listing's texts (``fields``), and its name's variants; no excluded ones.
+
+    Of equal addresses of a provider the first stays. One projection a row and one grouping by provider and address.
+    """
+    top = blank(F.col("top_candidate_url"))
+    first = planned.filter((top != "") & ~urls.excluded(top, excluded_domains)).select("provider_id", F.lit(0).alias("seed_pos"), top.alias("url"))
+    parts = [first, mentioned_seeds(planned, fields, excluded_domains), domain_variants(planned, excluded_domains)]
+    each = [p.select("provider_id", F.struct(F.lit(k).alias("source_pos"), F.col("seed_pos").cast("int").alias("place")).alias("pos"), "url", F.lit(s).alias("source")) for k, (p, s) in enumerate(zip(parts, SEED_SOURCES))]
+    one = each[0].union(each[1]).union(each[2]).groupBy("provider_id", "url").agg(F.min_by("source", "pos").alias("source"), F.min("pos").alias("pos"))
+    rank = F.when(F.col("source") == SEED_SOURCES[2], 0).otherwise(F.col("pos.place") + 1)  # a variant is a guess
+    return one.select("provider_id", "pos", "url", "source", rank.alias("rank"))
+
+
 def semantic_queries(name: Column, location: Column, service: Column, most: int = 3) -> Column:
     n, place = blank(name), blank(location)
     full = lambda *p: F.trim(F.concat(*[F.lit(x) if isinstance(x, str) else x for x in p]))

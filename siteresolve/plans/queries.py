@@ -1083,6 +1083,25 @@ def c11_domain_variants(spark, d):
     return seeds.domain_variants(_providers(spark, d), EXCLUDED_DOMAINS).groupBy("provider_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    """WITH p AS (SELECT provider_id, regexp_replace(lower(provider_name), '[^a-z0-9]+', '', 'g') AS s, string_split(trim(regexp_replace(lower(provider_name), '[^a-z0-9]+', ' ', 'g')), ' ') AS w, CASE location WHEN 'Germany' THEN ['de'] WHEN 'United Kingdom' THEN ['co.uk', 'uk'] WHEN 'Ukraine' THEN ['co.uk', 'uk'] WHEN 'France' THEN ['fr'] WHEN 'Poland' THEN ['pl'] ELSE CAST([] AS VARCHAR[]) END AS t, pos FROM {providers}),
+    v AS (SELECT provider_id, pos, list_concat(t, list_filter(['com', 'co', 'io', 'net'], lambda x: NOT list_contains(t, x))) AS t, CASE WHEN s = w[1] || w[2] THEN [s] ELSE [s, w[1] || w[2]] END AS l FROM p),
+    d AS (SELECT provider_id, unnest(flatten(list_transform(l, lambda s: list_transform(t, lambda x: 'https://www.' || s || '.' || x)))) AS url, unnest(range(0, len(l) * len(t))) AS k FROM v),
+    e AS (SELECT provider_id, 'https://top' || (pos % 5) || '.com' AS url, 'second_pass_top_candidate' AS source, 0 AS a, 0 AS k FROM p WHERE pos % 4 <> 0 AND pos % 4 <> 1
+      UNION ALL SELECT provider_id, 'https://www.shop' || (pos % 5) || '.de', 'second_pass_input_url', 1, 0 FROM p UNION ALL SELECT provider_id, 'https://top' || (pos % 3) || '.com', 'second_pass_input_url', 1, 1 FROM p UNION ALL SELECT provider_id, url, 'second_pass_domain_variant', 2, k FROM d),
+    f AS (SELECT *, row_number() OVER (PARTITION BY provider_id, url ORDER BY a, k) AS r FROM e) SELECT provider_id, url, source, CASE WHEN a = 2 THEN 0 ELSE CAST(k + 1 AS INT) END AS rank FROM f WHERE r = 1"""
+)
+def c11_seed_candidates(spark, d):
+    planned = _providers(spark, d).withColumns(
+        {
+            "top_candidate_url": F.expr("CASE WHEN pos % 4 = 0 THEN '' WHEN pos % 4 = 1 THEN 'https://www.linkedin.com/x' ELSE 'https://top' || (pos % 5) || '.com' END"),
+            "about_listing_text": F.expr("'See www.shop' || (pos % 5) || '.de, or'"),
+            "service_description": F.expr("'top' || (pos % 3) || '.com; facebook.com/x'"),
+        }
+    )
+    return seeds.seed_candidates(planned, ["about_listing_text", "service_description"], EXCLUDED_DOMAINS).select("provider_id", "url", "source", "rank")
+
+
 @query(
     """WITH q AS (SELECT provider_id, ['official company website for "' || provider_name || '" Amazon seller service provider ' || location, '"' || provider_name || '" ecommerce agency marketplace services official site contact ' || location, '"' || provider_name || '" Amazon Seller Central marketplace agency official website contact'] AS l FROM {providers})
     SELECT provider_id, CAST(k AS INTEGER) AS query_pos, l[k + 1] AS query FROM q, generate_series(0, 2) AS t(k)"""
