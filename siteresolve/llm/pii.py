@@ -289,7 +289,10 @@ def model(candidates_by_row: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     # at most 3 ** labelers patterns a kind
     counts = sorted((r["kind"], r["votes"], r["count"]) for r in each.groupBy("kind", "votes").count().collect())
     posterior = {k: reliabilities([x[1:] for x in g])[2] for k, g in groupby(counts, lambda x: x[0])}
-    few = each.select(F.xxhash64("id", "kind", "start", "votes").alias("h"), "kind", "votes", "features").orderBy("h", "kind", "votes", "features").limit(sample).toArrow()
+    # a cut of the hashes' range that some twice the sample pass, whatever the number of candidates, so that little more than the sample is sorted
+    cut = int(-(1 << 63) + (1 << 64) * min(1.0, 2 * sample / max(1, sum(n for _, _, n in counts)))) - 1
+    hashed = each.select(F.xxhash64("id", "kind", "start", "votes").alias("h"), "kind", "votes", "features").filter(F.col("h") <= min(cut, (1 << 63) - 1))
+    few = hashed.orderBy("h", "kind", "votes", "features").limit(sample).toArrow()
     target = np.array([posterior[k][v] for k, v in zip(few["kind"].to_pylist(), few["votes"].to_pylist())])
     return fitted(few["features"].to_pylist(), target)
 

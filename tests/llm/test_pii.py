@@ -130,6 +130,16 @@ def test_scan_equals_a_plain_version(spark):
     assert any(w[-1] for w in want)
 
 
+def test_the_sample_is_cut_by_hash(spark):
+    """Many more candidates than the sample takes: the model still tells them, and does so alike however rows are dealt."""
+    rows = planted(random.Random(6), 1200)
+    table = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    one, other = (pii.model(pii.found(table.repartition(n)), sample=150) for n in (2, 7))
+    assert np.array_equal(one, other) and np.abs(one).max() > 0
+    everything = pii.model(pii.found(table), sample=10**6)
+    assert not np.array_equal(one, everything)
+
+
 def test_scan_without_rows_or_candidates(spark):
     schema = "doc_id string, text string"
     assert pii.scan(spark.createDataFrame([], schema)).count() == 0
