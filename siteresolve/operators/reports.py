@@ -79,6 +79,32 @@ def _conflict():
     return F.lower(blank(F.col("counter_evidence"))).contains("name") | F.lower(blank(F.col("reason_for_unsure"))).contains("conflict") | (F.col("decision") == "unsure")
 
 
+def verification_recommendations(checks: DataFrame, learned_domains: DataFrame | None = None, least_accepts: int = 2, least_conflicts: int = 3, examples: int = 50, shown_queries: int = 10, pos: str = "pos") -> DataFrame:
+    """kind, action, domain, n, safe_to_apply, examples: what verification rows recommend.
+
+    excluded_domain: a row per domain rejected again and again or known as no company's site, and per domain of ``learned_domains`` (domain) that has none yet; second_pass_query: queries
+    that led to replacements more than once (``examples``: the first by name); threshold_review and identity_constraint: rows in doubt, if there are enough (examples: ids of the first
+    by ``pos``); labels_only, if nothing else is recommended and there are rows at all. Groupings and one pass; what is listed is cut task by task.
+    """
+    none = F.array().cast("array<string>")
+    row = lambda df, kind, action, safe, domain=F.lit(""), listed=none: df.select(F.lit(kind).alias("kind"), F.lit(action).alias("action"), domain.alias("domain"), F.col("n").cast("long").alias("n"), F.lit(safe).alias("safe_to_apply"), listed.alias("examples"))
+    domains = row(rejected_domains(checks).withColumnRenamed("rejections", "n"), "excluded_domain", "add_to_excluded_domains", True, F.col("domain"))
+    if learned_domains is not None:
+        more = learned_domains.select(blank(F.col("domain")).alias("domain")).filter("domain <> ''").distinct().join(domains.select("domain"), "domain", "left_anti").withColumn("n", F.lit(1))
+        domains = domains.unionByName(row(more, "excluded_domain", "add_to_excluded_domains", True, F.col("domain")))
+    asked = replacement_queries(checks)
+    first = asked.orderBy("query").limit(shown_queries).agg(F.sort_array(F.collect_list("query")).alias("l"))
+    queries = row(asked.agg(F.sum("replacements").alias("n")).filter("n > 0").crossJoin(first), "second_pass_query", "review_second_pass_query_templates", False, listed=F.col("l"))
+    counts = doubts(checks)
+    accepts = row(counts.select(F.col("low_score_accepts").alias("n")).filter(F.col("n") >= least_accepts), "threshold_review", "evaluate_strong_evidence_rule_or_threshold", False)
+    doubted = checks.filter(_conflict()).orderBy(pos).limit(examples).agg(F.transform(F.sort_array(F.collect_list(F.struct(F.col(pos).alias("p"), blank(F.col("provider_id")).alias("i")))), lambda x: x["i"]).alias("l"))
+    identity = row(counts.select(F.col("name_conflicts").alias("n")).filter(F.col("n") >= least_conflicts).crossJoin(doubted), "identity_constraint", "write_identity_regression_fixtures", False, listed=F.col("l"))
+    found = domains.unionByName(queries).unionByName(accepts).unionByName(identity)
+    # one-row sides: whether anything was found, and whether there are rows
+    alone = checks.agg(F.count(F.lit(1)).alias("rows")).crossJoin(found.agg(F.count(F.lit(1)).alias("found"))).filter("rows > 0 AND found = 0").withColumn("n", F.lit(0))
+    return found.unionByName(row(alone, "labels_only", "keep_as_labels_and_evidence", False))
+
+
 def identity_fixtures(checks: DataFrame, pos: str = "pos") -> DataFrame:
     """The first row in doubt per provider and candidate address, with the outcome that a regression run expects of it."""
     kept = ["candidate_url", "decision", "evidence_score", "counter_evidence", "reason_for_unsure"]

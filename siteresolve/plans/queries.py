@@ -1485,6 +1485,20 @@ def a22_doubts(spark, d):
     return reports.doubts(load(spark, d, "checks"))
 
 
+@query(
+    f"""WITH c AS (SELECT regexp_extract(candidate_url, '^https://www[.]([^/]*)', 1) AS domain, count(*) AS n FROM {{checks}} WHERE decision = 'reject' GROUP BY 1), r AS (SELECT * FROM c WHERE domain <> '' AND (n >= 2 OR domain = 'linkedin.com')),
+    q AS (SELECT trim(q) AS query, count(*) AS n FROM (SELECT unnest(string_split(independent_search_queries, ';')) AS q FROM {{checks}} WHERE decision = 'replace') WHERE trim(q) <> '' GROUP BY 1 HAVING count(*) >= 2),
+    b AS (SELECT provider_id, pos, row_number() OVER (ORDER BY pos) AS k FROM {{checks}} WHERE {_DOUBT})
+    SELECT 'excluded_domain' AS kind, domain, n, TRUE AS safe_to_apply, '' AS examples FROM r UNION ALL SELECT 'excluded_domain', 'learned.org', 1, TRUE, ''
+    UNION ALL SELECT 'second_pass_query', '', CAST(sum(n) AS BIGINT), FALSE, (SELECT string_agg(query, '|' ORDER BY query) FROM (SELECT query FROM q ORDER BY query LIMIT 10)) FROM q HAVING count(*) > 0
+    UNION ALL SELECT 'threshold_review', '', count(*), FALSE, '' FROM {{checks}} WHERE decision = 'accept' AND CAST(evidence_score AS INT) < 70 HAVING count(*) >= 2
+    UNION ALL SELECT 'identity_constraint', '', count(*), FALSE, string_agg(provider_id, '|' ORDER BY k) FILTER (k <= 50) FROM b HAVING count(*) >= 3"""
+)
+def a22_recommendations(spark, d):
+    learned = spark.createDataFrame([("learned.org",), ("linkedin.com",), (None,)], "domain string")
+    return reports.verification_recommendations(load(spark, d, "checks"), learned).select("kind", "domain", "n", "safe_to_apply", F.array_join("examples", "|").alias("examples"))
+
+
 @query(f"SELECT provider_id, candidate_url, arg_min(decision, pos) AS decision, arg_min(evidence_score, pos) AS evidence_score, 'needs_identity_review' AS expected_outcome FROM {{checks}} WHERE {_DOUBT} GROUP BY 1, 2")
 def a24_identity_fixtures(spark, d):
     return reports.identity_fixtures(load(spark, d, "checks")).select("provider_id", "candidate_url", "decision", "evidence_score", "expected_outcome")

@@ -1,6 +1,6 @@
 """Reasons, queues and recommendations on worked rows."""
 
-from siteresolve.operators import recommend
+from siteresolve.operators import recommend, reports
 
 
 def test_priority_reasons(spark):
@@ -52,3 +52,13 @@ def test_lanes_without_decisive_labels_and_clean_ones(spark):
     df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "pos int, review_reason string, lane_kind string, calibration_outcome string, normalized_decision string, decision_quality_issue string")
     got = [(r["review_reason"], r["recommendation"], r["evidence_strength"], r["decisive_rows"]) for r in recommend.lane_recommendations(df).orderBy("rank").collect()]
     assert got == [("q", "keep_review_lane", "blocked", 10), ("p", "candidate_for_review_downgrade", "minimum_support", 5), ("r", "candidate_for_narrow_recall_rule", "strong_support", 12), ("i", "needs_more_labels", "unlabeled", 0), ("u", "needs_more_labels", "unlabeled", 0)]
+
+
+def test_verification_recommendations(spark):
+    schema = "pos int, provider_id string, decision string, candidate_url string, evidence_score string, counter_evidence string, reason_for_unsure string, independent_search_queries string"
+    rows = [(1, "1", "accept", "https://a.com", "90", "", "", ""), (2, "2", "reject", "https://b.com", "9", "", "", "")]
+    kinds = lambda r: {(x["kind"], x["domain"], x["n"]) for x in reports.verification_recommendations(spark.createDataFrame(r, schema)).collect()}
+    assert kinds(rows) == {("labels_only", "", 0)}
+    assert kinds([]) == set()
+    more = [(3, "3", "reject", "https://b.com/x", "9", "", "", ""), (4, "4", "reject", "https://linkedin.com/x", "9", "", "", ""), (5, "5", "replace", "", "", "", "", "q1; q2"), (6, "6", "replace", "", "", "", "", "q1")]
+    assert kinds(rows + more) == {("excluded_domain", "b.com", 2), ("excluded_domain", "linkedin.com", 1), ("second_pass_query", "", 2)}
