@@ -38,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import released
 from .words import PUNCTUATION, text_parts, word_hashes
 
 STRIDE = 32
@@ -215,7 +216,7 @@ def frequencies(docs: DataFrame, vocabulary: np.ndarray, text_col: str) -> tuple
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, n, total = Terms(vocabulary), 0, np.zeros(len(vocabulary), np.int64)
-        for batch in batches:
+        for batch in released(batches):
             for _, _, _, p in parts(batch.column(0), terms):
                 n += p.n
                 total += np.bincount(p.term, minlength=len(vocabulary))
@@ -244,7 +245,7 @@ def latent_basis(docs: DataFrame, items: Items, weights: np.ndarray, text_col: s
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, total = Terms(items.vocabulary), np.zeros((d, rank), np.float32)
-        for batch in batches:
+        for batch in released(batches):
             for _, _, _, p in parts(batch.column(0), terms):
                 own, some = p.times(weights, draw, often)
                 y = np.zeros((p.n, rank), np.float32)
@@ -302,7 +303,7 @@ def _search(docs: DataFrame, rows: list[tuple[int, str]], id_col: str, text_col:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, weights, often, basis, targets, places, least = sent.value
         terms = Terms(items.vocabulary)
-        for batch in batches:
+        for batch in released(batches):
             doc_ids, out = batch.column(0), []
             for a, words, counts, p in parts(batch.column(1), terms):
                 own, z = p.times(weights, basis, often)

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import released
+
 SAMPLE_TEXTS = 64
 DICTIONARY_BYTES = 128 << 10
 PIECE = 1024
@@ -117,8 +119,9 @@ def classify(docs: DataFrame, content: dict[str, bytes], least_margin: float = L
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Compressors(sent.value)
-        for batch in batches:
-            found = [model.predict(x) for x in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
+        for batch in released(batches):
+            # one text at a time: a worker never holds a batch's texts a second time
+            found = [model.predict(x.as_py()) for x in batch.column(batch.schema.get_field_index(text_col))]
             lang, margin = pa.array([x for x, _ in found], pa.string()), [m for _, m in found]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, lang, pa.array([min(1.0, 10 * m) for m in margin], pa.float64()), pa.array([x != "und" and m >= least_margin for x, m in found], pa.bool_())],

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, size_checked
+from .common import durable, released, size_checked
 from .components import UnionFind, components
 from .words import mixed, text_parts, window_hashes, word_hashes
 
@@ -135,7 +135,7 @@ def signed(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
     """Per row: id, n, set_a, set_b (hashes of the whole set), bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for a, b, raw, offs in text_parts(batch.column(1), SIGN_BYTES):
                 h, counts = shingle_sets(raw, offs, k)
                 edge = np.append(0, np.cumsum(counts))
