@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -51,11 +52,14 @@ def size_checked(df: DataFrame, row_bytes: int) -> DataFrame:
 
 
 def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``batches``; after each, memory that Arrow has freed but keeps goes back to the system, since workers stay alive for the stages that follow."""
+    """``batches``; after each, freed memory that Arrow and the C library keep goes back to the system, since workers stay alive for the stages that follow."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
     for batch in batches:
         yield batch
         del batch
         pa.default_memory_pool().release_unused()
+        if trim:
+            trim(0)
 
 
 def open_fs(uri: str):
