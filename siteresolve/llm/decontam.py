@@ -17,11 +17,12 @@ items, since only they add to a cosine with an item.
 
 All terms that stand in some passage take part in candidate search, by the smoothed IDF
 1 + log((n + 1) / (df + 1)): an altered item's kept words count even where they are in most passages,
-and words of no passage, which can't add to a cosine, take nothing from it. Terms in more than COMMON
-of all passages are multiplied as dense columns, the others one by one. Items are searched in blocks
+and words of no passage, which can't add to a cosine, take nothing from it. Of each part of the texts, terms in more than
+COMMON of the passages are multiplied as dense columns, the others as dense blocks of some passages (ROWS at most, with about ENTRIES
+entries) by the terms in them. Items are searched in blocks
 of about BLOCK_BYTES of text, and their vectors are kept as entries, not as a matrix: what goes to the tasks is a
-few times BLOCK_BYTES, the basis (RANK numbers a term) and at most PLACES counts of terms by item. These
-counts leave out pairs early; a block that has more of them, or an item of more than LONGEST_BOUNDED words,
+few times BLOCK_BYTES and the basis (RANK numbers a term). Counts of terms by item
+leave out pairs early; a block of more than PLACES terms by items, or an item of more than LONGEST_BOUNDED words,
 goes without, with the same results.
 
 Extra columns are ignored, whatever their names. Null or empty texts have no passages; items without words match nothing; a document shorter than a
@@ -44,6 +45,7 @@ from .words import PUNCTUATION, text_parts, word_hashes
 STRIDE = 32
 RANK = 128
 COMMON = 0.01
+ROWS, ENTRIES = 128, 512
 SLICE = 256
 BLOCK_BYTES = 4 << 20
 PLACES = 1 << 24
@@ -52,97 +54,163 @@ LEAST_COSINE = 0.3
 
 
 class Terms:
-    """Places of hashed words in a sorted vocabulary."""
+    """Places of hashed words in a sorted vocabulary, by a table over the words' last bits."""
 
     def __init__(self, vocabulary: np.ndarray):
         self.vocabulary = vocabulary
-        self.maybe = np.zeros(1 << 16, bool)
-        self.maybe[(vocabulary & np.uint64(0xFFFF)).astype(np.int64)] = True
+        self.mask = np.uint64((1 << min(22, max(16, (16 * len(vocabulary)).bit_length()))) - 1)
+        last = (vocabulary & self.mask).astype(np.int64)
+        self.place = np.argsort(last, kind="stable")
+        self.words, last = vocabulary[self.place], last[self.place]
+        self.more = np.append(last[1:] == last[:-1], False)  # the next word has the same last bits
+        some, first = np.unique(last, return_index=True)
+        self.first = np.full(int(self.mask) + 1, -1, np.int32)
+        self.first[some] = first
 
     def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of the words that are terms, and the terms' places."""
-        at = np.flatnonzero(self.maybe[(words & np.uint64(0xFFFF)).astype(np.int64)])
-        place = np.minimum(np.searchsorted(self.vocabulary, words[at]), len(self.vocabulary) - 1)
-        same = self.vocabulary[place] == words[at]
-        return at[same], place[same]
+        k = self.first[(words & self.mask).astype(np.int64)]
+        at = np.flatnonzero(k >= 0)
+        k, words = k[at], words[at]
+        left = np.flatnonzero(self.words[k] != words)
+        while len(left := left[self.more[k[left]]]):
+            k[left] += 1
+            left = left[self.words[k[left]] != words[left]]
+        same = self.words[k] == words
+        return at[same], self.place[k[same]]
 
 
 class Passages:
-    """The term counts of the passages of some rows: passage, term, count; and where each passage is."""
+    """The term counts of the passages of some rows, and where each passage is.
+
+    A row has slots of STRIDE words, one more than it has passages: passage k takes slots k and k + 1. Terms that these rows
+    use in more than COMMON of the passages (``often``) are counted in a column each, the others as passage, term and count.
+    """
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, terms: Terms):
-        slots = -(-counts // STRIDE)
-        per_row = np.where(counts > 0, np.maximum(1, slots - 1), 0)
+        per_row = np.where(counts > 0, np.maximum(1, -(-counts // STRIDE) - 1), 0)
         first = np.cumsum(per_row) - per_row
         self.n = int(per_row.sum())
         self.row = np.repeat(np.arange(len(counts)), per_row)
         self.slot = np.arange(self.n) - np.repeat(first, per_row)
-        at, place = terms.find(words)
-        self.at, self.place = at, place  # all words that are terms, in order
+        self.at, self.place = terms.find(words)  # all words that are terms, in order
+        self.first_slot = first + np.cumsum(counts > 0) - (counts > 0)
+        self.last_slot = self.first_slot + per_row
+        self.begin = self.first_slot[self.row] + self.slot  # first slot of each passage
+        self.slots = self.n + int((counts > 0).sum())
         start = np.cumsum(counts) - counts
-        row = np.repeat(np.arange(len(counts)), counts)[at]
-        slot = (at - start[row]) // STRIDE
-        inside = slot < per_row[row]
-        before = slot > 0
-        d = len(terms.vocabulary)
-        key = np.concatenate([(first[row] + slot)[inside] * d + place[inside], (first[row] + slot - 1)[before] * d + place[before]])
+        row = np.repeat(np.arange(len(counts)), counts)[self.at]
+        slot = self.first_slot[row] + (self.at - start[row]) // STRIDE
+        self.d = len(terms.vocabulary)
+        self.often = np.flatnonzero(np.bincount(self.place, minlength=self.d) > COMMON * self.n)
+        column = np.full(self.d, -1)
+        column[self.often] = np.arange(len(self.often))
+        column = column[self.place]
+        many = column >= 0
+        self.by_slot = np.zeros((self.slots, len(self.often)), np.uint8)
+        np.add.at(self.by_slot.reshape(-1), slot[many] * len(self.often) + column[many], np.uint8(1))
+        self.dense = self.by_slot[self.begin] + self.by_slot[self.begin + 1]
+        few = np.flatnonzero(~many)
+        self.few_slot, self.few_term, row = slot[few], self.place[few], row[few]
+        passage = self.few_slot - (self.first_slot - first)[row]
+        inside = self.few_slot < self.last_slot[row]
+        before = self.few_slot > self.first_slot[row]
+        key = np.concatenate([passage[inside] * self.d + self.few_term[inside], (passage[before] - 1) * self.d + self.few_term[before]])
         key, self.count = np.unique(key, return_counts=True)
-        self.passage, self.term = key // d, key % d
-
-    def weighted(self, weights: np.ndarray, often: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """TF-IDF matrix A: its columns of the terms at ``often``, and passage, term and value of its other entries that aren't 0."""
-        often = np.zeros(0, np.int64) if often is None else often
-        column = np.full(len(weights), -1)
-        column[often] = np.arange(len(often))
-        value, at = (weights[self.term] * (1 + np.log(self.count))).astype(np.float32), column[self.term]
-        dense = np.zeros((self.n, len(often)), np.float32)
-        many = at >= 0
-        dense[self.passage[many], at[many]] = value[many]
-        few = ~many & (value > 0)
-        return dense, self.passage[few], self.term[few], value[few]
-
-    def times(self, weights: np.ndarray, matrix: np.ndarray, often: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Passages with a term of some weight, and their rows of A @ matrix."""
-        dense, passage, term, value = self.weighted(weights, often)
-        rows = dense @ matrix[often] if dense.shape[1] else np.zeros((self.n, matrix.shape[1]), np.float32)
-        if len(passage):
-            begin = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
-            rows[passage[begin]] += np.add.reduceat(matrix[term] * value[:, None], begin, axis=0)
-        own = np.unique(self.passage[weights[self.term] > 0])
-        return own, rows[own]
-
-    def shared(self, places: np.ndarray, often: np.ndarray, length: int, own: np.ndarray) -> np.ndarray:
-        """Upper bounds, by passage of ``own`` and item, of the item's words (``places``: term x item) that stand in the passage widened by ``length`` words."""
-        reach = min(-(-length // STRIDE), self.n - 1)
-        steps = np.arange(-reach, reach + 1)
-        around = own[:, None] + steps
-        inside = (around >= 0) & (around < self.n)
-        around = np.clip(around, 0, self.n - 1)
-        inside &= self.row[around] == self.row[own][:, None]
-        needed = np.unique(around[inside])
-        at = np.zeros(self.n, np.int64)
-        at[needed] = np.arange(len(needed))
-        wanted = np.zeros(self.n, bool)
-        wanted[needed] = True
-        some = wanted[self.passage]
-        passage, term = at[self.passage[some]], self.term[some]
-        column = np.full(len(places), -1)
-        column[often] = np.arange(len(often))
-        column = column[term]
+        self.passage, self.term = key // self.d, key % self.d
+        self._matrix: tuple[np.ndarray, list[tuple[int, int, np.ndarray, np.ndarray]]] | None = None
+
+    def with_term(self) -> np.ndarray:
+        """Number of passages with each term."""
+        out = np.bincount(self.term, minlength=self.d)
+        out[self.often] += np.count_nonzero(self.dense, axis=0)
+        return out
+
+    def matrix(self) -> tuple[np.ndarray, list[tuple[int, int, np.ndarray, np.ndarray]]]:
+        """The passages' damped term counts 1 + log(count): columns of the terms ``often``; of the others, for each few passages (from, to) the terms in them and these terms' columns."""
+        if self._matrix is None:
+            damped = np.append(0, 1 + np.log(np.arange(1, 2 * STRIDE + 1))).astype(np.float32)
+            dense = np.zeros(self.dense.size, np.float32)
+            some = np.flatnonzero(self.dense.ravel() != 0)
+            dense[some] = damped[self.dense.ravel()[some]]
+            blocks, value = [], damped[self.count]
+            step = min(ROWS, max(1, ENTRIES * self.n // max(1, len(value))))
+            cuts = np.searchsorted(self.passage, np.arange(0, self.n + step, step)).tolist()
+            for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
+                if lo < hi:
+                    own, column = np.unique(self.term[lo:hi], return_inverse=True)
+                    block = np.zeros((min(step, self.n - k * step), len(own)), np.float32)
+                    block[self.passage[lo:hi] - k * step, column] = value[lo:hi]
+                    blocks.append((k * step, k * step + len(block), own, block))
+            self._matrix = dense.reshape(self.dense.shape), blocks
+        return self._matrix
+
+    def product(self, matrix: np.ndarray) -> np.ndarray:
+        """Damped term counts @ matrix."""
+        dense, blocks = self.matrix()
+        out = dense @ matrix[self.often]
+        for lo, hi, own, block in blocks:
+            out[lo:hi] += block @ matrix[own]
+        return out
+
+    def add_transposed(self, y: np.ndarray, total: np.ndarray) -> None:
+        """Adds transposed damped term counts @ y to ``total``."""
+        dense, blocks = self.matrix()
+        total[self.often] += dense.T @ y
+        for lo, hi, own, block in blocks:
+            total[own] += block.T @ y[lo:hi]
+
+    def with_terms(self) -> np.ndarray:
+        """Passages with a term."""
+        some = self.dense.any(axis=1)
+        some[self.passage] = True
+        return np.flatnonzero(some)
+
+    def times(self, weights: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Passages with a term, and their rows of A @ matrix, A being the TF-IDF matrix."""
+        own = self.with_terms()
+        return own, self.product(weights[:, None] * matrix)[own]
+
+    def shared(self, items: Items, own: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """By passage of ``own`` and item, whether at least ``least`` of the item's words may stand in the passage widened by the item's length; items come in order of length."""
+        out = np.zeros((len(own), len(items.words)), bool)
+        begin, row = self.begin[own], self.row[own]
+        first, last = self.first_slot[row], self.last_slot[row]
+        column = np.full(self.d, -1)
+        column[self.often] = np.arange(len(self.often))
+        column = column[items.entry_term]
         many = column >= 0
-        here = np.zeros((len(needed) + 1, len(often)), np.float32)  # the last rows stay empty
-        here[passage[many], column[many]] = 1
-        few = np.zeros((len(needed) + 1, places.shape[1]), np.float32)
-        passage, term = passage[~many], term[~many]
-        if len(passage):
-            begin = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
-            few[passage[begin]] = np.add.reduceat(places[term], begin, axis=0)
-        near, most = np.zeros((len(own), len(often)), np.float32), np.zeros((len(own), places.shape[1]), np.float32)
-        for k in range(len(steps)):
-            row = np.where(inside[:, k], at[around[:, k]], len(needed))
-            np.maximum(near, here[row], out=near)
-            most += few[row]
-        return most + near @ places[often]
+        places = np.zeros((len(self.often), len(items.words)), np.float32)
+        places[column[many], items.entry_item[many]] = items.entry_count[many]
+        few = self._few_shared(items)
+        near, reached = self.by_slot[begin], -1
+        reaches, starts = np.unique(items.reach, return_index=True)
+        for reach, a, b in zip(reaches.tolist(), starts, np.append(starts[1:], len(items.reach))):
+            for k in range(reached + 1, reach + 1):  # slots on either side
+                np.maximum(near, self.by_slot[np.maximum(begin - k, first)], out=near)
+                np.maximum(near, self.by_slot[np.minimum(begin + 1 + k, last)], out=near)
+            reached = reach
+            n = (near != 0).astype(np.float32) @ places[:, a:b]
+            n += few[np.minimum(begin + 1 + reach, last) + 1, a:b] - few[np.maximum(begin - reach, first), a:b]
+            out[:, a:b] = n >= least[a:b]
+        return out
+
+    def _few_shared(self, items: Items) -> np.ndarray:
+        """By slot and item, how many of the item's words are none of the terms ``often`` and stand in the slots before, counted once a slot."""
+        out = np.zeros((self.slots + 1, len(items.words)), np.int32)
+        flat = out.reshape(-1)
+        key = np.unique(self.few_slot * self.d + self.few_term)
+        slot, term = key // self.d, key % self.d
+        n = np.diff(items.entries_of)[term]
+        to = np.cumsum(n)
+        cuts = np.searchsorted(to, np.arange(1 << 20, n.sum() + (1 << 20), 1 << 20)) + 1
+        lo = 0
+        for hi in np.minimum(cuts, len(n)).tolist():
+            part = n[lo:hi]
+            at = np.arange(part.sum()) + np.repeat(items.entries_of[term[lo:hi]] - (np.cumsum(part) - part), part)
+            np.add.at(flat, np.repeat((slot[lo:hi] + 1) * len(items.words), part) + items.entry_item[at], items.entry_count[at])
+            lo = hi
+        return np.cumsum(out, axis=0, dtype=np.int32, out=out)
 
 
 def parts(column: pa.Array, terms: Terms) -> Iterator[tuple[int, np.ndarray, np.ndarray, Passages]]:
@@ -162,6 +230,12 @@ class Items:
         self.answers = [w[-answer_words:] if answer_words else w for w in self._words([max(x.rpartition(". ")[2], x.rpartition("? ")[2], key=lambda y: -len(y)) for x in last])]
         self.vocabulary = np.unique(np.concatenate(self.words)) if rows else np.zeros(0, np.uint64)
         self.terms = [np.searchsorted(self.vocabulary, w) for w in self.words]
+        self.reach = np.array([-(-len(w) // STRIDE) for w in self.words], np.int64)
+        # counts of terms by item, in order of term; those of term t are from entries_of[t] to entries_of[t + 1]
+        item, term, count = self.counts()
+        order = np.argsort(term, kind="stable")
+        self.entry_term, self.entry_item, self.entry_count = term[order], item[order], count[order].astype(np.int32)
+        self.entries_of = np.searchsorted(self.entry_term, np.arange(len(self.vocabulary) + 1))
         self.masks = [bit_places(t) for t in self.terms]
         self.answer_masks = [bit_places(np.searchsorted(self.vocabulary, a)) for a in self.answers]
 
@@ -173,12 +247,17 @@ class Items:
             out += np.split(h, np.cumsum(counts)[:-1])
         return out
 
-    def vectors(self, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Item, term and value of each entry of the items' TF-IDF matrix, in order of item and term."""
+    def counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Item, term and count of each term of an item, in order of item and term."""
         found = [np.unique(t, return_counts=True) for t in self.terms]
         item = np.repeat(np.arange(len(found)), [len(t) for t, _ in found])
         term = np.concatenate([t for t, _ in found]) if found else np.zeros(0, np.int64)
         count = np.concatenate([c for _, c in found]) if found else np.zeros(0, np.int64)
+        return item, term, count
+
+    def vectors(self, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Item, term and value of each entry of the items' TF-IDF matrix, in order of item and term."""
+        item, term, count = self.counts()
         return item, term, (weights[term] * (1 + np.log(np.maximum(count, 1)))).astype(np.float32)
 
     def times(self, weights: np.ndarray, matrix: np.ndarray) -> np.ndarray:
@@ -219,7 +298,7 @@ def frequencies(docs: DataFrame, vocabulary: np.ndarray, text_col: str) -> tuple
         for batch in released(batches):
             for _, _, _, p in parts(batch.column(0), terms):
                 n += p.n
-                total += np.bincount(p.term, minlength=len(vocabulary))
+                total += p.with_term()
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(total[some], n))], ["term", "n"])
 
@@ -237,28 +316,18 @@ def term_weights(n: int, df: np.ndarray) -> np.ndarray:
     return np.where(df > 0, 1 + np.log((n + 1) / (df + 1)), 0).astype(np.float32)
 
 
-def latent_basis(docs: DataFrame, items: Items, weights: np.ndarray, text_col: str, rank: int = RANK, seed: int = 5, often: np.ndarray | None = None) -> np.ndarray:
+def latent_basis(docs: DataFrame, items: Items, weights: np.ndarray, text_col: str, rank: int = RANK, seed: int = 5) -> np.ndarray:
     """V (D x rank): approximate right singular vectors of the passages' TF-IDF matrix, items included as rows."""
     d = len(items.vocabulary)
     rank = min(rank, d)
     draw = np.random.default_rng(seed).standard_normal((d, rank)).astype(np.float32)
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, total = Terms(items.vocabulary), np.zeros((d, rank), np.float32)
+        terms, weighted, total = Terms(items.vocabulary), weights[:, None] * draw, np.zeros((d, rank), np.float32)
         for batch in released(batches):
             for _, _, _, p in parts(batch.column(0), terms):
-                own, some = p.times(weights, draw, often)
-                y = np.zeros((p.n, rank), np.float32)
-                y[own] = some
-                dense, passage, term, value = p.weighted(weights, often)
-                if dense.shape[1]:
-                    total[often] += dense.T @ y
-                if not len(term):
-                    continue
-                order = np.argsort(term, kind="stable")
-                term = term[order]
-                begin = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
-                total[term[begin]] += np.add.reduceat(y[passage[order]] * value[order, None], begin, axis=0)
+                p.add_transposed(p.product(weighted), total)
+        total *= weights[:, None]
         for k in range(0, d, SLICE):
             if (piece := total[k : k + SLICE]).any():
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([piece.tobytes()], pa.binary())], ["at", "sums"])
@@ -286,44 +355,42 @@ def latent_basis(docs: DataFrame, items: Items, weights: np.ndarray, text_col: s
 def _search(docs: DataFrame, rows: list[tuple[int, str]], id_col: str, text_col: str, alone: float, answered: float, least_cosine: float, answer_words: int | None) -> DataFrame:
     items = Items(rows, answer_words)
     n, df = frequencies(docs, items.vocabulary, text_col)
-    weights, often = term_weights(n, df), np.flatnonzero(df > COMMON * n)
-    basis = latent_basis(docs, items, weights, text_col, often=often)
+    weights = term_weights(n, df)
+    basis = latent_basis(docs, items, weights, text_col)
     targets = items.times(weights, basis)
     norms = np.linalg.norm(targets, axis=1)
     targets = (targets / np.where(norms > 0, norms, 1)[:, None]).T.copy()
-    longest = max(map(len, items.words))
-    places = None
-    if longest <= LONGEST_BOUNDED and len(items.vocabulary) * len(items.words) <= PLACES:
-        places = np.zeros((len(items.vocabulary), len(items.words)), np.float32)
-        for k, t in enumerate(items.terms):
-            np.add.at(places[:, k], t, 1)
+    bounded = max(map(len, items.words)) <= LONGEST_BOUNDED and len(items.vocabulary) * len(items.words) <= PLACES
     least = np.array([answered * len(w) for w in items.words], np.float32) - 0.001
-    sent = docs.sparkSession.sparkContext.broadcast((items, weights, often, basis, targets, places, least))
+    sent = docs.sparkSession.sparkContext.broadcast((items, weights[:, None] * basis, targets, bounded, least))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, weights, often, basis, targets, places, least = sent.value
-        terms = Terms(items.vocabulary)
+        items, weighted, targets, bounded, least = sent.value
+        terms, lengths = Terms(items.vocabulary), np.array([len(w) for w in items.words])
         for batch in released(batches):
             doc_ids, out = batch.column(0), []
             for a, words, counts, p in parts(batch.column(1), terms):
-                own, z = p.times(weights, basis, often)
+                own = p.with_terms()
+                z = p.product(weighted)[own]
                 size = np.linalg.norm(z, axis=1)
                 cosine = (z @ targets) / np.where(size > 0, size, 1)[:, None]
                 likely = cosine >= least_cosine
-                if places is not None:  # pairs without enough words in common are left out at once
+                if bounded:  # pairs without enough words in common are left out at once
                     some = np.flatnonzero(likely.any(axis=1))
-                    likely[some] &= p.shared(places, often, longest, own[some]) >= least
+                    likely[some] &= p.shared(items, own[some], least)
                 start = np.cumsum(counts) - counts
                 best: dict[tuple[int, int], tuple] = {}
                 present = np.zeros(len(items.vocabulary), bool)
-                for k, i in zip(*np.nonzero(likely)):
-                    row, slot, n = int(p.row[own[k]]), int(p.slot[own[k]]), len(items.words[i])
-                    lo = max(0, slot * STRIDE - n)
-                    hi = min(int(counts[row]), (slot + 2) * STRIDE + n)
-                    # words that aren't terms match nothing in an item
-                    part = p.place[slice(*np.searchsorted(p.at, (start[row] + lo, start[row] + hi)))]
+                ks, ofs = np.nonzero(likely)
+                rows, slots = p.row[own[ks]], p.slot[own[ks]]
+                # the words from lo to hi; those that aren't terms match nothing in an item
+                lo = start[rows] + np.maximum(0, slots * STRIDE - lengths[ofs])
+                hi = start[rows] + np.minimum(counts[rows], (slots + 2) * STRIDE + lengths[ofs])
+                lo, hi = np.searchsorted(p.at, lo), np.searchsorted(p.at, hi)
+                for k, i, row, slot, lo, hi in zip(*(x.tolist() for x in (ks, ofs, rows, slots, lo, hi))):
+                    n, part = len(items.words[i]), p.place[lo:hi]
                     present[part] = True
-                    most = present[items.terms[i]].sum()  # no subsequence is longer
+                    most = np.count_nonzero(present[items.terms[i]])  # no subsequence is longer
                     present[part] = False
                     if most < answered * n:
                         continue
@@ -333,7 +400,7 @@ def _search(docs: DataFrame, rows: list[tuple[int, str]], id_col: str, text_col:
                         continue
                     said = items.answer_masks[i][0] > 0 and lcs(items.answer_masks[i], said_here) == items.answer_masks[i][0]
                     if share >= alone or said:
-                        key = (row, int(i))
+                        key = (row, i)
                         best[key] = max(best.get(key, (-1.0,)), (share, float(cosine[k, i]), said, slot * STRIDE))
                 out += [(doc_ids[a + row].as_py(), items.ids[i], *x) for (row, i), x in sorted(best.items())]
             cols = list(zip(*out)) if out else [[]] * 6
@@ -354,7 +421,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     found = None
     for k in range(blocks):
         rows = [tuple(r) for r in items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()]
-        rows = [r for r, w in zip(rows, Items(rows).words) if len(w)]
+        rows = [r for r, w in sorted(zip(rows, Items(rows).words), key=lambda x: len(x[1])) if len(w)]
         if rows:
             part = _search(docs, rows, id_col, text_col, alone, answered, least_cosine, answer_words)
             found = part if found is None else found.unionByName(part)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -245,6 +246,69 @@ def test_acceptance_over_all_pairs(spark, monkeypatch, bounds):
     assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-9 for x in got) and len(want) > 30
 
 
+def test_passes_take_a_few_times_their_word_hashes(spark, monkeypatch):
+    """CPU seconds of the three passes over the texts, as multiples of those of hashing the texts' words in the same process; half of the terms are rare."""
+    rng = random.Random(9)
+    hot, rare = [f"h{k}" for k in range(300)], [f"r{k}" for k in range(6000)]
+    word = lambda: rng.choice(hot if rng.random() < 0.7 else rare)
+    rows = [(k, " ".join(word() for _ in range(400))) for k in range(1500)]
+    items = [(k, " ".join(word() for _ in range(60)) + ". The answer") for k in range(200)]
+    passes, plain = [], type(docs(spark, [])).mapInArrow
+    monkeypatch.setattr(type(docs(spark, [])), "mapInArrow", lambda df, f, schema: passes.append(f) or plain(df, f, schema))
+    decontam.leaks(docs(spark, rows[:1]).unionByName(docs(spark, rows[1:])), spark.createDataFrame(items, "item_id long, text string"))
+    assert len(passes) == 3
+    texts, ids = pa.array([t for _, t in rows]), pa.array([k for k, _ in rows])
+
+    def cost(f):
+        took = []
+        for _ in range(3):
+            began = time.thread_time()
+            f()
+            took.append(time.thread_time() - began)
+        return min(took)
+
+    hashing = cost(lambda: [word_hashes(raw, offs, lower=True) for _, _, raw, offs in text_parts(texts)])
+    batches = [pa.RecordBatch.from_arrays([texts], ["text"])] * 2 + [pa.RecordBatch.from_arrays([ids, texts], ["id", "text"])]
+    passes_cost = [cost(lambda f=f, b=b: list(f(iter([b])))) for f, b in zip(passes, batches)]
+    assert sum(passes_cost) < 21 * hashing, (passes_cost, hashing)
+
+
+def test_passages_equal_plain_counts():
+    """Counts, products and shared words of passages against plain loops, where terms are often or rare and rows have no, one, a slot's or many words."""
+    rng = random.Random(10)
+    word = lambda: f"h{rng.randint(0, 5)}" if rng.random() < 0.6 else f"r{rng.randint(0, 900)}"
+    sizes = [0, 1, 31, 32, 33, 64, 65, 0, 96, 97, 1200, 7, *(rng.randint(0, 200) for _ in range(60)), 0]
+    rows = [[word() for _ in range(n)] for n in sizes]
+    texts = sorted(([word() for _ in range(n)] for n in (1, 5, 32, 33, 60, 120)), key=len)
+    items = decontam.Items([(k, " ".join(t)) for k, t in enumerate(texts)])
+    names = {int(w): x for t, ws in zip(texts, items.words) for x, w in zip(t, ws)}
+    names = [names[int(w)] for w in items.vocabulary]
+    ((_, words, counts, p),) = decontam.parts(pa.array([" ".join(r) for r in rows]), decontam.Terms(items.vocabulary))
+    windows = [(k, s, r[s * 32 : s * 32 + 64]) for k, r in enumerate(rows) if r for s in range(max(1, -(-len(r) // 32) - 1))]
+    assert [(int(k), int(s)) for k, s in zip(p.row, p.slot)] == [x[:2] for x in windows] and 0 < len(p.often) < len(names)
+    tf = np.array([[w.count(x) for x in names] for _, _, w in windows])
+    a = np.where(tf > 0, 1 + np.log(np.maximum(tf, 1)), 0)
+    assert (p.with_term() == (tf > 0).sum(axis=0)).all() and p.with_terms().tolist() == np.flatnonzero(tf.any(axis=1)).tolist()
+    m, y, total = np.random.default_rng(1).standard_normal((len(names), 9)), np.random.default_rng(2).standard_normal((p.n, 4)), np.zeros((len(names), 4))
+    assert np.allclose(p.product(m), a @ m, atol=1e-4)
+    p.add_transposed(y, total)
+    assert np.allclose(total, a.T @ y, atol=1e-4)
+    own = np.arange(p.n)[::2]
+    least = [[sum(x in set(rows[k][max(0, s * 32 - len(t)) : s * 32 + 64 + len(t)]) for x in t) for t in texts] for k, s, _ in windows]
+    for n in range(1, 40, 3):
+        may = p.shared(items, own, np.full(len(texts), n - 0.001, np.float32))
+        assert may[np.array(least)[own] >= n].all()
+    none = decontam.Passages(np.zeros(0, np.uint64), np.zeros(2, np.int64), decontam.Terms(items.vocabulary))
+    assert none.n == 0 and none.product(m).shape == (0, 9) and not none.with_term().any()
+
+
+def test_terms_that_share_their_last_bits():
+    vocabulary = np.unique(np.array([5, 5 + (1 << 40), 5 + (1 << 50), 6, 6 + (1 << 30), 9], np.uint64))
+    words = np.array([5, 5 + (1 << 45), 9, 6 + (1 << 30), 5 + (1 << 50), 7, 6, 5 + (1 << 40)], np.uint64)
+    at, place = decontam.Terms(vocabulary).find(words)
+    assert at.tolist() == [0, 2, 3, 4, 6, 7] and (vocabulary[place] == words[at]).all()
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 5), max_size=12), st.lists(st.integers(0, 5), max_size=12))
 def test_lcs(a, b):
