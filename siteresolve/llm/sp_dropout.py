@@ -47,14 +47,14 @@ from .words import mixed, power_tables, text_parts
 DROPOUT = 0.1
 SEED = 17
 LONG = 48
-PORTION = 1 << 20  # bytes of text taken together
+PORTION = 1 << 19  # bytes of text taken together
 ROWS = 8192  # runs whose agendas go side by side
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
 _MIXED = re.compile(f"[{_LETTER}][^{_LETTER} ]|[^{_LETTER} ][{_LETTER}]")
 _GOLDEN, _TURN, _ALL = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, (1 << 64) - 1
 _NONE = np.int32(2**31 - 1)
 _CHARS = 0x110000
-_SLOTS = 19
+_SPARE = 8  # slots a pair, about
 
 _models: dict[str, Model] = {}
 
@@ -65,23 +65,24 @@ class Pairs:
     def __init__(self, keys: np.ndarray, ranks: np.ndarray, joined: np.ndarray):
         self.tables = []
         while len(keys):
-            slot = self._slots(keys, len(self.tables))
+            bits = (_SPARE * len(keys)).bit_length()
+            slot = self._slots(keys, len(self.tables), bits)
             _, first = np.unique(slot, return_index=True)
-            table = np.full(1 << _SLOTS, -1, np.int64), np.full(1 << _SLOTS, _NONE, np.int32), np.full(1 << _SLOTS, -1, np.int32)
+            table = np.full(1 << bits, -1, np.int64), np.full(1 << bits, _NONE, np.int32), np.full(1 << bits, -1, np.int32)
             for column, values in zip(table, (keys, ranks, joined)):
                 column[slot[first]] = values[first]
-            self.tables.append(table)
+            self.tables.append((bits, *table))
             keys, ranks, joined = (np.delete(x, first) for x in (keys, ranks, joined))
 
     @staticmethod
-    def _slots(keys: np.ndarray, table: int) -> np.ndarray:
-        return ((keys.view(np.uint64) * np.uint64(_GOLDEN + 2 * table * _TURN & _ALL)) >> np.uint64(64 - _SLOTS)).view(np.int64)
+    def _slots(keys: np.ndarray, table: int, bits: int) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(_GOLDEN + 2 * table * _TURN & _ALL)) >> np.uint64(64 - bits)).view(np.int64)
 
     def _found(self, left: np.ndarray, right: np.ndarray, column: int, missing: int) -> np.ndarray:
         keys = left.astype(np.int64) << 32 | right
         out = np.full(keys.shape, missing, np.int32)
-        for k, table in enumerate(self.tables):
-            slot = self._slots(keys, k)
+        for k, (bits, *table) in enumerate(self.tables):
+            slot = self._slots(keys, k, bits)
             np.copyto(out, table[column][slot], where=table[0][slot] == keys)
         return out
 

@@ -48,7 +48,7 @@ BANDS, ROWS = 40, 8
 BLOCK = 100
 PIVOTS = 16
 SALTS = 32
-SIGN_BYTES = 1 << 18
+SIGN_BYTES = 1 << 17
 _ODD = 0x9E3779B97F4A7C15
 _STEP = np.uint64(_ODD)
 _NO_STATE = 8192  # elements taken through the steps together

@@ -41,9 +41,9 @@ _powers: list[np.ndarray] = []
 
 
 def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse modulo 2**64, from 0 to ``n`` at least."""
+    """Powers of an odd number and of its inverse modulo 2**64, from 0 to ``n`` at least; workers keep them, so not many more."""
     if not _powers or len(_powers[0]) <= n:
-        size = max(n + 1, PART_BYTES * 2)
+        size = max(n + 1 + n // 8, PART_BYTES // 16)
         tables = []
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             p = np.full(size, base, np.uint64)

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -13,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from siteresolve.llm import decontam, exact_dedup, langid, rans, secrets, sp_dropout, substring, superminhash, token_counts, warc
+from siteresolve.llm import decontam, exact_dedup, langid, rans, secrets, sp_dropout, substring, superminhash, token_counts, warc, words
 from siteresolve.llm.components import components
 from siteresolve.llm.queries import tokenizer_file
 from siteresolve.llm.words import second_hashes, text_parts, window_hashes, word_hashes
@@ -897,3 +898,50 @@ def test_token_files(spark):
         start += len(ids)
     assert got == sorted(want, key=repr)
     assert rans.token_files(docs(spark, []), path).count() == 0
+
+
+def test_tables_that_workers_keep_are_not_much_larger_than_what_they_hold(monkeypatch):
+    m = sp_dropout.Model(tokenizer_file("piece_bpe_32k.model"))
+    held = 0
+    for name, (rank, k) in m.by_piece.items():
+        for at in range(1, len(name)):
+            a, b = m.by_piece.get(name[:at]), m.by_piece.get(name[at:])
+            if a and b:
+                left, right = np.array([a[1]], np.int32), np.array([b[1]], np.int32)
+                if held % 7 == 0:
+                    assert m.pairs.ranks(left, right)[0] == rank and m.pairs.joined(left, right)[0] == k
+                held += 1
+    none = np.array([m.extra + 5], np.int32)
+    assert m.pairs.joined(none, none)[0] == -1
+    assert sum(x.nbytes for table in m.pairs.tables for x in table if isinstance(x, np.ndarray)) < 300 * held
+    monkeypatch.setattr(words, "_powers", [])
+    for n in (1000, 100_000, 600_000, 600_500, 50):
+        power, inverse = words.power_tables(n)
+        assert len(power) == len(inverse) > n
+        assert int(power[n]) * int(inverse[n]) % 2**64 == 1 and int(power[n]) == pow(words._BASE, n, 2**64)
+    assert len(power) < 700_000
+
+
+def test_encoding_and_signing_take_little_memory_at_once():
+    rng = random.Random(8)
+    pieces = ["in", "ter", "na", "tion", "al", "ge", "sch", "keit", "é", "x"]
+    known = ["".join(rng.choices(pieces, k=rng.randint(1, 5))) for _ in range(4000)]
+    texts = pa.array([" ".join(rng.choices(known, k=300)) for _ in range(1200)])
+    assert texts.nbytes > 2 << 20
+    encoder = sp_dropout.Encoder(tokenizer_file("piece_bpe_32k.model"))
+
+    def encode():
+        for a, b, raw, offsets in text_parts(texts, sp_dropout.PORTION):
+            encoder.decode_texts(*encoder.encode_texts(raw, offsets, list(range(a, b))))
+
+    def sign():
+        for _, _, raw, offsets in text_parts(texts.slice(0, 300), superminhash.SIGN_BYTES):
+            superminhash.signatures(*superminhash.shingle_sets(raw, offsets, 5))
+
+    for f, most_mb in ((encode, 28), (sign, 28)):
+        f()  # tables that stay
+        tracemalloc.start()
+        f()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < most_mb << 20, (f.__name__, peak >> 20)
