@@ -61,18 +61,33 @@ def canonical(features):
     return F.array_sort(F.array_distinct(F.array_compact(features)))
 
 
+BROADCAST_BYTES = 8 << 20
+
+
+def _placed(df: DataFrame, name: str):
+    """``df`` written down, and how a join is to take it or a part of it: as a broadcast where what was written is small, else by shuffles on both sides.
+
+    Left to itself Spark goes by the size of compressed files and by columns' usual widths, which for feature arrays is far too little: it would send all sets or rows to the driver.
+    """
+    table = written(df, name)
+    held = [F.size(c) * 16 + F.octet_length(F.array_join(c, "")) if kind == "array<string>" else F.octet_length(F.col(c).cast("string")) for c, kind in df.dtypes]
+    size = table.agg(F.sum(sum((F.coalesce(x, F.lit(0)) for x in held), F.lit(64)).cast("long"))).first()[0] or 0
+    return table, F.broadcast if size <= BROADCAST_BYTES else lambda x: x.hint("merge")
+
+
 def contained(sets: DataFrame, patterns: DataFrame, keep: list[str]) -> DataFrame:
     """(features, *keep) for each of the distinct ``sets`` (column features, canonical) and each pattern all of whose features it has.
 
     A pattern is filed under the one of its features that the fewest sets have, so a set meets only the patterns filed under its own features, and a feature that nearly all sets
-    have holds only patterns made of such features. What meets is then checked in full. Patterns without features, or with one that no set has, match nothing.
+    have holds only patterns made of such features. What meets is then checked in full. Patterns without features, or with one that no set has, match nothing. Sets are never
+    broadcast; patterns are where they are small, and sets stay where they are then.
     """
-    named = patterns.select(*keep, canonical("features").alias("wanted")).filter(F.size("wanted") > 0)
+    named, side = _placed(patterns.select(*keep, canonical("features").alias("wanted")).filter(F.size("wanted") > 0), "patterns")
     frequency = sets.select(F.explode("features").alias("feature")).groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
-    parts = named.select("wanted").distinct().select("wanted", F.explode("wanted").alias("feature")).join(frequency, "feature")
+    parts = side(named.select("wanted").distinct().select("wanted", F.explode("wanted").alias("feature"))).join(frequency, "feature")
     filed = parts.groupBy("wanted").agg(F.min_by("feature", F.struct("n", "feature")).alias("anchor"), F.count(F.lit(1)).alias("known")).filter(F.col("known") == F.size("wanted"))
-    met = sets.select("features", F.explode("features").alias("anchor")).join(filed.select("wanted", "anchor"), "anchor")
-    return met.filter(F.size(F.array_except("wanted", "features")) == 0).select("features", "wanted").join(named, "wanted").drop("wanted")
+    met = sets.select("features", F.explode("features").alias("anchor")).join(side(filed.select("wanted", "anchor")), "anchor")
+    return met.filter(F.size(F.array_except("wanted", "features")) == 0).select("features", "wanted").join(side(named), "wanted").drop("wanted")
 
 
 def matches(rows: DataFrame, patterns: DataFrame, key: str, first_only: bool = True, order: str = "pattern_pos") -> DataFrame:
@@ -80,11 +95,12 @@ def matches(rows: DataFrame, patterns: DataFrame, key: str, first_only: bool = T
 
     Equal feature sets are matched once (``contained``); rows only look their set up. Rows without a match give none.
     """
-    rows = rows.select(key, canonical("features").alias("features"))
+    rows = rows.select(key, canonical("features").alias("features")).filter(F.size("features") > 0)
     found = contained(rows.select("features").distinct(), patterns, ["pattern", order])
     if first_only:
         found = found.groupBy("features").agg(F.min_by("pattern", F.struct(order, "pattern")).alias("pattern"))
-    return rows.join(found.select("features", "pattern"), "features").select(key, "pattern")
+    found, side = _placed(found.select("features", "pattern"), "found")
+    return rows.join(side(found), "features").select(key, "pattern")
 
 
 def release_simulation(rows: DataFrame, patterns: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def policy_rows(final: DataFrame, reviews: DataFrame, checks: DataFrame, hold_re
 
     ``final``, ``reviews`` and ``checks`` (verification rows: decision, reason_for_unsure, evidence_score, supporting_facts, counter_evidence, candidate_url, review_reason) meet by id,
     else by name; the last row of a key counts. ``hold_patterns`` and ``release_patterns``: pattern, pattern_pos, features; the first that matches counts, by distinct feature sets.
-    A row can give both actions. Of rows with equal id, action and pattern the first by ``pos`` stays. Columns: those of ``final``, action, pattern, policy_source, candidate_url,
+    A row with an address gives a holdout at most, one without a release. Of rows with equal id, action and pattern the first by ``pos`` stays. Columns: those of ``final``, action, pattern, policy_source, candidate_url,
     candidate_domain, review_reason, decision, evidence_score, review_instruction.
     """
     final = ensure_columns(final, ["official_domain", "top_candidate_domain", "top_candidate_url"])
@@ -58,31 +58,26 @@ def policy_rows(final: DataFrame, reviews: DataFrame, checks: DataFrame, hold_re
         return evidence_features(first_filled(c("provider_name"), k("provider_name")), first_filled(c("review_reason"), k("review_reason")), k("decision"), k("reason_for_unsure"), score, k("supporting_facts"), k("counter_evidence"), host)
 
     own_column = lambda c: blank(F.col(c)) if c in final.columns else F.lit("")
-    none = F.array().cast("array<string>")
-    rows = rows.withColumns(
-        {
-            "__row": F.monotonically_increasing_id(),
-            "__hold": F.when(F.col("review").isNotNull() | checked, features(r)).otherwise(none),
-            "__free": F.when(checked, features(own_column)).otherwise(none),
-        }
-    )
-    rows = written(rows, "policy")
-    for column, patterns in (("__hold", hold_patterns), ("__free", release_patterns)):
-        found = matches(rows.select("__row", F.col(column).alias("features")), patterns, "__row").select(F.col("__row").alias("__r"), F.col("pattern").alias(f"{column}_pattern"))
-        rows = rows.join(found, F.col("__row") == F.col("__r"), "left").drop("__r")
-    own, offered = blank(F.col("official_url")), urls.compared(k("candidate_url"))
-    reason = blank(F.col("__reason"))
-    hold = (own != "") & (reason.isin(hold_reasons) | F.col("__hold_pattern").isNotNull())
+    own, offered, reason = blank(F.col("official_url")), F.col("__offered"), blank(F.col("__reason"))
     host = urls.domain(offered)
     may = (own == "") & blank(F.col("status")).isin(FREE_STATUSES) & ((k("review_reason") == "") | k("review_reason").startswith("recall_unresolved")) & (offered != "") & (host != "") & ~risky_label(host)
-    free = F.col("__free_pattern").isNotNull() & may & ~k("counter_evidence").contains("candidate_not_independent_official_site")
+    # A row with an address can only be held, one without only released: its features are those of one of the two, and none where neither can be.
+    rows = rows.withColumn("__offered", urls.compared(k("candidate_url"))).withColumn("__may", checked & may & ~k("counter_evidence").contains("candidate_not_independent_official_site"))
+    wanted = F.when(own != "", F.col("review").isNotNull() | checked).otherwise(F.col("__may"))
+    shown = features(lambda c: F.when(own != "", r(c)).otherwise(own_column(c)))
+    rows = written(rows.withColumns({"__row": F.monotonically_increasing_id(), "__features": F.when(wanted, shown).otherwise(F.array().cast("array<string>"))}), "policy")
+    own_rows = lambda when: rows.filter(when).select("__row", F.col("__features").alias("features"))
+    found = matches(own_rows(own != ""), hold_patterns, "__row").unionAll(matches(own_rows(F.col("__may")), release_patterns, "__row"))
+    rows = rows.drop("__features").join(found.select(F.col("__row").alias("__r"), F.col("pattern").alias("__pattern")), F.col("__row") == F.col("__r"), "left").drop("__r")
+    by_pattern = F.col("__pattern").isNotNull()
+    hold = (own != "") & (reason.isin(hold_reasons) | by_pattern)
+    free = F.col("__may") & by_pattern
 
     def made(action, pattern, source, url, domain, note):
         return F.struct(F.lit(action).alias("action"), pattern.alias("pattern"), source.alias("policy_source"), url.alias("candidate_url"), domain.alias("candidate_domain"), F.lit(note).alias("review_instruction"))
 
-    by_pattern = F.col("__hold_pattern").isNotNull()
-    held = made("holdout", F.coalesce("__hold_pattern", F.concat(F.lit("review_reason:"), reason)), F.when(by_pattern, "hold_pattern").otherwise("hold_review_reason"), own, urls.domain(first_filled(F.col("official_domain"), own)), HOLD)
-    freed = made("release", F.col("__free_pattern"), F.lit("release_pattern"), offered, urls.domain(first_filled(k("candidate_domain"), offered)), RELEASE)
+    held = made("holdout", F.coalesce("__pattern", F.concat(F.lit("review_reason:"), reason)), F.when(by_pattern, "hold_pattern").otherwise("hold_review_reason"), own, urls.domain(first_filled(F.col("official_domain"), own)), HOLD)
+    freed = made("release", F.col("__pattern"), F.lit("release_pattern"), offered, urls.domain(first_filled(k("candidate_domain"), offered)), RELEASE)
     each = rows.withColumn("x", F.explode(F.array_compact(F.array(F.when(hold, held), F.when(free, freed)))))
     out = each.select(*final.columns, "x.*", first_filled(r("review_reason"), k("review_reason")).alias("review_reason"), k("decision").alias("decision"), k("evidence_score").alias("evidence_score"))
     first = out.groupBy(blank(F.col("provider_id")).alias("__id"), "action", "pattern").agg(F.min_by(F.struct(*out.columns), pos).alias("o"))

@@ -31,6 +31,26 @@ def test_matches_equal_all_pairs(spark):
     assert got == {p: (sum(x[2] == p for x in want), sum(x[2] == p and x[0] % 3 > 0 for x in want)) for p in {x[2] for x in want}}
 
 
+def broadcasts(df):
+    """How many sides the plan that ran has broadcast."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[: plan.find("== Initial Plan ==")].count("BroadcastExchange")
+
+
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_matches_broadcast_only_what_was_measured(spark, tmp_path, monkeypatch, most):
+    """Rows with long features in a file that compresses well, beside a wide column: Spark takes their features for a few bytes."""
+    monkeypatch.setattr(patterns, "BROADCAST_BYTES", most, raising=False)
+    wide = spark.range(2000).select("id", F.array(F.lit("a"), F.concat(F.lit("b"), F.col("id") % 3), F.repeat(F.lit("c"), 2000)).alias("features"), *[F.lit("x").alias(f"w{k}") for k in range(20)])
+    wide.write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    table = spark.createDataFrame([("p", 0, ["a", "b1"]), ("q", 1, ["b2"]), ("r", 2, ["a", "b2"])], "pattern string, pattern_pos int, features array<string>")
+    found = patterns.matches(rows.select("id", "features"), table, "id")
+    assert Counter(r["pattern"] for r in found.collect()) == {"p": 667, "q": 666}
+    assert broadcasts(found) == (1 if most else 0)
+
+
 def plain_cover(rows, listed, most_wrong):
     cover = {p: ([k for k, (f, c) in enumerate(rows) if c and set(w) <= set(f)], [k for k, (f, c) in enumerate(rows) if not c and set(w) <= set(f)], len(set(w))) for p, w in listed if w}
     right, wrong, out = set(), set(), []
