@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from siteresolve.operators import policies
+from siteresolve.operators import patterns, policies
 from siteresolve.sources import documents
 
 
@@ -81,3 +81,18 @@ def test_policy_rows(spark):
     labels = spark.createDataFrame([("1", "", "official", "https://a.com", "a.com", 1), ("1", "", "no_official", "", "", 2), ("4", "", "unsure", "", "", 3)], "provider_id string, provider_name string, expected_kind string, expected_url string, expected_domain string, pos long")
     known = {r["provider_id"]: (r["known_label_status"], r["decisive"]) for r in policies.with_labels(made, labels).collect()}
     assert known == {"1": ("labeled_official", True), "4": ("labeled_unsure", False), "2": ("unlabeled", False)}
+
+
+def test_policy_summary_never_broadcasts_unmeasured_features(spark, monkeypatch):
+    monkeypatch.setattr(patterns, "BROADCAST_BYTES", 0, raising=False)
+    ids = spark.range(40).select(F.col("id").cast("string").alias("provider_id"), F.concat(F.lit("Acme "), "id").alias("provider_name"), F.col("id").alias("pos"), (F.col("id") % 2 == 0).alias("own"))
+    final = ids.select("provider_id", "provider_name", "pos", F.when(F.col("own"), F.concat(F.lit("https://a"), "pos", F.lit(".com"))).otherwise("").alias("official_url"), F.when(F.col("own"), "matched").otherwise("not_found").alias("status"))
+    given = {"candidate_url": F.concat(F.lit("https://b"), "pos", F.lit(".com")), "decision": F.when(F.col("pos") % 4 < 2, "accept").otherwise("reject"), "evidence_score": F.lit("80"), "review_reason": F.lit(""), "reason_for_unsure": F.lit(""), "supporting_facts": F.lit("location_matches:Peru"), "counter_evidence": F.lit("")}
+    checks = ids.withColumns(given)
+    listed = lambda p, f: spark.createDataFrame([(p, 0, [f])], "pattern string, pattern_pos int, features array<string>")
+    made = policies.policy_rows(final, ids.withColumn("review_reason", F.lit("lane_a")).filter("pos < 10"), checks, ["lane_a"], listed("no", "agent_b_decision:reject"), listed("yes", "agent_b_decision:accept"))
+    labels = spark.createDataFrame([("1", "", "official", "", "", 1), ("2", "", "no_official", "", "", 1)], "provider_id string, provider_name string, expected_kind string, expected_url string, expected_domain string, pos long")
+    summary = policies.policy_summary(policies.with_labels(made, labels))
+    assert {tuple(r) for r in summary.collect()} == {("holdout", "no", 10, 9, 0, 1), ("holdout", "review_reason:lane_a", 3, 3, 0, 0), ("release", "yes", 10, 9, 1, 0)}
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert "HashedRelationBroadcastMode(List(input[0, array<string>" not in plan and "HashedRelationBroadcastMode(List(input[1, array<string>" not in plan
