@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import urls
-from ..functions.text import append_note, blank
+from ..functions.text import append_note, blank, let
 from .patterns import matches
 
 BLOCKING = ["precision_blocking_fixture", "recall_blocking_fixture"]
@@ -68,36 +68,40 @@ def gate_summary(gated: DataFrame) -> DataFrame:
 def apply_cases(output: DataFrame, cases: DataFrame, pos: str = "pos") -> DataFrame:
     """Each output row after its provider's cases, in order: replaced, blocked or restored addresses, status, decision source, notes, and the list of changes.
 
-    A provider's cases are a handful; they are gathered per provider and folded into the row.
+    A provider's cases are a handful; they are gathered per provider and folded into the row. Addresses are compared by their site keys: each case's are made once, before it is
+    gathered, and the row carries the key of its address along, so the fold itself compares strings only.
     """
-    listed = cases.groupBy("provider_id").agg(
-        F.sort_array(F.collect_list(F.struct(F.col(pos).alias("p"), F.col("case_type").alias("kind"), F.trim(blank(F.col("expected_url"))).alias("expected"), _blocked().alias("blocked")))).alias("cases")
-    )
-    rows = output.join(listed, "provider_id", "left")
-    start = F.struct(
-        blank(F.col("official_url")).alias("url"), blank(F.col("status")).alias("status"), blank(F.col("decision_source")).alias("source"), blank(F.col("notes")).alias("notes"), F.array().cast("array<string>").alias("changes")
-    )
+    kind, expected = F.col("case_type"), F.trim(blank(F.col("expected_url")))
+    key_of_blocked = F.when(kind.isin(BLOCKING), urls.site_key(_blocked())).otherwise("")
+    one = F.struct(F.col(pos).alias("p"), kind.alias("kind"), expected.alias("expected"), F.when(expected == "", "").otherwise(urls.site_key(expected)).alias("key"), key_of_blocked.alias("blocked"))
+    listed = cases.filter(kind.isin(*BLOCKING, *POSITIVE)).groupBy("provider_id").agg(F.sort_array(F.collect_list(one)).alias("cases"))
+    own = {"url": blank(F.col("official_url")), "status": blank(F.col("status")), "source": blank(F.col("decision_source")), "notes": blank(F.col("notes")), "changes": F.array().cast("array<string>")}
+    rows = output.join(listed, "provider_id", "left").withColumn("__own", F.struct(*[c.alias(n) for n, c in own.items()], F.when(F.col("cases").isNotNull(), urls.site_key(own["url"])).otherwise("").alias("key")))
 
     def step(s: Column, x: Column) -> Column:
-        away = (x["expected"] != "") & ~urls.same_site(s["url"], x["expected"])
-        blocking = x["kind"].isin(BLOCKING)
-        replace = blocking & away
-        block = blocking & ~away & urls.same_site(s["url"], x["blocked"])
-        restore = x["kind"].isin(POSITIVE) & away
-        label = F.when(replace, "calibration_regression_replace").when(block, "calibration_regression_block").when(restore, "calibration_regression_positive")
-        change = F.when(replace, "replace_with_expected_url").when(block, "block_known_wrong_url").when(restore, "restore_known_correct_url")
-        new = replace | restore
-        return F.struct(
-            F.when(new, x["expected"]).when(block, "").otherwise(s["url"]).alias("url"),
-            F.when(new, "manual_accepted").when(block, "rejected").otherwise(s["status"]).alias("status"),
-            F.coalesce(label, s["source"]).alias("source"),
-            F.when(label.isNull(), s["notes"]).otherwise(append_note(s["notes"], F.concat(label, F.lit(":"), x["kind"]))).alias("notes"),
-            F.concat(s["changes"], F.array_compact(F.array(change))).alias("changes"),
-        )
-
-    rows = rows.withColumn("s", F.when(F.col("cases").isNull(), start).otherwise(F.aggregate("cases", start, step)))
+        same = s["key"] != ""
+        away = (x["expected"] != "") & ~(same & (s["key"] == x["key"]))
+        block = same & (s["key"] == x["blocked"])
+        what = F.when(x["kind"].isin(BLOCKING), F.when(away, "replace").when(block, "block")).when(away, "positive")
+
+        def after(w: Column) -> Column:
+            label, new = F.concat(F.lit("calibration_regression_"), w), w != "block"
+            change = F.when(w == "replace", "replace_with_expected_url").when(w == "block", "block_known_wrong_url").otherwise("restore_known_correct_url")
+            made = F.struct(
+                F.when(new, x["expected"]).otherwise("").alias("url"),
+                F.when(new, "manual_accepted").otherwise("rejected").alias("status"),
+                label.alias("source"),
+                append_note(s["notes"], F.concat(label, F.lit(":"), x["kind"])).alias("notes"),
+                F.concat(s["changes"], F.array(change)).alias("changes"),
+                F.when(new, x["key"]).otherwise("").alias("key"),
+            )
+            return F.when(w.isNull(), s).otherwise(made)
+
+        return let(what, after)
+
+    rows = rows.withColumn("s", F.when(F.col("cases").isNull(), F.col("__own")).otherwise(F.aggregate("cases", F.col("__own"), step)))
     out = rows.withColumns({"official_url": F.col("s.url"), "status": F.col("s.status"), "decision_source": F.col("s.source"), "notes": F.col("s.notes"), "changes": F.col("s.changes")})
-    return out.withColumn("official_domain", F.when(F.col("official_url") == "", F.lit("")).otherwise(urls.domain(F.col("official_url")))).drop("s", "cases")
+    return out.withColumn("official_domain", F.when(F.col("official_url") == "", F.lit("")).otherwise(urls.domain(F.col("official_url")))).drop("s", "cases", "__own")
 
 
 def release_by_pattern(final: DataFrame, evidence: DataFrame, patterns: DataFrame, risky: list[str]) -> DataFrame:
